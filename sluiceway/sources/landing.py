@@ -239,10 +239,12 @@ def landing_inventory(
     partition_fields: Sequence[str],
     granularity: str,
     manifests: DataFrame | None = None,
+    key_root: str | None = None,
 ) -> DataFrame:
     """Landed objects per slice: slice columns, key, size and manifest metadata.
 
-    Lists files; no payload is read.
+    Lists files; no payload is read. Keys are relative to ``key_root``, by default the
+    listed root.
     """
     validate_fields(partition_fields, "hour")
     path = F.col("path")
@@ -252,7 +254,7 @@ def landing_inventory(
         .load(root)
         .where(~path.endswith(MANIFEST_SUFFIX))
         .select(
-            landing_key(root, path).alias("_landing_key"),
+            landing_key(key_root or root, path).alias("_landing_key"),
             "length",
             *[F.regexp_extract(path, f"/{f}=([^/]*)/", 1).alias(f) for f in partition_fields],
         )

@@ -1,0 +1,100 @@
+"""A date-partitioned Parquet table whose dates are replaced as a whole, atomically.
+
+Every batch writes the new content of the dates it touches under its own version, then
+one small snapshot file naming the live version of each date. Readers follow the newest
+snapshot, so they see all of a batch or none of it, and redoing a batch overwrites the
+same version.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+
+from sluiceway.sinks.writers import spread
+
+
+def on_dates(column: str, dates: Sequence[date | None]) -> Column:
+    """Membership in a list of dates, in which NULL is a date like any other."""
+    known = [day for day in dates if day is not None]
+    member = F.col(column).isin(known) if known else F.lit(False)
+    member = F.coalesce(member, F.lit(False))
+    return member | F.col(column).isNull() if None in dates else member
+
+
+@dataclass(frozen=True)
+class VersionedTable:
+    root: str
+    schema: str
+    partition: str = "event_date"
+
+    def _full_schema(self) -> T.StructType:
+        return T.StructType.fromDDL(self.schema)
+
+    def _snapshots(self, spark: SparkSession) -> DataFrame | None:
+        try:
+            return spark.read.schema(
+                f"{self.partition} DATE, version BIGINT, batch BIGINT"
+            ).parquet(f"{self.root}/snapshots")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def snapshot(self, spark: SparkSession, through: int | None = None) -> DataFrame | None:
+        """Live version per date, after batch ``through`` (default: the newest)."""
+        snapshots = self._snapshots(spark)
+        if snapshots is None:
+            return None
+        if through is not None:
+            snapshots = snapshots.where(F.col("batch") <= through)
+        newest = snapshots.agg(F.max("batch")).first()[0]
+        if newest is None:
+            return None
+        return snapshots.where(F.col("batch") == newest).select(self.partition, "version")
+
+    def read(self, spark: SparkSession, through: int | None = None) -> DataFrame:
+        """Live rows. Directories of other versions are pruned, not read."""
+        live = self.snapshot(spark, through)
+        fields = self._full_schema()
+        if live is None:
+            return spark.createDataFrame([], fields)
+        place = F.concat_ws("/", "version", self.partition)
+        # One entry per calendar date.
+        places = [row[0] for row in live.select(place).collect()]
+        if not places:
+            return spark.createDataFrame([], fields)
+        return (
+            spark.read.schema(T.StructType(fields.fields + [T.StructField("version", T.LongType())]))
+            .option("basePath", f"{self.root}/data")
+            .parquet(f"{self.root}/data")
+            .where(place.isin(places))
+            .select(*fields.names)
+        )
+
+    def replace(self, rows: DataFrame, dates: Sequence[date | None], batch: int) -> None:
+        """Make ``rows`` the whole content of ``dates``; other dates stay as they are."""
+        spark = rows.sparkSession
+        before = self.snapshot(spark, batch - 1)
+        (
+            spread(rows.select(*self._full_schema().names), self.partition)
+            .write.mode("overwrite")
+            .partitionBy(self.partition)
+            .parquet(f"{self.root}/data/version={batch}")
+        )
+        written = (
+            spark.read.schema(self._full_schema())
+            .parquet(f"{self.root}/data/version={batch}")
+            .select(self.partition)
+            .distinct()
+            .withColumn("version", F.lit(batch).cast("bigint"))
+        )
+        after = written if before is None else before.where(
+            ~on_dates(self.partition, dates)
+        ).unionByName(written)
+        # One file with a row per date: its appearance is the commit.
+        after.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/snapshots/batch={batch}")
