@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sluiceway.registry.models import MODEL_SQL, MODELS
+from sluiceway.registry import expressions, models
 
-QUERIES = {**MODELS}
-SQL = {**MODEL_SQL}
+QUERIES = {**models.MODELS, **expressions.QUERIES}
+SQL = {**models.MODEL_SQL, **expressions.SQL}

@@ -15,7 +15,7 @@ def _day(text: str) -> str:
     return f"cast({_ts(text)} as date)"
 
 
-def _full_date(text: str) -> str:
+def full_date(text: str) -> str:
     return (
         f"case when regexp_full_match({text}, '\\d{{4}}-\\d{{2}}-\\d{{2}}') "
         f"then try_cast({text} as date) end"
@@ -251,7 +251,7 @@ def _bundle_ctes(prefix: str, raw: str, first_date: str | None) -> None:
 
 
 _bundle_ctes("txn", "raw_txn", None)
-_bundle_ctes("dlv", "raw_dlv", _full_date("delivery_date"))
+_bundle_ctes("dlv", "raw_dlv", full_date("delivery_date"))
 
 # Transactions -----------------------------------------------------------------------
 
@@ -419,7 +419,7 @@ _cte(
     "dlv_typed",
     f"""
     select delivery_id || ':' || record_number as delivery_record_id,
-      source_system_id, delivery_id, {_full_date("delivery_date")} as delivery_date,
+      source_system_id, delivery_id, {full_date("delivery_date")} as delivery_date,
       cast(record_number as bigint) as record_number, cast(member_id as bigint) as member_id,
       facility_id, facility_region, facility_type, feed_type, member_status, plan_tier,
       age_band, postal_prefix, cast(allowed_amount as double) as allowed_amount,
@@ -431,7 +431,7 @@ _cte(
       _raw_bundle_granularity as raw_bundle_granularity,
       _raw_input_object_count as raw_input_object_count,
       _raw_bundle_row_count as raw_bundle_row_count,
-      coalesce({_full_date("delivery_date")}, {_day("_logical_date")},
+      coalesce({full_date("delivery_date")}, {_day("_logical_date")},
         {_day("_raw_standardized_at")}) as event_date
     from raw_dlv
     """,
