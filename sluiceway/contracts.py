@@ -22,7 +22,13 @@ DELIVERY_ROW = """
     postal_prefix STRING, allowed_amount STRING
 """
 
-DELIVERY_FIELDS = tuple(part.split()[0] for part in DELIVERY_ROW.split(","))
+
+def names(flat_schema: str) -> tuple[str, ...]:
+    """Column names of a schema without nested types."""
+    return tuple(part.split()[0] for part in flat_schema.split(","))
+
+
+DELIVERY_FIELDS = names(DELIVERY_ROW)
 
 COMMON_LINEAGE = """
     _landing_key STRING, _standardize_strategy STRING, _source_preset_id STRING,

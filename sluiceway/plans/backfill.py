@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.operators.calendar import SliceSelector, slice_calendar
@@ -22,7 +24,8 @@ def backfill(
     *,
     manifests: DataFrame | None = None,
     mode: str = "run",
-    options=None,
+    select: Sequence[str] | None = None,
+    options: Mapping[str, Mapping[str, object]] | None = None,
 ) -> DataFrame | None:
     """One standardize job over all slices of the selector, then the models.
 
@@ -36,4 +39,6 @@ def backfill(
         manifests=manifests,
     )
     raw = _READERS[workflow](spark, layout_path(job.processed_root, job.processed_prefix))
-    return build_models(spark, workflow, raw, workspace, mode=mode, options=options)
+    return build_models(
+        spark, workflow, raw, workspace, mode=mode, select=select, options=options
+    )

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.operators.quality import Checks, quality_report
 from sluiceway.plans import deliveries as dlv, events as evt, transactions as txn
+from sluiceway.session import configure
 from sluiceway.sinks.writers import model_location, write_model
 
 RAW = "raw"
@@ -25,6 +26,8 @@ class Model:
     build: Callable[..., DataFrame]
     partition: str = "event_date"
     checks: Checks = Checks()
+    # A few aggregate rows per partition value, rather than source rows.
+    grouped: bool = False
 
     @property
     def is_mart(self) -> bool:
@@ -41,6 +44,7 @@ TRANSACTION_MODELS: dict[str, Model] = {
         txn.bronze_canonical_raw_bundles,
         partition="bundle_event_date",
         checks=Checks(["raw_bundle_id", "bundle_event_date"], ["raw_bundle_id"]),
+        grouped=True,
     ),
     "bronze_transaction_events": Model(
         "bronze",
@@ -70,17 +74,26 @@ TRANSACTION_MODELS: dict[str, Model] = {
         "gold", ["silver_transaction_answer_keys"], txn.gold_transaction_answer_keys
     ),
     "gold_daily_transaction_metrics": Model(
-        "gold", ["gold_transactions"], txn.gold_daily_transaction_metrics
+        "gold",
+        ["gold_transactions"],
+        txn.gold_daily_transaction_metrics,
+        grouped=True,
     ),
     # Straight from the events: no join of the two gold tables.
     "gold_daily_anomaly_metrics": Model(
-        "gold", ["bronze_transaction_events"], txn.anomaly_metrics_from_events
+        "gold",
+        ["bronze_transaction_events"],
+        txn.anomaly_metrics_from_events,
+        grouped=True,
     ),
     "analytics_transactions": Model(
         "analytics", ["gold_transactions"], txn.analytics_transactions
     ),
     "analytics_daily_transaction_metrics": Model(
-        "analytics", ["gold_daily_transaction_metrics"], txn.analytics_daily_transaction_metrics
+        "analytics",
+        ["gold_daily_transaction_metrics"],
+        txn.analytics_daily_transaction_metrics,
+        grouped=True,
     ),
     "model_evaluator_transaction_outcomes": Model(
         "model_evaluator", ["bronze_transaction_events"], txn.outcomes_from_events
@@ -89,9 +102,13 @@ TRANSACTION_MODELS: dict[str, Model] = {
         "model_evaluator",
         ["gold_daily_transaction_metrics", "gold_daily_anomaly_metrics"],
         txn.model_evaluator_daily_metrics,
+        grouped=True,
     ),
     "management_daily_summary": Model(
-        "management", ["model_evaluator_daily_metrics"], txn.management_daily_summary
+        "management",
+        ["model_evaluator_daily_metrics"],
+        txn.management_daily_summary,
+        grouped=True,
     ),
 }
 
@@ -102,6 +119,7 @@ DELIVERY_MODELS: dict[str, Model] = {
         dlv.bronze_canonical_raw_bundles,
         partition="bundle_event_date",
         checks=Checks(["raw_bundle_id", "bundle_event_date"], ["raw_bundle_id"]),
+        grouped=True,
     ),
     "bronze_delivery_records": Model(
         "bronze",
@@ -125,18 +143,21 @@ DELIVERY_MODELS: dict[str, Model] = {
         dlv.silver_delivery_batches,
         partition="delivery_date",
         checks=Checks(["delivery_id"]),
+        grouped=True,
     ),
     "gold_daily_delivery_metrics": Model(
         "gold",
         ["silver_delivery_records"],
         dlv.gold_daily_delivery_metrics,
         checks=Checks(["event_date"]),
+        grouped=True,
     ),
     "gold_source_system_daily_metrics": Model(
         "gold",
         ["silver_delivery_records"],
         dlv.gold_source_system_daily_metrics,
         checks=Checks(["location_code"]),
+        grouped=True,
     ),
     "analytics_delivery_records": Model(
         "analytics",
@@ -149,12 +170,14 @@ DELIVERY_MODELS: dict[str, Model] = {
         ["gold_daily_delivery_metrics"],
         dlv.analytics_daily_delivery_metrics,
         checks=Checks(["event_date"]),
+        grouped=True,
     ),
     "management_daily_summary": Model(
         "management",
         ["gold_daily_delivery_metrics"],
         dlv.management_daily_summary,
         checks=Checks(["event_date"]),
+        grouped=True,
     ),
 }
 
@@ -182,18 +205,21 @@ EVENT_MODELS: dict[str, Model] = {
         ["int_sensor_events"],
         evt.analytics_site_daily_metrics,
         checks=Checks(["event_date", "site_id"]),
+        grouped=True,
     ),
     "analytics_device_latest_status": Model(
         "analytics",
         ["int_sensor_events"],
         evt.analytics_device_latest_status,
         checks=Checks(["device_id"], ["device_id"]),
+        grouped=True,
     ),
     "management_stream_health_summary": Model(
         "management",
         ["int_sensor_events"],
         evt.management_stream_health_summary,
         checks=Checks(["event_date"], ["event_date"]),
+        grouped=True,
     ),
 }
 
@@ -272,21 +298,28 @@ def build_models(
         raise ValueError(f"mode must be run, build or test, not {mode!r}")
     models = WORKFLOWS[workflow]
     chosen = select_models(models, select, exclude)
+    configure(spark)
+    # Every table is listed once, however many models read it.
+    frames: dict[str, DataFrame] = {RAW: raw}
+
+    def frame_of(name: str) -> DataFrame:
+        if name not in frames:
+            frames[name] = workspace.read(spark, name, models[name])
+        return frames[name]
+
     if mode != "test":
         for name in chosen:
             model = models[name]
-            inputs = [
-                raw if source == RAW else workspace.read(spark, source, models[source])
-                for source in model.inputs
-            ]
+            inputs = [frame_of(source) for source in model.inputs]
             frame = model.build(*inputs, **(options or {}).get(name, {}))
-            write_model(frame, workspace.path(name, model), model.partition)
+            write_model(
+                frame, workspace.path(name, model), model.partition, grouped=model.grouped
+            )
     if mode == "run":
         return None
     checked = {name: models[name].checks for name in chosen}
     declared = {k: c for k, c in checked.items() if c.not_null or c.unique}
-    tables = {name: workspace.read(spark, name, models[name]) for name in declared}
-    return quality_report(tables, declared)
+    return quality_report({name: frame_of(name) for name in declared}, declared)
 
 
 def publish_marts(

@@ -13,7 +13,6 @@ from datetime import datetime, timezone
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from sluiceway import contracts
 from sluiceway.functions.columns import try_iso_to_ts
@@ -48,10 +47,6 @@ class Standardizer:
     extra_lineage: Mapping[str, str] = field(default_factory=dict)
 
 
-def _names(schema: str) -> list[str]:
-    return StructType.fromDDL(schema).names
-
-
 def _read_bundles(spark, paths, *, root, partition_fields, one_per_line=False, **_):
     return read_bundle_documents(
         spark,
@@ -73,18 +68,18 @@ def _read_deliveries(spark, paths, *, root, partition_fields, columns=None, **_)
     return rows.withColumns({name: F.lit(None).cast("string") for name in absent})
 
 
-_BUNDLE_COLUMN_COUNT = len(contracts.BUNDLE_LINEAGE.split(","))
+_BUNDLE_COLUMN_COUNT = len(contracts.names(contracts.BUNDLE_LINEAGE))
 
 STANDARDIZERS: dict[str, Standardizer] = {
     "json_bundle": Standardizer(
         read=_read_bundles,
         to_rows=lambda df: explode_bundles(df, contracts.TRANSACTION_JSON_COLUMNS),
-        columns=_names(contracts.RAW_TRANSACTIONS)[:-_BUNDLE_COLUMN_COUNT],
+        columns=contracts.names(contracts.RAW_TRANSACTIONS)[:-_BUNDLE_COLUMN_COUNT],
     ),
     "csv_delivery": Standardizer(
         read=_read_deliveries,
         to_rows=lambda df: df,
-        columns=_names(contracts.RAW_DELIVERIES)[:-_BUNDLE_COLUMN_COUNT],
+        columns=contracts.names(contracts.RAW_DELIVERIES)[:-_BUNDLE_COLUMN_COUNT],
         extra_lineage={
             "_source_system_id": "source_system_id",
             "_delivery_id": "delivery_id",
@@ -297,7 +292,7 @@ def standardize_slices(
     )
     annotated = annotate_bundle(staged, bundles, standardized_at)
     write_bundle(
-        annotated.select("slice_start", *kind.columns, *_names(contracts.BUNDLE_LINEAGE)),
+        annotated.select("slice_start", *kind.columns, *contracts.names(contracts.BUNDLE_LINEAGE)),
         layout_path(job.processed_root, job.processed_prefix),
         "slice_start",
         job.processed_fields,
@@ -373,7 +368,7 @@ def standardize_manual(
     if bundles.isEmpty():
         return bundles
     annotated = annotate_bundle(staged, bundles, standardized_at)
-    annotated.select(*kind.columns, *_names(contracts.BUNDLE_LINEAGE)).write.mode("append").option(
+    annotated.select(*kind.columns, *contracts.names(contracts.BUNDLE_LINEAGE)).write.mode("append").option(
         "compression", "snappy"
     ).parquet(f"{job.processed_root.rstrip('/')}/{directory}/{name}")
     write_manifests(

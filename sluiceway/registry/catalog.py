@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from sluiceway.registry import expressions, models
+from sluiceway.registry import expressions, files, jobs, models, slices
 
-QUERIES = {**models.MODELS, **expressions.QUERIES}
-SQL = {**models.MODEL_SQL, **expressions.SQL}
+_MODULES = (expressions, slices, files, jobs)
+
+QUERIES = dict(models.MODELS)
+SQL = dict(models.MODEL_SQL)
+for _module in _MODULES:
+    QUERIES.update(_module.QUERIES)
+    SQL.update(_module.SQL)

@@ -12,24 +12,35 @@ from sluiceway.operators.layout import layout_path, partition_columns, validate_
 from sluiceway.operators.projection import iso_text, partition_last
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
+def spread(df: DataFrame, *columns: str, grouped: bool = False) -> DataFrame:
     """Group rows for a partitioned write without putting a large group in one task.
 
     Rebalance hashes by the columns and lets AQE merge small partitions and split large
-    ones to the advisory size, which keeps the number of files down on both ends.
+    ones to the advisory size, which keeps the number of files down on both ends. For
+    ``grouped`` tables, whose partitions hold a few aggregate rows each, the work is
+    opening files: their partitions are dealt out to all cores instead. Hashing the
+    columns first keeps Spark from folding this into the shuffle of the aggregate, which
+    AQE would then merge into one task.
     """
+    if grouped:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        return df.repartition(cores, F.xxhash64(*columns))
     return df.hint("rebalance", *columns)
 
 
 def write_model(
-    df: DataFrame, path: str, partition: str | None = None, mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    partition: str | None = None,
+    mode: str = "overwrite",
+    grouped: bool = False,
 ) -> None:
     """Rebuild a model as snappy Parquet, partition column last."""
     if partition is None:
         df.hint("rebalance").write.mode(mode).option("compression", "snappy").parquet(path)
         return
     (
-        spread(partition_last(df, partition), partition)
+        spread(partition_last(df, partition), partition, grouped=grouped)
         .write.mode(mode)
         .option("compression", "snappy")
         .partitionBy(partition)
@@ -146,7 +157,13 @@ def write_csv_delivery(
     writer = df.select(*values, *partition_by).write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.option("header", True).option("escape", '"').csv(path)
+    (
+        writer.option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def object_stem(run_id: Column | str) -> Column:

@@ -86,11 +86,15 @@ class EventMarts:
 
     @property
     def site_daily(self) -> VersionedTable:
-        return VersionedTable(f"{self.root}/analytics_site_daily_metrics", SITE_DAILY)
+        return VersionedTable(
+            f"{self.root}/analytics_site_daily_metrics", SITE_DAILY, grouped=True
+        )
 
     @property
     def health(self) -> VersionedTable:
-        return VersionedTable(f"{self.root}/management_stream_health_summary", HEALTH)
+        return VersionedTable(
+            f"{self.root}/management_stream_health_summary", HEALTH, grouped=True
+        )
 
     def process_batch(self, staged: DataFrame, batch: int) -> None:
         dates = upsert_latest_events(self.events, staged, batch)

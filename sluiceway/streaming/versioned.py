@@ -31,6 +31,7 @@ class VersionedTable:
     root: str
     schema: str
     partition: str = "event_date"
+    grouped: bool = False
 
     def _full_schema(self) -> T.StructType:
         return T.StructType.fromDDL(self.schema)
@@ -81,7 +82,9 @@ class VersionedTable:
         spark = rows.sparkSession
         before = self.snapshot(spark, batch - 1)
         (
-            spread(rows.select(*self._full_schema().names), self.partition)
+            spread(
+                rows.select(*self._full_schema().names), self.partition, grouped=self.grouped
+            )
             .write.mode("overwrite")
             .partitionBy(self.partition)
             .parquet(f"{self.root}/data/version={batch}")
