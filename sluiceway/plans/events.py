@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from sluiceway.functions.aggregates import conditional_count, count_all
-from sluiceway.functions.columns import iso_to_date, iso_to_ts
+from sluiceway.functions.columns import iso_to_ts
 from sluiceway.operators.latest import latest_by
 from sluiceway.operators.projection import select_columns, typed_projection
 
@@ -41,14 +41,18 @@ NEWEST_FIRST = ("emitted_at", "emission_index")
 def stg_sensor_events(raw: DataFrame) -> DataFrame:
     """Typed events; rows without an event id (malformed lines among them) are dropped."""
     text = {name: f"{name}:string" for name in EVENT_COLUMNS[:4]}
+    # Parsed once, used twice.
+    identified = raw.where(F.col("emitter_event_id").isNotNull()).withColumn(
+        "_emitted_ts", iso_to_ts("emitted_at")
+    )
     return typed_projection(
-        raw.where(F.col("emitter_event_id").isNotNull()),
+        identified,
         {
             **text,
             "source_seed": "source_seed:bigint",
             "emitter_event_id": "emitter_event_id:string",
             "emission_batch_started_at": iso_to_ts("emission_batch_started_at"),
-            "emitted_at": iso_to_ts("emitted_at"),
+            "emitted_at": "_emitted_ts",
             "emission_index": "emission_index:int",
             "device_id": "device_id:string",
             "site_id": "site_id:string",
@@ -56,7 +60,7 @@ def stg_sensor_events(raw: DataFrame) -> DataFrame:
             "temperature_c": "temperature_c:double",
             "pressure_kpa": "pressure_kpa:double",
             "device_status": "device_status:string",
-            "event_date": iso_to_date("emitted_at"),
+            "event_date": F.to_date("_emitted_ts"),
         },
     )
 

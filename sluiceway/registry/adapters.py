@@ -38,10 +38,25 @@ def _iso(ts: Column, fraction: bool = False) -> Column:
     return F.date_format(ts, f"yyyy-MM-dd'T'HH:mm:ss{'.SSSSSS' if fraction else ''}'+00:00'")
 
 
-def _plus(ts: Column, **amount: Column | int) -> Column:
-    return ts + F.make_interval(
-        **{k: F.lit(v) if isinstance(v, int) else v for k, v in amount.items()}
-    )
+def _stamp(date: Column, hours: Column | int = 0, seconds: Column | None = None) -> Column:
+    """ISO text of a date plus less than a day. Cheaper than formatting a timestamp."""
+    if seconds is None:
+        clock = [_two(F.lit(hours) if isinstance(hours, int) else hours), F.lit(":00:00+00:00")]
+    else:
+        minutes = F.floor(seconds / 60)
+        clock = [
+            _two(F.floor(minutes / 60)),
+            F.lit(":"),
+            _two(minutes % 60),
+            F.lit(":"),
+            _two(seconds % 60),
+            F.lit("+00:00"),
+        ]
+    return F.concat(date.cast("string"), F.lit("T"), *clock)
+
+
+def _two(number: Column) -> Column:
+    return F.lpad(number.cast("string"), 2, "0")
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,13 +65,12 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem")
     order, number = F.col("l_orderkey"), F.col("l_linenumber")
     part, supplier = F.col("l_partkey"), F.col("l_suppkey")
-    day = F.date_trunc("day", F.col("l_shipdate").cast("timestamp"))
+    day = F.to_date("l_shipdate")
+    year = F.year(day).cast("string")
     day_of_month = F.dayofmonth(day)
     manual = supplier % 50 == 0
     run = F.when(F.col("l_quantity") <= 5, 1).otherwise(2)
-    bundle = F.when(manual, _text("manual-", F.date_format(day, "yyyy"))).otherwise(
-        _text(F.date_format(day, "yyyy-MM-dd"), "-run", run)
-    )
+    bundle = F.when(manual, _text("manual-", year)).otherwise(_text(day, "-run", run))
     hours = (
         F.when(day_of_month == 10, 6 - run).when(day_of_month == 15, 2).otherwise(1 + run)
     )
@@ -87,9 +101,9 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_returnflag") == "R") & (F.col("l_tax") > 0.045), 1
     )
     standardized = (
-        F.when(manual, _iso(_plus(F.date_trunc("year", day), days=400)))
+        F.when(manual, _stamp(F.date_add(F.trunc(day, "year"), 400)))
         .when((run == 1) & (day_of_month == 20), "pending")
-        .otherwise(_iso(_plus(day, days=1, hours=hours)))
+        .otherwise(_stamp(F.date_add(day, 1), hours))
     )
     values = {
         "__row_index": number.cast("bigint"),
@@ -110,9 +124,9 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_landing_key": _text("transactions/order=", order, ".json"),
         "_standardize_strategy": F.lit("json_bundle"),
         "_source_preset_id": F.lit("transactions"),
-        "_logical_date": _iso(_plus(day, hours=part % 24)),
+        "_logical_date": _stamp(day, part % 24),
         "_ingested_at": F.when(part % 97 == 0, "unknown").otherwise(
-            _iso(_plus(day, secs=part % 86400))
+            _stamp(day, seconds=part % 86400)
         ),
         "_schema_version": _text("v", number % 2 + 1),
         "_scenario_name": F.lit("lineitem"),
@@ -121,7 +135,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_raw_bundle_key": _text("raw/", bundle, "/part=", number % 2, ".parquet"),
         "_raw_bundle_manifest_key": _text("raw/_", bundle, ".manifest.json"),
         "_raw_standardized_at": standardized,
-        "_raw_bundle_logical_date": F.when(~manual, _iso(day)),
+        "_raw_bundle_logical_date": F.when(~manual, _stamp(day)),
         "_raw_bundle_granularity": F.when(manual, "manual").otherwise("day"),
         "_raw_input_object_count": F.lit(24).cast("bigint"),
         "_raw_bundle_row_count": (1000 + F.when(manual, 0).otherwise(day_of_month) + number % 2).cast(
@@ -136,18 +150,19 @@ def raw_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     delivery, each order a version of it."""
     orders = table(spark, sf_dir, "orders")
     order, customer = F.col("o_orderkey"), F.col("o_custkey")
-    day = F.date_trunc("day", F.col("o_orderdate").cast("timestamp"))
-    month = F.date_trunc("month", day)
+    day = F.to_date("o_orderdate")
+    month = F.trunc(day, "month")
+    year_month = F.substring(day.cast("string"), 1, 7)
     location = _text("location_", customer % 3 + 1)
-    delivery = _text(location, "-", F.date_format(day, "yyyy"))
+    delivery = _text(location, "-", F.year(day).cast("string"))
     run = F.when(order % 10 == 0, 1).otherwise(2)
-    bundle = _text(F.date_format(day, "yyyy-MM"), "-run", run)
+    bundle = _text(year_month, "-run", run)
     delivery_date = (
         F.when(order % 20 == 0, F.lit(None))
-        .when(order % 20 == 1, F.date_format(day, "yyyy-MM"))
+        .when(order % 20 == 1, year_month)
         .when(order % 20 == 2, "not-a-date")
-        .when(order % 20 == 3, _iso(day))
-        .otherwise(F.date_format(day, "yyyy-MM-dd"))
+        .when(order % 20 == 3, _stamp(day))
+        .otherwise(day.cast("string"))
     )
     amount = (F.floor("o_totalprice") + F.lit(0.25)).cast("decimal(18,2)").cast("string")
     key = _text("deliveries/", delivery, "/", location, F.when(order % 13 == 0, ".txt").otherwise(".csv"))
@@ -170,20 +185,20 @@ def raw_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_landing_key": key,
         "_standardize_strategy": F.lit("csv_delivery"),
         "_source_preset_id": F.lit("deliveries"),
-        "_logical_date": _iso(day),
+        "_logical_date": _stamp(day),
         "_ingested_at": F.when(order % 17 == 0, "late").otherwise(
-            _iso(_plus(day, secs=order % 86400))
+            _stamp(day, seconds=order % 86400)
         ),
         "_source_system_id": location,
         "_delivery_id": delivery,
-        "_delivery_date": F.date_format(day, "yyyy-MM-dd"),
+        "_delivery_date": day.cast("string"),
         "_feed_type": _text("feed_", F.col("o_orderstatus")),
         "_response_row_count": F.lit("2500"),
         "_raw_bundle_id": bundle,
         "_raw_bundle_key": _text("raw/", bundle, ".parquet"),
         "_raw_bundle_manifest_key": _text("raw/_", bundle, ".parquet.manifest.json"),
-        "_raw_standardized_at": _iso(_plus(month, days=32, hours=hours)),
-        "_raw_bundle_logical_date": _iso(month),
+        "_raw_standardized_at": _stamp(F.date_add(month, 32), hours),
+        "_raw_bundle_logical_date": _stamp(month),
         "_raw_bundle_granularity": F.lit("month"),
         "_raw_input_object_count": F.lit(2).cast("bigint"),
         "_raw_bundle_row_count": (2500 + F.month(day)).cast("bigint"),
