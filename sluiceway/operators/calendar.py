@@ -18,6 +18,7 @@ from sluiceway.functions.slices import (
     slice_shift,
     slice_start,
 )
+from sluiceway.session import configure
 
 # Fixed values.
 SELECTOR_MODES = ("current", "pinned", "range", "relative")
@@ -102,6 +103,7 @@ def slice_calendar(
     Raises if the parameters are off the grid under a strict policy or select nothing.
     ``run_id`` defaults to a fresh one per slice.
     """
+    configure(spark)
     mode = selector.validate()
     grain = selector.granularity
     now = now or datetime.now(timezone.utc)

@@ -26,7 +26,7 @@ class Model:
     build: Callable[..., DataFrame]
     partition: str = "event_date"
     checks: Checks = Checks()
-    # A few aggregate rows per partition value, rather than source rows.
+    # A few aggregate rows per partition value, never a share of the source rows.
     grouped: bool = False
 
     @property
@@ -212,7 +212,6 @@ EVENT_MODELS: dict[str, Model] = {
         ["int_sensor_events"],
         evt.analytics_device_latest_status,
         checks=Checks(["device_id"], ["device_id"]),
-        grouped=True,
     ),
     "management_stream_health_summary": Model(
         "management",

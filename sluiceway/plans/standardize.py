@@ -15,20 +15,20 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluiceway import contracts
-from sluiceway.functions.columns import try_iso_to_ts
 from sluiceway.functions.slices import GRANULARITIES, check_granularity, partition_value
 from sluiceway.operators.joins import attach_manifest_metadata
 from sluiceway.operators.layout import layout_path, validate_fields
 from sluiceway.operators.projection import iso_text, lineage_columns
-from sluiceway.session import materialize
+from sluiceway.session import configure, materialize
 from sluiceway.sinks.writers import write_bundle, write_manifests
 from sluiceway.sources.landing import (
     explode_bundles,
-    keep_selected,
+    in_slice_directories,
     landing_inventory,
     read_bundle_documents,
     read_csv_delivery,
     read_manual_prefix,
+    slice_paths,
 )
 
 
@@ -36,8 +36,9 @@ from sluiceway.sources.landing import (
 class Standardizer:
     """How one kind of landed object becomes rows.
 
-    ``read`` gives a frame with ``_landing_key`` and the partition fields; ``to_rows``
-    runs after slices and metadata are attached. ``extra_lineage`` maps output columns to
+    ``read`` takes the paths, the root that keys are relative to, the base path and fields
+    of the partition directories and the job's reader options, and gives a frame with
+    ``_landing_key``; ``to_rows`` runs after slices and metadata are attached. ``extra_lineage`` maps output columns to
     metadata keys, and ``columns`` is the published order before the bundle columns.
     """
 
@@ -47,22 +48,33 @@ class Standardizer:
     extra_lineage: Mapping[str, str] = field(default_factory=dict)
 
 
-def _read_bundles(spark, paths, *, root, partition_fields, one_per_line=False, **_):
+def _read_bundles(
+    spark, paths, *, root, partition_fields, base_path=None, one_per_line=False
+):
     return read_bundle_documents(
         spark,
         paths,
         contracts.TRANSACTION_ROW,
         root=root,
+        base_path=base_path,
         json_columns=contracts.TRANSACTION_JSON_COLUMNS,
         partition_fields=partition_fields,
         one_per_line=one_per_line,
     )
 
 
-def _read_deliveries(spark, paths, *, root, partition_fields, columns=None, **_):
+def _read_deliveries(
+    spark, paths, *, root, partition_fields, base_path=None, columns=None, quoted_newlines=True
+):
     columns = columns or contracts.DELIVERY_FIELDS
     rows = read_csv_delivery(
-        spark, paths, columns, root=root, partition_fields=partition_fields
+        spark,
+        paths,
+        columns,
+        root=root,
+        base_path=base_path,
+        partition_fields=partition_fields,
+        quoted_newlines=quoted_newlines,
     )
     absent = [name for name in contracts.DELIVERY_FIELDS if name not in columns]
     return rows.withColumns({name: F.lit(None).cast("string") for name in absent})
@@ -212,6 +224,18 @@ def bundle_manifests(
     )
 
 
+BUNDLES = """
+    run_id STRING, row_count BIGINT, object_count BIGINT, slice_start TIMESTAMP,
+    slice_end TIMESTAMP, granularity STRING, bundle_key STRING, manifest_key STRING
+"""
+
+
+def write_bundle_inputs(inventory: DataFrame, job: StandardizeJob) -> None:
+    """Append the landed objects of each bundle, one row each."""
+    keys = inventory.select("run_id", "slice_start", F.col("_landing_key").alias("landing_key"))
+    keys.write.mode("append").parquet(f"{job.manifest_root}/inputs")
+
+
 def standardize_slices(
     spark: SparkSession,
     job: StandardizeJob,
@@ -226,48 +250,50 @@ def standardize_slices(
     ``manifests`` carries the landed objects' metadata. A slice that finds no objects, or
     whose objects hold no rows, writes nothing.
     """
+    configure(spark)
     job.validate()
     standardized_at = standardized_at or datetime.now(timezone.utc)
     kind = get_standardizer(job.standardizer)
     landing = layout_path(job.landing_root, job.landing_prefix)
-    if manifests is None:
-        manifests = spark.createDataFrame([], contracts.LANDING_MANIFEST)
 
+    # Which objects belong to which slice is settled on the file list, with its manifests.
+    # It has a row per object, and Spark knows its size when the rows are joined to it.
+    inventory = materialize(
+        landing_inventory(
+            spark,
+            landing,
+            calendar,
+            partition_fields=job.landing_fields,
+            granularity=job.output_granularity,
+            manifests=manifests,
+            key_root=job.landing_root,
+        ),
+        "standardize-inputs",
+    )
+    if inventory.isEmpty():
+        return spark.createDataFrame([], BUNDLES)
     objects = kind.read(
         spark,
-        landing,
+        slice_paths(landing, calendar, job.landing_fields, job.output_granularity),
         root=job.landing_root,
+        base_path=landing,
         partition_fields=job.landing_fields,
         **job.reader_options,
     )
-    selected = keep_selected(
-        attach_manifest_metadata(objects, manifests),
-        calendar,
-        partition_fields=job.landing_fields,
-        granularity=job.output_granularity,
-        logical_date=try_iso_to_ts(F.col("_metadata_map")["logical_date"]),
+    objects = in_slice_directories(
+        objects, calendar, job.landing_fields, job.output_granularity
+    )
+    placed = objects.drop(*job.landing_fields).join(
+        inventory.select("_landing_key", "run_id", "slice_start", "_metadata_map"), "_landing_key"
     )
     rows = lineage_columns(
-        kind.to_rows(selected.drop(*job.landing_fields)),
+        kind.to_rows(placed),
         "_metadata_map",
         label=job.label or job.standardizer,
         preset_id=job.preset_id,
         extra_keys=kind.extra_lineage,
     ).select("run_id", *kind.columns)
     staged = materialize(rows, "standardize-rows")
-
-    inventory = materialize(
-        landing_inventory(
-            spark,
-            landing,
-            calendar,
-            partition_fields=job.landing_fields,
-            granularity=job.output_granularity,
-            manifests=manifests,
-            key_root=job.landing_root,
-        ).select("run_id", "slice_start", F.col("_landing_key").alias("landing_key")),
-        "standardize-inputs",
-    )
     directory = F.concat_ws(
         "/",
         F.lit(job.processed_prefix.strip("/")),
@@ -301,10 +327,9 @@ def standardize_slices(
         bundle_manifests(bundles, job, standardized_at, selector_mode),
         f"{job.manifest_root}/bundles",
     )
-    inventory.join(bundles.select("run_id"), "run_id", "left_semi").write.mode("append").parquet(
-        f"{job.manifest_root}/inputs"
-    )
-    return bundles
+    inputs = inventory.join(bundles.select("run_id"), "run_id", "left_semi")
+    write_bundle_inputs(inputs, job)
+    return bundles.select(*contracts.names(BUNDLES))
 
 
 def standardize_manual(
@@ -322,6 +347,7 @@ def standardize_manual(
         raise ValueError("input_prefix must be a non-empty path prefix")
     if object_name is not None and (not object_name.strip() or "/" in object_name):
         raise ValueError("object_name must be a non-empty file name without '/'")
+    configure(spark)
     job.validate()
     standardized_at = standardized_at or datetime.now(timezone.utc)
     run_id = run_id or str(uuid4())
@@ -349,7 +375,7 @@ def standardize_manual(
     inventory = read_manual_prefix(spark, prefix, root=job.landing_root).select(
         F.lit(run_id).alias("run_id"),
         no_slice.alias("slice_start"),
-        F.col("_landing_key").alias("landing_key"),
+        "_landing_key",
     )
     name = object_name or f"run_id={run_id}.parquet"
     directory = job.processed_prefix.strip("/")
@@ -366,7 +392,7 @@ def standardize_manual(
         "standardize-bundles",
     )
     if bundles.isEmpty():
-        return bundles
+        return spark.createDataFrame([], BUNDLES)
     annotated = annotate_bundle(staged, bundles, standardized_at)
     annotated.select(*kind.columns, *contracts.names(contracts.BUNDLE_LINEAGE)).write.mode("append").option(
         "compression", "snappy"
@@ -374,5 +400,5 @@ def standardize_manual(
     write_manifests(
         bundle_manifests(bundles, job, standardized_at, None), f"{job.manifest_root}/bundles"
     )
-    inventory.write.mode("append").parquet(f"{job.manifest_root}/inputs")
-    return bundles
+    write_bundle_inputs(inventory, job)
+    return bundles.select(*contracts.names(BUNDLES))

@@ -20,13 +20,13 @@ DELIVERY_TIEBREAK = ("delivery_date", "allowed_amount", "logical_ts", "feed_type
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table.
 
-    A table of fewer files than cores would be read by a few tasks, and everything up to
+    A table of fewer splits than cores would be read by a few tasks, and everything up to
     the first shuffle run there; its rows are spread first. Larger tables are left alone.
     """
     session.configure(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _text(*parts: Column | str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -218,7 +219,9 @@ def _event_bundles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         F.date_format(ts, "'hour='HH'.json'").alias("landing_key"),
         "event_id",
     )
-    inputs = rows.select("run_id", "slice_start", "landing_key").distinct()
+    inputs = rows.select(
+        "run_id", "slice_start", F.col("landing_key").alias("_landing_key")
+    ).distinct()
     key = F.concat(F.lit("slice_id="), F.col("run_id"), F.lit(".parquet"))
     bundles = (
         std.bundle_summary(rows, inputs)
@@ -285,10 +288,10 @@ def _bundle_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def write_bundle_manifest(spark, sf_dir):
     """The input keys of every bundle, kept as rows next to the manifests."""
-    path = scratch_dir(spark, "bundle-inputs")
+    job = replace(_EVENT_JOB, manifest_root=scratch_dir(spark, "bundle-inputs"))
     rows, _, inputs = _event_bundles(spark, sf_dir)
-    inputs.write.mode("append").parquet(path)
-    keys = spark.read.schema(contracts.BUNDLE_INPUTS).parquet(path)
+    std.write_bundle_inputs(inputs, job)
+    keys = spark.read.schema(contracts.BUNDLE_INPUTS).parquet(f"{job.manifest_root}/inputs")
     counts = rows.groupBy("run_id", "landing_key").agg(count_all().alias("n_rows"))
     return keys.drop("slice_start").join(counts, ["run_id", "landing_key"])
 
@@ -569,7 +572,7 @@ def standardize_manual(spark, sf_dir):
     )
 
 
-def _read_conversations(spark, paths, *, root, partition_fields, **_):
+def _read_conversations(spark, paths, *, root, partition_fields, base_path=None):
     lines = landing.read_manual_lines(spark, paths, root=root)
     return lines.select("_landing_key", F.from_json("line", _CONVERSATION).alias("row"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sluiceway.functions.columns import nested_to_json, try_iso_to_ts
@@ -15,8 +16,15 @@ MANIFEST_SUFFIX = ".manifest.json"
 
 
 def landing_key(root: str, path: Column | None = None) -> Column:
-    """File path relative to the landing root."""
-    path = F.col("_metadata.file_path") if path is None else path
+    """File path relative to the landing root.
+
+    Without ``path`` it is the row's own file, whose path Spark gives percent-encoded.
+    """
+    if path is None:
+        encoded = F.col("_metadata.file_path")
+        # url_decode also turns plus signs into blanks, so those are encoded first.
+        decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+        path = F.when(encoded.contains("%"), decoded).otherwise(encoded)
     bare = root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
     return F.substring(path, F.locate(bare, path) + len(bare), F.length(path))
 
@@ -42,6 +50,7 @@ def read_bundle_documents(
     row_schema: str,
     *,
     root: str,
+    base_path: str | None = None,
     json_columns: Sequence[str] = (),
     partition_fields: Sequence[str] = (),
     one_per_line: bool = False,
@@ -49,6 +58,9 @@ def read_bundle_documents(
 ) -> DataFrame:
     """One row per bundle document, its rows still nested.
 
+    Landing keys are relative to ``root``; partition directories start below
+    ``base_path``, by default the root as well.
+
     A ``rows`` value that is not an array of objects fails the read. ``json_columns`` are
     parsed as VARIANT so that nested values become text when exploded. Keys outside
     ``row_schema`` are dropped, or kept as text in ``_extra`` with ``keep_unknown``, which
@@ -68,7 +80,7 @@ def read_bundle_documents(
         .schema(_with_partitions(envelope, partition_fields))
         .option("multiLine", not one_per_line)
         .option("mode", "FAILFAST")
-        .option("basePath", root)
+        .option("basePath", base_path or root)
         .json(paths)
         .where(_is_payload())
         .select("*", landing_key(root).alias("_landing_key"))
@@ -122,6 +134,7 @@ def read_json_bundles(
     row_schema: str,
     *,
     root: str,
+    base_path: str | None = None,
     json_columns: Sequence[str] = (),
     partition_fields: Sequence[str] = (),
     one_per_line: bool = False,
@@ -133,6 +146,7 @@ def read_json_bundles(
         paths,
         row_schema,
         root=root,
+        base_path=base_path,
         json_columns=json_columns,
         partition_fields=partition_fields,
         one_per_line=one_per_line,
@@ -147,6 +161,7 @@ def read_csv_delivery(
     columns: Sequence[str],
     *,
     root: str,
+    base_path: str | None = None,
     partition_fields: Sequence[str] = (),
     quoted_newlines: bool = True,
 ) -> DataFrame:
@@ -164,7 +179,7 @@ def read_csv_delivery(
         .option("enforceSchema", False)
         .option("multiLine", quoted_newlines)
         .option("escape", '"')
-        .option("basePath", root)
+        .option("basePath", base_path or root)
         .csv(paths)
         .where(_is_payload())
     )
@@ -197,6 +212,49 @@ def read_manual_lines(spark: SparkSession, prefix: str, *, root: str) -> DataFra
     )
 
 
+# Above this many directories Spark lists the whole landing area in parallel, which is
+# quicker than looking for them one after the other.
+MAX_LISTED_DIRECTORIES = 500
+
+
+def slice_directories(
+    calendar: DataFrame, partition_fields: Sequence[str], granularity: str
+) -> list[str]:
+    """Directories that the calendar's slices can be in, by the fields constant over a slice."""
+    prefix = trim_fields(partition_fields, granularity)
+    parts = [
+        F.concat(F.lit(f"{field}="), partition_value("slice_start", field)) for field in prefix
+    ]
+    names = calendar.select(F.concat_ws("/", *parts)).distinct().collect()
+    return sorted(row[0] for row in names)
+
+
+def slice_paths(
+    root: str, calendar: DataFrame, partition_fields: Sequence[str], granularity: str
+) -> str:
+    """Glob of the directories that the calendar's slices can be in.
+
+    Only these are listed, so a run costs what its slices hold, not what the landing area
+    holds.
+    """
+    names = slice_directories(calendar, partition_fields, granularity)
+    if names == [""] or len(names) > MAX_LISTED_DIRECTORIES:
+        return root
+    return f"{root}/{{{','.join(names)}}}"
+
+
+def in_slice_directories(
+    objects: DataFrame, calendar: DataFrame, partition_fields: Sequence[str], granularity: str
+) -> DataFrame:
+    """Filter on partition columns to the directories of the slices; others stay unread."""
+    prefix = trim_fields(partition_fields, granularity)
+    if not prefix:
+        return objects
+    parts = [F.concat(F.lit(f"{field}="), F.col(field)) for field in prefix]
+    names = slice_directories(calendar, partition_fields, granularity)
+    return objects.where(F.concat_ws("/", *parts).isin(names))
+
+
 def keep_selected(
     objects: DataFrame,
     calendar: DataFrame,
@@ -208,9 +266,7 @@ def keep_selected(
     """Landed objects that belong to a slice of the calendar, with the slice columns.
 
     An object qualifies if it lies under the slice's path prefix and its logical date is
-    inside the slice or unknown. The prefix holds the fields that are constant over a
-    slice, so matching it is an equi-join on partition columns; the list of prefixes is
-    also a filter on them, which keeps Spark from opening other directories.
+    inside the slice or unknown. Matching the prefix is an equi-join on its fields.
     """
     prefix = trim_fields(partition_fields, granularity)
     inside = (logical_date >= F.col("slice_start")) & (logical_date < F.col("slice_end"))
@@ -223,12 +279,13 @@ def keep_selected(
     slices = calendar.withColumns(
         {field: partition_value("slice_start", field) for field in prefix}
     )
-    wanted = [row[0] for row in slices.select(F.concat_ws("/", *prefix)).distinct().collect()]
-    return (
-        objects.where(F.concat_ws("/", *prefix).isin(wanted))
-        .join(slices, list(prefix), "inner")
-        .where(logical_date.isNull() | inside)
-    )
+    return objects.join(slices, list(prefix), "inner").where(logical_date.isNull() | inside)
+
+
+INVENTORY = """
+    slice_start TIMESTAMP, slice_end TIMESTAMP, granularity STRING, run_id STRING,
+    _landing_key STRING, length BIGINT, _metadata_map MAP<STRING, STRING>
+"""
 
 
 def landing_inventory(
@@ -248,16 +305,20 @@ def landing_inventory(
     """
     validate_fields(partition_fields, "hour")
     path = F.col("path")
-    objects = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .where(~path.endswith(MANIFEST_SUFFIX))
-        .select(
-            landing_key(key_root or root, path).alias("_landing_key"),
-            "length",
-            *[F.regexp_extract(path, f"/{f}=([^/]*)/", 1).alias(f) for f in partition_fields],
+    try:
+        files = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", True)
+            .load(slice_paths(root, calendar, partition_fields, granularity))
         )
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], INVENTORY)
+        raise
+    objects = files.where(~path.endswith(MANIFEST_SUFFIX)).select(
+        landing_key(key_root or root, path).alias("_landing_key"),
+        "length",
+        *[F.regexp_extract(path, f"/{f}=([^/]*)/", 1).alias(f) for f in partition_fields],
     )
     if manifests is None:
         empty = F.create_map().cast("map<string,string>")
@@ -270,4 +331,12 @@ def landing_inventory(
         partition_fields=partition_fields,
         granularity=granularity,
         logical_date=try_iso_to_ts(F.col("_metadata_map")["logical_date"]),
-    ).select("slice_start", "slice_end", "run_id", "_landing_key", "length", "_metadata_map")
+    ).select(
+        "slice_start",
+        "slice_end",
+        "granularity",
+        "run_id",
+        "_landing_key",
+        "length",
+        "_metadata_map",
+    )

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from sluiceway.operators.latest import latest_by
 from sluiceway.plans import events as evt
-from sluiceway.session import materialize
+from sluiceway.session import configure, materialize
 from sluiceway.streaming.intake import (
     deliver_events,
     delivered_event_stream,
@@ -139,6 +139,7 @@ def stream_build(
     Both steps remember in their checkpoints what they have done, so a later call only
     handles what is new.
     """
+    configure(spark)
     now = {"availableNow": True}
     source = text_event_source(spark, incoming, max_files)
     for writer in (

@@ -17,6 +17,9 @@ from pyspark.errors import AnalysisException
 
 from sluiceway.sinks.writers import spread
 
+# Directory name that Spark gives a NULL partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def on_dates(column: str, dates: Sequence[date | None]) -> Column:
     """Membership in a list of dates, in which NULL is a date like any other."""
@@ -59,21 +62,21 @@ class VersionedTable:
         return snapshots.where(F.col("batch") == newest).select(self.partition, "version")
 
     def read(self, spark: SparkSession, through: int | None = None) -> DataFrame:
-        """Live rows. Directories of other versions are pruned, not read."""
+        """Live rows."""
         live = self.snapshot(spark, through)
         fields = self._full_schema()
         if live is None:
             return spark.createDataFrame([], fields)
-        place = F.concat_ws("/", "version", self.partition)
-        # One entry per calendar date.
-        places = [row[0] for row in live.select(place).collect()]
-        if not places:
+        # One entry per calendar date. Only live directories are listed and read.
+        day = F.coalesce(F.col(self.partition).cast("string"), F.lit(NULL_PARTITION))
+        folder = F.format_string(f"version=%d/{self.partition}=%s", F.col("version"), day)
+        folders = [row[0] for row in live.select(folder).collect()]
+        if not folders:
             return spark.createDataFrame([], fields)
         return (
             spark.read.schema(T.StructType(fields.fields + [T.StructField("version", T.LongType())]))
             .option("basePath", f"{self.root}/data")
-            .parquet(f"{self.root}/data")
-            .where(place.isin(places))
+            .parquet(*[f"{self.root}/data/{folder}" for folder in folders])
             .select(*fields.names)
         )
 
