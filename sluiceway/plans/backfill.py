@@ -12,7 +12,8 @@ from sluiceway.plans.build import Workspace, build_models
 from sluiceway.plans.standardize import StandardizeJob, standardize_slices
 from sluiceway.sources.tables import read_raw_deliveries, read_raw_transactions
 
-_READERS = {"transactions": read_raw_transactions, "deliveries": read_raw_deliveries}
+# How each landed workflow reads its standardized table.
+RAW_READERS = {"transactions": read_raw_transactions, "deliveries": read_raw_deliveries}
 
 
 def backfill(
@@ -25,6 +26,7 @@ def backfill(
     manifests: DataFrame | None = None,
     mode: str = "run",
     select: Sequence[str] | None = None,
+    exclude: Sequence[str] | None = None,
     options: Mapping[str, Mapping[str, object]] | None = None,
 ) -> DataFrame | None:
     """One standardize job over all slices of the selector, then the models.
@@ -38,7 +40,14 @@ def backfill(
         selector_mode=selector.resolved_mode(),
         manifests=manifests,
     )
-    raw = _READERS[workflow](spark, layout_path(job.processed_root, job.processed_prefix))
+    raw = RAW_READERS[workflow](spark, layout_path(job.processed_root, job.processed_prefix))
     return build_models(
-        spark, workflow, raw, workspace, mode=mode, select=select, options=options
+        spark,
+        workflow,
+        raw,
+        workspace,
+        mode=mode,
+        select=select,
+        exclude=exclude,
+        options=options,
     )

@@ -17,7 +17,7 @@ from sluiceway.plans import events as evt
 from sluiceway.plans import standardize as std
 from sluiceway.registry.adapters import raw_deliveries, raw_events, raw_transactions, table
 from sluiceway.registry.oracle import with_ctes
-from sluiceway.session import scratch_dir
+from sluiceway.session import materialize, scratch_dir
 from sluiceway.sinks import writers
 from sluiceway.sources import landing, tables
 
@@ -235,7 +235,7 @@ def _event_bundles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
             }
         )
     )
-    return rows, bundles, inputs
+    return rows, materialize(bundles, "event-bundles"), inputs
 
 
 _BUNDLE_SQL = """
