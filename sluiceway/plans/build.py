@@ -14,7 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from sluiceway.operators.quality import Checks, quality_report
 from sluiceway.plans import deliveries as dlv, events as evt, transactions as txn
 from sluiceway.session import configure
-from sluiceway.sinks.writers import model_location, write_model
+from sluiceway.sinks.writers import (
+    AS_READ,
+    BY_PARTITION,
+    GROUPED,
+    model_location,
+    write_model,
+)
 
 RAW = "raw"
 
@@ -26,8 +32,9 @@ class Model:
     build: Callable[..., DataFrame]
     partition: str = "event_date"
     checks: Checks = Checks()
-    # A few aggregate rows per partition value, never a share of the source rows.
-    grouped: bool = False
+    # GROUPED: a few aggregate rows per partition value, never a share of the source rows.
+    # AS_READ: a projection of its input, stored by the same column, so no shuffle.
+    arrange: str = BY_PARTITION
 
     @property
     def is_mart(self) -> bool:
@@ -44,7 +51,7 @@ TRANSACTION_MODELS: dict[str, Model] = {
         txn.bronze_canonical_raw_bundles,
         partition="bundle_event_date",
         checks=Checks(["raw_bundle_id", "bundle_event_date"], ["raw_bundle_id"]),
-        grouped=True,
+        arrange=GROUPED,
     ),
     "bronze_transaction_events": Model(
         "bronze",
@@ -57,6 +64,7 @@ TRANSACTION_MODELS: dict[str, Model] = {
         ["bronze_transaction_events"],
         txn.silver_transactions,
         checks=Checks(["transaction_id", "event_date"], ["transaction_id"]),
+        arrange=AS_READ,
     ),
     "silver_transaction_answer_keys": Model(
         "silver",
@@ -69,46 +77,56 @@ TRANSACTION_MODELS: dict[str, Model] = {
         ["silver_transactions"],
         txn.gold_transactions,
         checks=Checks(["transaction_id"], ["transaction_id"]),
+        arrange=AS_READ,
     ),
     "gold_transaction_answer_keys": Model(
-        "gold", ["silver_transaction_answer_keys"], txn.gold_transaction_answer_keys
+        "gold",
+        ["silver_transaction_answer_keys"],
+        txn.gold_transaction_answer_keys,
+        arrange=AS_READ,
     ),
     "gold_daily_transaction_metrics": Model(
         "gold",
         ["gold_transactions"],
         txn.gold_daily_transaction_metrics,
-        grouped=True,
+        arrange=GROUPED,
     ),
     # Straight from the events: no join of the two gold tables.
     "gold_daily_anomaly_metrics": Model(
         "gold",
         ["bronze_transaction_events"],
         txn.anomaly_metrics_from_events,
-        grouped=True,
+        arrange=GROUPED,
     ),
     "analytics_transactions": Model(
-        "analytics", ["gold_transactions"], txn.analytics_transactions
+        "analytics",
+        ["gold_transactions"],
+        txn.analytics_transactions,
+        arrange=AS_READ,
     ),
     "analytics_daily_transaction_metrics": Model(
         "analytics",
         ["gold_daily_transaction_metrics"],
         txn.analytics_daily_transaction_metrics,
-        grouped=True,
+        arrange=AS_READ,
     ),
     "model_evaluator_transaction_outcomes": Model(
-        "model_evaluator", ["bronze_transaction_events"], txn.outcomes_from_events
+        "model_evaluator",
+        ["bronze_transaction_events"],
+        txn.outcomes_from_events,
+        arrange=AS_READ,
     ),
     "model_evaluator_daily_metrics": Model(
         "model_evaluator",
         ["gold_daily_transaction_metrics", "gold_daily_anomaly_metrics"],
         txn.model_evaluator_daily_metrics,
-        grouped=True,
+        arrange=GROUPED,
     ),
     "management_daily_summary": Model(
         "management",
         ["model_evaluator_daily_metrics"],
         txn.management_daily_summary,
-        grouped=True,
+        arrange=GROUPED,
     ),
 }
 
@@ -119,7 +137,7 @@ DELIVERY_MODELS: dict[str, Model] = {
         dlv.bronze_canonical_raw_bundles,
         partition="bundle_event_date",
         checks=Checks(["raw_bundle_id", "bundle_event_date"], ["raw_bundle_id"]),
-        grouped=True,
+        arrange=GROUPED,
     ),
     "bronze_delivery_records": Model(
         "bronze",
@@ -136,6 +154,7 @@ DELIVERY_MODELS: dict[str, Model] = {
         checks=Checks(
             ["delivery_record_id", "location_code", "location_label"], ["delivery_record_id"]
         ),
+        arrange=AS_READ,
     ),
     "silver_delivery_batches": Model(
         "silver",
@@ -143,41 +162,42 @@ DELIVERY_MODELS: dict[str, Model] = {
         dlv.silver_delivery_batches,
         partition="delivery_date",
         checks=Checks(["delivery_id"]),
-        grouped=True,
+        arrange=GROUPED,
     ),
     "gold_daily_delivery_metrics": Model(
         "gold",
         ["silver_delivery_records"],
         dlv.gold_daily_delivery_metrics,
         checks=Checks(["event_date"]),
-        grouped=True,
+        arrange=GROUPED,
     ),
     "gold_source_system_daily_metrics": Model(
         "gold",
         ["silver_delivery_records"],
         dlv.gold_source_system_daily_metrics,
         checks=Checks(["location_code"]),
-        grouped=True,
+        arrange=GROUPED,
     ),
     "analytics_delivery_records": Model(
         "analytics",
         ["silver_delivery_records"],
         dlv.analytics_delivery_records,
         checks=Checks(["delivery_record_id"]),
+        arrange=AS_READ,
     ),
     "analytics_daily_delivery_metrics": Model(
         "analytics",
         ["gold_daily_delivery_metrics"],
         dlv.analytics_daily_delivery_metrics,
         checks=Checks(["event_date"]),
-        grouped=True,
+        arrange=AS_READ,
     ),
     "management_daily_summary": Model(
         "management",
         ["gold_daily_delivery_metrics"],
         dlv.management_daily_summary,
         checks=Checks(["event_date"]),
-        grouped=True,
+        arrange=AS_READ,
     ),
 }
 
@@ -199,13 +219,14 @@ EVENT_MODELS: dict[str, Model] = {
         ["int_sensor_events"],
         evt.analytics_sensor_events,
         checks=Checks(["emitter_event_id"], ["emitter_event_id"]),
+        arrange=AS_READ,
     ),
     "analytics_site_daily_metrics": Model(
         "analytics",
         ["int_sensor_events"],
         evt.analytics_site_daily_metrics,
         checks=Checks(["event_date", "site_id"]),
-        grouped=True,
+        arrange=GROUPED,
     ),
     "analytics_device_latest_status": Model(
         "analytics",
@@ -218,7 +239,7 @@ EVENT_MODELS: dict[str, Model] = {
         ["int_sensor_events"],
         evt.management_stream_health_summary,
         checks=Checks(["event_date"], ["event_date"]),
-        grouped=True,
+        arrange=GROUPED,
     ),
 }
 
@@ -312,7 +333,7 @@ def build_models(
             inputs = [frame_of(source) for source in model.inputs]
             frame = model.build(*inputs, **(options or {}).get(name, {}))
             write_model(
-                frame, workspace.path(name, model), model.partition, grouped=model.grouped
+                frame, workspace.path(name, model), model.partition, arrange=model.arrange
             )
     if mode == "run":
         return None

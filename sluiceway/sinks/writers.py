@@ -12,17 +12,30 @@ from sluiceway.operators.layout import layout_path, partition_columns, validate_
 from sluiceway.operators.projection import iso_text, partition_last
 
 
-def spread(df: DataFrame, *columns: str, grouped: bool = False) -> DataFrame:
-    """Group rows for a partitioned write without putting a large group in one task.
-
-    Rebalance hashes by the columns and lets AQE merge small partitions and split large
-    ones to the advisory size, which keeps the number of files down on both ends. For
-    ``grouped`` tables, whose partitions hold a few aggregate rows each, the work is
-    opening files: their partitions are dealt out to all cores instead. Hashing the
-    columns first keeps Spark from folding this into the shuffle of the aggregate, which
-    AQE would then merge into one task.
+# How rows are arranged for a partitioned write.
+BY_PARTITION = "by_partition"
+GROUPED = "grouped"
+AS_READ = "as_read"
+
+
+def spread(df: DataFrame, *columns: str, arrange: str = BY_PARTITION) -> DataFrame:
+    """Arrange rows for a partitioned write without putting a large group in one task.
+
+    ``by_partition``: rebalance hashes by the columns and lets AQE merge small partitions
+    and split large ones to the advisory size, which keeps the number of files down on
+    both ends.
+
+    ``grouped``: for tables whose partitions hold a few aggregate rows each the work is
+    opening files, so their partitions are dealt out to all cores. Hashing the columns
+    first keeps Spark from folding this into the shuffle of the aggregate, which AQE
+    would then merge into one task.
+
+    ``as_read``: no shuffle. For a projection of a table that is stored by the same
+    columns: a task reads files of few partitions and writes about as many.
     """
-    if grouped:
+    if arrange == AS_READ:
+        return df
+    if arrange == GROUPED:
         cores = df.sparkSession.sparkContext.defaultParallelism
         return df.repartition(cores, F.xxhash64(*columns))
     return df.hint("rebalance", *columns)
@@ -33,14 +46,14 @@ def write_model(
     path: str,
     partition: str | None = None,
     mode: str = "overwrite",
-    grouped: bool = False,
+    arrange: str = BY_PARTITION,
 ) -> None:
     """Rebuild a model as snappy Parquet, partition column last."""
     if partition is None:
         df.hint("rebalance").write.mode(mode).option("compression", "snappy").parquet(path)
         return
     (
-        spread(partition_last(df, partition), partition, grouped=grouped)
+        spread(partition_last(df, partition), partition, arrange=arrange)
         .write.mode(mode)
         .option("compression", "snappy")
         .partitionBy(partition)

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from sluiceway.operators.latest import latest_by
 from sluiceway.plans import events as evt
 from sluiceway.session import configure, materialize
+from sluiceway.sinks.writers import GROUPED
 from sluiceway.streaming.intake import (
     deliver_events,
     delivered_event_stream,
@@ -87,13 +88,13 @@ class EventMarts:
     @property
     def site_daily(self) -> VersionedTable:
         return VersionedTable(
-            f"{self.root}/analytics_site_daily_metrics", SITE_DAILY, grouped=True
+            f"{self.root}/analytics_site_daily_metrics", SITE_DAILY, arrange=GROUPED
         )
 
     @property
     def health(self) -> VersionedTable:
         return VersionedTable(
-            f"{self.root}/management_stream_health_summary", HEALTH, grouped=True
+            f"{self.root}/management_stream_health_summary", HEALTH, arrange=GROUPED
         )
 
     def process_batch(self, staged: DataFrame, batch: int) -> None:

@@ -15,7 +15,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.errors import AnalysisException
 
-from sluiceway.sinks.writers import spread
+from sluiceway.sinks.writers import BY_PARTITION, spread
 
 # Directory name that Spark gives a NULL partition value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -34,7 +34,7 @@ class VersionedTable:
     root: str
     schema: str
     partition: str = "event_date"
-    grouped: bool = False
+    arrange: str = BY_PARTITION
 
     def _full_schema(self) -> T.StructType:
         return T.StructType.fromDDL(self.schema)
@@ -86,7 +86,7 @@ class VersionedTable:
         before = self.snapshot(spark, batch - 1)
         (
             spread(
-                rows.select(*self._full_schema().names), self.partition, grouped=self.grouped
+                rows.select(*self._full_schema().names), self.partition, arrange=self.arrange
             )
             .write.mode("overwrite")
             .partitionBy(self.partition)

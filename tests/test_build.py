@@ -5,6 +5,7 @@ import pytest
 from sluiceway.operators.quality import Checks, quality_report
 from sluiceway.plans import build
 from sluiceway.registry import adapters
+from sluiceway.sinks.writers import AS_READ, spread, write_model
 
 
 @pytest.fixture
@@ -73,3 +74,43 @@ def test_quality_report_counts_failures(spark):
     assert found == {("k", "not_null"): 2, ("v", "not_null"): 1, ("k", "unique"): 1}
     with pytest.raises(ValueError, match="no check"):
         quality_report({"t": df}, {})
+
+
+def files_of(path, day):
+    return list(Path(path, f"event_date={day}").glob("*.parquet"))
+
+
+def test_a_large_date_is_split_between_tasks(spark, tmp_path):
+    df = spark.range(400_000).selectExpr(
+        "id",
+        "uuid() as text",
+        "case when id % 3 > 0 then date'2026-03-01' else date_add(date'2026-03-02', cast(id % 9 as int)) end as event_date",
+    )
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2MB")
+    try:
+        write_model(df, f"{tmp_path}/t", "event_date")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(files_of(f"{tmp_path}/t", "2026-03-01")) > 1
+    assert len(files_of(f"{tmp_path}/t", "2026-03-02")) <= 2
+    assert spark.read.parquet(f"{tmp_path}/t").select("id").distinct().count() == 400_000
+
+
+def test_projections_are_written_without_a_shuffle(spark, tmp_path):
+    days = spark.range(2000).selectExpr("id", "date_add(date'2026-01-01', cast(id % 40 as int)) as event_date")
+    write_model(days, f"{tmp_path}/a", "event_date")
+    source = spark.read.parquet(f"{tmp_path}/a")
+    assert "Exchange" not in spread(source, "event_date", arrange=AS_READ)._jdf.queryExecution().toString()
+    write_model(source, f"{tmp_path}/b", "event_date", arrange=AS_READ)
+    assert len(list(Path(tmp_path, "b").glob("event_date=*"))) == 40
+    assert spark.read.parquet(f"{tmp_path}/b").exceptAll(source).isEmpty()
+
+
+def test_arrangements_fit_the_models():
+    """Only projections of one table stored by the same column may skip the shuffle."""
+    for models in build.WORKFLOWS.values():
+        for name, model in models.items():
+            if model.arrange == AS_READ:
+                (source,) = model.inputs
+                assert models[source].partition == model.partition, name
