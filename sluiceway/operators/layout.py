@@ -58,10 +58,19 @@ def partition_columns(df: DataFrame, ts: Column | str, fields: Sequence[str]) ->
     return df.withColumns({field: partition_value(ts, field) for field in fields})
 
 
-def layout_path(root: str, base_prefix: str | None = None, suffix: Sequence[str] = ()) -> str:
-    """``root/base_prefix/suffix...``; partition directories come from ``partitionBy``."""
+def validate_suffix(suffix: Sequence[str]) -> None:
     for segment in suffix:
         if not segment.strip() or "/" in segment:
             raise ValueError(f"path suffix segments must be non-empty, without '/': {segment!r}")
-    parts = [root.rstrip("/"), (base_prefix or "").strip("/"), *suffix]
-    return "/".join(part for part in parts if part)
+
+
+def layout_path(
+    root: str,
+    base_prefix: str | None = None,
+    parts: Sequence[str] = (),
+    suffix: Sequence[str] = (),
+) -> str:
+    """``root/base_prefix/<field>=<value>.../suffix...``."""
+    validate_suffix(suffix)
+    segments = [root.rstrip("/"), (base_prefix or "").strip("/"), *parts, *suffix]
+    return "/".join(segment for segment in segments if segment)

@@ -17,13 +17,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sluiceway import contracts
 from sluiceway.functions.slices import GRANULARITIES, check_granularity, partition_value
 from sluiceway.operators.joins import attach_manifest_metadata
-from sluiceway.operators.layout import layout_path, validate_fields
+from sluiceway.operators.layout import layout_path, validate_fields, validate_suffix
 from sluiceway.operators.projection import iso_text, lineage_columns
 from sluiceway.session import configure, materialize
 from sluiceway.sinks.writers import write_bundle, write_manifests
 from sluiceway.sources.landing import (
     explode_bundles,
-    in_slice_directories,
+    file_path,
+    in_layout,
     landing_inventory,
     read_bundle_documents,
     read_csv_delivery,
@@ -36,8 +37,8 @@ from sluiceway.sources.landing import (
 class Standardizer:
     """How one kind of landed object becomes rows.
 
-    ``read`` takes the paths, the root that keys are relative to, the base path and fields
-    of the partition directories and the job's reader options, and gives a frame with
+    ``read`` takes the paths, the root that keys are relative to, a condition on the files
+    to read (or None) and the job's reader options, and gives a frame with
     ``_landing_key``; ``to_rows`` runs after slices and metadata are attached. ``extra_lineage`` maps output columns to
     metadata keys, and ``columns`` is the published order before the bundle columns.
     """
@@ -48,33 +49,22 @@ class Standardizer:
     extra_lineage: Mapping[str, str] = field(default_factory=dict)
 
 
-def _read_bundles(
-    spark, paths, *, root, partition_fields, base_path=None, one_per_line=False
-):
+def _read_bundles(spark, paths, *, root, only, one_per_line=False):
     return read_bundle_documents(
         spark,
         paths,
         contracts.TRANSACTION_ROW,
         root=root,
-        base_path=base_path,
         json_columns=contracts.TRANSACTION_JSON_COLUMNS,
-        partition_fields=partition_fields,
+        only=only,
         one_per_line=one_per_line,
     )
 
 
-def _read_deliveries(
-    spark, paths, *, root, partition_fields, base_path=None, columns=None, quoted_newlines=True
-):
+def _read_deliveries(spark, paths, *, root, only, columns=None, quoted_newlines=True):
     columns = columns or contracts.DELIVERY_FIELDS
     rows = read_csv_delivery(
-        spark,
-        paths,
-        columns,
-        root=root,
-        base_path=base_path,
-        partition_fields=partition_fields,
-        quoted_newlines=quoted_newlines,
+        spark, paths, columns, root=root, only=only, quoted_newlines=quoted_newlines
     )
     absent = [name for name in contracts.DELIVERY_FIELDS if name not in columns]
     return rows.withColumns({name: F.lit(None).cast("string") for name in absent})
@@ -128,6 +118,7 @@ class StandardizeJob:
     output_granularity: str = "day"
     landing_prefix: str | None = None
     landing_fields: Sequence[str] = ("year", "month", "day")
+    landing_suffix: Sequence[str] = ()
     processed_prefix: str = "raw"
     processed_fields: Sequence[str] = ("year", "month", "day")
     reader_options: Mapping[str, object] = field(default_factory=dict)
@@ -142,6 +133,7 @@ class StandardizeJob:
         if order(self.output_granularity) < order(self.landing_granularity):
             raise ValueError("output granularity cannot be finer than landing granularity")
         validate_fields(self.landing_fields, self.landing_granularity)
+        validate_suffix(self.landing_suffix)
         validate_fields(self.processed_fields, self.output_granularity)
 
 
@@ -265,6 +257,7 @@ def standardize_slices(
             calendar,
             partition_fields=job.landing_fields,
             granularity=job.output_granularity,
+            suffix=job.landing_suffix,
             manifests=manifests,
             key_root=job.landing_root,
         ),
@@ -272,18 +265,15 @@ def standardize_slices(
     )
     if inventory.isEmpty():
         return spark.createDataFrame([], BUNDLES)
+    layout = (calendar, job.landing_fields, job.output_granularity)
     objects = kind.read(
         spark,
-        slice_paths(landing, calendar, job.landing_fields, job.output_granularity),
+        slice_paths(landing, *layout),
         root=job.landing_root,
-        base_path=landing,
-        partition_fields=job.landing_fields,
+        only=in_layout(file_path(), *layout, job.landing_suffix),
         **job.reader_options,
     )
-    objects = in_slice_directories(
-        objects, calendar, job.landing_fields, job.output_granularity
-    )
-    placed = objects.drop(*job.landing_fields).join(
+    placed = objects.join(
         inventory.select("_landing_key", "run_id", "slice_start", "_metadata_map"), "_landing_key"
     )
     rows = lineage_columns(
@@ -357,9 +347,7 @@ def standardize_manual(
         manifests = spark.createDataFrame([], contracts.LANDING_MANIFEST)
     no_slice = F.lit(None).cast("timestamp")
 
-    objects = kind.read(
-        spark, prefix, root=job.landing_root, partition_fields=(), **job.reader_options
-    )
+    objects = kind.read(spark, prefix, root=job.landing_root, only=None, **job.reader_options)
     rows = lineage_columns(
         kind.to_rows(
             attach_manifest_metadata(objects, manifests).withColumns(

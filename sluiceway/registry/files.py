@@ -572,7 +572,7 @@ def standardize_manual(spark, sf_dir):
     )
 
 
-def _read_conversations(spark, paths, *, root, partition_fields, base_path=None):
+def _read_conversations(spark, paths, *, root, only):
     lines = landing.read_manual_lines(spark, paths, root=root)
     return lines.select("_landing_key", F.from_json("line", _CONVERSATION).alias("row"))
 

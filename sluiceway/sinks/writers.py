@@ -8,7 +8,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sluiceway.functions.slices import partition_value
-from sluiceway.operators.layout import layout_path, partition_columns, validate_fields
+from sluiceway.operators.layout import (
+    layout_path,
+    partition_columns,
+    validate_fields,
+    validate_suffix,
+)
 from sluiceway.operators.projection import iso_text, partition_last
 
 
@@ -139,20 +144,27 @@ def write_landing(
 ) -> str:
     """Append payload text in bulk under the landing layout; returns the base path.
 
-    One payload per line. With ``ts=None`` the write is a manual one: no time fields.
-    A payload's own object name, if it has one, belongs in its manifest.
+    One payload per line. With ``ts=None`` the write is a manual one: no time fields and
+    no suffix. Suffix segments follow the time fields and must be ``key=value``, the only
+    directories that Spark writes.
     """
-    path = layout_path(root, base_prefix, suffix)
+    path = layout_path(root, base_prefix)
     if ts is None:
         payloads.select(content).write.mode("append").option("compression", compression).text(path)
         return path
     validate_fields(fields, granularity)
-    rows = partition_columns(payloads, ts, fields).select(content, *fields)
+    validate_suffix(suffix)
+    fixed = dict(segment.partition("=")[::2] for segment in suffix)
+    if not all(fixed.values()):
+        raise ValueError(f"path suffix segments must be key=value to be written: {suffix}")
+    rows = partition_columns(payloads, ts, fields).select(
+        content, *fields, *[F.lit(value).alias(key) for key, value in fixed.items()]
+    )
     (
         spread(rows, *fields)
         .write.mode("append")
         .option("compression", compression)
-        .partitionBy(*fields)
+        .partitionBy(*fields, *fixed)
         .text(path)
     )
     return path
@@ -234,8 +246,9 @@ def landing_manifests(
 
     ``objects`` has ``run_id, content_type, metadata, ingested_at, suggested_object_name``
     and, for temporal landings, ``slice_start`` and ``slice_end``; ``selector_mode=None``
-    means a manual landing. The result is a plain DataFrame: append it as JSON with
-    :func:`write_manifests`.
+    means a manual landing. Objects that are landed already also have a ``payload_key``;
+    otherwise the key follows from the layout and the object's name. The result is a plain
+    DataFrame: append it as JSON with :func:`write_manifests`.
     """
     temporal = selector_mode is not None
     kind = {None: "manual", "current": "live", "pinned": "slice"}.get(selector_mode, "multi_slice")
@@ -250,6 +263,13 @@ def landing_manifests(
     stem = F.when(F.col("suggested_object_name").isNotNull(), F.col("_name")).otherwise(
         object_stem("run_id")
     )
+    payload_key = F.concat_ws("/", *directory, "_name")
+    manifest_key = F.concat_ws(
+        "/", *directory, F.concat(F.lit("_"), stem, F.lit(".manifest.json"))
+    )
+    if "payload_key" in objects.columns:
+        payload_key = F.col("payload_key")
+        manifest_key = F.regexp_replace(payload_key, "([^/]+)$", "_$1.manifest.json")
     own = F.create_map(
         F.lit("workflow_name"),
         F.lit(workflow_name),
@@ -302,10 +322,8 @@ def landing_manifests(
             F.when(F.lit(kind == "multi_slice"), requested).alias("matched_slice"),
         ).alias("request"),
         F.struct(
-            F.concat_ws("/", *directory, "_name").alias("payload_key"),
-            F.concat_ws(
-                "/", *directory, F.concat(F.lit("_"), stem, F.lit(".manifest.json"))
-            ).alias("manifest_key"),
+            payload_key.alias("payload_key"),
+            manifest_key.alias("manifest_key"),
             F.lit("temporal" if temporal else "manual").alias("mode"),
             F.lit(selector_mode).cast("string").alias("slice_selector_mode"),
             F.lit(base_prefix).cast("string").alias("base_prefix"),

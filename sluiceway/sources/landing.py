@@ -10,28 +10,30 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from sluiceway.functions.columns import nested_to_json, try_iso_to_ts
 from sluiceway.functions.slices import partition_value, slice_floor
 from sluiceway.operators.joins import attach_manifest_metadata
-from sluiceway.operators.layout import trim_fields, validate_fields
+from sluiceway.operators.layout import trim_fields, validate_fields, validate_suffix
 
 MANIFEST_SUFFIX = ".manifest.json"
 
 
-def landing_key(root: str, path: Column | None = None) -> Column:
-    """File path relative to the landing root.
+def file_path() -> Column:
+    """Path of the file a row comes from. Spark gives it percent-encoded."""
+    encoded = F.col("_metadata.file_path")
+    # url_decode also turns plus signs into blanks, so those are encoded first.
+    decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return F.when(encoded.contains("%"), decoded).otherwise(encoded)
 
-    Without ``path`` it is the row's own file, whose path Spark gives percent-encoded.
-    """
-    if path is None:
-        encoded = F.col("_metadata.file_path")
-        # url_decode also turns plus signs into blanks, so those are encoded first.
-        decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
-        path = F.when(encoded.contains("%"), decoded).otherwise(encoded)
+
+def landing_key(root: str, path: Column | None = None) -> Column:
+    """File path relative to the landing root, by default of the row's own file."""
+    path = file_path() if path is None else path
     bare = root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
     return F.substring(path, F.locate(bare, path) + len(bare), F.length(path))
 
 
-def _is_payload() -> Column:
+def _is_payload(only: Column | None = None) -> Column:
     # A filter on _metadata drops files before any of them is opened.
-    return ~F.col("_metadata.file_name").endswith(MANIFEST_SUFFIX)
+    payload = ~F.col("_metadata.file_name").endswith(MANIFEST_SUFFIX)
+    return payload if only is None else payload & only
 
 
 def _with_partitions(schema: str, fields: Sequence[str]) -> str:
@@ -50,17 +52,15 @@ def read_bundle_documents(
     row_schema: str,
     *,
     root: str,
-    base_path: str | None = None,
     json_columns: Sequence[str] = (),
     partition_fields: Sequence[str] = (),
     one_per_line: bool = False,
+    only: Column | None = None,
     keep_unknown: bool = False,
 ) -> DataFrame:
     """One row per bundle document, its rows still nested.
 
-    Landing keys are relative to ``root``; partition directories start below
-    ``base_path``, by default the root as well.
-
+    ``only`` is a condition on the file, such as :func:`in_layout` of :func:`file_path`.
     A ``rows`` value that is not an array of objects fails the read. ``json_columns`` are
     parsed as VARIANT so that nested values become text when exploded. Keys outside
     ``row_schema`` are dropped, or kept as text in ``_extra`` with ``keep_unknown``, which
@@ -80,9 +80,9 @@ def read_bundle_documents(
         .schema(_with_partitions(envelope, partition_fields))
         .option("multiLine", not one_per_line)
         .option("mode", "FAILFAST")
-        .option("basePath", base_path or root)
+        .option("basePath", root)
         .json(paths)
-        .where(_is_payload())
+        .where(_is_payload(only))
         .select("*", landing_key(root).alias("_landing_key"))
     )
     if not keep_unknown:
@@ -134,7 +134,6 @@ def read_json_bundles(
     row_schema: str,
     *,
     root: str,
-    base_path: str | None = None,
     json_columns: Sequence[str] = (),
     partition_fields: Sequence[str] = (),
     one_per_line: bool = False,
@@ -146,7 +145,6 @@ def read_json_bundles(
         paths,
         row_schema,
         root=root,
-        base_path=base_path,
         json_columns=json_columns,
         partition_fields=partition_fields,
         one_per_line=one_per_line,
@@ -161,8 +159,8 @@ def read_csv_delivery(
     columns: Sequence[str],
     *,
     root: str,
-    base_path: str | None = None,
     partition_fields: Sequence[str] = (),
+    only: Column | None = None,
     quoted_newlines: bool = True,
 ) -> DataFrame:
     """Rows of CSV files with a header, all text, empty values NULL.
@@ -179,9 +177,9 @@ def read_csv_delivery(
         .option("enforceSchema", False)
         .option("multiLine", quoted_newlines)
         .option("escape", '"')
-        .option("basePath", base_path or root)
+        .option("basePath", root)
         .csv(paths)
-        .where(_is_payload())
+        .where(_is_payload(only))
     )
     values = [F.nullif(F.col(name), F.lit("")).alias(name) for name in columns]
     return rows.select(*values, landing_key(root).alias("_landing_key"), *partition_fields)
@@ -243,16 +241,23 @@ def slice_paths(
     return f"{root}/{{{','.join(names)}}}"
 
 
-def in_slice_directories(
-    objects: DataFrame, calendar: DataFrame, partition_fields: Sequence[str], granularity: str
-) -> DataFrame:
-    """Filter on partition columns to the directories of the slices; others stay unread."""
+def in_layout(
+    path: Column,
+    calendar: DataFrame,
+    partition_fields: Sequence[str],
+    granularity: str,
+    suffix: Sequence[str] = (),
+) -> Column:
+    """Condition on a file path: in a directory of the slices and in the suffix folder."""
+    validate_suffix(suffix)
+    folder = F.regexp_extract(path, "^(.*)/[^/]*$", 1)
+    inside = folder.endswith("/" + "/".join(suffix)) if suffix else F.lit(True)
     prefix = trim_fields(partition_fields, granularity)
     if not prefix:
-        return objects
-    parts = [F.concat(F.lit(f"{field}="), F.col(field)) for field in prefix]
+        return inside
+    parts = [F.regexp_extract(path, f"/({field}=[^/]*)/", 1) for field in prefix]
     names = slice_directories(calendar, partition_fields, granularity)
-    return objects.where(F.concat_ws("/", *parts).isin(names))
+    return inside & F.concat_ws("/", *parts).isin(names)
 
 
 def keep_selected(
@@ -295,13 +300,15 @@ def landing_inventory(
     *,
     partition_fields: Sequence[str],
     granularity: str,
+    suffix: Sequence[str] = (),
     manifests: DataFrame | None = None,
     key_root: str | None = None,
 ) -> DataFrame:
     """Landed objects per slice: slice columns, key, size and manifest metadata.
 
-    Lists files; no payload is read. Keys are relative to ``key_root``, by default the
-    listed root.
+    Lists files; no payload is read. With a ``suffix`` only objects directly in that folder
+    of a time directory count. Keys are relative to ``key_root``, by default the listed
+    root.
     """
     validate_fields(partition_fields, "hour")
     path = F.col("path")
@@ -315,7 +322,8 @@ def landing_inventory(
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], INVENTORY)
         raise
-    objects = files.where(~path.endswith(MANIFEST_SUFFIX)).select(
+    wanted = in_layout(path, calendar, partition_fields, granularity, suffix)
+    objects = files.where(~path.endswith(MANIFEST_SUFFIX) & wanted).select(
         landing_key(key_root or root, path).alias("_landing_key"),
         "length",
         *[F.regexp_extract(path, f"/{f}=([^/]*)/", 1).alias(f) for f in partition_fields],

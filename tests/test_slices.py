@@ -229,6 +229,9 @@ def test_partition_fields(spark):
 
 
 def test_layout_path():
-    assert layout.layout_path("/r/", "client=a/", ["api=x", "files"]) == "/r/client=a/api=x/files"
+    parts = ["year=2026", "month=03"]
+    found = layout.layout_path("/r/", "client=a/", parts, ["api=x", "files"])
+    assert found == "/r/client=a/year=2026/month=03/api=x/files"
+    assert layout.layout_path("s3a://b/r", None) == "s3a://b/r"
     with pytest.raises(ValueError, match="path suffix"):
-        layout.layout_path("/r", None, ["a/b"])
+        layout.layout_path("/r", None, suffix=["a/b"])
