@@ -93,3 +93,14 @@ def reconcile_slices(calendar: DataFrame, outputs: DataFrame) -> DataFrame:
             F.coalesce("output_count", F.lit(0)).alias("output_count"),
         )
     )
+
+
+def require_reconciled(reconciled: DataFrame) -> None:
+    """Raise if a planned slice got no output, or an output has no planned slice."""
+    problems = reconciled.where(F.col("status") != "matched")
+    shown = [
+        f"{row.status} {row.slice_start or ''}".strip()
+        for row in problems.orderBy("status", "slice_start").limit(20).collect()
+    ]
+    if shown:
+        raise ValueError(f"outputs do not match the planned slices: {', '.join(shown)}")

@@ -83,6 +83,7 @@ def record_landed(
             fields=fields,
             base_prefix=base_prefix,
             suffix=suffix,
+            calendar=calendar,
         ),
         manifest_path,
     )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import json
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from sluiceway.functions.slices import partition_value
+from sluiceway.functions.slices import partition_value, slice_shift
 from sluiceway.operators.layout import (
     layout_path,
     partition_columns,
@@ -231,6 +232,15 @@ def object_name(
     return F.coalesce(checked, stem_name)
 
 
+def _slice_struct(start: Column, granularity: str) -> Column:
+    return F.struct(
+        iso_text(start).alias("logical_date"),
+        iso_text(start).alias("slice_start"),
+        iso_text(slice_shift(start, granularity, 1)).alias("slice_end"),
+        F.lit(granularity).alias("granularity"),
+    )
+
+
 def landing_manifests(
     objects: DataFrame,
     *,
@@ -241,14 +251,18 @@ def landing_manifests(
     fields: Sequence[str] = ("year", "month", "day"),
     base_prefix: str | None = None,
     suffix: Sequence[str] = (),
+    calendar: DataFrame | None = None,
+    request_payload: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """One manifest row per landed object.
 
     ``objects`` has ``run_id, content_type, metadata, ingested_at, suggested_object_name``
     and, for temporal landings, ``slice_start`` and ``slice_end``; ``selector_mode=None``
     means a manual landing. Objects that are landed already also have a ``payload_key``;
-    otherwise the key follows from the layout and the object's name. The result is a plain
-    DataFrame: append it as JSON with :func:`write_manifests`.
+    otherwise the key follows from the layout and the object's name. With the ``calendar``
+    of a multi-slice request the manifests also say how many slices it had, and which were
+    first and last; ``request_payload`` is what a manual request asked for. The result is a
+    plain DataFrame: append it as JSON with :func:`write_manifests`.
     """
     temporal = selector_mode is not None
     kind = {None: "manual", "current": "live", "pinned": "slice"}.get(selector_mode, "multi_slice")
@@ -263,6 +277,16 @@ def landing_manifests(
     stem = F.when(F.col("suggested_object_name").isNotNull(), F.col("_name")).otherwise(
         object_stem("run_id")
     )
+    components = F.lit(None)
+    if temporal:
+        components = F.array(
+            *[
+                F.struct(
+                    F.lit(field).alias("key"), partition_value("slice_start", field).alias("value")
+                )
+                for field in fields
+            ]
+        )
     payload_key = F.concat_ws("/", *directory, "_name")
     manifest_key = F.concat_ws(
         "/", *directory, F.concat(F.lit("_"), stem, F.lit(".manifest.json"))
@@ -310,6 +334,18 @@ def landing_manifests(
             F.lit(granularity).cast("string").alias("granularity"),
         ),
     )
+    span = []
+    if kind == "multi_slice" and calendar is not None:
+        first, last, count = calendar.agg(
+            F.min("slice_start"), F.max("slice_start"), F.count(F.lit(1))
+        ).first()
+        span = [
+            F.lit(count).cast("bigint").alias("slice_count"),
+            _slice_struct(F.lit(first), granularity).alias("first_slice"),
+            _slice_struct(F.lit(last), granularity).alias("last_slice"),
+        ]
+    if kind == "manual" and request_payload is not None:
+        span = [F.lit(json.dumps(dict(request_payload), sort_keys=True)).alias("payload")]
     return named.select(
         F.lit("1").alias("schema_version"),
         F.lit(workflow_name).alias("workflow_name"),
@@ -320,6 +356,7 @@ def landing_manifests(
             F.lit(kind).alias("kind"),
             F.when(F.lit(kind == "slice"), requested).alias("slice"),
             F.when(F.lit(kind == "multi_slice"), requested).alias("matched_slice"),
+            *span,
         ).alias("request"),
         F.struct(
             payload_key.alias("payload_key"),
@@ -329,9 +366,11 @@ def landing_manifests(
             F.lit(base_prefix).cast("string").alias("base_prefix"),
             F.array(*[F.lit(f) for f in fields]).alias("partition_fields"),
             F.array(*[F.lit(s) for s in suffix]).cast("array<string>").alias("path_suffix"),
+            components.alias("partition_components"),
             *[column.alias(name) for name, column in bound.items()],
             F.lit(granularity).cast("string").alias("slice_granularity"),
             F.col("run_id"),
+            object_stem("run_id").alias("object_stem"),
         ).alias("storage"),
         F.struct(
             "content_type",

@@ -11,7 +11,7 @@ from sluiceway.operators.calendar import (
     regrain_slices,
     slice_calendar,
 )
-from sluiceway.operators.joins import assign_rows_to_slice, reconcile_slices
+from sluiceway.operators.joins import assign_rows_to_slice, reconcile_slices, require_reconciled
 
 
 def stamps(calendar, column="slice_start"):
@@ -199,6 +199,9 @@ def test_reconcile(spark):
         "2026-04-01": ("unexpected", 1),
         None: ("unlabelled", 1),
     }
+    with pytest.raises(ValueError, match="missing 2026-03-15.*unexpected 2026-04-01"):
+        require_reconciled(reconcile_slices(calendar, outputs))
+    require_reconciled(reconcile_slices(calendar, calendar.withColumnRenamed("slice_start", "logical_date")))
 
 
 def test_reconcile_single_slice_takes_undated_outputs(spark):
