@@ -20,13 +20,29 @@ DELIVERY_TIEBREAK = ("delivery_date", "allowed_amount", "logical_ts", "feed_type
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table.
 
-    A table of fewer splits than cores would be read by a few tasks, and everything up to
-    the first shuffle run there; its rows are spread first. Larger tables are left alone.
+    A table of few splits for the cores at hand would be read by a few tasks, and
+    everything up to the first shuffle run there; its rows are spread by their key first,
+    which unlike a round-robin spread needs no sort to be repeatable. Larger tables are
+    left alone.
     """
     session.configure(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if 2 * df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *KEYS.get(name, ()))
+
+
+# Columns that tell the rows of a table apart well enough to spread them.
+KEYS = {
+    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey"),
+    "orders": ("o_orderkey",),
+    "customer": ("c_custkey",),
+    "events": ("event_id",),
+    "documents": ("doc_id",),
+    "pages": ("page_id",),
+    "conversations": ("conv_id", "turn"),
+}
 
 
 def _text(*parts: Column | str) -> Column:

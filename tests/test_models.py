@@ -143,7 +143,7 @@ def test_the_flagship_plan_shuffles_rows_once(spark, sf_dir):
     assert "hashpartitioning(transaction_id" in plan
     assert plan.count("row_number(), 1, Partial") == 1
     # The dedupe, the daily groups, the days, and the spreading of a small input file.
-    assert plan.count("Exchange hashpartitioning") == 3
+    assert plan.count("Exchange hashpartitioning") == 4
 
 
 def test_delivery_labels_and_file_names(spark):
