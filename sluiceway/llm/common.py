@@ -67,6 +67,29 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return session.materialize(df, label)
 
 
+class Scratch:
+    """Staged tables that go when the block ends. What outlives it must not read them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def stage(self, df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
+        path = session.scratch_dir(self.spark, label)
+        df.write.option("compression", compression).parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *exc) -> None:
+        hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for name in self.paths:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(hadoop).delete(path, True)
+
+
 def map_batches(
     df: DataFrame, function: Callable[[Iterator[dict]], Iterator[dict]], schema: str
 ) -> DataFrame:

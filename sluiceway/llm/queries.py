@@ -4,16 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import language
+from sluiceway.llm import language, packing, token_files
 from sluiceway.llm.common import table
 
 
+def tokenizer_path(name: str) -> str:
+    """File of a public tokenizer; executors have the same installation."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in windows of 2048 ids."""
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the token files of all documents hold, read back."""
+    docs = table(spark, sf_dir, "documents")
+    return token_files.round_trip(docs, tokenizer_path("word_bpe_49k.json"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by word-first backoff."""
     return language.identify(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op3_packing": op3_packing,
+    "op4_token_files": op4_token_files,
     "op6_language_id": op6_language_id,
 }
 SQL: dict[str, str] = {}
