@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import language, packing, token_files
+from sluiceway.llm import decontaminate, language, line_chunks, packing, token_files
 from sluiceway.llm.common import table
 
 
@@ -15,6 +15,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document loses as repeated multi-line chunks."""
+    return line_chunks.report(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 2048 ids."""
     docs = table(spark, sf_dir, "documents")
@@ -32,9 +37,18 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold test items, with the score of the alignment."""
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_packing": op3_packing,
     "op4_token_files": op4_token_files,
     "op6_language_id": op6_language_id,
+    "op10_decontamination": op10_decontamination,
 }
 SQL: dict[str, str] = {}
