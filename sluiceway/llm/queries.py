@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.llm import decontaminate, language, line_chunks, packing, token_files
+from sluiceway.llm import (
+    decontaminate,
+    language,
+    line_chunks,
+    order_minhash,
+    packing,
+    token_files,
+)
 from sluiceway.llm.common import table
 
 
@@ -37,6 +44,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near copies of every document."""
+    return order_minhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold test items, with the score of the alignment."""
     return decontaminate.contaminated(
@@ -49,6 +61,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_token_files": op4_token_files,
     "op6_language_id": op6_language_id,
+    "op8_near_duplicates": op8_near_duplicates,
     "op10_decontamination": op10_decontamination,
 }
 SQL: dict[str, str] = {}
