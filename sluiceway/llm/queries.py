@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluiceway.llm import (
     decontaminate,
@@ -10,11 +10,19 @@ from sluiceway.llm import (
     line_chunks,
     order_minhash,
     packing,
+    permutation_index,
     token_files,
 )
 from sluiceway.llm.common import table
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest found of every hundredth vector."""
+    return permutation_index.nearest(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0
+    )
+
+
 def tokenizer_path(name: str) -> str:
     """File of a public tokenizer; executors have the same installation."""
     import public_tokenizers
@@ -58,6 +66,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_packing": op3_packing,
     "op4_token_files": op4_token_files,
     "op6_language_id": op6_language_id,
