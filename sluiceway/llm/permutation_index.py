@@ -34,12 +34,14 @@ PIVOTS = 256
 PERMUTATION = 64
 # Rows the pivots are picked from, by a hash of the id.
 SAMPLE = 4_096
+# Share of the usual distance that pivots keep from each other if they can.
+SPREAD = 0.5
 # Vectors of a block and queries of a batch, on average.
 BLOCK = 8_192
 BATCH = 4_096
 # Candidates reranked per query over the whole index: this times the root of its size,
 # and some more per block, as blocks differ.
-CANDIDATES = 24
+CANDIDATES = 32
 SLACK = 24
 # Footrule, as a share of the greatest, up to which every vector is reranked: a dense
 # cluster may hold more vectors than the candidates, with nearly equal permutations.
@@ -66,7 +68,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def fit_pivots(rows: DataFrame, total: int) -> np.ndarray:
-    """Distinct vectors of a bounded sample, the first by hash; all of the usual length."""
+    """Distinct vectors of a bounded sample, all of the usual length."""
     share = min(1.0, SAMPLE / max(1, total))
     picked = rows.where(
         F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < math.ceil(share * 1_000_000)
@@ -76,12 +78,22 @@ def fit_pivots(rows: DataFrame, total: int) -> np.ndarray:
     if not lengths:
         return np.zeros((0, 0))
     usual = max(sorted(set(lengths)), key=lengths.count)
-    seen: dict[bytes, np.ndarray] = {}
-    for row in sample:
-        if len(row["vector"]) == usual and len(seen) < PIVOTS:
-            vector = np.array(row["vector"])
-            seen.setdefault(vector.tobytes(), vector)
-    return np.array(list(seen.values()))
+    found = np.array([row["vector"] for row in sample if len(row["vector"]) == usual])
+    return spread(np.array(list({vector.tobytes(): vector for vector in found}.values())))
+
+
+def spread(vectors: np.ndarray) -> np.ndarray:
+    """Pivots in order of the sample, but none near an earlier one as long as there are
+    others: pivots from one dense cluster would all say the same."""
+    apart = SPREAD * np.median(np.linalg.norm(vectors - vectors[0], axis=1))
+    nearest = np.full(len(vectors), np.inf)
+    chosen: list[int] = []
+    for i, vector in enumerate(vectors):
+        if len(chosen) < PIVOTS and nearest[i] >= apart:
+            chosen.append(i)
+            nearest = np.minimum(nearest, np.linalg.norm(vectors - vector, axis=1))
+    rest = [i for i in range(len(vectors)) if i not in set(chosen)]
+    return vectors[[*chosen, *rest][:PIVOTS]]
 
 
 def permutations(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
