@@ -12,6 +12,7 @@ from sluiceway.llm import (
     packing,
     permutation_index,
     token_files,
+    toxicity,
 )
 from sluiceway.llm.common import table
 
@@ -57,6 +58,11 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document after deobfuscation."""
+    return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold test items, with the score of the alignment."""
     return decontaminate.contaminated(
@@ -71,6 +77,7 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op6_language_id": op6_language_id,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
 SQL: dict[str, str] = {}
