@@ -168,7 +168,8 @@ def with_removals(docs: DataFrame, gone: DataFrame) -> DataFrame:
         text_hash().alias("text_hash"),
     )
     same = rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["text_hash"] == gone["text_hash"])
-    return rows.join(gone, same, "left").select("row", "spans")
+    # Merged at every size: few removals would be broadcast, many could not be.
+    return rows.join(gone.hint("merge"), same, "left").select("row", "spans")
 
 
 def kept_text(text: Column, spans: Column) -> Column:
