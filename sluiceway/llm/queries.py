@@ -11,6 +11,7 @@ from sluiceway.llm import (
     order_minhash,
     packing,
     permutation_index,
+    pii,
     token_files,
     toxicity,
 )
@@ -53,6 +54,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near copies of every document."""
     return order_minhash.classes(table(spark, sf_dir, "documents"))
@@ -76,6 +82,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_token_files": op4_token_files,
     "op6_language_id": op6_language_id,
+    "op7_personal_data": op7_personal_data,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
