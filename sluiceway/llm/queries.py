@@ -12,6 +12,7 @@ from sluiceway.llm import (
     packing,
     permutation_index,
     pii,
+    suffix_dedup,
     token_files,
     toxicity,
 )
@@ -49,6 +50,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(docs, tokenizer_path("word_bpe_49k.json"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document loses as byte strings of 400 that occur again."""
+    return suffix_dedup.kept(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by word-first backoff."""
     return language.identify(table(spark, sf_dir, "documents"))
@@ -81,6 +87,7 @@ QUERIES = {
     "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_packing": op3_packing,
     "op4_token_files": op4_token_files,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_language_id": op6_language_id,
     "op7_personal_data": op7_personal_data,
     "op8_near_duplicates": op8_near_duplicates,
