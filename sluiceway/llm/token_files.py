@@ -34,6 +34,7 @@ RAW = "part int, block int, begin long, docs binary, lengths binary, ids binary"
 CODED = (
     "part int, block int, begin long, docs binary, lengths binary, control binary, data binary"
 )
+RANKS = "rank long, id long"
 # Lengths of the four ids of each control byte, and how many bytes they take.
 WIDTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3
 WIDTHS = (WIDTHS + 1).astype(np.uint8)
@@ -148,13 +149,13 @@ def write(docs: DataFrame, path: str, tokenizer: str) -> None:
         # One row per id of the vocabulary, which bounds what comes to the driver.
         order = [row["id"] for row in counts.orderBy(F.desc("times"), "id").collect()]
         spark.createDataFrame(
-            [(rank, id_) for rank, id_ in enumerate(order)], "rank long, id long"
+            [(rank, id_) for rank, id_ in enumerate(order)], RANKS
         ).coalesce(1).write.parquet(f"{path}/ranks")
         shared = spark.sparkContext.broadcast(order)
 
         def run(batches: Iterator[dict]) -> Iterator[dict]:
             order = np.array(shared.value, dtype=np.int64)
-            rank = np.zeros(int(order.max()) + 1, dtype="<u4")
+            rank = np.zeros(int(order.max(initial=-1)) + 1, dtype="<u4")
             rank[order] = np.arange(len(order))
             for batch in batches:
                 coded = [
@@ -176,7 +177,7 @@ def write(docs: DataFrame, path: str, tokenizer: str) -> None:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id``, ``start``, ``n_tokens`` and ``ids`` of every document in the files."""
     prepare(spark)
-    blocks = spark.read.parquet(f"{path}/blocks")
+    blocks = spark.read.schema(CODED).parquet(f"{path}/blocks")
     # One row per file, so the driver holds no more than the number of tasks.
     sizes = blocks.groupBy("part").agg(
         F.max_by("begin", "block").alias("begin"), F.max_by("lengths", "block").alias("last")
@@ -185,7 +186,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     for row in sizes.orderBy("part").collect():
         starts[row["part"]] = total
         total += row["begin"] + int(np.frombuffer(row["last"], "<u4").sum(dtype=np.int64))
-    order = [row["id"] for row in spark.read.parquet(f"{path}/ranks").orderBy("rank").collect()]
+    ranks = spark.read.schema(RANKS).parquet(f"{path}/ranks")
+    order = [row["id"] for row in ranks.orderBy("rank").collect()]
     shared = spark.sparkContext.broadcast((starts, order))
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
