@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sluiceway import contracts
 from sluiceway.operators.calendar import DIRECTIONS, RANGE_POLICIES, SELECTOR_MODES, SliceSelector
 from sluiceway.operators.calendar import slice_calendar
-from sluiceway.operators.layout import default_partition_fields, layout_path
+from sluiceway.operators.layout import Layout, place
 from sluiceway.functions.slices import ALIGNMENT_POLICIES, GRANULARITIES
 from sluiceway.plans.backfill import RAW_READERS, backfill
 from sluiceway.plans.build import WORKFLOWS, Workspace, build_models, publish_marts
@@ -74,10 +74,10 @@ def _job(arguments, workflow_name: str) -> StandardizeJob:
         output_granularity=arguments.output_granularity,
         landing_prefix=arguments.landing_prefix,
         landing_fields=arguments.landing_fields
-        or default_partition_fields(arguments.landing_granularity),
+        or Layout(arguments.landing_granularity).fields,
         processed_prefix=arguments.processed_prefix,
         processed_fields=arguments.processed_fields
-        or default_partition_fields(arguments.output_granularity),
+        or Layout(arguments.output_granularity).fields,
     )
 
 
@@ -129,7 +129,7 @@ def parser() -> argparse.ArgumentParser:
 def _raw(spark: SparkSession, arguments) -> DataFrame:
     if arguments.workflow == "events":
         return read_stream_events(spark, arguments.raw or f"{arguments.processed_root}/events")
-    root = arguments.raw or layout_path(arguments.processed_root, "raw")
+    root = arguments.raw or place(arguments.processed_root, "raw")
     return RAW_READERS[arguments.workflow](spark, root)
 
 

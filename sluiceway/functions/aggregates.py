@@ -37,3 +37,9 @@ def conditional_avg(condition: Column, value: Column | str) -> Column:
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
     """Double quotient, NULL for a zero denominator."""
     return numerator.cast("double") / F.nullif(denominator, F.lit(0))
+
+
+def mean_of_means(value: Column | str) -> Column:
+    """Mean of doubles that does not depend on their order: they are added as decimals."""
+    value = F.col(value) if isinstance(value, str) else value
+    return F.sum(value.cast("decimal(38,9)")).cast("double") / F.count(value)

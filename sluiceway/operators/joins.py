@@ -36,11 +36,14 @@ def attach_manifest_metadata(
 ) -> DataFrame:
     """Give each landed object the metadata its manifest recorded.
 
-    Objects without a manifest keep an empty map. Join documents rather than exploded
+    Objects without a manifest keep an empty map; of several manifests of one object the
+    newest counts. Join documents rather than exploded
     rows: it is one match per landed object.
     """
-    metadata = manifests.select(
-        F.col("storage.payload_key").alias(key), F.col("payload.metadata").alias("_metadata_map")
+    recorded = F.col("payload.metadata")
+    newest = F.struct(F.coalesce(recorded["ingested_at"], F.lit("")), F.to_json(recorded))
+    metadata = manifests.groupBy(F.col("storage.payload_key").alias(key)).agg(
+        F.max_by(recorded, newest).alias("_metadata_map")
     )
     empty = F.create_map().cast("map<string,string>")
     return objects.join(metadata, key, "left").withColumn(
@@ -96,11 +99,24 @@ def reconcile_slices(calendar: DataFrame, outputs: DataFrame) -> DataFrame:
 
 
 def require_reconciled(reconciled: DataFrame) -> None:
-    """Raise if a planned slice got no output, or an output has no planned slice."""
-    problems = reconciled.where(F.col("status") != "matched")
-    shown = [
-        f"{row.status} {row.slice_start or ''}".strip()
-        for row in problems.orderBy("status", "slice_start").limit(20).collect()
-    ]
-    if shown:
-        raise ValueError(f"outputs do not match the planned slices: {', '.join(shown)}")
+    """Raise if a planned slice got no output, or an output has no planned slice.
+
+    The error counts the slices per status and names the first few;
+    :func:`unreconciled` has all of them.
+    """
+    problems = unreconciled(reconciled)
+    totals = {row["status"]: row["count"] for row in problems.groupBy("status").count().collect()}
+    if totals:
+        counted = ", ".join(f"{totals[status]} {status}" for status in sorted(totals))
+        first = [
+            f"{row.status} {row.slice_start or ''}".strip()
+            for row in problems.orderBy("status", "slice_start").limit(20).collect()
+        ]
+        raise ValueError(
+            f"outputs do not match the planned slices: {counted}; the first: {', '.join(first)}"
+        )
+
+
+def unreconciled(reconciled: DataFrame) -> DataFrame:
+    """The slices that :func:`require_reconciled` objects to."""
+    return reconciled.where(F.col("status") != "matched")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.operators.calendar import SliceSelector, slice_calendar
-from sluiceway.operators.layout import layout_path
+from sluiceway.operators.layout import place
 from sluiceway.plans.build import Workspace, build_models
 from sluiceway.plans.standardize import StandardizeJob, standardize_slices
 from sluiceway.sources.tables import read_raw_deliveries, read_raw_transactions
@@ -40,7 +40,7 @@ def backfill(
         selector_mode=selector.resolved_mode(),
         manifests=manifests,
     )
-    raw = RAW_READERS[workflow](spark, layout_path(job.processed_root, job.processed_prefix))
+    raw = RAW_READERS[workflow](spark, place(job.processed_root, job.processed_prefix))
     return build_models(
         spark,
         workflow,

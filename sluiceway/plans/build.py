@@ -274,15 +274,16 @@ def _expand(models: Mapping[str, Model], term: str) -> set[str]:
         names = {key for key, model in models.items() if model.layer == name}
     if not names:
         raise ValueError(f"nothing is called {name!r}; models: {sorted(models)}")
+    above, below = set(names), set(names)
     if term.startswith("+"):
         for key in reversed(models):
-            if key in names:
-                names |= {up for up in models[key].inputs if up != RAW}
+            if key in above:
+                above |= {up for up in models[key].inputs if up != RAW}
     if term.endswith("+"):
         for key, model in models.items():
-            if names & set(model.inputs):
-                names.add(key)
-    return names
+            if below & set(model.inputs):
+                below.add(key)
+    return above | below
 
 
 def select_models(

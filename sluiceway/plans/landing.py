@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sluiceway import contracts
-from sluiceway.operators.layout import layout_path
+from sluiceway.operators.layout import place
 from sluiceway.session import configure
 from sluiceway.sinks.writers import landing_manifests, write_landing, write_manifests
 from sluiceway.sources.landing import landing_inventory
@@ -52,7 +52,7 @@ def record_landed(
     ingested_at = ingested_at or datetime.now(timezone.utc)
     landed = landing_inventory(
         spark,
-        layout_path(root, base_prefix),
+        place(root, base_prefix),
         calendar,
         partition_fields=fields,
         granularity=granularity,

@@ -17,14 +17,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sluiceway import contracts
 from sluiceway.functions.slices import GRANULARITIES, check_granularity, partition_value
 from sluiceway.operators.joins import attach_manifest_metadata
-from sluiceway.operators.layout import layout_path, validate_fields, validate_suffix
+from sluiceway.operators.layout import Layout, place
 from sluiceway.operators.projection import iso_text, lineage_columns
 from sluiceway.session import configure, materialize
 from sluiceway.sinks.writers import write_bundle, write_manifests
 from sluiceway.sources.landing import (
     explode_bundles,
     file_path,
-    in_layout,
     landing_inventory,
     read_bundle_documents,
     read_csv_delivery,
@@ -132,9 +131,8 @@ class StandardizeJob:
         order = GRANULARITIES.index
         if order(self.output_granularity) < order(self.landing_granularity):
             raise ValueError("output granularity cannot be finer than landing granularity")
-        validate_fields(self.landing_fields, self.landing_granularity)
-        validate_suffix(self.landing_suffix)
-        validate_fields(self.processed_fields, self.output_granularity)
+        Layout(self.landing_granularity, self.landing_fields, self.landing_suffix)
+        Layout(self.output_granularity, self.processed_fields)
 
 
 def annotate_bundle(rows: DataFrame, bundles: DataFrame, standardized_at: datetime) -> DataFrame:
@@ -246,7 +244,7 @@ def standardize_slices(
     job.validate()
     standardized_at = standardized_at or datetime.now(timezone.utc)
     kind = get_standardizer(job.standardizer)
-    landing = layout_path(job.landing_root, job.landing_prefix)
+    landing = place(job.landing_root, job.landing_prefix)
 
     # Which objects belong to which slice is settled on the file list, with its manifests.
     # It has a row per object, and Spark knows its size when the rows are joined to it.
@@ -270,7 +268,7 @@ def standardize_slices(
         spark,
         slice_paths(landing, *layout),
         root=job.landing_root,
-        only=in_layout(file_path(), *layout, job.landing_suffix),
+        only=Layout("hour", job.landing_fields, job.landing_suffix).in_folders(file_path()),
         **job.reader_options,
     )
     placed = objects.join(
@@ -286,7 +284,7 @@ def standardize_slices(
     staged = materialize(rows, "standardize-rows")
     directory = F.concat_ws(
         "/",
-        F.lit(job.processed_prefix.strip("/")),
+        *[F.lit(job.processed_prefix.strip("/"))][: bool(job.processed_prefix.strip("/"))],
         *[
             F.concat(F.lit(f"{name}="), partition_value("slice_start", name))
             for name in job.processed_fields
@@ -309,7 +307,7 @@ def standardize_slices(
     annotated = annotate_bundle(staged, bundles, standardized_at)
     write_bundle(
         annotated.select("slice_start", *kind.columns, *contracts.names(contracts.BUNDLE_LINEAGE)),
-        layout_path(job.processed_root, job.processed_prefix),
+        place(job.processed_root, job.processed_prefix),
         "slice_start",
         job.processed_fields,
     )

@@ -18,6 +18,7 @@ from sluiceway.functions.aggregates import (
     conditional_count,
     conditional_sum,
     count_all,
+    mean_of_means,
     safe_ratio,
     sum_as_double,
 )
@@ -359,7 +360,7 @@ def management_daily_summary(evaluator_daily: DataFrame) -> DataFrame:
         .agg(
             transactions.alias("transaction_count"),
             sum_as_double("gross_amount").alias("gross_amount"),
-            avg_as_double("average_amount").alias("average_transaction_amount"),
+            mean_of_means("average_amount").alias("average_transaction_amount"),
             F.sum("declined_transaction_count").alias("declined_transaction_count"),
             safe_ratio(F.sum("declined_transaction_count"), transactions).alias("decline_rate"),
             anomalies.alias("anomaly_transaction_count"),

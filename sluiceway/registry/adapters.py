@@ -18,31 +18,9 @@ DELIVERY_TIEBREAK = ("delivery_date", "allowed_amount", "logical_ts", "feed_type
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One test table.
-
-    A table of few splits for the cores at hand would be read by a few tasks, and
-    everything up to the first shuffle run there; its rows are spread by their key first,
-    which unlike a round-robin spread needs no sort to be repeatable. Larger tables are
-    left alone.
-    """
+    """One test table, straight from its files."""
     session.configure(spark)
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if 2 * df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *KEYS.get(name, ()))
-
-
-# Columns that tell the rows of a table apart well enough to spread them.
-KEYS = {
-    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey"),
-    "orders": ("o_orderkey",),
-    "customer": ("c_custkey",),
-    "events": ("event_id",),
-    "documents": ("doc_id",),
-    "pages": ("page_id",),
-    "conversations": ("conv_id", "turn"),
-}
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _text(*parts: Column | str) -> Column:
@@ -110,8 +88,9 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "N", "in_store")
         .otherwise("phone")
     )
+    # Whole cents over a power of two: sums are exact in any order.
     amount = F.when(
-        F.col("l_quantity") < 50, F.floor("l_extendedprice").cast("double") / F.lit(256.0)
+        F.col("l_quantity") < 50, F.round(F.col("l_extendedprice") * 100) / F.lit(16384.0)
     )
     declined = F.when(F.col("l_tax") < 0.005, F.lit(None)).when(
         (F.col("l_returnflag") == "R") & (F.col("l_tax") > 0.045), 1

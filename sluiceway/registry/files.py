@@ -177,7 +177,7 @@ def read_stream_events(spark, sf_dir):
     root = scratch_dir(spark, "events-gz")
     whole = F.to_json(F.struct(*contracts.names(contracts.RAW_EVENTS)))
     text = F.when(F.col("emitter_event_id").isNotNull(), whole).otherwise(
-        F.substring(whole, 1, 20)
+        F.concat(F.lit('{"broken": '), whole)
     )
     payloads = raw_events(spark, sf_dir).select(
         iso_to_ts("emitted_at").alias("ts"), text.alias("payload")

@@ -189,7 +189,7 @@ def _drop_events(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_dir(spark, "drop")
     whole = F.to_json(F.struct(*contracts.names(contracts.RAW_EVENTS)))
     has_id = F.col("emitter_event_id").isNotNull()
-    text = F.when(has_id, whole).otherwise(F.substring(whole, 1, 20))
+    text = F.when(has_id, whole).otherwise(F.concat(F.lit('{"broken": '), whole))
     raw_events(spark, sf_dir).select(text.alias("value")).write.text(path)
     return path
 

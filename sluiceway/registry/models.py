@@ -38,11 +38,7 @@ def txn_evaluator_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def txn_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = txn.management_daily_summary(txn_evaluator_daily(spark, sf_dir))
-    # The mean of group means adds quotients, whose sum depends on the order of addition. It
-    # is cut to six digits at an offset that none of these quotients falls on.
-    cut = F.floor(F.col("average_transaction_amount") * 1000000 + F.lit(0.377).cast("double"))
-    return summary.withColumn("average_transaction_amount", cut.cast("double") / 1000000)
+    return txn.management_daily_summary(txn_evaluator_daily(spark, sf_dir))
 
 
 def dlv_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,7 +73,7 @@ _cte(
         when 0 then 'High' when 1 then 'CRITICAL' when 2 then 'low' when 3 then 'medium'
         when 5 then 'high'
       end as merchant_risk_tier,
-      case when l_quantity < 50 then floor(l_extendedprice) / 256.0::double end as amount,
+      case when l_quantity < 50 then round(l_extendedprice * 100) / 16384.0::double end as amount,
       case l_returnflag when 'A' then 'online' when 'N' then 'in_store' else 'phone' end
         as channel,
       cast(case
@@ -402,7 +402,8 @@ _cte(
     """
     select cast(sum(transaction_count) as bigint) as transaction_count,
       sum(gross_amount) as gross_amount,
-      floor(avg(average_amount) * 1000000 + 0.377) / 1000000 as average_transaction_amount,
+      sum(average_amount::decimal(38,9))::double / count(average_amount)
+        as average_transaction_amount,
       cast(sum(declined_transaction_count) as bigint) as declined_transaction_count,
       sum(declined_transaction_count)::double / sum(transaction_count)::double as decline_rate,
       cast(sum(anomaly_transaction_count) as bigint) as anomaly_transaction_count,

@@ -298,7 +298,7 @@ query(
     from {_ORDERS} group by all""",
 )
 def trimmed(spark, sf_dir):
-    fields = layout.trim_fields(list(layout.FIELD_GRANULARITY), "month")
+    fields = layout.Layout("hour", tuple(layout.FIELD_GRANULARITY)).constant("month")
     return (
         layout.partition_columns(_orders(spark, sf_dir), "ts", fields)
         .groupBy(*fields)

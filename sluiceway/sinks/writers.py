@@ -9,12 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sluiceway.functions.slices import partition_value, slice_shift
-from sluiceway.operators.layout import (
-    layout_path,
-    partition_columns,
-    validate_fields,
-    validate_suffix,
-)
+from sluiceway.operators.layout import Layout, partition_columns, place
 from sluiceway.operators.projection import iso_text, partition_last
 
 
@@ -149,12 +144,11 @@ def write_landing(
     no suffix. Suffix segments follow the time fields and must be ``key=value``, the only
     directories that Spark writes.
     """
-    path = layout_path(root, base_prefix)
+    path = place(root, base_prefix)
     if ts is None:
         payloads.select(content).write.mode("append").option("compression", compression).text(path)
         return path
-    validate_fields(fields, granularity)
-    validate_suffix(suffix)
+    Layout(granularity, tuple(fields), tuple(suffix))
     fixed = dict(segment.partition("=")[::2] for segment in suffix)
     if not all(fixed.values()):
         raise ValueError(f"path suffix segments must be key=value to be written: {suffix}")
@@ -220,7 +214,7 @@ def object_name(
     stem_name = F.concat(object_stem(run_id), suffix.otherwise(""))
     if override is not None:
         if not override.strip() or "/" in override:
-            raise ValueError("an object name must be a non-empty file name without '/'")
+            raise ValueError("a landed object needs one plain file name")
         return F.lit(override)
     if suggested is None:
         return stem_name
@@ -273,7 +267,7 @@ def landing_manifests(
         directory += [
             F.concat(F.lit(f"{field}="), partition_value("slice_start", field)) for field in fields
         ]
-    directory += [F.lit(part) for part in suffix]
+        directory += [F.lit(part) for part in suffix]
     stem = F.when(F.col("suggested_object_name").isNotNull(), F.col("_name")).otherwise(
         object_stem("run_id")
     )

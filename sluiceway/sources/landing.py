@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from sluiceway.functions.columns import nested_to_json, try_iso_to_ts
 from sluiceway.functions.slices import partition_value, slice_floor
 from sluiceway.operators.joins import attach_manifest_metadata
-from sluiceway.operators.layout import trim_fields, validate_fields, validate_suffix
+from sluiceway.operators.layout import Layout
 
 MANIFEST_SUFFIX = ".manifest.json"
 
@@ -60,7 +60,7 @@ def read_bundle_documents(
 ) -> DataFrame:
     """One row per bundle document, its rows still nested.
 
-    ``only`` is a condition on the file, such as :func:`in_layout` of :func:`file_path`.
+    ``only`` is a condition on the file, such as ``Layout.in_folders`` of :func:`file_path`.
     A ``rows`` value that is not an array of objects fails the read. ``json_columns`` are
     parsed as VARIANT so that nested values become text when exploded. Keys outside
     ``row_schema`` are dropped, or kept as text in ``_extra`` with ``keep_unknown``, which
@@ -210,54 +210,16 @@ def read_manual_lines(spark: SparkSession, prefix: str, *, root: str) -> DataFra
     )
 
 
-# Above this many directories Spark lists the whole landing area in parallel, which is
-# quicker than looking for them one after the other.
-MAX_LISTED_DIRECTORIES = 500
-
-
-def slice_directories(
-    calendar: DataFrame, partition_fields: Sequence[str], granularity: str
-) -> list[str]:
-    """Directories that the calendar's slices can be in, by the fields constant over a slice."""
-    prefix = trim_fields(partition_fields, granularity)
-    parts = [
-        F.concat(F.lit(f"{field}="), partition_value("slice_start", field)) for field in prefix
-    ]
-    names = calendar.select(F.concat_ws("/", *parts)).distinct().collect()
-    return sorted(row[0] for row in names)
-
-
 def slice_paths(
     root: str, calendar: DataFrame, partition_fields: Sequence[str], granularity: str
 ) -> str:
     """Glob of the directories that the calendar's slices can be in.
 
-    Only these are listed, so a run costs what its slices hold, not what the landing area
-    holds.
+    Only these are listed, however many they are, so a run costs what its slices hold and
+    not what the landing area holds.
     """
-    names = slice_directories(calendar, partition_fields, granularity)
-    if names == [""] or len(names) > MAX_LISTED_DIRECTORIES:
-        return root
-    return f"{root}/{{{','.join(names)}}}"
-
-
-def in_layout(
-    path: Column,
-    calendar: DataFrame,
-    partition_fields: Sequence[str],
-    granularity: str,
-    suffix: Sequence[str] = (),
-) -> Column:
-    """Condition on a file path: in a directory of the slices and in the suffix folder."""
-    validate_suffix(suffix)
-    folder = F.regexp_extract(path, "^(.*)/[^/]*$", 1)
-    inside = folder.endswith("/" + "/".join(suffix)) if suffix else F.lit(True)
-    prefix = trim_fields(partition_fields, granularity)
-    if not prefix:
-        return inside
-    parts = [F.regexp_extract(path, f"/({field}=[^/]*)/", 1) for field in prefix]
-    names = slice_directories(calendar, partition_fields, granularity)
-    return inside & F.concat_ws("/", *parts).isin(names)
+    names = Layout("hour", tuple(partition_fields)).directories(calendar, granularity)
+    return root if names == [""] else f"{root}/{{{','.join(names)}}}"
 
 
 def keep_selected(
@@ -273,7 +235,7 @@ def keep_selected(
     An object qualifies if it lies under the slice's path prefix and its logical date is
     inside the slice or unknown. Matching the prefix is an equi-join on its fields.
     """
-    prefix = trim_fields(partition_fields, granularity)
+    prefix = Layout("hour", tuple(partition_fields)).constant(granularity)
     inside = (logical_date >= F.col("slice_start")) & (logical_date < F.col("slice_end"))
     if not prefix:
         no_place = F.raise_error(
@@ -310,7 +272,7 @@ def landing_inventory(
     of a time directory count. Keys are relative to ``key_root``, by default the listed
     root.
     """
-    validate_fields(partition_fields, "hour")
+    layout = Layout("hour", tuple(partition_fields), tuple(suffix))
     path = F.col("path")
     try:
         files = (
@@ -322,8 +284,8 @@ def landing_inventory(
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], INVENTORY)
         raise
-    wanted = in_layout(path, calendar, partition_fields, granularity, suffix)
-    objects = files.where(~path.endswith(MANIFEST_SUFFIX) & wanted).select(
+    wanted = ~path.endswith(MANIFEST_SUFFIX) & layout.in_folders(path)
+    objects = files.where(wanted).select(
         landing_key(key_root or root, path).alias("_landing_key"),
         "length",
         *[F.regexp_extract(path, f"/{f}=([^/]*)/", 1).alias(f) for f in partition_fields],

@@ -212,29 +212,22 @@ def test_reconcile_single_slice_takes_undated_outputs(spark):
 
 
 def test_partition_fields(spark):
-    assert layout.default_partition_fields("quarter") == ("year", "quarter")
-    assert layout.default_partition_fields("year") == ("year",)
-    assert layout.trim_fields(list(layout.FIELD_GRANULARITY), "month") == (
-        "year",
-        "quarter",
-        "year_quarter",
-        "month",
-        "year_month",
-    )
-    with pytest.raises(ValueError, match="too fine-grained"):
-        layout.validate_fields(["year_quarter", "date"], "quarter")
-    with pytest.raises(ValueError, match="unknown"):
-        layout.validate_fields(["week"], "day")
+    assert layout.Layout("quarter").fields == ("year", "quarter")
+    assert layout.Layout("year").fields == ("year",)
+    whole = layout.Layout("hour", tuple(layout.FIELD_GRANULARITY))
+    assert whole.constant("month") == ("year", "quarter", "year_quarter", "month", "year_month")
+    with pytest.raises(ValueError, match="'date' changes within a quarter"):
+        layout.Layout("quarter", ("year_quarter", "date"))
+    with pytest.raises(ValueError, match="'week' is not a time field"):
+        layout.Layout("day", ("week",))
     df = spark.range(1).withColumn("ts", F.lit("2025-03-16T12:00:00Z").cast("timestamp"))
     row = layout.partition_columns(df, "ts", list(layout.FIELD_GRANULARITY)).first()
     assert (row.year_quarter, row.date, row.year_month) == ("2025Q1", "2025_03_16", "2025_03")
     assert (row.year, row.quarter, row.month, row.day, row.hour) == ("2025", "Q1", "03", "16", "12")
 
 
-def test_layout_path():
-    parts = ["year=2026", "month=03"]
-    found = layout.layout_path("/r/", "client=a/", parts, ["api=x", "files"])
-    assert found == "/r/client=a/year=2026/month=03/api=x/files"
-    assert layout.layout_path("s3a://b/r", None) == "s3a://b/r"
-    with pytest.raises(ValueError, match="path suffix"):
-        layout.layout_path("/r", None, suffix=["a/b"])
+def test_place():
+    assert layout.place("/r/", "tenant=t/", "set=1", None, "") == "/r/tenant=t/set=1"
+    assert layout.place("s3a://b/r", None) == "s3a://b/r"
+    with pytest.raises(ValueError, match="not a folder name"):
+        layout.Layout("day", None, ("a/b",))
