@@ -282,27 +282,27 @@ query("health_stream", "select * from evt_health", "evt_health")(
 )
 
 
-@query("device_state_stream", "select * from evt_devices", "evt_devices")
-def device_state_stream(spark, sf_dir):
-    path = scratch_dir(spark, "devices")
-    state = marts.device_state_stream(_staged_stream(spark, sf_dir))
-
-    def publish(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(path)
-
-    _finish(
-        state.writeStream.outputMode("complete")
-        .foreachBatch(publish)
-        .option("checkpointLocation", scratch_dir(spark, "devices-checkpoint"))
-        .trigger(**NOW)
-    )
-    return spark.read.schema(state.schema).parquet(path)
+query("device_state_stream", "select * from evt_devices", "evt_devices")(
+    lambda s, d: _streamed_marts(s, d).device_status(s)
+)
 
 
-@query("stream_build", "select * from evt_health", "evt_health")
-def stream_build(spark, sf_dir):
+def _stream_build(spark: SparkSession, sf_dir: str) -> marts.EventMarts:
     root = scratch_dir(spark, "stream-build")
-    built = marts.stream_build(
+    return marts.stream_build(
         spark, _drop_events(spark, sf_dir), root, f"{root}/checkpoint", FILES_PER_BATCH
     )
-    return built.health.read(spark)
+
+
+query("stream_build", "select * from evt_health", "evt_health")(
+    lambda s, d: _stream_build(s, d).health.read(s)
+)
+query("stream_build_site_daily", "select * from evt_site_daily", "evt_site_daily")(
+    lambda s, d: _stream_build(s, d).site_daily.read(s)
+)
+query("stream_build_sensor_events", "select * from evt_published", "evt_published")(
+    lambda s, d: _stream_build(s, d).sensor_events.read(s)
+)
+query("stream_build_device_status", "select * from evt_devices", "evt_devices")(
+    lambda s, d: _stream_build(s, d).device_status(s)
+)

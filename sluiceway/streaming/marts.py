@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -38,6 +39,12 @@ SITE_DAILY = """
     avg_temperature_c DOUBLE, avg_pressure_kpa DOUBLE, warning_event_count BIGINT,
     missing_pressure_event_count BIGINT, event_date DATE
 """
+SENSOR_EVENTS = """
+    workflow_name STRING, source_preset_id STRING, source_scenario_name STRING,
+    emitter_event_id STRING, emitted_at TIMESTAMP, device_id STRING, site_id STRING,
+    device_type STRING, temperature_c DOUBLE, pressure_kpa DOUBLE, device_status STRING,
+    event_date DATE
+"""
 HEALTH = """
     event_count BIGINT, distinct_device_count BIGINT, distinct_site_count BIGINT,
     warning_event_count BIGINT, missing_pressure_event_count BIGINT, event_date DATE
@@ -45,7 +52,7 @@ HEALTH = """
 
 
 def upsert_latest_events(
-    table: VersionedTable, staged: DataFrame, batch: int
+    table: VersionedTable, staged: DataFrame, batch: int, source: str = "direct"
 ) -> list[date | None]:
     """Merge staged events into the table; returns the dates that changed.
 
@@ -58,7 +65,7 @@ def upsert_latest_events(
         latest_by(staged, ["emitter_event_id"], evt.NEWEST_FIRST).select(*evt.EVENT_COLUMNS),
         "events-batch",
     )
-    current = table.read(spark, through=batch - 1)
+    current = table.before(spark, batch, source)
     moved_from = current.join(
         incoming.select("emitter_event_id"), "emitter_event_id", "left_semi"
     ).select("event_date")
@@ -71,13 +78,13 @@ def upsert_latest_events(
         ["emitter_event_id"],
         evt.NEWEST_FIRST,
     )
-    table.replace(merged, dates, batch)
+    table.replace(merged, dates, batch, source)
     return dates
 
 
 @dataclass(frozen=True)
 class EventMarts:
-    """The event table and its two daily marts, under one root and one checkpoint."""
+    """The event table and the four published marts, under one root and one checkpoint."""
 
     root: str
 
@@ -97,41 +104,48 @@ class EventMarts:
             f"{self.root}/management_stream_health_summary", HEALTH, arrange=GROUPED
         )
 
-    def process_batch(self, staged: DataFrame, batch: int) -> None:
-        dates = upsert_latest_events(self.events, staged, batch)
+    @property
+    def sensor_events(self) -> VersionedTable:
+        return VersionedTable(f"{self.root}/analytics_sensor_events", SENSOR_EVENTS)
+
+    @property
+    def device_daily(self) -> VersionedTable:
+        """Newest event of each device and date, which the device status is taken from."""
+        return VersionedTable(f"{self.root}/device_daily", EVENTS, arrange=GROUPED)
+
+    def device_status(self, spark: SparkSession) -> DataFrame:
+        """Newest reading per device. An event that a newer version moved to another device
+        or date is no longer among the rows of the old one."""
+        return evt.analytics_device_latest_status(self.device_daily.read(spark))
+
+    def process_batch(self, staged: DataFrame, batch: int, source: str = "direct") -> None:
+        dates = upsert_latest_events(self.events, staged, batch, source)
         if not dates:
             return
-        changed = self.events.read(staged.sparkSession, through=batch).where(
-            on_dates("event_date", dates)
-        )
-        self.site_daily.replace(evt.analytics_site_daily_metrics(changed), dates, batch)
-        self.health.replace(evt.management_stream_health_summary(changed), dates, batch)
+        changed = self.events.read(staged.sparkSession).where(on_dates("event_date", dates))
+        devices = latest_by(changed, ["device_id", "event_date"], evt.NEWEST_FIRST)
+        for table, rows in (
+            (self.sensor_events, evt.analytics_sensor_events(changed)),
+            (self.device_daily, devices),
+            (self.site_daily, evt.analytics_site_daily_metrics(changed)),
+            (self.health, evt.management_stream_health_summary(changed)),
+        ):
+            table.replace(rows, dates, batch, source)
 
     def writer(
         self, staged: DataFrame, checkpoint: str, trigger: dict | None = None
     ) -> DataStreamWriter:
+        """The checkpoint names the source: a stream that starts over must have a new one."""
+        source = sha256(checkpoint.encode()).hexdigest()[:16]
         return (
-            staged.writeStream.foreachBatch(self.process_batch)
+            staged.writeStream.foreachBatch(
+                lambda rows, batch: self.process_batch(rows, batch, source)
+            )
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "60 seconds"}))
         )
 
 
-def device_state_stream(staged: DataFrame) -> DataFrame:
-    """Newest reading per device as a streaming aggregate, for update or complete mode.
-
-    State is one row per device. Equals the batch model as long as all versions of an
-    event come from one device, which holds for events that are only sent again.
-    """
-    reading = [name for name in evt.DEVICE_COLUMNS if name != "device_id"]
-    newest = F.max_by(F.struct(*reading), F.struct(*evt.NEWEST_FIRST))
-    return (
-        staged.groupBy("device_id")
-        .agg(newest.alias("reading"))
-        .select("device_id", *[F.col(f"reading.{name}").alias(name) for name in reading])
-    )
-
-
 def stream_build(
     spark: SparkSession, incoming: str, root: str, checkpoint: str, max_files: int | None = None
 ) -> EventMarts:

@@ -1,9 +1,12 @@
 """A date-partitioned Parquet table whose dates are replaced as a whole, atomically.
 
-Every batch writes the new content of the dates it touches under its own version, then
-one small snapshot file naming the live version of each date. Readers follow the newest
-snapshot, so they see all of a batch or none of it, and redoing a batch overwrites the
-same version.
+Every batch writes the new content of the dates it touches under a version of the table's
+own count, then one small commit folder naming the live version of each date. Readers follow
+the newest finished commit, so they see all of a batch or none of it. A commit's name says
+which source and batch it holds: redoing the last batch of a source starts from the commit
+before it, and a batch older than what the source has committed is an error. Old commits are
+removed with the versions that only they name, so what a batch lists and reads does not grow
+with the table's age.
 """
 
 from __future__ import annotations
@@ -13,7 +16,6 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.errors import AnalysisException
 
 from sluiceway.sinks.writers import BY_PARTITION, spread
 
@@ -29,41 +31,70 @@ def on_dates(column: str, dates: Sequence[date | None]) -> Column:
     return member | F.col(column).isNull() if None in dates else member
 
 
+@dataclass(frozen=True, order=True)
+class Commit:
+    number: int
+    batch: int
+    source: str
+
+    @property
+    def folder(self) -> str:
+        return f"{self.number:012d}.{self.batch}.{self.source}"
+
+
 @dataclass(frozen=True)
 class VersionedTable:
     root: str
     schema: str
     partition: str = "event_date"
     arrange: str = BY_PARTITION
+    # Commits that stay readable; older ones go when as many again have come.
+    kept: int = 20
 
     def _full_schema(self) -> T.StructType:
         return T.StructType.fromDDL(self.schema)
 
-    def _snapshots(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return spark.read.schema(
-                f"{self.partition} DATE, version BIGINT, batch BIGINT"
-            ).parquet(f"{self.root}/snapshots")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
+    def commits(self, spark: SparkSession) -> list[Commit]:
+        """Finished commits, newest first. Only folder names are read."""
+        files, path = _file_system(spark, f"{self.root}/commits")
+        if not files.exists(path):
+            return []
+        found = []
+        for status in files.listStatus(path):
+            if files.exists(_path(spark, f"{status.getPath()}/_SUCCESS")):
+                number, batch, source = status.getPath().getName().split(".", 2)
+                found.append(Commit(int(number), int(batch), source))
+        return sorted(found, reverse=True)
+
+    def base(self, spark: SparkSession, batch: int, source: str) -> Commit | None:
+        """The commit that a batch of a source starts from."""
+        commits = self.commits(spark)
+        own = next((commit for commit in commits if commit.source == source), None)
+        if own is not None and batch < own.batch:
+            raise ValueError(
+                f"batch {batch} of {source!r} comes after its batch {own.batch}; "
+                "give a restarted stream a source of its own"
+            )
+        if own is not None and batch == own.batch and own == commits[0]:
+            commits = commits[1:]
+        return commits[0] if commits else None
+
+    def snapshot(self, spark: SparkSession, commit: Commit | None = None) -> DataFrame | None:
+        """Live version per date, of a commit or the newest one."""
+        if commit is None:
+            commits = self.commits(spark)
+            if not commits:
                 return None
-            raise
-
-    def snapshot(self, spark: SparkSession, through: int | None = None) -> DataFrame | None:
-        """Live version per date, after batch ``through`` (default: the newest)."""
-        snapshots = self._snapshots(spark)
-        if snapshots is None:
-            return None
-        if through is not None:
-            snapshots = snapshots.where(F.col("batch") <= through)
-        newest = snapshots.agg(F.max("batch")).first()[0]
-        if newest is None:
-            return None
-        return snapshots.where(F.col("batch") == newest).select(self.partition, "version")
-
-    def read(self, spark: SparkSession, through: int | None = None) -> DataFrame:
-        """Live rows."""
-        live = self.snapshot(spark, through)
+            commit = commits[0]
+        return spark.read.schema(f"{self.partition} DATE, version BIGINT").parquet(
+            f"{self.root}/commits/{commit.folder}"
+        )
+
+    def read(self, spark: SparkSession, commit: Commit | None = None) -> DataFrame:
+        """Live rows, of a commit or the newest one."""
+        return self._rows(spark, self.snapshot(spark, commit))
+
+    def _rows(self, spark: SparkSession, live: DataFrame | None) -> DataFrame:
         fields = self._full_schema()
         if live is None:
             return spark.createDataFrame([], fields)
@@ -80,27 +111,67 @@ class VersionedTable:
             .select(*fields.names)
         )
 
-    def replace(self, rows: DataFrame, dates: Sequence[date | None], batch: int) -> None:
+    def before(self, spark: SparkSession, batch: int, source: str) -> DataFrame:
+        """Rows that a batch of a source starts from."""
+        base = self.base(spark, batch, source)
+        return self._rows(spark, self.snapshot(spark, base) if base else None)
+
+    def replace(
+        self, rows: DataFrame, dates: Sequence[date | None], batch: int, source: str = "direct"
+    ) -> None:
         """Make ``rows`` the whole content of ``dates``; other dates stay as they are."""
         spark = rows.sparkSession
-        before = self.snapshot(spark, batch - 1)
+        base = self.base(spark, batch, source)
+        commits = self.commits(spark)
+        commit = Commit(commits[0].number + 1 if commits else 1, batch, source)
         (
             spread(
                 rows.select(*self._full_schema().names), self.partition, arrange=self.arrange
             )
             .write.mode("overwrite")
             .partitionBy(self.partition)
-            .parquet(f"{self.root}/data/version={batch}")
+            .parquet(f"{self.root}/data/version={commit.number}")
         )
         written = (
             spark.read.schema(self._full_schema())
-            .parquet(f"{self.root}/data/version={batch}")
+            .parquet(f"{self.root}/data/version={commit.number}")
             .select(self.partition)
             .distinct()
-            .withColumn("version", F.lit(batch).cast("bigint"))
+            .withColumn("version", F.lit(commit.number).cast("bigint"))
         )
-        after = written if before is None else before.where(
-            ~on_dates(self.partition, dates)
-        ).unionByName(written)
-        # One file with a row per date: its appearance is the commit.
-        after.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/snapshots/batch={batch}")
+        after = written
+        if base is not None:
+            unchanged = self.snapshot(spark, base).where(~on_dates(self.partition, dates))
+            after = unchanged.unionByName(written)
+        # One file with a row per date: its success mark is the commit.
+        after.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/{commit.folder}")
+        if len(commits) >= 2 * self.kept:
+            self.vacuum(spark)
+
+    def vacuum(self, spark: SparkSession) -> None:
+        """Remove old commits, and data that no remaining commit names."""
+        commits = self.commits(spark)
+        remaining, old = commits[: self.kept], commits[self.kept :]
+        if not old:
+            return
+        named = {
+            row["version"]
+            for commit in remaining
+            for row in self.snapshot(spark, commit).select("version").distinct().collect()
+        }
+        files, data = _file_system(spark, f"{self.root}/data")
+        for commit in old:
+            files.delete(_path(spark, f"{self.root}/commits/{commit.folder}"), True)
+        for status in files.listStatus(data):
+            version = int(status.getPath().getName().partition("=")[2])
+            if version <= remaining[0].number and version not in named:
+                files.delete(status.getPath(), True)
+
+
+def _path(spark: SparkSession, name: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(name)
+
+
+def _file_system(spark: SparkSession, name: str):
+    path = _path(spark, name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path

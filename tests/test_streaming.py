@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from sluiceway.plans import events as evt
@@ -24,8 +25,8 @@ def staged(spark, rows):
     return evt.stg_sensor_events(raw.withColumns({k: F.lit(v) for k, v in others.items()}))
 
 
-def live(table, spark, through=None):
-    df = table.read(spark, through).select("emitter_event_id", "emission_index", "event_date")
+def live(table, spark, commit=None):
+    df = table.read(spark, commit).select("emitter_event_id", "emission_index", "event_date")
     return sorted((r[0], r[1], str(r[2])) for r in df.collect())
 
 
@@ -52,7 +53,8 @@ def test_versions_move_between_dates(spark, tmp_path):
         got = built.health.read(spark)
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     # Earlier states stay readable.
-    assert live(built.events, spark, through=0) == expected[0]
+    first = built.events.commits(spark)[-1]
+    assert live(built.events, spark, first) == expected[0]
 
 
 def test_redoing_a_batch_changes_nothing(spark, tmp_path):
@@ -68,12 +70,39 @@ def test_a_batch_that_failed_before_its_snapshot_is_invisible(spark, tmp_path):
     built = marts.EventMarts(str(tmp_path))
     built.process_batch(staged(spark, BATCHES[0]), 0)
     half = built.events.read(spark).limit(1)
-    half.write.partitionBy("event_date").parquet(f"{built.events.root}/data/version=1")
+    half.write.partitionBy("event_date").parquet(f"{built.events.root}/data/version=2")
     assert len(live(built.events, spark)) == 2
     built.process_batch(staged(spark, BATCHES[1]), 1)
     assert live(built.events, spark) == [("a", 2, "2026-03-16"), ("b", 1, "2026-03-15")]
 
 
+def test_a_new_checkpoint_loses_nothing_and_a_batch_cannot_go_back(spark, tmp_path):
+    built = marts.EventMarts(str(tmp_path))
+    for number, rows in enumerate(BATCHES[:2]):
+        built.process_batch(staged(spark, rows), number + 5, "one")
+    built.process_batch(staged(spark, BATCHES[2]), 0, "two")
+    assert live(built.events, spark) == [("a", 2, "2026-03-16"), ("b", 3, "2026-03-17")]
+    with pytest.raises(ValueError, match="batch 4 of 'one'"):
+        built.process_batch(staged(spark, BATCHES[0]), 4, "one")
+
+
+def test_device_status_follows_an_event_to_another_device(spark, tmp_path):
+    built = marts.EventMarts(str(tmp_path))
+    built.process_batch(staged(spark, [("a", "2026-03-15T12:00:05Z", 1, "d1", 1.0)]), 0)
+    built.process_batch(staged(spark, [("a", "2026-03-15T12:00:06Z", 2, "d2", 1.0)]), 1)
+    assert [r.device_id for r in built.device_status(spark).collect()] == ["d2"]
+    assert [r.device_id for r in built.sensor_events.read(spark).collect()] == ["d2"]
+
+
+def test_old_commits_and_their_data_go(spark, tmp_path):
+    table = VersionedTable(str(tmp_path), "k STRING, event_date DATE", kept=2)
+    for batch in range(7):
+        table.replace(spark.createDataFrame([(str(batch), None)], table.schema), [None], batch)
+    assert len(table.commits(spark)) <= 5
+    assert len(list((tmp_path / "data").glob("version=*"))) <= 5
+    assert [r.k for r in table.read(spark).collect()] == ["6"]
+
+
 def test_empty_batches_and_tables(spark, tmp_path):
     built = marts.EventMarts(str(tmp_path))
     assert built.events.read(spark).count() == 0
