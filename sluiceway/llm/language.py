@@ -32,8 +32,9 @@ WORDS_PER_LANGUAGE = 30_000
 GRAMS_PER_LANGUAGE = 8_000
 # Scores of words out of the vocabulary that a task remembers.
 REMEMBERED = 200_000
-# Confidence below which the pipeline rejects a document.
-LEAST_SCORE = 0.4
+# The pipeline rejects a document whose words say nothing: a score of no more than this
+# times an even guess among the languages.
+EVIDENCE = 1.05
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -228,10 +229,12 @@ def identify(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> DataFrame:
     )
 
 
-def keep_identified(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
-    """Rows whose language is known with at least ``least_score``, all columns unchanged."""
+def keep_identified(docs: DataFrame, evidence: float = EVIDENCE) -> DataFrame:
+    """Rows whose language is known, all columns unchanged. Without any labelled document
+    there is no language to know and no row stays."""
     prepare(docs.sparkSession)
     model = fit(docs)
+    least_score = evidence / max(1, len(model["langs"])) if len(model["langs"]) > 1 else 0.0
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -241,7 +244,7 @@ def keep_identified(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFr
             kept = [
                 i
                 for i, (lang, score) in enumerate(map(scorer.score, texts))
-                if lang != UNKNOWN and score >= least_score
+                if lang != UNKNOWN and score > least_score
             ]
             if kept:
                 yield batch.take(kept)
