@@ -50,9 +50,22 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_OWNED: set[str] = set()
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{scratch_root(spark)}/sluiceway/{label}-{uuid4().hex}"
+    """A new, unused path under the shared folder.
+
+    All paths of an application lie in one folder, which its driver removes when it ends.
+    """
+    owned = f"{scratch_root(spark)}/sluiceway/{spark.sparkContext.applicationId}"
+    if owned not in _OWNED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(owned)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _OWNED.add(owned)
+    return f"{owned}/{label}-{uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

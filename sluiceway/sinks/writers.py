@@ -49,7 +49,10 @@ def write_model(
     mode: str = "overwrite",
     arrange: str = BY_PARTITION,
 ) -> None:
-    """Rebuild a model as snappy Parquet, partition column last."""
+    """Rebuild a model as snappy Parquet, partition column last.
+
+    A model without rows gets an empty file, so that it can be read back with its columns.
+    """
     if partition is None:
         df.hint("rebalance").write.mode(mode).option("compression", "snappy").parquet(path)
         return
@@ -60,6 +63,20 @@ def write_model(
         .partitionBy(partition)
         .parquet(path)
     )
+    if not _has_partitions(df, path, partition):
+        # A date no row has: the type of the column is found by its directory names.
+        spark = df.sparkSession
+        empty = spark.createDataFrame([], partition_last(df, partition).schema)
+        empty.drop(partition).coalesce(1).write.mode("overwrite").parquet(
+            f"{path}/{partition}=1970-01-01"
+        )
+
+
+def _has_partitions(df: DataFrame, path: str, partition: str) -> bool:
+    spark = df.sparkSession
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}=*")
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return len(files.globStatus(pattern)) > 0
 
 
 def model_location(root: str, layer: str, name: str) -> str:

@@ -19,8 +19,11 @@ def text_event_source(
 ) -> DataFrame:
     """Undelivered events, one JSON text per row, from a folder that files drop into."""
     reader = spark.readStream
+    # The source takes one limit: a number of files, or the size of the delivery buffer.
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    else:
+        reader = reader.option("maxBytesPerTrigger", BUFFER_BYTES)
     return reader.text(path)
 
 
@@ -35,13 +38,6 @@ def kafka_event_source(spark: SparkSession, servers: str, topic: str) -> DataFra
     )
 
 
-def event_key(device_id: str = "device_id") -> Column:
-    """Key an event is published under: its device, else its site, else its own id."""
-    return F.coalesce(
-        *[F.nullif(F.col(c), F.lit("")) for c in (device_id, "site_id", "emitter_event_id")]
-    )
-
-
 def _is_deliverable() -> Column:
     return F.coalesce(F.to_json(F.try_parse_json("value")).startswith("{"), F.lit(False))
 

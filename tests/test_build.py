@@ -114,3 +114,20 @@ def test_arrangements_fit_the_models():
             if model.arrange == AS_READ:
                 (source,) = model.inputs
                 assert models[source].partition == model.partition, name
+
+
+def test_a_model_without_rows_can_be_read_back(spark, workspace, tmp_path):
+    none = spark.createDataFrame([], "k STRING, event_date DATE")
+    write_model(none, f"{tmp_path}/m", "event_date")
+    found = spark.read.parquet(f"{tmp_path}/m")
+    assert found.dtypes == none.dtypes and found.isEmpty()
+    some = spark.sql("SELECT 'a' AS k, DATE'2025-01-02' AS event_date")
+    write_model(some, f"{tmp_path}/m", "event_date")
+    assert spark.read.parquet(f"{tmp_path}/m").count() == 1
+    write_model(none, f"{tmp_path}/m", "event_date")
+    assert spark.read.parquet(f"{tmp_path}/m").isEmpty()
+
+
+def test_selection_on_both_sides_leaves_siblings_out():
+    chosen = build.select_models(build.TRANSACTION_MODELS, ["+gold_transactions+"])
+    assert "gold_transactions" in chosen and "gold_answer_keys" not in chosen
