@@ -131,8 +131,27 @@ _BEFORE_SEPARATOR = r'\G((?:"(?:[^"\\]++|\\.)*+"|[^",:]++)*+)([,:])'
 
 
 def sorted_json(value: Column | str) -> Column:
-    """JSON text of a VARIANT, keys sorted, with a blank after ``,`` and ``:``."""
-    return F.regexp_replace(F.to_json(_col(value)), _BEFORE_SEPARATOR, "$1$2 ")
+    """JSON text of a VARIANT, keys sorted, with a blank after ``,`` and ``:``, in ASCII."""
+    return ascii_json(F.regexp_replace(F.to_json(_col(value)), _BEFORE_SEPARATOR, "$1$2 "))
+
+
+def ascii_json(text: Column) -> Column:
+    """JSON text with every character beyond ASCII as ``\\uXXXX``, in pairs above U+FFFF."""
+
+    def escaped(code: Column) -> Column:
+        return F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(code)), 4, "0"))
+
+    def character(c: Column) -> Column:
+        code = F.ascii(c)
+        above = code - 0x10000
+        pair = F.concat(
+            escaped(F.shiftright(above, 10) + 0xD800),
+            escaped(above.bitwiseAND(F.lit(0x3FF)) + 0xDC00),
+        )
+        return F.when(code < 128, c).when(code < 0x10000, escaped(code)).otherwise(pair)
+
+    whole = F.array_join(F.transform(F.split(text, ""), character), "")
+    return F.when(text.rlike(r"[^\x00-\x7F]"), whole).otherwise(text)
 
 
 def nested_to_json(value: Column | str) -> Column:

@@ -305,11 +305,18 @@ def standardize_slices(
         "standardize-bundles",
     )
     annotated = annotate_bundle(staged, bundles, standardized_at)
+    # The folder of a bundle has the name that its key ends in, so the key leads to it.
     write_bundle(
-        annotated.select("slice_start", *kind.columns, *contracts.names(contracts.BUNDLE_LINEAGE)),
+        annotated.select(
+            "slice_start",
+            *kind.columns,
+            *contracts.names(contracts.BUNDLE_LINEAGE),
+            F.concat("_raw_bundle_id", F.lit(".parquet")).alias("slice_id"),
+        ),
         place(job.processed_root, job.processed_prefix),
         "slice_start",
         job.processed_fields,
+        below=("slice_id",),
     )
     write_manifests(
         bundle_manifests(bundles, job, standardized_at, selector_mode),

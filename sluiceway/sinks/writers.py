@@ -84,18 +84,22 @@ def model_location(root: str, layer: str, name: str) -> str:
 
 
 def write_bundle(
-    df: DataFrame, root: str, ts: Column | str, fields: Sequence[str] = ("year", "month", "day")
+    df: DataFrame,
+    root: str,
+    ts: Column | str,
+    fields: Sequence[str] = ("year", "month", "day"),
+    below: Sequence[str] = (),
 ) -> None:
     """Append standardized rows under ``root/<field>=.../``.
 
-    An empty frame adds no partition directory.
+    Columns in ``below`` give further directories. An empty frame adds no directory.
     """
     rows = partition_columns(df, ts, fields)
     (
         spread(rows, *fields)
         .write.mode("append")
         .option("compression", "snappy")
-        .partitionBy(*fields)
+        .partitionBy(*fields, *below)
         .parquet(root)
     )
 

@@ -15,6 +15,7 @@ def _read_raw(spark: SparkSession, root: str, schema: str) -> DataFrame:
         .option("basePath", root)
         .option("pathGlobFilter", "*.parquet")
         .parquet(root)
+        .drop("slice_id")  # the folder of a bundle, which its rows name in full
     )
 
 

@@ -92,6 +92,7 @@ def test_file_name(spark):
         ["a,b", {"k": True}],
         [[1, 2], [3]],
         {"": {"": [""]}},
+        {"é": ["ß, \u4e2d: \U0001f600", "plain"]},
     ],
 )
 def test_nested_values_match_sorted_json(spark, document):
