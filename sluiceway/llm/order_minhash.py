@@ -36,7 +36,8 @@ SIMILARITY = 0.8
 # probability 0.8 ** 6 = 0.26 at least, so all 24 miss a pair once in 1400 times.
 SKETCHES = 24
 SAMPLED = 6
-# Documents of a bucket that are compared with all others in one round.
+# Documents of a bucket that are compared with all others in the first round. Each round
+# takes twice as many of what is left, so the number of rounds stays small.
 CENTRES = 4
 REMEMBERED = 400_000
 
@@ -97,19 +98,23 @@ def labelled(keys: np.ndarray) -> np.ndarray:
 def sketches(keys: np.ndarray) -> list[int]:
     """One signed number per sketch: its sampled keys, in text order, folded."""
     keys = labelled(keys)
-    found = []
-    for number in range(SKETCHES):
-        if len(keys) > SAMPLED:
-            ranks = _mix(keys ^ _mix(np.uint64([number + 1]) * _ODD))
-            picked = np.sort(np.argpartition(ranks, SAMPLED)[:SAMPLED])
-            sample = keys[picked]
-        else:
-            sample = keys
-        folded = np.uint64([number])
-        for key in sample:
-            folded = _mix(folded * _ODD + key)
-        found.append(int(folded.view(np.int64)[0]))
-    return found
+    numbers = np.arange(1, SKETCHES + 1, dtype=np.uint64)
+    if len(keys) > SAMPLED:
+        salts = _mix(numbers * _ODD)
+        together = max(1, (1 << 20) // len(keys))  # sketches of a long text in parts
+        picked = [
+            np.argpartition(_mix(keys ^ salts[at : at + together, None]), SAMPLED, axis=1)[
+                :, :SAMPLED
+            ]
+            for at in range(0, SKETCHES, together)
+        ]
+        sample = keys[np.sort(np.concatenate(picked), axis=1)]
+    else:
+        sample = np.broadcast_to(keys, (SKETCHES, len(keys)))
+    folded = numbers
+    for place in range(sample.shape[1]):
+        folded = _mix(folded * _ODD + sample[:, place])
+    return folded.view(np.int64).tolist()
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
@@ -274,17 +279,19 @@ def classes(docs: DataFrame) -> DataFrame:
             sequences(docs, members.select("node").distinct()), "sequences"
         )
         links, compared, labels = None, None, None
+        number = CENTRES
         while not members.isEmpty():
-            pairs, centres = _round(members, labels)
-            centres = scratch.stage(centres, "centres")
-            pairs = pairs(centres)
+            centres = scratch.stage(_centres(members, number), "centres")
+            number *= 2
+            pairs = _pairs(members, centres, labels)
             if compared is not None:
                 pairs = pairs.join(compared, ["a", "b"], "left_anti")
             pairs = scratch.stage(pairs, "pairs")
             compared = pairs if compared is None else compared.unionByName(pairs)
             near = scratch.stage(verified(pairs, keys), "near")
-            links = near if links is None else links.unionByName(near)
-            labels = components(links, scratch)
+            if labels is None or not near.isEmpty():
+                links = near if links is None else links.unionByName(near)
+                labels = components(links, scratch)
             members = scratch.stage(_rest(members, centres, labels), "buckets")
         named = own.select("doc", "node").distinct()
         if labels is not None:
@@ -299,31 +306,29 @@ def classes(docs: DataFrame) -> DataFrame:
         return stage(result, "near-classes")
 
 
-def _round(members: DataFrame, labels: DataFrame | None):
-    """Centres of each bucket, and how to pair them with the rest of it."""
+def _centres(members: DataFrame, number: int) -> DataFrame:
+    """The smallest documents of each bucket."""
     order = Window.partitionBy("bucket").orderBy("node")
-    centres = (
+    return (
         members.withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= CENTRES)
+        .where(F.col("place") <= number)
         .select("bucket", F.col("node").alias("a"), F.col("size").alias("size_a"))
     )
 
-    def pairs(centres: DataFrame) -> DataFrame:
-        both = members.join(centres, "bucket").where(
-            (F.col("a") < F.col("node"))
-            & (F.least("size", "size_a") >= SIMILARITY * F.greatest("size", "size_a"))
-        )
-        found = both.select("a", F.col("node").alias("b")).distinct()
-        if labels is None:
-            return found
-        of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("label_a"))
-        of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("label_b"))
-        known = found.join(of_a, "a", "left").join(of_b, "b", "left")
-        return known.where(
-            F.coalesce("label_a", "a") != F.coalesce("label_b", "b")
-        ).select("a", "b")
-
-    return pairs, centres
+
+def _pairs(members: DataFrame, centres: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Centres with the rest of their bucket, as far as class and length leave it open."""
+    both = members.join(centres, "bucket").where(
+        (F.col("a") < F.col("node"))
+        & (F.least("size", "size_a") >= SIMILARITY * F.greatest("size", "size_a"))
+    )
+    found = both.select("a", F.col("node").alias("b")).distinct()
+    if labels is None:
+        return found
+    of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("label_a"))
+    of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("label_b"))
+    known = found.join(of_a, "a", "left").join(of_b, "b", "left")
+    return known.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
 
 
 def _rest(members: DataFrame, centres: DataFrame, labels: DataFrame) -> DataFrame:
