@@ -12,7 +12,9 @@ Each entry carries the length of the prefix it shares with its neighbour: what p
 suffixes with one symbol shares one more than the least value between them in the scan, kept
 on a stack. Lengths are cut off at ``cap``, so the stack never holds more than that.
 
-Strings and results lie in files of ``folder``; memory holds the tops of the queues.
+Strings, names, queues beyond their limit and results lie in files of ``folder``. Memory holds
+the tops of the queues, the places of the seeds (at most half as many as symbols), and what
+the caller gives and gets: the bytes and one mark for each.
 """
 
 from __future__ import annotations

@@ -114,7 +114,9 @@ def removals(docs: DataFrame) -> DataFrame:
     spark = prepare(docs.sparkSession)
     with Scratch(spark) as scratch:
         chunks = scratch.stage(chunk_table(docs), "line-chunks")
-        again = chunks.drop("body").join(repeated(chunks), "key")
+        # Written first, so that the join can split the rows of a hot chunk.
+        keys = scratch.stage(repeated(chunks), "repeated-chunks")
+        again = chunks.drop("body").join(keys, "key")
         # All chunks of a document meet in one row, which its length bounds.
         spans = again.groupBy("doc_id", "text_hash").agg(
             F.sort_array(
