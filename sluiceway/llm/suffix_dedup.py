@@ -57,22 +57,32 @@ class Anchors:
                 powers[0] = 1
                 setattr(self, name, np.cumprod(powers, dtype=np.uint64))
 
-    def hashes(self, data: np.ndarray) -> np.ndarray:
-        """Hash of the ``anchor`` bytes from every place, by differences of prefix sums."""
-        count = len(data) - self.anchor + 1
+    def sums(self, data: np.ndarray) -> np.ndarray:
+        """Prefix sums, whose differences are the hashes of the strings between."""
         self._powers(len(data))
         sums = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(data * self.down[: len(data)], dtype=np.uint64, out=sums[1:])
+        return sums
+
+    def hashes(self, sums: np.ndarray) -> np.ndarray:
+        """Hash of the ``anchor`` bytes from every place."""
+        count = len(sums) - self.anchor
         values = (sums[self.anchor :] - sums[: -self.anchor]) * self.up[:count]
         values ^= values >> np.uint64(32)
         values *= np.uint64(0xD6E8FEB86659FD93)
         return values ^ (values >> np.uint64(32))
 
+    def repeats(self, sums: np.ndarray, begin: int, stop: int) -> bool:
+        """Whether two strings of ``length`` from these starts have one hash."""
+        values = sums[begin + self.length : stop + self.length] - sums[begin:stop]
+        return len(np.unique(values * self.up[begin:stop])) < stop - begin
+
     def sections(self, raw: bytes) -> list[tuple[int, int, int, bool]]:
-        """Begin, length, anchor, and whether the anchor occurs twice in the section."""
+        """Begin, length, anchor, and whether the section may repeat itself."""
         if len(raw) < self.length:
             return []
-        values = self.hashes(np.frombuffer(raw, dtype=np.uint8).astype(np.uint64))
+        sums = self.sums(np.frombuffer(raw, dtype=np.uint8).astype(np.uint64))
+        values = self.hashes(sums)
         width = self.length - self.anchor + 1
         rows = np.full(-(-len(values) // width) * width, _TOP, dtype=np.uint64)
         rows[: len(values)] = values
@@ -86,12 +96,11 @@ class Anchors:
         begins = np.concatenate([[0], cuts])
         stops = np.concatenate([cuts, [starts]])
         anchors = least[begins]
-        # An anchor that stands twice in its section may make the section repeat itself.
+        # Only a section in which its anchor stands twice can repeat itself.
         found = []
         for begin, stop, anchor in zip(begins.tolist(), stops.tolist(), anchors.tolist()):
-            twice = stop - begin > width or (
-                int(np.count_nonzero(values[begin : stop + width - 1] == anchor)) > 1
-            )
+            inside = values[begin : stop + width - 1] == anchor
+            twice = int(np.count_nonzero(inside)) > 1 and self.repeats(sums, begin, stop)
             signed = anchor - (1 << 64) if anchor >> 63 else anchor
             found.append((begin, stop - begin - 1 + self.length, signed, twice))
         return found
