@@ -1,11 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+"""Benchmark decontamination: n-gram seeds, then local alignment.
 
-Words of a document that occur in the benchmark are numbered, all others become a hole. The
-n-grams of the test items are counted over the whole corpus, and each item takes the rarest
-share of its n-grams as seeds, so common phrases start nothing while an item that leaked into
-many documents keeps its seeds. Around the seeds a document shares with an item, a
-Smith-Waterman alignment of words scores the passage; edited and paraphrased copies lose a
-little of the score for each change.
+Words of a document that occur in the benchmark are numbered, all others become a hole. Every
+n-gram of a test item is a seed: which of them an edited copy keeps is not known, so none is
+left out as common. An item that has too few of its words in the document to reach the least
+score is passed over. Around the seeds a document shares with an item, a Smith-Waterman
+alignment of words scores the passage; edited and paraphrased copies lose a little of the
+score for each change.
 
 The test items come in blocks of a fixed number, each small enough to send to every task;
 all documents are compared with every block.
@@ -25,12 +25,11 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from sluiceway.llm.common import Scratch, map_batches, narrow, prepare, stage
+from sluiceway.llm.common import map_batches, narrow, prepare, stage
 
 WORD = re.compile(r"\w+")
-# Words of a seed, and the share of an item's seeds that are tried, rarest first.
+# Words of a seed.
 SEED_WORDS = 3
-RARE_SHARE = 0.75
 # Points of an alignment; the score is their sum per word of the item.
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 LEAST_SCORE = 0.5
@@ -61,6 +60,10 @@ class Items:
                 owners.setdefault(key, set()).add((at, place))
         self.grams = np.array(sorted(owners), dtype=np.int64)
         self.owners = [sorted(owners[key]) for key in self.grams.tolist()]
+        # Words of all items in a row, where each begins, and how many it has.
+        self.lengths = np.array([len(ids) for _, ids in self.items], dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.concatenate([ids for _, ids in self.items] or [np.empty(0, np.int32)])
 
     def keys(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the n-grams without holes, and their places."""
@@ -76,6 +79,13 @@ class Items:
         places = np.flatnonzero(full)
         return key[places], places
 
+    def possible(self, ids: np.ndarray) -> np.ndarray:
+        """Whether enough words of an item stand anywhere in a document to reach the score."""
+        present = np.zeros(len(self.vocabulary), dtype=np.int64)
+        present[ids[ids >= 0]] = 1
+        words = np.add.reduceat(present[self.flat], self.starts)
+        return words * MATCH >= LEAST_SCORE * self.lengths
+
     def find(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Indexes of the known n-grams in a document, and their places."""
         keys, places = self.keys(ids)
@@ -158,14 +168,16 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     return best
 
 
-def score_document(items: Items, seeds: np.ndarray, ids: np.ndarray) -> list[tuple]:
+def score_document(items: Items, ids: np.ndarray) -> list[tuple]:
     """Items that the document holds: item id, score, begin, stop, number of seeds."""
     grams, places = items.find(ids)
-    chosen = seeds[grams]
+    if not len(grams):
+        return []
+    possible = items.possible(ids).tolist()
     touched: dict[int, list[int]] = {}
-    for gram, place in zip(grams[chosen].tolist(), places[chosen].tolist()):
+    for gram, place in zip(grams.tolist(), places.tolist()):
         for at, inside in items.owners[gram]:
-            if (at, inside) in items.rare:
+            if possible[at]:
                 touched.setdefault(at, []).append(place - inside)
     found = []
     for at, begins in touched.items():
@@ -201,7 +213,7 @@ def _merge(begins: list[int], margin: int) -> list[tuple[int, int]]:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and test item it holds: best score and where, in words."""
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     source = narrow(docs).where("text != ''")
     tests = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string")
@@ -211,8 +223,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for block in range(blocks):
         rows = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         items = Items(sorted(map(tuple, rows.collect()), key=repr))
-        with Scratch(spark) as scratch:
-            part = stage(_block(scratch, source, items), "decontaminate")
+        part = stage(_block(source, items), "decontaminate")
         found = part if found is None else found.unionByName(part)
     best = F.max_by(F.struct("score", "begin", "stop", "seeds"), F.struct("score", -F.col("begin")))
     return (
@@ -222,76 +233,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _block(scratch: Scratch, source: DataFrame, items: Items) -> DataFrame:
+def _block(source: DataFrame, items: Items) -> DataFrame:
     context = source.sparkSession.sparkContext
     shared = context.broadcast(items)
 
-    def number(batches: Iterator[dict]) -> Iterator[dict]:
+    def score(batches: Iterator[dict]) -> Iterator[dict]:
         items = shared.value
         numbers = Numbers(items)
-        for batch in batches:
-            out = {"doc_id": [], "ids": []}
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = numbers.of(text)
-                if len(items.find(ids)[0]):
-                    out["doc_id"].append(doc_id)
-                    out["ids"].append(ids.tobytes())
-            if out["doc_id"]:
-                yield out
-
-    numbered = scratch.stage(
-        map_batches(source, number, "doc_id long, ids binary"), "benchmark-words"
-    )
-
-    def count(batches: Iterator[dict]) -> Iterator[dict]:
-        items = shared.value
-        times = np.zeros(len(items.grams), dtype=np.int64)
-        for batch in batches:
-            for raw in batch["ids"]:
-                grams, _ = items.find(np.frombuffer(raw, dtype=np.int32))
-                times[np.unique(grams)] += 1
-        at = np.flatnonzero(times)
-        yield {"gram": at.tolist(), "documents": times[at].tolist()}
-
-    counts = (
-        map_batches(numbered, count, "gram long, documents long")
-        .groupBy("gram")
-        .agg(F.sum("documents").alias("documents"))
-    )
-    # One row per n-gram of the block's items at most.
-    frequency = {row["gram"]: row["documents"] for row in counts.collect()}
-    items.rare = rare_seeds(items, frequency)
-    chosen = np.array(
-        [any(owner in items.rare for owner in owners) for owners in items.owners], dtype=bool
-    )
-    ready = context.broadcast((items, chosen))
-
-    def score(batches: Iterator[dict]) -> Iterator[dict]:
-        items, chosen = ready.value
         names = [part.split()[0] for part in HITS.split(", ")]
         for batch in batches:
             rows = [
                 (doc_id, *hit)
-                for doc_id, raw in zip(batch["doc_id"], batch["ids"])
-                for hit in score_document(items, chosen, np.frombuffer(raw, dtype=np.int32))
+                for doc_id, text in zip(batch["doc_id"], batch["text"])
+                for hit in score_document(items, numbers.of(text))
             ]
             if rows:
                 yield dict(zip(names, zip(*rows)))
 
-    return map_batches(numbered, score, HITS)
-
-
-def rare_seeds(items: Items, frequency: dict[int, int]) -> set[tuple[int, int]]:
-    """The n-grams each item starts from, as (item, place): the rarest share of them."""
-    of_item: dict[int, list[tuple[int, int]]] = {}
-    for gram, owners in enumerate(items.owners):
-        for at, place in owners:
-            of_item.setdefault(at, []).append((frequency.get(gram, 0), place))
-    return {
-        (at, place)
-        for at, found in of_item.items()
-        for _, place in sorted(found)[: math.ceil(RARE_SHARE * len(found))]
-    }
+    return map_batches(source, score, HITS)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -355,6 +355,18 @@ def test_edited_and_common_test_items_are_found(spark):
     assert found == {(d, i) for d in (0, *range(3, 33)) for i in (7, 8)}
 
 
+def test_lone_copies_with_every_fourth_word_edited_are_found(spark):
+    items = [[f"i{i}w{k}" for k in range(16)] for i in range(8)]
+    copies = [[f"x{k}" if k % 4 == 2 else w for k, w in enumerate(item)] for item in items]
+    texts = [" ".join([*(f"f{k}" for k in range(20)), *copy, "end"]) for copy in copies]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = [(i, " ".join(item)) for i, item in enumerate(items)]
+    tests = spark.createDataFrame(made, "item_id long, text string")
+    found = decontaminate.contaminated(docs, tests).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(i, i) for i in range(8)}
+    assert all(r["score"] > 0.5 for r in found)
+
+
 def test_pipeline_stages(spark, sf_dir, documents):
     """Each stage against the operators' own results on what the stage before has kept."""
     docs = table(spark, sf_dir, "documents")
