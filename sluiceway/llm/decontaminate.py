@@ -37,7 +37,7 @@ LEAST_SCORE = 0.5
 ITEMS_PER_BLOCK = 2_000
 REMEMBERED = 400_000
 
-HITS = "doc_id long, item_id long, score double, begin int, stop int, seeds int"
+HITS = "doc_id long, text_hash long, item_id long, score double, begin int, stop int, seeds int"
 _SKIP, _MANY = -2, -3
 
 
@@ -213,8 +213,19 @@ def _merge(begins: list[int], margin: int) -> list[tuple[int, int]]:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and test item it holds: best score and where, in words."""
+    best = F.max_by(F.struct("score", "begin", "stop", "seeds"), F.struct("score", -F.col("begin")))
+    return (
+        _hits(docs, benchmark)
+        .groupBy("doc_id", "item_id")
+        .agg(best.alias("best"))
+        .select("doc_id", "item_id", "best.*")
+    )
+
+
+def _hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per row of ``docs`` and test item it holds, see ``HITS``."""
     prepare(docs.sparkSession)
-    source = narrow(docs).where("text != ''")
+    source = narrow(docs).where("text != ''").withColumn("text_hash", F.xxhash64("text"))
     tests = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string")
     ).where("text IS NOT NULL AND text != ''")
@@ -225,12 +236,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         items = Items(sorted(map(tuple, rows.collect()), key=repr))
         part = stage(_block(source, items), "decontaminate")
         found = part if found is None else found.unionByName(part)
-    best = F.max_by(F.struct("score", "begin", "stop", "seeds"), F.struct("score", -F.col("begin")))
-    return (
-        found.groupBy("doc_id", "item_id").agg(best.alias("best")).select(
-            "doc_id", "item_id", "best.*"
-        )
-    )
+    return found
 
 
 def _block(source: DataFrame, items: Items) -> DataFrame:
@@ -243,8 +249,10 @@ def _block(source: DataFrame, items: Items) -> DataFrame:
         names = [part.split()[0] for part in HITS.split(", ")]
         for batch in batches:
             rows = [
-                (doc_id, *hit)
-                for doc_id, text in zip(batch["doc_id"], batch["text"])
+                (doc_id, digest, *hit)
+                for doc_id, digest, text in zip(
+                    batch["doc_id"], batch["text_hash"], batch["text"]
+                )
                 for hit in score_document(items, numbers.of(text))
             ]
             if rows:
@@ -254,7 +262,13 @@ def _block(source: DataFrame, items: Items) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose document holds no test item; rows without an id by their text."""
-    hits = contaminated(docs, benchmark).select(F.col("doc_id").alias("_hit")).distinct()
-    hits = stage(hits, "contaminated")
-    return docs.join(hits, docs["doc_id"].cast("long").eqNullSafe(hits["_hit"]), "left_anti")
+    """Rows of ``docs`` that hold no test item; a row is named by its id and text, so a clean
+    one stays whatever others have its id or none."""
+    hits = _hits(docs, benchmark).select(
+        F.col("doc_id").alias("_hit"), F.col("text_hash").alias("_hit_text")
+    )
+    hits = stage(hits.distinct(), "contaminated")
+    same = docs["doc_id"].cast("long").eqNullSafe(hits["_hit"]) & (
+        F.xxhash64(docs["text"].cast("string")) == hits["_hit_text"]
+    )
+    return docs.join(hits, same, "left_anti")

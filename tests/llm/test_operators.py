@@ -367,6 +367,15 @@ def test_lone_copies_with_every_fourth_word_edited_are_found(spark):
     assert all(r["score"] > 0.5 for r in found)
 
 
+def test_clean_rows_with_the_id_of_a_contaminated_one_stay(spark):
+    item = "one two three four five six seven eight"
+    made = [(None, item), (None, "clean without id"), (5, item), (5, "clean with id"), (None, None)]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    tests = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = {(r["doc_id"], r["text"]) for r in decontaminate.keep_clean(docs, tests).collect()}
+    assert kept == {(None, "clean without id"), (5, "clean with id"), (None, None)}
+
+
 def test_pipeline_stages(spark, sf_dir, documents):
     """Each stage against the operators' own results on what the stage before has kept."""
     docs = table(spark, sf_dir, "documents")
