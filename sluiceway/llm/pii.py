@@ -6,13 +6,14 @@ beside a span are its lexical patterns: the word before, the two words before, t
 after, each together with the shape of the span. Patterns and instances form a graph that is
 scored in rounds: a pattern is as good for a kind as the share of its instances known to be
 of that kind, an instance as probable as at least one of its good patterns being right. A
-candidate that reaches the least score for a kind is added as a span of it.
+candidate that reaches the least score for a kind is added as a span of it, and in the next
+round it counts like a seed, so it can bring up patterns of its own.
 
 All of it is DataFrame functions; matches are located by splitting a text at them.
 
 Defined results: null and empty texts have no span and the digest of an empty text; rows
 with equal ids are handled each, as are equal rows; an empty table gives no rows. Patterns
-need a number of different seeds, so equal copies of one text do not make a pattern. Extra
+need a number of different seeds or added candidates, so equal copies of one text do not make a pattern. Extra
 columns play no part.
 """
 
@@ -40,8 +41,8 @@ CANDIDATE = (
 )
 LEAST_DIGITS = 7
 
-# Rounds of scoring. A pattern needs so many different seeds of a kind and, smoothed by
-# PRIOR instances, so high a share of it; an instance needs so high a score.
+# Rounds of scoring. A pattern needs so many different seeds or added candidates of a kind
+# and, smoothed by PRIOR instances, so high a share of it; an instance needs so high a score.
 ROUNDS = 3
 LEAST_SEEDS = 3
 LEAST_CONFIDENCE = 0.6
@@ -191,7 +192,7 @@ def discovered(spans: DataFrame, scratch: Scratch) -> DataFrame:
             .groupBy(*pattern, F.col("as").alias("kind"))
             .agg(
                 F.sum("score").alias("mass"),
-                F.count(F.when(F.col("score") == 1.0, 1)).alias("seeds"),
+                F.count(F.when(F.col("score") >= LEAST_SCORE, 1)).alias("seeds"),
             )
             .where(F.col("seeds") >= LEAST_SEEDS)
         )
@@ -205,12 +206,17 @@ def discovered(spans: DataFrame, scratch: Scratch) -> DataFrame:
             edges.where("kind IS NULL")
             .join(patterns, pattern)
             .groupBy("value", "as")
-            .agg((1 - F.exp(F.sum(F.log(1.0 - F.col("confidence") + 1e-9)))).alias("score"))
+            # Compared as a sum of logarithms: many patterns bring the score itself to 1.0.
+            .agg(F.sum(F.log(1.0 - F.col("confidence") + 1e-9)).alias("doubt"))
             .groupBy("value")
-            .agg(F.max(F.struct("score", "as")).alias("best"))
-            .select("value", F.col("best.as").alias("kind"), F.col("best.score").alias("score"))
+            .agg(F.max(F.struct((-F.col("doubt")).alias("sure"), "as")).alias("best"))
+            .select(
+                "value",
+                F.col("best.as").alias("kind"),
+                (1 - F.exp(-F.col("best.sure"))).alias("score"),
+            )
         )
-        added = scratch.stage(scored.where(F.col("score") < 1.0), "pii-scores")
+        added = scratch.stage(scored, "pii-scores")
         known = seeds.withColumn("score", F.lit(1.0)).unionByName(
             added.join(seeds.select("value"), "value", "left_anti")
         )

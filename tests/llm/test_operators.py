@@ -262,6 +262,29 @@ def test_context_discovers_what_the_patterns_miss(spark):
     assert rows[8]["base_sha256"] == hashlib.sha256(b"").hexdigest()
 
 
+def test_context_discovers_a_value_of_many_contexts(spark):
+    places = [f"{a}{b}" for a in ("alpha", "beta", "gamma") for b in ("one", "two", "six")]
+    texts = [
+        f"please call {place} +1 555 {n:03d} {i:04d} {place} now"
+        for n, place in enumerate(places)
+        for i in range(30)
+    ]
+    hot = [f"please call {place} 555 010 7777 {place} now" for place in places]
+    docs = spark.createDataFrame(list(enumerate(texts + hot)), "doc_id long, text string")
+    rows = {row["doc_id"]: row for row in pii.find(docs).collect()}
+    assert all(rows[i]["n_phone"] == 1 for i in range(len(texts), len(texts + hot)))
+
+
+def test_context_discovers_by_what_it_discovered(spark):
+    known = [f"please call +1 555 010 {i:04d} today" for i in range(12)]
+    bridge = [f"please call 555 010 {i:04d} today" for i in range(7000, 7006)]
+    further = [f"dial mobile 555 010 {i:04d} anytime" for i in range(7000, 7007)]
+    texts = known + bridge + further
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {row["doc_id"]: row for row in pii.find(docs).collect()}
+    assert rows[len(texts) - 1]["n_phone"] == 1
+
+
 def test_near_duplicates(spark):
     rng = np.random.default_rng(2)
     vocabulary = [f"w{i}" for i in range(3000)]
