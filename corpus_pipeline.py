@@ -1,6 +1,6 @@
 """The corpus pipeline: five stages over ``documents``, each written and read again.
 
-Language ID rejects documents without a letter or whose words tell no language. Line dedup
+Language ID rejects documents without a letter or whose known words tell no language. Line dedup
 cuts out multi-line chunks that stood in an earlier document and drops documents of which
 nothing is left. Near-dedup keeps one document of each class of near copies. Decontamination
 drops documents that hold a test item. Packing, the last stage, gives the pieces of the

@@ -25,7 +25,8 @@ UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 5
 
-# The classifier is fitted on labelled documents chosen by hash, about this many in all.
+# The classifier is fitted on labelled documents chosen by hash, about this many of each
+# language, and all of a language that has fewer.
 TRAINING_DOCUMENTS = 5_000
 # Entries kept per language: the most frequent words, and n-grams of each length.
 WORDS_PER_LANGUAGE = 30_000
@@ -33,7 +34,7 @@ GRAMS_PER_LANGUAGE = 8_000
 # Scores of words out of the vocabulary that a task remembers.
 REMEMBERED = 200_000
 # The pipeline rejects a document whose words say nothing: a score of no more than this
-# times an even guess among the languages.
+# times an even guess among the languages, from words of which the model knows any.
 EVIDENCE = 1.05
 
 
@@ -46,17 +47,22 @@ def grams(word: str, n: int) -> list[str]:
 def fit(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> dict:
     """Log frequencies per language, from labelled documents outside the held-out part.
 
-    ``documents`` bounds the sample: rows are taken by a hash of id and text. The tables are
-    bounded by the number kept per language, so the model is small enough to broadcast.
+    ``documents`` bounds the sample of each language: rows are taken by a hash of id and text.
+    The tables are bounded by the number kept per language, so the model is small enough to
+    broadcast.
     """
     prepare(docs.sparkSession)
     labelled = narrow(docs, "lang").where(
         F.col("lang").isNotNull() & (F.col("text") != "") & (remainder("doc_id", 4) != 2)
     )
-    total = labelled.count()
-    share = min(1.0, documents / max(1, total))
-    picked = labelled.where(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < int(share * 1_000_000)
+    shares = stage(
+        labelled.groupBy("lang").agg((documents / F.count(F.lit(1))).alias("share")),
+        "language-shares",
+    )
+    picked = (
+        labelled.join(shares, "lang")
+        .where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < F.col("share") * 1_000_000)
+        .select("lang", "text")
     )
     words = (
         map_batches(picked, _count_words, "lang string, gram string, times long")
@@ -181,6 +187,12 @@ class Scorer:
         self.used += 1
         return at
 
+    def knows(self, text: str) -> bool:
+        """Whether the model has any letter of the text; the marks of a word's ends, which
+        every language has, tell nothing."""
+        letters, _ = self.tables.get(1, ({}, None))
+        return any(c in letters for word in WORD.findall(text.lower()) for c in word)
+
     def score(self, text: str | None) -> tuple[str, float]:
         words = WORD.findall(text.lower()) if text else []
         if not self.langs or not any(c.isalpha() for word in words for c in word):
@@ -230,8 +242,10 @@ def identify(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, evidence: float = EVIDENCE) -> DataFrame:
-    """Rows whose language is known, all columns unchanged. Without any labelled document
-    there is no language to know and no row stays."""
+    """Rows with a letter, all columns unchanged, except where words that the model knows tell
+    no language. A text of which it knows nothing, such as one in a script that no labelled
+    row has, stays. Without any labelled document there is no language to know and no row
+    stays."""
     prepare(docs.sparkSession)
     model = fit(docs)
     least_score = evidence / max(1, len(model["langs"])) if len(model["langs"]) > 1 else 0.0
@@ -244,7 +258,7 @@ def keep_identified(docs: DataFrame, evidence: float = EVIDENCE) -> DataFrame:
             kept = [
                 i
                 for i, (lang, score) in enumerate(map(scorer.score, texts))
-                if lang != UNKNOWN and score > least_score
+                if lang != UNKNOWN and (score > least_score or not scorer.knows(texts[i]))
             ]
             if kept:
                 yield batch.take(kept)

@@ -11,7 +11,15 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from sluiceway.llm import decontaminate, line_chunks, order_minhash, pii, suffix_dedup, toxicity
+from sluiceway.llm import (
+    decontaminate,
+    language,
+    line_chunks,
+    order_minhash,
+    pii,
+    suffix_dedup,
+    toxicity,
+)
 from sluiceway.llm.common import stage, table
 from sluiceway.llm.queries import QUERIES, SQL, tokenizer_path
 
@@ -187,6 +195,25 @@ def test_language_of_held_out_documents(spark, sf_dir):
     assert right >= 0.95 * len(held)
 
 
+def test_a_rare_language_is_learned_from(spark):
+    made = [(i, f"the house number {i} is on a hill", "en") for i in range(800)]
+    made += [(1000 + i, f"το σπίτι {i} είναι εδώ", "el") for i in range(8)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string")
+    model = language.fit(docs, 20)
+    assert model["langs"] == ["el", "en"]
+    found = language.predict(docs, model).collect()
+    assert {r["lang_pred"] for r in found if r["doc_id"] >= 1000} == {"el"}
+
+
+def test_a_script_without_labels_is_not_rejected(spark):
+    made = [(i, "aba bab baba", "x") for i in range(40)]
+    made += [(i, "cdc dcd dcdc", "y") for i in range(40)]
+    made += [(200, "სახლი აქ არის", None), (201, "12 ?!", None), (202, "acac bdbd", None)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in language.keep_identified(docs).collect()}
+    assert kept == {*range(40), 200}
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
