@@ -4,7 +4,9 @@ A document is the sequence of its shingles of five words, each labelled with how
 occurred before. Every sketch takes the few smallest of them under its own hash and keeps
 them in the order of the text, so two documents share a sketch when they share shingles in
 the same order: the measure is edit similarity, not overlap of sets. Documents that share a
-sketch are candidates. A pair is linked if the alignment of its shingle sequences reaches
+sketch are candidates. Of short documents, whose sketches hold too much of the text, those that
+share one of their rarest shingles are candidates as well, as many of them as no similar pair
+can do without. A pair is linked if the alignment of its shingle sequences reaches
 ``aligned / (a + b - aligned) >= 0.8``; classes are the connected components.
 
 Equal word sequences are folded first and one of them stands for all. In a bucket of a
@@ -23,6 +25,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from fractions import Fraction
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
@@ -36,6 +40,9 @@ SIMILARITY = 0.8
 # probability 0.8 ** 6 = 0.26 at least, so all 24 miss a pair once in 1400 times.
 SKETCHES = 24
 SAMPLED = 6
+# Shingles of a short document. Pairs of which one is short are found by single shingles, so
+# documents up to SHORT / SIMILARITY take part.
+SHORT = 30
 # Documents of a bucket that are compared with all others in the first round. Each round
 # takes twice as many of what is left, so the number of rounds stays small.
 CENTRES = 4
@@ -117,6 +124,13 @@ def sketches(keys: np.ndarray) -> list[int]:
     return folded.view(np.int64).tolist()
 
 
+@lru_cache
+def _share(least: float) -> Fraction:
+    """Aligned shingles a pair needs, as a share of the shingles of both."""
+    exact = Fraction(str(least))
+    return exact / (1 + exact)
+
+
 def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     """Whether the alignment of two sequences reaches the similarity.
 
@@ -127,7 +141,8 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     """
     if not len(a) or not len(b):
         return False
-    needed = least * (len(a) + len(b)) / (1 + least)
+    share = _share(least)
+    needed = -(-share.numerator * (len(a) + len(b)) // share.denominator)
     if min(len(a), len(b)) < needed:
         return False
     head = 0
@@ -167,16 +182,18 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     return int(row.max()) >= needed
 
 
-SIGNED = "doc long, exact string, size int, sketches array<long>"
+SIGNED = "doc long, exact string, size int, sketches array<long>, singles array<long>"
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Per row: a digest of its words, the number of shingles, and the sketches."""
+    """Per row: a digest of its words, the number of shingles, the sketches, and the shingles
+    themselves where a document is short."""
+    longest = int(SHORT / SIMILARITY)
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         shingler = Shingler()
         for batch in batches:
-            out = {"doc": [], "exact": [], "size": [], "sketches": []}
+            out = {"doc": [], "exact": [], "size": [], "sketches": [], "singles": []}
             for doc, text in zip(batch["doc_id"], batch["text"]):
                 words = shingler.words(text)
                 if len(words):
@@ -187,12 +204,36 @@ def signatures(docs: DataFrame) -> DataFrame:
                     )
                     out["size"].append(len(keys))
                     out["sketches"].append(sketches(keys))
+                    single = labelled(keys) if len(keys) <= longest else keys[:0]
+                    out["singles"].append(single.view(np.int64).tolist())
             if out["doc"]:
                 yield out
 
     return map_batches(narrow(docs).where("doc_id IS NOT NULL"), run, SIGNED)
 
 
+def _rarest(heads: DataFrame, scratch: Scratch) -> DataFrame:
+    """Buckets of short documents: their rarest shingles, each in a bucket of its own.
+
+    A similar partner holds at least 0.8 of a document's shingles, so it lacks a fifth at most;
+    in an order that is the same for all, two similar documents share one of the first fifth of
+    their shingles and one more. The rarest come first, so few documents meet in a bucket.
+    """
+    singles = scratch.stage(
+        heads.select("node", "size", F.explode("singles").alias("key")), "singles"
+    )
+    times = singles.groupBy("key").agg(F.count(F.lit(1)).alias("times"))
+    times = scratch.stage(times, "shingle-counts")
+    order = Window.partitionBy("node").orderBy("times", "key")
+    return (
+        singles.join(times, "key")
+        .withColumn("place", F.row_number().over(order))
+        .where(F.col("place") <= F.floor(F.col("size") / 5) + 1)
+        .where("times > 1")
+        .select("node", "size", F.xxhash64(F.lit("single"), "key").alias("bucket"))
+    )
+
+
 def sequences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Shingle sequences of the documents in ``wanted``, a column ``node`` of ids."""
 
@@ -270,8 +311,10 @@ def classes(docs: DataFrame) -> DataFrame:
             "texts",
         )
         own = signed.join(texts.select("exact", "node"), "exact")
-        heads = own.where("doc = node").dropDuplicates(["node"]).select("node", "size", "sketches")
+        heads = own.where("doc = node").dropDuplicates(["node"])
+        heads = heads.select("node", "size", "sketches", "singles")
         members = heads.select("node", "size", F.explode("sketches").alias("bucket"))
+        members = members.unionByName(_rarest(heads, scratch))
         members = scratch.stage(members.distinct(), "buckets")
         shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         members = scratch.stage(members.join(shared.select("bucket"), "bucket"), "buckets")
@@ -320,7 +363,7 @@ def _pairs(members: DataFrame, centres: DataFrame, labels: DataFrame | None) ->
     """Centres with the rest of their bucket, as far as class and length leave it open."""
     both = members.join(centres, "bucket").where(
         (F.col("a") < F.col("node"))
-        & (F.least("size", "size_a") >= SIMILARITY * F.greatest("size", "size_a"))
+        & (5 * F.least("size", "size_a") >= 4 * F.greatest("size", "size_a"))
     )
     found = both.select("a", F.col("node").alias("b")).distinct()
     if labels is None:

@@ -331,6 +331,25 @@ def test_near_duplicates(spark):
     assert kept == {group.index(g) for g in group}
 
 
+def test_near_duplicates_of_short_texts(spark):
+    texts = []
+    for size in (9, 10, 11, 14, 19, 30):
+        for copy in range(5):
+            words = [f"s{size}c{copy}w{i}" for i in range(size)]
+            lost = (size - 4) // 5  # shingles the shorter may lack
+            texts += [" ".join(words), " ".join(words[: size - lost])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {row["doc_id"]: row["class_id"] for row in order_minhash.classes(docs).collect()}
+    assert found == {i: i - i % 2 for i in range(len(texts))}
+
+
+def test_a_pair_at_the_very_threshold_is_similar():
+    for short in range(4, 400, 4):
+        keys = np.arange(short // 4 * 5, dtype=np.uint64)
+        assert order_minhash.similar(keys, keys[:short])
+        assert not order_minhash.similar(keys, keys[: short - 1])
+
+
 def test_near_duplicates_of_the_table(spark, sf_dir, documents):
     shingler = order_minhash.Shingler()
     keys = {i: shingler.shingles(shingler.words(text)) for i, text in documents}
