@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sluiceway import session
 
-# Rows per Arrow batch. Texts may be long, so a batch is kept to a few MB.
+# Rows and bytes per Arrow batch: a batch ends where it reaches the first of them, so long texts
+# come in small batches.
 BATCH_ROWS = 512
+BATCH_BYTES = "16MB"
 
 
 _SHIPPED: set[str] = set()
@@ -35,6 +37,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     session.configure(spark)
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 

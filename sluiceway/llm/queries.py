@@ -10,6 +10,7 @@ from sluiceway.llm import (
     line_chunks,
     order_minhash,
     packing,
+    periodic_runs,
     permutation_index,
     pii,
     suffix_dedup,
@@ -82,6 +83,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document."""
+    return periodic_runs.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -93,5 +99,6 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 SQL: dict[str, str] = {}

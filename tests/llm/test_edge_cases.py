@@ -9,6 +9,7 @@ from sluiceway.llm import (
     line_chunks,
     order_minhash,
     packing,
+    periodic_runs,
     permutation_index,
     pii,
     suffix_dedup,
@@ -65,6 +66,7 @@ def per_row(spark):
         "pii": pii.find,
         "order_minhash": order_minhash.classes,
         "toxicity": lambda d: toxicity.detect(d, labels(spark)),
+        "periodic_runs": periodic_runs.report,
     }
 
 
