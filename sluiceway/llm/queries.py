@@ -13,6 +13,7 @@ from sluiceway.llm import (
     periodic_runs,
     permutation_index,
     pii,
+    spelling_variants,
     suffix_dedup,
     token_files,
     toxicity,
@@ -83,6 +84,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every word in use."""
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words of every document."""
     return periodic_runs.report(table(spark, sf_dir, "documents"))
@@ -99,6 +105,7 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_periodic_runs": op13_periodic_runs,
 }
 SQL: dict[str, str] = {}

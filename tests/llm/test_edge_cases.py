@@ -12,6 +12,7 @@ from sluiceway.llm import (
     periodic_runs,
     permutation_index,
     pii,
+    spelling_variants,
     suffix_dedup,
     token_files,
     toxicity,
@@ -86,6 +87,12 @@ def test_empty_table(name, spark, empty):
         assert per_row(spark)[name](empty).count() == 0
 
 
+def test_words_of_odd_rows(spark, odd, empty):
+    found = spelling_variants.variants(odd).collect()
+    assert found == []  # no word of six letters is used five times
+    assert spelling_variants.variants(empty).count() == 0
+
+
 def test_empty_labels_score_nothing(spark, odd):
     found = toxicity.detect(odd, labels(spark, ())).collect()
     assert {row["score"] for row in found} == {0.0}
