@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sluiceway.llm import (
     decontaminate,
     language,
+    license_scan,
     line_chunks,
     order_minhash,
     packing,
@@ -89,6 +90,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses that every document names or holds passages of."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words of every document."""
     return periodic_runs.report(table(spark, sf_dir, "documents"))
@@ -106,6 +112,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_license_scan": op12_license_scan,
     "op13_periodic_runs": op13_periodic_runs,
 }
 SQL: dict[str, str] = {}

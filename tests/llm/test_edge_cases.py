@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from sluiceway.llm import (
     decontaminate,
     language,
+    license_scan,
     line_chunks,
     order_minhash,
     packing,
@@ -68,6 +69,7 @@ def per_row(spark):
         "order_minhash": order_minhash.classes,
         "toxicity": lambda d: toxicity.detect(d, labels(spark)),
         "periodic_runs": periodic_runs.report,
+        "license_scan": license_scan.scan,
     }
 
 
