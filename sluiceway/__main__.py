@@ -14,6 +14,7 @@ from sluiceway.operators.layout import Layout, place
 from sluiceway.functions.slices import ALIGNMENT_POLICIES, GRANULARITIES
 from sluiceway.plans.backfill import RAW_READERS, backfill
 from sluiceway.plans.build import WORKFLOWS, Workspace, build_models, publish_marts
+from sluiceway.plans.incremental import added_rows
 from sluiceway.plans.standardize import (
     STANDARDIZERS,
     StandardizeJob,
@@ -92,6 +93,9 @@ def _build_arguments(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--run", choices=("run", "build", "test"), default="run")
     parser.add_argument("--select", nargs="+")
     parser.add_argument("--exclude", nargs="+")
+    parser.add_argument(
+        "--full-refresh", action="store_true", help="rebuild all dates, whatever was added"
+    )
 
 
 def parser() -> argparse.ArgumentParser:
@@ -115,6 +119,14 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("workflow", choices=sorted(WORKFLOWS))
         sub.add_argument("--processed-root", required=True)
     build.add_argument("--raw", help="raw table; default: raw or events below the processed root")
+    build.add_argument(
+        "--added-since", help="redo only the dates changed by rows that came after this stamp"
+    )
+    build.add_argument("--database", help="also keep the models as tables of this database")
+    build.add_argument("--failures", help="folder for rows that fail a check")
+    filled.add_argument(
+        "--incremental", action="store_true", help="redo only the dates that new bundles change"
+    )
     for sub in (build, filled):
         _build_arguments(sub)
     marts.add_argument("--surface-root", required=True)
@@ -145,14 +157,22 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> DataFrame | N
         publish_marts(spark, arguments.workflow, workspace)
         return None
     if arguments.job == "build":
+        raw = None if arguments.run == "test" else _raw(spark, arguments)
+        added = None
+        if raw is not None and arguments.added_since:
+            added = added_rows(raw, arguments.workflow, arguments.added_since)
         return build_models(
             spark,
             arguments.workflow,
-            None if arguments.run == "test" else _raw(spark, arguments),
+            raw,
             workspace,
             mode=arguments.run,
             select=arguments.select,
             exclude=arguments.exclude,
+            added=added,
+            full_refresh=arguments.full_refresh,
+            database=arguments.database,
+            failures=arguments.failures,
         )
     job = _job(arguments, arguments.workflow)
     manifests = _manifests(spark, arguments)
@@ -183,6 +203,8 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> DataFrame | N
         mode=arguments.run,
         select=arguments.select,
         exclude=arguments.exclude,
+        incremental=arguments.incremental,
+        full_refresh=arguments.full_refresh,
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluiceway.operators.calendar import SliceSelector, slice_calendar
 from sluiceway.operators.layout import place
@@ -28,12 +28,16 @@ def backfill(
     select: Sequence[str] | None = None,
     exclude: Sequence[str] | None = None,
     options: Mapping[str, Mapping[str, object]] | None = None,
+    incremental: bool = False,
+    full_refresh: bool = False,
 ) -> DataFrame | None:
     """One standardize job over all slices of the selector, then the models.
 
-    A rerun adds newer bundles for the same slices; canonical selection picks them.
+    A rerun adds newer bundles for the same slices; canonical selection picks them. With
+    ``incremental`` only the dates that the new bundles change are rebuilt, unless a
+    ``full_refresh`` is asked for.
     """
-    standardize_slices(
+    bundles = standardize_slices(
         spark,
         job,
         slice_calendar(spark, selector),
@@ -41,6 +45,10 @@ def backfill(
         manifests=manifests,
     )
     raw = RAW_READERS[workflow](spark, place(job.processed_root, job.processed_prefix))
+    added = None
+    if incremental:
+        written = bundles.select(F.col("run_id").alias("_raw_bundle_id"))
+        added = raw.join(written, "_raw_bundle_id", "left_semi").select(*raw.columns)
     return build_models(
         spark,
         workflow,
@@ -50,4 +58,6 @@ def backfill(
         select=select,
         exclude=exclude,
         options=options,
+        added=added,
+        full_refresh=full_refresh,
     )

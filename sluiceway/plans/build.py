@@ -1,19 +1,40 @@
 """Materialise the models of a workflow, run their checks, publish the marts.
 
 Models run in dependency order and read what the previous ones wrote, so every join and
-aggregate sees real table sizes and pruned Parquet columns.
+aggregate sees real table sizes and pruned Parquet columns. A build is full, or redoes the dates
+that rows added to the source have changed (``incremental``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, types as T
 
-from sluiceway.operators.quality import Checks, quality_report
+from sluiceway import contracts
+from sluiceway.operators.projection import partition_last
+from sluiceway.operators.quality import (
+    Checks,
+    null_measures,
+    observed_report,
+    quality_report,
+    write_failures,
+)
 from sluiceway.plans import deliveries as dlv, events as evt, transactions as txn
+from sluiceway.plans.incremental import (
+    BY_BUNDLE,
+    BY_DATE,
+    BY_DIFFERENCE,
+    BY_KEY,
+    BY_ROW,
+    Added,
+    Keyed,
+    refresh,
+)
 from sluiceway.session import configure
+from sluiceway.sinks import partitions
 from sluiceway.sinks.writers import (
     AS_READ,
     BY_PARTITION,
@@ -21,6 +42,7 @@ from sluiceway.sinks.writers import (
     model_location,
     write_model,
 )
+from sluiceway.sources.tables import event_schema, register_table
 
 RAW = "raw"
 
@@ -35,6 +57,9 @@ class Model:
     # GROUPED: a few aggregate rows per partition value, never a share of the source rows.
     # AS_READ: a projection of its input, stored by the same column, so no shuffle.
     arrange: str = BY_PARTITION
+    # How added rows reach the model; BY_KEY and BY_BUNDLE need to know its selection.
+    refresh: str = BY_DATE
+    keyed: Keyed | None = None
 
     @property
     def is_mart(self) -> bool:
@@ -52,12 +77,15 @@ TRANSACTION_MODELS: dict[str, Model] = {
         partition="bundle_event_date",
         checks=Checks(["raw_bundle_id", "bundle_event_date"], ["raw_bundle_id"]),
         arrange=GROUPED,
+        refresh=BY_DIFFERENCE,
     ),
     "bronze_transaction_events": Model(
         "bronze",
         [RAW, "bronze_canonical_raw_bundles"],
         txn.bronze_transaction_events,
         checks=Checks(["transaction_id", "raw_bundle_id", "event_date"], ["transaction_id"]),
+        refresh=BY_BUNDLE,
+        keyed=Keyed("transaction_id", txn.typed_events, txn.dedupe_transactions),
     ),
     "silver_transactions": Model(
         "silver",
@@ -138,6 +166,7 @@ DELIVERY_MODELS: dict[str, Model] = {
         partition="bundle_event_date",
         checks=Checks(["raw_bundle_id", "bundle_event_date"], ["raw_bundle_id"]),
         arrange=GROUPED,
+        refresh=BY_DIFFERENCE,
     ),
     "bronze_delivery_records": Model(
         "bronze",
@@ -146,6 +175,8 @@ DELIVERY_MODELS: dict[str, Model] = {
         checks=Checks(
             ["delivery_record_id", "raw_bundle_id", "event_date"], ["delivery_record_id"]
         ),
+        refresh=BY_BUNDLE,
+        keyed=Keyed("delivery_record_id", dlv.typed_records, dlv.dedupe_delivery_records),
     ),
     "silver_delivery_records": Model(
         "silver",
@@ -163,6 +194,7 @@ DELIVERY_MODELS: dict[str, Model] = {
         partition="delivery_date",
         checks=Checks(["delivery_id"]),
         arrange=GROUPED,
+        refresh=BY_DIFFERENCE,
     ),
     "gold_daily_delivery_metrics": Model(
         "gold",
@@ -207,12 +239,15 @@ EVENT_MODELS: dict[str, Model] = {
         [RAW],
         evt.stg_sensor_events,
         checks=Checks(["emitter_event_id", "emitted_at"]),
+        refresh=BY_ROW,
     ),
     "int_sensor_events": Model(
         "intermediate",
         ["stg_sensor_events"],
         evt.int_sensor_events,
         checks=Checks(["emitter_event_id", "device_id"], ["emitter_event_id"]),
+        refresh=BY_KEY,
+        keyed=Keyed("emitter_event_id", evt.stg_sensor_events, evt.int_sensor_events),
     ),
     "analytics_sensor_events": Model(
         "analytics",
@@ -233,6 +268,7 @@ EVENT_MODELS: dict[str, Model] = {
         ["int_sensor_events"],
         evt.analytics_device_latest_status,
         checks=Checks(["device_id"], ["device_id"]),
+        refresh=BY_DIFFERENCE,
     ),
     "management_stream_health_summary": Model(
         "management",
@@ -261,8 +297,31 @@ class Workspace:
         root = self.surface_root if model.is_mart else self.processed_root
         return model_location(root, model.layer, name)
 
-    def read(self, spark: SparkSession, name: str, model: Model) -> DataFrame:
-        return spark.read.parquet(self.path(name, model))
+    def read(self, spark: SparkSession, workflow: str, name: str) -> DataFrame:
+        """A table that was built before, with its declared columns."""
+        path = self.path(name, WORKFLOWS[workflow][name])
+        return partitions.read_table(spark, path, model_schema(workflow, name))
+
+
+# Columns of the source of each workflow.
+RAW_SCHEMAS = {
+    "transactions": f"{contracts.RAW_TRANSACTIONS}, {contracts.DATE_PARTITIONS}",
+    "deliveries": f"{contracts.RAW_DELIVERIES}, {contracts.DATE_PARTITIONS}",
+    "events": event_schema(),
+}
+
+
+@cache
+def model_schema(workflow: str, name: str) -> T.StructType:
+    """Columns of a model as it is stored, told by its definition alone; nothing runs."""
+    spark = SparkSession.active()
+    inputs = [
+        RAW_SCHEMAS[workflow] if source == RAW else model_schema(workflow, source)
+        for source in WORKFLOWS[workflow][name].inputs
+    ]
+    model = WORKFLOWS[workflow][name]
+    frame = model.build(*[spark.createDataFrame([], schema) for schema in inputs])
+    return partition_last(frame, model.partition).schema
 
 
 def _expand(models: Mapping[str, Model], term: str) -> set[str]:
@@ -308,39 +367,105 @@ def build_models(
     select: Sequence[str] | None = None,
     exclude: Sequence[str] | None = None,
     options: Mapping[str, Mapping[str, object]] | None = None,
+    added: DataFrame | None = None,
+    full_refresh: bool = False,
+    database: str | None = None,
+    failures: str | None = None,
 ) -> DataFrame | None:
-    """Rebuild the chosen models in full.
+    """Rebuild the chosen models.
 
     ``mode`` is ``run`` (no checks), ``build`` (models, then checks) or ``test`` (checks
     on existing tables). ``options`` passes keyword arguments to single models, such as a
-    ``tiebreak``. Returns the quality report where checks ran.
+    ``tiebreak``. Returns the quality report where checks ran; ``failures`` names a folder that
+    rows failing a check are written to.
+
+    ``added`` are the rows of ``raw`` that the last build has not seen: only dates they change
+    are redone, for all models. The build is full nevertheless with ``full_refresh``, on the
+    first time, and after a build that did not come to its end.
+
+    With a ``database`` each model is also an external table of Spark's catalog there, whose
+    partitions are brought up to date.
     """
     if mode not in ("run", "build", "test"):
         raise ValueError(f"mode must be run, build or test, not {mode!r}")
+    if added is not None and (select or exclude):
+        raise ValueError("added rows change all models; select and exclude need a full build")
     models = WORKFLOWS[workflow]
     chosen = select_models(models, select, exclude)
     configure(spark)
+    measured: dict[str, Observation] = {}
+    if mode != "test":
+        change = None
+        unfinished = f"{workspace.processed_root}/_unfinished_{workflow}"
+        if added is not None and not full_refresh:
+            paths = [workspace.path(name, models[name]) for name in chosen]
+            if not partitions.exists(spark, unfinished) and all(
+                partitions.exists(spark, path) for path in paths
+            ):
+                change = Added(added)
+        partitions.make_folder(spark, unfinished)
+        measured = _write_models(
+            spark, workflow, raw, workspace, chosen, options or {}, change, mode == "build"
+        )
+        if select is None and exclude is None:
+            partitions.remove(spark, unfinished)
+        if database is not None:
+            for name in chosen:
+                register_table(
+                    spark,
+                    f"{database}.{name}",
+                    workspace.path(name, models[name]),
+                    model_schema(workflow, name),
+                    models[name].partition,
+                )
+    if mode == "run":
+        return None
+    checked = {name: models[name].checks for name in chosen}
+    declared = {k: c for k, c in checked.items() if c.not_null or c.unique}
+    tables = {name: workspace.read(spark, workflow, name) for name in declared}
+    if failures is not None:
+        write_failures(tables, declared, failures)
+    return quality_report(tables, declared, observed_report(measured, declared))
+
+
+def _write_models(
+    spark, workflow, raw, workspace, chosen, options, change: Added | None, measure: bool
+) -> dict[str, Observation]:
+    """Write the models in turn; returns what was measured of each while it was written."""
+    models, measured = WORKFLOWS[workflow], {}
     # Every table is listed once, however many models read it.
     frames: dict[str, DataFrame] = {RAW: raw}
 
     def frame_of(name: str) -> DataFrame:
         if name not in frames:
-            frames[name] = workspace.read(spark, name, models[name])
+            frames[name] = workspace.read(spark, workflow, name)
         return frames[name]
 
-    if mode != "test":
-        for name in chosen:
-            model = models[name]
-            inputs = [frame_of(source) for source in model.inputs]
-            frame = model.build(*inputs, **(options or {}).get(name, {}))
-            write_model(
-                frame, workspace.path(name, model), model.partition, arrange=model.arrange
-            )
-    if mode == "run":
-        return None
-    checked = {name: models[name].checks for name in chosen}
-    declared = {k: c for k, c in checked.items() if c.not_null or c.unique}
-    return quality_report({name: frame_of(name) for name in declared}, declared)
+    for name in chosen:
+        model = models[name]
+        inputs = {source: frame_of(source) for source in model.inputs}
+        given, dates = options.get(name, {}), None
+        if change is None:
+            frame = model.build(*inputs.values(), **given)
+        else:
+            current = workspace.read(spark, workflow, name)
+            frame, dates = refresh(name, model, inputs, change, current, given)
+            if not dates:
+                continue
+        # Of a model that is written in part, only whole tables tell all failures.
+        measures = null_measures(model.checks) if measure and change is None else []
+        if measures:
+            measured[name] = Observation(f"{workflow}-{name}")
+        write_model(
+            frame,
+            workspace.path(name, model),
+            model.partition,
+            model.arrange,
+            dates,
+            measured.get(name),
+            measures,
+        )
+    return measured
 
 
 def publish_marts(

@@ -19,7 +19,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "8KB",
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Mapping, Sequence
+from datetime import date
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from sluiceway.functions.slices import partition_value, slice_shift
 from sluiceway.operators.layout import Layout, partition_columns, place
 from sluiceway.operators.projection import iso_text, partition_last
-
+from sluiceway.sinks.partitions import replace_all, replace_partitions
 
 # How rows are arranged for a partitioned write.
 BY_PARTITION = "by_partition"
@@ -46,37 +47,28 @@ def write_model(
     df: DataFrame,
     path: str,
     partition: str | None = None,
-    mode: str = "overwrite",
     arrange: str = BY_PARTITION,
+    dates: Sequence[date | None] | None = None,
+    observation: Observation | None = None,
+    measures: Sequence[Column] = (),
 ) -> None:
-    """Rebuild a model as snappy Parquet, partition column last.
+    """Rebuild a model as snappy Parquet, partition column last, or only ``dates`` of it.
 
-    A model without rows gets an empty file, so that it can be read back with its columns.
+    A failed write leaves the old rows. ``measures`` are taken of the rows while they are
+    written, in the last stage, where a repeated task counts once. Read the model with its
+    declared schema (:func:`partitions.read_table`): a column of nulls alone or a table without
+    rows has no type in its directories.
     """
+    rows = df.hint("rebalance") if partition is None else None
+    if rows is None:
+        rows = spread(partition_last(df, partition), partition, arrange=arrange)
+    if observation is not None and measures:
+        rows = rows.observe(observation, *measures)
+    options = {"compression": "snappy"}
     if partition is None:
-        df.hint("rebalance").write.mode(mode).option("compression", "snappy").parquet(path)
-        return
-    (
-        spread(partition_last(df, partition), partition, arrange=arrange)
-        .write.mode(mode)
-        .option("compression", "snappy")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    if not _has_partitions(df, path, partition):
-        # A date no row has: the type of the column is found by its directory names.
-        spark = df.sparkSession
-        empty = spark.createDataFrame([], partition_last(df, partition).schema)
-        empty.drop(partition).coalesce(1).write.mode("overwrite").parquet(
-            f"{path}/{partition}=1970-01-01"
-        )
-
-
-def _has_partitions(df: DataFrame, path: str, partition: str) -> bool:
-    spark = df.sparkSession
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}=*")
-    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return len(files.globStatus(pattern)) > 0
+        replace_all(rows, path, options)
+    else:
+        replace_partitions(rows, path, partition, dates, options)
 
 
 def model_location(root: str, layer: str, name: str) -> str:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import re
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sluiceway import contracts
 
@@ -59,9 +61,41 @@ def read_manifests(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
+def register_table(
+    spark: SparkSession, name: str, path: str, schema: T.StructType, partition: str
+) -> DataFrame:
+    """The external Parquet table ``name`` at ``path``, with the partitions that are there now.
+
+    Partitions that landed since are added and those that are gone are dropped, so readers by
+    name see what readers by path see. A table of other columns or at another place is
+    described anew; no data is touched.
+    """
+    database, _, _ = name.rpartition(".")
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    columns = [(field.name, field.dataType.simpleString()) for field in schema.fields]
+    if spark.catalog.tableExists(name) and (
+        spark.table(name).dtypes != columns or not _lies_at(spark, name, path)
+    ):
+        spark.sql(f"DROP TABLE {name}")
+    described = ", ".join(f"`{column}` {kind}" for column, kind in columns)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({described}) USING parquet "
+        f"PARTITIONED BY (`{partition}`) LOCATION '{path}'"
+    )
+    refresh_partitions(spark, name)
+    return spark.table(name)
+
+
+def _lies_at(spark: SparkSession, name: str, path: str) -> bool:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    plain = [re.sub("^[a-z0-9]+:/+", "/", place) for place in (described.first()[1], path)]
+    return plain[0] == plain[1]
+
+
 def refresh_partitions(spark: SparkSession, table: str) -> None:
-    """Pick up partitions that landed since; path readers list their files anew anyway."""
-    spark.catalog.recoverPartitions(table)
+    """Bring the partitions of an external table in line with its directories."""
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
 
 def sanity_count(df: DataFrame) -> DataFrame:

@@ -1,15 +1,23 @@
 """Event tables and marts kept up to date by micro-batch, exact for late and repeated data.
 
-Streaming aggregates cannot count distinct devices, and a newer version of an event can
-move it to another date. So each batch replaces the dates it touches, old and new, and
-recomputes the daily marts of those dates from the event table.
+Streaming aggregates cannot count distinct devices, and a newer version of an event can move it
+to another date. So a keyed streaming aggregation holds the newest version of every event and all
+dates it ever had; each batch it hands on the events that changed. The batch then replaces
+these dates in the event table and computes the daily marts of these dates again, both by Spark's
+dynamic partition overwrite.
+
+A batch that is done again gets the same events and dates from the state that Spark keeps by
+batch, and ends in the same tables. Looking an event up costs what the batch holds, not what
+the table holds. The state has a row per event in RocksDB on the executors' disks, with its changes in
+the checkpoint. Readers that read while a batch is moved in may see some of its dates before the
+others.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
-from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -17,7 +25,8 @@ from pyspark.sql.streaming import DataStreamWriter
 from sluiceway.operators.latest import latest_by
 from sluiceway.plans import events as evt
 from sluiceway.session import configure, materialize
-from sluiceway.sinks.writers import GROUPED
+from sluiceway.sinks.partitions import dates_of, exists, on_dates, read_table
+from sluiceway.sinks.writers import BY_PARTITION, GROUPED, write_model
 from sluiceway.streaming.intake import (
     deliver_events,
     delivered_event_stream,
@@ -25,7 +34,6 @@ from sluiceway.streaming.intake import (
     stage_events_stream,
     text_event_source,
 )
-from sluiceway.streaming.versioned import VersionedTable, on_dates
 
 EVENTS = """
     workflow_name STRING, source_preset_id STRING, source_schema_version STRING,
@@ -49,36 +57,55 @@ HEALTH = """
     event_count BIGINT, distinct_device_count BIGINT, distinct_site_count BIGINT,
     warning_event_count BIGINT, missing_pressure_event_count BIGINT, event_date DATE
 """
+# Where streaming state is kept: on local disk, with changes in the checkpoint.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def upsert_latest_events(
-    table: VersionedTable, staged: DataFrame, batch: int, source: str = "direct"
-) -> list[date | None]:
-    """Merge staged events into the table; returns the dates that changed.
+def newest_versions(staged: DataFrame) -> DataFrame:
+    """Newest version of each event (``event``) and all dates its versions have (``dates``).
 
-    Newest-version selection does not depend on arrival order, so any split of the input
-    into batches ends in the table a full rebuild would give. Only the event id and date
-    of the whole table are read, plus all columns of the touched dates.
+    On a stream, run in update mode, a batch gives the events of which it had a version. The
+    newest is the greatest by stamp and index, then by the other columns, so it does not
+    depend on the order of arrival.
     """
-    spark = staged.sparkSession
-    incoming = materialize(
-        latest_by(staged, ["emitter_event_id"], evt.NEWEST_FIRST).select(*evt.EVENT_COLUMNS),
-        "events-batch",
+    order = [*evt.NEWEST_FIRST]
+    rest = [name for name in evt.EVENT_COLUMNS if name not in order]
+    return staged.groupBy("emitter_event_id").agg(
+        F.max(F.struct(*order, *rest)).alias("event"),
+        # An array cannot hold a NULL that counts, so dates are one-element structs.
+        F.collect_set(F.struct("event_date")).alias("dates"),
     )
-    current = table.before(spark, batch, source)
-    moved_from = current.join(
-        incoming.select("emitter_event_id"), "emitter_event_id", "left_semi"
-    ).select("event_date")
-    touched = moved_from.union(incoming.select("event_date")).distinct()
-    dates = [row[0] for row in touched.collect()]
-    if not dates:
-        return dates
-    merged = latest_by(
-        current.where(on_dates("event_date", dates)).unionByName(incoming),
-        ["emitter_event_id"],
-        evt.NEWEST_FIRST,
-    )
-    table.replace(merged, dates, batch, source)
+
+
+@dataclass(frozen=True)
+class DatedTable:
+    """A table by ``event_date`` at a path, with declared columns."""
+
+    path: str
+    schema: str
+    arrange: str = BY_PARTITION
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        if not exists(spark, self.path):
+            return spark.createDataFrame([], self.schema)
+        return read_table(spark, self.path, self.schema)
+
+    def replace(self, rows: DataFrame, dates: Sequence[date | None]) -> None:
+        """Make ``rows`` the whole content of ``dates``; other dates stay as they are."""
+        write_model(rows, self.path, "event_date", self.arrange, dates)
+
+
+def upsert_latest_events(table: DatedTable, changed: DataFrame) -> list[date | None]:
+    """Put the newest versions (``newest_versions``) into the table; returns the dates that
+    may have changed: all that the versions of these events have. Only these are read."""
+    spark = changed.sparkSession
+    changed = materialize(changed, "events-batch")
+    events = changed.select("event.*").select(*evt.EVENT_COLUMNS)
+    dates = dates_of(changed.select(F.explode("dates").alias("day")).select("day.event_date"))
+    if dates:
+        present = table.read(spark).where(on_dates("event_date", dates))
+        others = present.join(events.select("emitter_event_id"), "emitter_event_id", "left_anti")
+        table.replace(others.unionByName(events), dates)
     return dates
 
 
@@ -89,58 +116,58 @@ class EventMarts:
     root: str
 
     @property
-    def events(self) -> VersionedTable:
-        return VersionedTable(f"{self.root}/int_sensor_events", EVENTS)
+    def events(self) -> DatedTable:
+        return DatedTable(f"{self.root}/int_sensor_events", EVENTS)
 
     @property
-    def site_daily(self) -> VersionedTable:
-        return VersionedTable(
-            f"{self.root}/analytics_site_daily_metrics", SITE_DAILY, arrange=GROUPED
-        )
+    def site_daily(self) -> DatedTable:
+        return DatedTable(f"{self.root}/analytics_site_daily_metrics", SITE_DAILY, GROUPED)
 
     @property
-    def health(self) -> VersionedTable:
-        return VersionedTable(
-            f"{self.root}/management_stream_health_summary", HEALTH, arrange=GROUPED
-        )
+    def health(self) -> DatedTable:
+        return DatedTable(f"{self.root}/management_stream_health_summary", HEALTH, GROUPED)
 
     @property
-    def sensor_events(self) -> VersionedTable:
-        return VersionedTable(f"{self.root}/analytics_sensor_events", SENSOR_EVENTS)
+    def sensor_events(self) -> DatedTable:
+        return DatedTable(f"{self.root}/analytics_sensor_events", SENSOR_EVENTS)
 
     @property
-    def device_daily(self) -> VersionedTable:
+    def device_daily(self) -> DatedTable:
         """Newest event of each device and date, which the device status is taken from."""
-        return VersionedTable(f"{self.root}/device_daily", EVENTS, arrange=GROUPED)
+        return DatedTable(f"{self.root}/device_daily", EVENTS, GROUPED)
 
     def device_status(self, spark: SparkSession) -> DataFrame:
         """Newest reading per device. An event that a newer version moved to another device
         or date is no longer among the rows of the old one."""
         return evt.analytics_device_latest_status(self.device_daily.read(spark))
 
-    def process_batch(self, staged: DataFrame, batch: int, source: str = "direct") -> None:
-        dates = upsert_latest_events(self.events, staged, batch, source)
+    def process_batch(self, changed: DataFrame) -> None:
+        dates = upsert_latest_events(self.events, changed)
         if not dates:
             return
-        changed = self.events.read(staged.sparkSession).where(on_dates("event_date", dates))
-        devices = latest_by(changed, ["device_id", "event_date"], evt.NEWEST_FIRST)
-        for table, rows in (
-            (self.sensor_events, evt.analytics_sensor_events(changed)),
+        rows = self.events.read(changed.sparkSession).where(on_dates("event_date", dates))
+        devices = latest_by(rows, ["device_id", "event_date"], evt.NEWEST_FIRST)
+        for table, content in (
+            (self.sensor_events, evt.analytics_sensor_events(rows)),
             (self.device_daily, devices),
-            (self.site_daily, evt.analytics_site_daily_metrics(changed)),
-            (self.health, evt.management_stream_health_summary(changed)),
+            (self.site_daily, evt.analytics_site_daily_metrics(rows)),
+            (self.health, evt.management_stream_health_summary(rows)),
         ):
-            table.replace(rows, dates, batch, source)
+            table.replace(content, dates)
 
     def writer(
         self, staged: DataFrame, checkpoint: str, trigger: dict | None = None
     ) -> DataStreamWriter:
-        """The checkpoint names the source: a stream that starts over must have a new one."""
-        source = sha256(checkpoint.encode()).hexdigest()[:16]
+        """The checkpoint belongs to the tables: it holds the versions seen. A new checkpoint
+        needs a new root, and all events again."""
+        spark = staged.sparkSession
+        if exists(spark, self.events.path) and not exists(spark, f"{checkpoint}/offsets"):
+            raise ValueError(f"{self.root} holds tables of another checkpoint than {checkpoint}")
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
         return (
-            staged.writeStream.foreachBatch(
-                lambda rows, batch: self.process_batch(rows, batch, source)
-            )
+            newest_versions(staged)
+            .writeStream.outputMode("update")
+            .foreachBatch(lambda changed, _: self.process_batch(changed))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "60 seconds"}))
         )

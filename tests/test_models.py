@@ -142,8 +142,8 @@ def test_the_flagship_plan_shuffles_rows_once(spark, sf_dir):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "SortMergeJoin" not in plan
     assert "hashpartitioning(transaction_id" in plan
     assert plan.count("row_number(), 1, Partial") == 1
-    # The dedupe, the daily groups, the days, and the spreading of a small input file.
-    assert plan.count("Exchange hashpartitioning") == 4
+    # The dedupe, the daily groups and the days.
+    assert plan.count("Exchange hashpartitioning") == 3
 
 
 def test_delivery_labels_and_file_names(spark):

@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from sluiceway.plans import events as evt
 from sluiceway.streaming import marts
-from sluiceway.streaming.versioned import VersionedTable
 
 COLUMNS = "emitter_event_id STRING, emitted_at STRING, emission_index INT, device_id STRING, pressure_kpa DOUBLE"
 
@@ -25,8 +24,8 @@ def staged(spark, rows):
     return evt.stg_sensor_events(raw.withColumns({k: F.lit(v) for k, v in others.items()}))
 
 
-def live(table, spark, commit=None):
-    df = table.read(spark, commit).select("emitter_event_id", "emission_index", "event_date")
+def live(table, spark):
+    df = table.read(spark).select("emitter_event_id", "emission_index", "event_date")
     return sorted((r[0], r[1], str(r[2])) for r in df.collect())
 
 
@@ -39,83 +38,113 @@ BATCHES = [
 ]
 
 
-def test_versions_move_between_dates(spark, tmp_path):
-    built = marts.EventMarts(str(tmp_path))
+class Feed:
+    """A folder of event files, and the marts that a stream over it keeps."""
+
+    def __init__(self, spark, root):
+        self.spark, self.drop, self.checkpoint = spark, f"{root}/drop", f"{root}/checkpoint"
+        self.marts = marts.EventMarts(f"{root}/marts")
+        self.schema = staged(spark, []).schema
+        staged(spark, []).write.parquet(self.drop)
+
+    def add(self, rows):
+        staged(self.spark, rows).coalesce(1).write.mode("append").parquet(self.drop)
+
+    def run(self):
+        stream = self.spark.readStream.schema(self.schema).parquet(self.drop)
+        self.marts.writer(stream, self.checkpoint, {"availableNow": True}).start().awaitTermination()
+        return self.marts
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    return Feed(spark, str(tmp_path))
+
+
+def test_versions_move_between_dates(spark, feed):
     expected = [
         [("a", 1, "2026-03-15"), ("b", 1, "2026-03-15")],
         [("a", 2, "2026-03-16"), ("b", 1, "2026-03-15")],
         [("a", 2, "2026-03-16"), ("b", 3, "2026-03-17")],
     ]
     for number, rows in enumerate(BATCHES):
-        built.process_batch(staged(spark, rows), number)
+        feed.add(rows)
+        built = feed.run()
         assert live(built.events, spark) == expected[number]
         want = evt.management_stream_health_summary(built.events.read(spark))
         got = built.health.read(spark)
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
-    # Earlier states stay readable.
-    first = built.events.commits(spark)[-1]
-    assert live(built.events, spark, first) == expected[0]
-
-
-def test_redoing_a_batch_changes_nothing(spark, tmp_path):
-    built = marts.EventMarts(str(tmp_path))
-    for number, rows in enumerate(BATCHES):
-        built.process_batch(staged(spark, rows), number)
-        built.process_batch(staged(spark, rows), number)
-    assert live(built.events, spark) == [("a", 2, "2026-03-16"), ("b", 3, "2026-03-17")]
-    assert built.health.read(spark).count() == 2
-
-
-def test_a_batch_that_failed_before_its_snapshot_is_invisible(spark, tmp_path):
-    built = marts.EventMarts(str(tmp_path))
-    built.process_batch(staged(spark, BATCHES[0]), 0)
-    half = built.events.read(spark).limit(1)
-    half.write.partitionBy("event_date").parquet(f"{built.events.root}/data/version=2")
-    assert len(live(built.events, spark)) == 2
-    built.process_batch(staged(spark, BATCHES[1]), 1)
-    assert live(built.events, spark) == [("a", 2, "2026-03-16"), ("b", 1, "2026-03-15")]
 
 
-def test_a_new_checkpoint_loses_nothing_and_a_batch_cannot_go_back(spark, tmp_path):
-    built = marts.EventMarts(str(tmp_path))
-    for number, rows in enumerate(BATCHES[:2]):
-        built.process_batch(staged(spark, rows), number + 5, "one")
-    built.process_batch(staged(spark, BATCHES[2]), 0, "two")
+def test_a_batch_that_failed_midway_is_done_again(spark, feed, monkeypatch):
+    """The event table has the batch, its marts have not: the next run mends them."""
+    feed.add(BATCHES[0])
+    feed.run()
+    feed.add(BATCHES[1])
+    feed.add(BATCHES[2])
+
+    def fails(self, changed):
+        marts.upsert_latest_events(self.events, changed)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(marts.EventMarts, "process_batch", fails)
+        with pytest.raises(Exception, match="lost"):
+            feed.run()
+    assert live(feed.marts.events, spark) == [("a", 2, "2026-03-16"), ("b", 3, "2026-03-17")]
+    assert feed.marts.health.read(spark).count() == 1
+    built = feed.run()
     assert live(built.events, spark) == [("a", 2, "2026-03-16"), ("b", 3, "2026-03-17")]
-    with pytest.raises(ValueError, match="batch 4 of 'one'"):
-        built.process_batch(staged(spark, BATCHES[0]), 4, "one")
+    days = {str(r.event_date): r.event_count for r in built.health.read(spark).collect()}
+    assert days == {"2026-03-16": 1, "2026-03-17": 1}
 
 
-def test_device_status_follows_an_event_to_another_device(spark, tmp_path):
+def test_redoing_a_batch_changes_nothing(spark, tmp_path):
     built = marts.EventMarts(str(tmp_path))
-    built.process_batch(staged(spark, [("a", "2026-03-15T12:00:05Z", 1, "d1", 1.0)]), 0)
-    built.process_batch(staged(spark, [("a", "2026-03-15T12:00:06Z", 2, "d2", 1.0)]), 1)
+    changed = marts.newest_versions(staged(spark, [row for rows in BATCHES for row in rows]))
+    for _ in range(2):
+        built.process_batch(changed)
+        assert live(built.events, spark) == [("a", 2, "2026-03-16"), ("b", 3, "2026-03-17")]
+        assert built.health.read(spark).count() == 2
+
+
+def test_untouched_dates_keep_their_files(spark, feed):
+    feed.add(BATCHES[0] + [("c", "2026-01-01T00:00:00Z", 1, "d1", 1.0)])
+    built = feed.run()
+    old = [name for name in built.events.read(spark).inputFiles() if "=2026-01-01/" in name]
+    feed.add(BATCHES[1])
+    feed.run()
+    assert old and set(old) <= set(built.events.read(spark).inputFiles())
+
+
+def test_tables_belong_to_one_checkpoint(spark, feed):
+    feed.add(BATCHES[0])
+    feed.run()
+    feed.checkpoint += "-new"
+    with pytest.raises(ValueError, match="another checkpoint"):
+        feed.run()
+
+
+def test_device_status_follows_an_event_to_another_device(spark, feed):
+    feed.add([("a", "2026-03-15T12:00:05Z", 1, "d1", 1.0)])
+    feed.run()
+    feed.add([("a", "2026-03-15T12:00:06Z", 2, "d2", 1.0)])
+    built = feed.run()
     assert [r.device_id for r in built.device_status(spark).collect()] == ["d2"]
     assert [r.device_id for r in built.sensor_events.read(spark).collect()] == ["d2"]
 
 
-def test_old_commits_and_their_data_go(spark, tmp_path):
-    table = VersionedTable(str(tmp_path), "k STRING, event_date DATE", kept=2)
-    for batch in range(7):
-        table.replace(spark.createDataFrame([(str(batch), None)], table.schema), [None], batch)
-    assert len(table.commits(spark)) <= 5
-    assert len(list((tmp_path / "data").glob("version=*"))) <= 5
-    assert [r.k for r in table.read(spark).collect()] == ["6"]
-
-
-def test_empty_batches_and_tables(spark, tmp_path):
-    built = marts.EventMarts(str(tmp_path))
-    assert built.events.read(spark).count() == 0
-    built.process_batch(staged(spark, []), 0)
-    assert built.events.snapshot(spark) is None
-    built.process_batch(staged(spark, BATCHES[0]), 1)
-    assert len(live(built.events, spark)) == 2
+def test_empty_batches_and_tables(spark, feed):
+    assert feed.marts.events.read(spark).count() == 0
+    assert feed.run().events.read(spark).count() == 0
+    feed.add(BATCHES[0])
+    assert len(live(feed.run().events, spark)) == 2
 
 
 def test_null_dates_are_replaced_like_any_other(spark, tmp_path):
-    table = VersionedTable(str(tmp_path), "k STRING, event_date DATE")
-    table.replace(spark.createDataFrame([("a", None)], table.schema), [None], 0)
-    table.replace(spark.createDataFrame([("b", None)], table.schema), [None], 1)
+    table = marts.DatedTable(str(tmp_path / "t"), "k STRING, event_date DATE")
+    for key in ("a", "b"):
+        table.replace(spark.createDataFrame([(key, None)], table.schema), [None])
     assert [tuple(r) for r in table.read(spark).collect()] == [("b", None)]
 
 
