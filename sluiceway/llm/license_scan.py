@@ -16,9 +16,10 @@ unedited. Of spans that overlap by half, the one of the best score stays, of equ
 longest template. Phrases must stand word by word, and all their places count.
 
 Templates are a fixed list in the code, so they are broadcast. Hits are counted in the map task
-before they are shuffled. Texts are joined to the spans that were found, by a hash of id and text of
-128 bits, and Spark chooses the join by their size; documents without spans get their row from
-a join of counts alone.
+before they are shuffled. Texts meet the spans that were found by a hash of id and text of 128 bits.
+Before they are shuffled for that, a bitmap of the hashes with spans, of ``SLOTS`` bits at most,
+tells the others apart: those stay where they are, and a document without spans gets its row from a
+join of counts alone.
 
 Defined results: null and empty texts have no words and no labels; rows that are equal in id and
 text get equal results; an empty table gives an empty one. Extra columns play no part. The score
@@ -41,6 +42,10 @@ from sluiceway.llm.license_texts import NAMES, NOTICES, PASSAGES, PHRASES
 
 GRAM = 3
 LEAST = 0.8
+# Bits of the bitmap that tells which documents have spans: 4 MB, broadcast. If it fills up, more
+# texts are shuffled than need to be.
+SLOTS = 1 << 25
+BITMAP = 1 << 15
 # Word hashes that a task remembers.
 REMEMBERED = 500_000
 
@@ -254,6 +259,17 @@ def verify(words: list[bytes], spans: list[dict]) -> tuple:
     )
 
 
+def likely_with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """Documents that have spans, and those few whose hash falls on the same bit."""
+    slot = F.pmod(F.col("one"), F.lit(SLOTS))
+    part, bit = F.floor(slot / BITMAP), slot % BITMAP
+    bitmaps = spans.groupBy(part.alias("part")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    byte = F.conv(F.hex(F.substring("bits", F.floor(bit / 8).cast("int") + 1, 1)), 16, 10)
+    is_set = F.getbit(byte.cast("long"), (bit % 8).cast("int")) == 1
+    marked = docs.withColumn("part", part).join(F.broadcast(bitmaps), "part")
+    return marked.where(is_set).select(*docs.columns)
+
+
 def findings(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """A row per document that has spans."""
     names = [part.split()[0] for part in FINDINGS.split(", ")]
@@ -271,7 +287,9 @@ def findings(docs: DataFrame, spans: DataFrame) -> DataFrame:
     by_document = spans.groupBy("one", "two").agg(
         F.collect_list(F.struct("template", "low", "high")).alias("spans")
     )
-    texts = docs.select("one", "two", "text").join(stage(by_document, "spans"), ["one", "two"])
+    by_document = stage(by_document, "spans")
+    texts = likely_with_spans(docs.select("one", "two", "text"), by_document)
+    texts = texts.join(by_document, ["one", "two"])
     return map_batches(texts, run, FINDINGS).dropDuplicates(["one", "two"])
 
 
