@@ -56,11 +56,13 @@ def _job_arguments(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--manifest-root", required=True)
     parser.add_argument("--landing-manifests", help="folder of landing manifests, if there are any")
     parser.add_argument("--landing-prefix")
+    parser.add_argument("--landing-input-prefix", help="where all objects lie, whatever their slice")
     parser.add_argument("--landing-granularity", choices=GRANULARITIES, default="day")
     parser.add_argument("--output-granularity", choices=GRANULARITIES, default="day")
     parser.add_argument("--landing-fields", nargs="+")
     parser.add_argument("--processed-fields", nargs="+")
     parser.add_argument("--processed-prefix", default="raw")
+    parser.add_argument("--processed-suffix", nargs="+", default=(), help="segments key=value")
 
 
 def _job(arguments, workflow_name: str) -> StandardizeJob:
@@ -74,6 +76,8 @@ def _job(arguments, workflow_name: str) -> StandardizeJob:
         landing_granularity=arguments.landing_granularity,
         output_granularity=arguments.output_granularity,
         landing_prefix=arguments.landing_prefix,
+        landing_input_prefix=arguments.landing_input_prefix,
+        processed_suffix=tuple(arguments.processed_suffix),
         landing_fields=arguments.landing_fields
         or Layout(arguments.landing_granularity).fields,
         processed_prefix=arguments.processed_prefix,

@@ -69,14 +69,16 @@ LANDING_MANIFEST = f"""
     ingested_at STRING,
     request STRUCT<kind: STRING, payload: STRING, slice: {SLICE}, slice_count: BIGINT,
         first_slice: {SLICE}, last_slice: {SLICE}, matched_slice: {SLICE}>,
-    storage STRUCT<payload_key: STRING, manifest_key: STRING, mode: STRING,
+    storage STRUCT<payload_key: STRING, manifest_key: STRING, object_name_override: STRING,
+        resolved_storage_prefix: STRING, mode: STRING,
         slice_selector_mode: STRING, base_prefix: STRING, partition_fields: ARRAY<STRING>,
         path_suffix: ARRAY<STRING>,
         partition_components: ARRAY<STRUCT<key: STRING, value: STRING>>,
         logical_date: STRING, slice_start: STRING, slice_end: STRING,
         slice_granularity: STRING, run_id: STRING, object_stem: STRING>,
     payload STRUCT<content_type: STRING, metadata: MAP<STRING, STRING>,
-        suggested_object_name: STRING>
+        suggested_object_name: STRING>,
+    adapter_config STRING
 """
 
 BUNDLE_MANIFEST = """

@@ -65,6 +65,69 @@ def assign_rows_to_slice(
     )
 
 
+def assign_rows_to_intervals(
+    df: DataFrame,
+    ts: Column | str,
+    intervals: DataFrame,
+    *,
+    start: str = "slice_start",
+    end: str = "slice_end",
+    finest: int = 3600,
+) -> DataFrame:
+    """Rows inside any intervals ``start <= ts < end``, which may overlap and lie off any grid.
+
+    Time is cut into bins of ``finest`` seconds, and into bins four times as wide on each level
+    above. An interval is put on the level whose bins are at least as long as it is, so it meets
+    two bins at most however wide it is; a row is put into its bin on every level that is in
+    use. Equal bins are joined and the bounds checked, so rows are compared with intervals near
+    them only, and AQE splits a bin that many rows share. The levels reach the driver: one per
+    factor of four between the shortest and the longest interval.
+
+    An interval that ends where it starts, or before, holds no row; so does one without a bound,
+    and a row without a time is in no interval. Equal intervals match each.
+    """
+    width = finest * 1_000_000
+    first, last = F.unix_micros(F.col(start)), F.unix_micros(F.col(end)) - 1
+    level = F.greatest(F.lit(0), F.ceil(F.log(4.0, (last - first + 1) / width))).cast("int")
+    binned = (
+        intervals.where(F.col(start) < F.col(end))
+        .withColumn("_level", level)
+        .withColumn("_size", F.expr(f"shiftleft({width}L, 2 * _level)"))
+        .withColumn(
+            "_bin", F.explode(F.sequence(_bin(first, F.col("_size")), _bin(last, F.col("_size"))))
+        )
+        .drop("_size")
+    )
+    levels = sorted(row[0] for row in binned.select("_level").distinct().collect())
+    time = F.col(ts) if isinstance(ts, str) else ts
+    places = F.array(
+        *[
+            F.struct(
+                F.lit(used).alias("_level"),
+                _bin(F.unix_micros("_time"), F.lit(width << 2 * used)).alias("_bin"),
+            )
+            for used in levels
+        ]
+    )
+    if not levels:
+        places = F.array().cast("array<struct<_level: int, _bin: bigint>>")
+    rows = df.withColumn("_time", time).where(F.col("_time").isNotNull())
+    placed = rows.withColumn("_place", F.explode(places)).select(
+        *df.columns, "_time", "_place.*"
+    )
+    inside = (F.col("_time") >= F.col(start)) & (F.col("_time") < F.col(end))
+    return (
+        placed.join(binned, ["_level", "_bin"])
+        .where(inside)
+        .drop("_level", "_bin", "_time")
+    )
+
+
+def _bin(micros: Column, size: Column) -> Column:
+    """Floor of whole numbers, also below zero."""
+    return ((micros - F.pmod(micros, size)) / size).cast("bigint")
+
+
 def reconcile_slices(calendar: DataFrame, outputs: DataFrame) -> DataFrame:
     """Planned slices against delivered outputs, one row per slice start.
 

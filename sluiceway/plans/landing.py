@@ -42,6 +42,7 @@ def record_landed(
     base_prefix: str | None = None,
     suffix: Sequence[str] = (),
     ingested_at: datetime | None = None,
+    adapter_config: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Manifests for the files of these slices that have none yet; returns all manifests.
 
@@ -84,6 +85,7 @@ def record_landed(
             base_prefix=base_prefix,
             suffix=suffix,
             calendar=calendar,
+            adapter_config=adapter_config,
         ),
         manifest_path,
     )

@@ -20,7 +20,7 @@ from sluiceway.operators.joins import attach_manifest_metadata
 from sluiceway.operators.layout import Layout, place
 from sluiceway.operators.projection import iso_text, lineage_columns
 from sluiceway.session import configure, materialize
-from sluiceway.sinks.writers import write_bundle, write_manifests
+from sluiceway.sinks.writers import suffix_columns, write_bundle, write_manifests
 from sluiceway.sources.landing import (
     explode_bundles,
     file_path,
@@ -118,8 +118,12 @@ class StandardizeJob:
     landing_prefix: str | None = None
     landing_fields: Sequence[str] = ("year", "month", "day")
     landing_suffix: Sequence[str] = ()
+    # Where all objects lie, whatever their slice; takes the place of the landing layout.
+    landing_input_prefix: str | None = None
     processed_prefix: str = "raw"
     processed_fields: Sequence[str] = ("year", "month", "day")
+    # Segments key=value below the time fields.
+    processed_suffix: Sequence[str] = ()
     reader_options: Mapping[str, object] = field(default_factory=dict)
 
     def validate(self) -> None:
@@ -132,7 +136,8 @@ class StandardizeJob:
         if order(self.output_granularity) < order(self.landing_granularity):
             raise ValueError("output granularity cannot be finer than landing granularity")
         Layout(self.landing_granularity, self.landing_fields, self.landing_suffix)
-        Layout(self.output_granularity, self.processed_fields)
+        Layout(self.output_granularity, self.processed_fields, self.processed_suffix)
+        suffix_columns(self.processed_suffix)
 
 
 def annotate_bundle(rows: DataFrame, bundles: DataFrame, standardized_at: datetime) -> DataFrame:
@@ -206,7 +211,9 @@ def bundle_manifests(
             F.lit(None if temporal else job.processed_prefix).cast("string").alias("output_prefix"),
             F.lit(job.processed_prefix if temporal else None).cast("string").alias("base_prefix"),
             F.array(*[F.lit(f) for f in job.processed_fields]).alias("partition_fields"),
-            F.array().cast("array<string>").alias("path_suffix"),
+            F.array(*[F.lit(s) for s in job.processed_suffix if temporal])
+            .cast("array<string>")
+            .alias("path_suffix"),
             F.col("row_count"),
             output_metadata.alias("metadata"),
             F.lit("application/x-parquet").alias("content_type"),
@@ -258,19 +265,18 @@ def standardize_slices(
             suffix=job.landing_suffix,
             manifests=manifests,
             key_root=job.landing_root,
+            input_prefix=job.landing_input_prefix,
         ),
         "standardize-inputs",
     )
     if inventory.isEmpty():
         return spark.createDataFrame([], BUNDLES)
-    layout = (calendar, job.landing_fields, job.output_granularity)
-    objects = kind.read(
-        spark,
-        slice_paths(landing, *layout),
-        root=job.landing_root,
-        only=Layout("hour", job.landing_fields, job.landing_suffix).in_folders(file_path()),
-        **job.reader_options,
-    )
+    if job.landing_input_prefix is not None:
+        paths, only = place(job.landing_root, job.landing_input_prefix), None
+    else:
+        paths = slice_paths(landing, calendar, job.landing_fields, job.output_granularity)
+        only = Layout("hour", job.landing_fields, job.landing_suffix).in_folders(file_path())
+    objects = kind.read(spark, paths, root=job.landing_root, only=only, **job.reader_options)
     placed = objects.join(
         inventory.select("_landing_key", "run_id", "slice_start", "_metadata_map"), "_landing_key"
     )
@@ -289,6 +295,7 @@ def standardize_slices(
             F.concat(F.lit(f"{name}="), partition_value("slice_start", name))
             for name in job.processed_fields
         ],
+        *[F.lit(segment) for segment in job.processed_suffix],
     )
     file_name = F.concat(F.lit("slice_id="), F.col("run_id"), F.lit(".parquet"))
     bundles = materialize(
@@ -317,6 +324,7 @@ def standardize_slices(
         "slice_start",
         job.processed_fields,
         below=("slice_id",),
+        suffix=job.processed_suffix,
     )
     write_manifests(
         bundle_manifests(bundles, job, standardized_at, selector_mode),
@@ -371,15 +379,15 @@ def standardize_manual(
         "_landing_key",
     )
     name = object_name or f"run_id={run_id}.parquet"
-    directory = job.processed_prefix.strip("/")
+    directory = [part for part in [job.processed_prefix.strip("/")] if part]
     bundles = materialize(
         bundle_summary(staged, inventory).withColumns(
             {
                 "slice_start": no_slice,
                 "slice_end": no_slice,
                 "granularity": F.lit("manual"),
-                "bundle_key": F.lit(f"{directory}/{name}"),
-                "manifest_key": F.lit(f"{directory}/_{name}.manifest.json"),
+                "bundle_key": F.lit("/".join([*directory, name])),
+                "manifest_key": F.lit("/".join([*directory, f"_{name}.manifest.json"])),
             }
         ),
         "standardize-bundles",
@@ -389,7 +397,7 @@ def standardize_manual(
     annotated = annotate_bundle(staged, bundles, standardized_at)
     annotated.select(*kind.columns, *contracts.names(contracts.BUNDLE_LINEAGE)).write.mode("append").option(
         "compression", "snappy"
-    ).parquet(f"{job.processed_root.rstrip('/')}/{directory}/{name}")
+    ).parquet(place(job.processed_root, *directory, name))
     write_manifests(
         bundle_manifests(bundles, job, standardized_at, None), f"{job.manifest_root}/bundles"
     )

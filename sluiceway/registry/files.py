@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -69,12 +70,15 @@ def land_deliveries(spark: SparkSession, sf_dir: str, fields=("year", "month"))
 
 @query(
     "read_json_bundles",
-    f"select {_TXN_ROW}, 'v1' as _schema_version, 'lineitem' as _scenario_name from raw_txn",
+    f"""select {_TXN_ROW}, 'v1' as _schema_version, 'lineitem' as _scenario_name,
+      'year=' || strftime(_logical_date::timestamp, '%Y') || '/' as landing_folder,
+      true as row_count_fits, strftime(_logical_date::timestamp, '%Y') as year from raw_txn""",
     "raw_txn",
 )
 def read_json_bundles(spark, sf_dir):
+    """Names of landed files and the cut into documents are Spark's; the folder of the key is not."""
     root = land_transactions(spark, sf_dir)
-    return landing.read_json_bundles(
+    rows = landing.read_json_bundles(
         spark,
         root,
         contracts.TRANSACTION_ROW,
@@ -82,7 +86,12 @@ def read_json_bundles(spark, sf_dir):
         json_columns=contracts.TRANSACTION_JSON_COLUMNS,
         partition_fields=("year",),
         one_per_line=True,
-    ).drop("_landing_key", "_response_row_count", "year")
+    )
+    return rows.select(
+        "*",
+        F.regexp_extract("_landing_key", "^(.*/)[^/]+$", 1).alias("landing_folder"),
+        F.col("_response_row_count").between(1, 250).alias("row_count_fits"),
+    ).drop("_landing_key", "_response_row_count")
 
 
 @query(
@@ -116,22 +125,81 @@ def _land_events(spark: SparkSession, sf_dir: str) -> str:
 
 @query(
     "landing_inventory",
-    """select slice_start, exists (select 1 from events where date_trunc('day', ts) = slice_start)
-      as has_objects
-    from (select unnest(generate_series(timestamp '2023-12-20', timestamp '2024-02-10',
-      interval 1 day)) as slice_start)""",
+    """select slice_start, slice_start + interval 1 day as slice_end, 'day' as granularity,
+      strftime(slice_start, 'year=%Y/month=%m/day=%d/') as folder, sum(length) as length
+    from (select date_trunc('day', ts)::timestamp as slice_start, strlen('{"event_id":' || event_id
+        || ',"event_type":"' || event_type || '"}') + 1 as length from events)
+    where slice_start between timestamp '2024-01-03' and timestamp '2024-02-10'
+    group by slice_start""",
 )
 def landing_inventory(spark, sf_dir):
+    """Objects of a range of days, summed up by folder: the names of the files are Spark's."""
     root = _land_events(spark, sf_dir)
-    selector = SliceSelector("day", range_start="2023-12-20", range_end="2024-02-10")
+    selector = SliceSelector("day", range_start="2024-01-03", range_end="2024-02-10")
     calendar = slice_calendar(spark, selector)
     found = landing.landing_inventory(
         spark, root, calendar, partition_fields=("year", "month", "day"), granularity="day"
     )
-    sizes = found.groupBy("slice_start").agg(F.sum("length").alias("length"))
-    return calendar.join(sizes, "slice_start", "left").select(
-        "slice_start", (F.coalesce("length", F.lit(0)) > 0).alias("has_objects")
+    folder = F.regexp_extract("_landing_key", "^(.*/)[^/]+$", 1)
+    return found.groupBy("slice_start", "slice_end", "granularity", folder.alias("folder")).agg(
+        F.sum("length").cast("bigint").alias("length")
+    )
+
+
+@query(
+    "landing_inventory_by_prefix",
+    """with slices as (select unnest(generate_series(timestamp '2024-01-03',
+      timestamp '2024-02-10', interval 1 day)) as slice_start),
+    objects as (select distinct date_trunc('day', ts)::timestamp as day,
+      extract(day from ts) % 7 = 0 as undated from events)
+    select slice_start, strftime(day, 'dropped/%Y-%m-%d/') as folder
+    from slices join objects on undated or day = slice_start""",
+)
+def landing_inventory_by_prefix(spark, sf_dir):
+    """All objects under one prefix: manifests say their dates, those without go everywhere."""
+    root = scratch_dir(spark, "landing-dropped")
+    ts = F.col("ts").cast("timestamp")
+    payloads = table(spark, sf_dir, "events").select(
+        F.date_format(ts, "yyyy-MM-dd").alias("dropped"), F.col("event_id").cast("string")
+    )
+    # A folder a day that is no time field; Spark names it, so its key is made from the listing.
+    payloads.write.partitionBy("dropped").text(f"{root}/all")
+    calendar = slice_calendar(
+        spark, SliceSelector("day", range_start="2024-01-03", range_end="2024-02-10")
+    )
+    day = F.regexp_extract("_landing_key", "dropped=([0-9-]+)/", 1)
+    keys = landing.read_manual_lines(spark, f"{root}/all", root=root).select(
+        "_landing_key", day.alias("day")
+    ).distinct()
+    dated = F.dayofmonth(F.to_date("day")) % 7 != 0
+    objects = keys.where(dated).select(
+        F.col("day").alias("run_id"),
+        F.lit("text/plain").alias("content_type"),
+        F.create_map(F.lit("preset_id"), F.lit("events")).alias("metadata"),
+        F.col("day").cast("timestamp").alias("ingested_at"),
+        F.lit(None).cast("string").alias("suggested_object_name"),
+        F.col("day").cast("timestamp").alias("slice_start"),
+        (F.col("day").cast("timestamp") + F.make_interval(days=F.lit(1))).alias("slice_end"),
+        F.col("_landing_key").alias("payload_key"),
+    )
+    manifests = writers.landing_manifests(
+        objects,
+        workflow_name="events",
+        source_adapter="table",
+        selector_mode="pinned",
+        granularity="day",
+    )
+    found = landing.landing_inventory(
+        spark,
+        root,
+        calendar,
+        partition_fields=("year", "month", "day"),
+        granularity="day",
+        manifests=manifests,
+        input_prefix="all",
     )
+    folder = F.concat(F.lit("dropped/"), day, F.lit("/"))
+    return found.select("slice_start", folder.alias("folder")).distinct()
 
 
 _CONVERSATION = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
@@ -193,7 +261,7 @@ def read_stream_events(spark, sf_dir):
 @query(
     "write_bundle",
     """select event_id, event_type, value, strftime(ts, '%Y') as year, strftime(ts, '%m') as month,
-      strftime(ts, '%d') as day from events""",
+      strftime(ts, '%d') as day, 'events' as api from events""",
 )
 def write_bundle(spark, sf_dir):
     root = scratch_dir(spark, "bundle")
@@ -202,9 +270,10 @@ def write_bundle(spark, sf_dir):
         rows.select("event_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts")),
         root,
         "ts",
+        suffix=("api=events",),
     )
     schema = "event_id BIGINT, event_type STRING, value DOUBLE"
-    return spark.read.schema(f"{schema}, {contracts.DATE_PARTITIONS}").parquet(root)
+    return spark.read.schema(f"{schema}, {contracts.DATE_PARTITIONS}, api STRING").parquet(root)
 
 
 def _event_bundles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -283,17 +352,49 @@ def _bundle_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "write_bundle_manifest",
-    """select strftime(ts, '%Y-%m-%d') as run_id, 'hour=' || strftime(ts, '%H') || '.json' as landing_key,
-      count(*) as n_rows from events group by all""",
+    _BUNDLE_SQL
+    + """, keys as (select strftime(ts, '%Y-%m-%d') as run_id,
+      'hour=' || strftime(ts, '%H') || '.json' as landing_key, count(*) as n_rows
+      from events group by all)
+    select run_id, landing_key, n_rows, '1' as schema_version, 'events' as workflow_name,
+      'json_bundle' as standardize_strategy, 'temporal' as mode, 'range' as slice_selector_mode,
+      object_count, row_count, 'year,month,day' as partition_fields, 'api=events' as path_suffix,
+      'raw/slice_id=' || run_id || '.parquet' as payload_key,
+      'raw/_slice_id=' || run_id || '.parquet.manifest.json' as manifest_key,
+      run_id || 'T00:00:00+00:00' as slice_start, 'day' as slice_granularity,
+      'application/x-parquet' as content_type
+    from days join keys using (run_id)""",
 )
 def write_bundle_manifest(spark, sf_dir):
-    """The input keys of every bundle, kept as rows next to the manifests."""
-    job = replace(_EVENT_JOB, manifest_root=scratch_dir(spark, "bundle-inputs"))
-    rows, _, inputs = _event_bundles(spark, sf_dir)
+    """The manifest of every bundle with its input keys, which are rows of their own."""
+    root = scratch_dir(spark, "bundle-inputs")
+    job = replace(_EVENT_JOB, manifest_root=root, processed_suffix=("api=events",))
+    rows, bundles, inputs = _event_bundles(spark, sf_dir)
+    writers.write_manifests(
+        std.bundle_manifests(bundles, job, STAMP, "range"), f"{root}/bundles"
+    )
     std.write_bundle_inputs(inputs, job)
-    keys = spark.read.schema(contracts.BUNDLE_INPUTS).parquet(f"{job.manifest_root}/inputs")
+    keys = spark.read.schema(contracts.BUNDLE_INPUTS).parquet(f"{root}/inputs")
     counts = rows.groupBy("run_id", "landing_key").agg(count_all().alias("n_rows"))
-    return keys.drop("slice_start").join(counts, ["run_id", "landing_key"])
+    manifests = tables.read_manifests(spark, f"{root}/bundles", contracts.BUNDLE_MANIFEST).select(
+        "input.run_id",
+        "schema_version",
+        "workflow_name",
+        "standardize_strategy",
+        "input.mode",
+        "input.slice_selector_mode",
+        "input.object_count",
+        "input.slice_start",
+        "input.slice_granularity",
+        "output.row_count",
+        F.array_join("output.partition_fields", ",").alias("partition_fields"),
+        F.array_join("output.path_suffix", ",").alias("path_suffix"),
+        "output.payload_key",
+        "output.manifest_key",
+        "output.content_type",
+    )
+    counted = keys.drop("slice_start").join(counts, ["run_id", "landing_key"])
+    return counted.join(manifests, "run_id")
 
 
 @query(
@@ -343,12 +444,11 @@ def write_landing(spark, sf_dir):
     return lines.select(parsed.alias("row"), "year", "quarter").select("row.*", "year", "quarter")
 
 
-def _landing_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One manifest per order, read back from the manifest table."""
-    path = scratch_dir(spark, "landing-manifests")
+def _order_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as a landed object of its month."""
     order = F.col("o_orderkey")
     day = F.col("o_orderdate").cast("timestamp")
-    objects = table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         order.cast("string").alias("run_id"),
         F.when(order % 2 == 0, "application/vnd.orders+json; charset=utf-8")
         .otherwise("text/csv")
@@ -361,15 +461,21 @@ def _landing_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_trunc("month", day).alias("slice_start"),
         F.add_months(F.date_trunc("month", day), 1).cast("timestamp").alias("slice_end"),
     )
+
+
+def _landing_manifests(spark: SparkSession, sf_dir: str, **settings) -> DataFrame:
+    """One manifest per order, read back from the manifest table."""
+    path = scratch_dir(spark, "landing-manifests")
+    settings = {
+        "selector_mode": "pinned",
+        "granularity": "month",
+        "fields": ("year", "month"),
+        "base_prefix": "client=a",
+        "suffix": ("api=orders",),
+        **settings,
+    }
     manifests = writers.landing_manifests(
-        objects,
-        workflow_name="orders",
-        source_adapter="table",
-        selector_mode="pinned",
-        granularity="month",
-        fields=("year", "month"),
-        base_prefix="client=a",
-        suffix=("api=orders",),
+        _order_objects(spark, sf_dir), workflow_name="orders", source_adapter="table", **settings
     )
     writers.write_manifests(manifests, path)
     return tables.read_manifests(spark, path, contracts.LANDING_MANIFEST)
@@ -388,31 +494,115 @@ with named as (
 """
 
 
+_MONTH = "date_trunc('month', o_orderdate)"
+
+
+def _stamp_sql(ts: str) -> str:
+    return f"strftime({ts}, '%Y-%m-%dT%H:%M:%S+00:00')"
+
+
+def _kind_sql(kind: str, mode: str | None, name: str, stem: str, folder: str, **fields: str) -> str:
+    """Manifest fields of one kind of request, for every order."""
+    dated = mode is not None
+    values = {
+        "kind": f"'{kind}'",
+        "run_id": "cast(o_orderkey as varchar)",
+        "payload_key": f"{folder} || {name}",
+        "manifest_key": f"{folder} || '_' || {stem} || '.manifest.json'",
+        "planning_mode": "'temporal'" if dated else "'manual'",
+        "selector": f"'{mode}'" if dated else "null::varchar",
+        "logical_date": _stamp_sql(_MONTH) if dated else "null::varchar",
+        "slice_end": _stamp_sql(f"{_MONTH} + interval 1 month") if dated else "null::varchar",
+        "object_name_override": "null::varchar",
+        "resolved_storage_prefix": "null::varchar",
+        "adapter_config": "null::varchar",
+        "requested_start": "null::varchar",
+        "matched_start": "null::varchar",
+        "slice_count": "null::bigint",
+        "first_start": "null::varchar",
+        "last_end": "null::varchar",
+        "requested_payload": "null::varchar",
+        "preset_id": "o_orderstatus",
+        "ingested_at": _stamp_sql("o_orderdate"),
+        **fields,
+    }
+    return "select " + ", ".join(f"{v} as {k}" for k, v in values.items()) + " from named"
+
+
+_REQUEST_KINDS = {
+    "live": {"selector_mode": "current", "adapter_config": {"url": "u", "limit": 5}},
+    "slice": {"selector_mode": "pinned"},
+    "multi_slice": {"selector_mode": "range", "object_name_override": "all.json"},
+    "manual": {
+        "selector_mode": None,
+        "granularity": None,
+        "request_payload": {"since": "x", "a": 1},
+        "storage_prefix": "resend/1/",
+    },
+}
+
+
 @query(
     "write_landing_manifest",
     _MANIFEST_SQL
-    + """select cast(o_orderkey as varchar) as run_id, 'slice' as kind, folder || name as payload_key,
-      folder || '_' || stem || '.manifest.json' as manifest_key,
-      strftime(date_trunc('month', o_orderdate), '%Y-%m-%dT00:00:00+00:00') as logical_date,
-      strftime(date_trunc('month', o_orderdate) + interval 1 month, '%Y-%m-%dT00:00:00+00:00') as slice_end,
-      strftime(date_trunc('month', o_orderdate), '%Y-%m-%dT00:00:00+00:00') as requested_start,
-      'pinned' as selector, o_orderstatus as preset_id,
-      strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S+00:00') as ingested_at
-    from named""",
-)
+    + "\nunion all ".join(
+        [
+            _kind_sql(
+                "live", "current", "name", "stem", "folder",
+                adapter_config="""'{"limit": 5, "url": "u"}'""",
+            ),
+            _kind_sql(
+                "slice", "pinned", "name", "stem", "folder", requested_start=_stamp_sql(_MONTH)
+            ),
+            _kind_sql(
+                "multi_slice", "range", "'all.json'", "'all.json'", "folder",
+                object_name_override="'all.json'",
+                matched_start=_stamp_sql(_MONTH),
+                slice_count="108",
+                first_start="'1994-01-01T00:00:00+00:00'",
+                last_end="'2003-01-01T00:00:00+00:00'",
+            ),
+            _kind_sql(
+                "manual", None, "name", "stem", "'resend/1/'",
+                resolved_storage_prefix="'resend/1/'",
+                requested_payload="""'{"a": 1, "since": "x"}'""",
+            ),
+        ]
+    ),
+)
 def write_landing_manifest(spark, sf_dir):
-    return _landing_manifests(spark, sf_dir).select(
-        "storage.run_id",
-        "request.kind",
-        "storage.payload_key",
-        "storage.manifest_key",
-        "storage.logical_date",
-        "storage.slice_end",
-        F.col("request.slice.slice_start").alias("requested_start"),
-        F.col("payload.metadata")["slice_selector_mode"].alias("selector"),
-        F.col("payload.metadata")["preset_id"].alias("preset_id"),
-        "ingested_at",
-    )
+    """Manifests of every order as landed by each kind of request."""
+    calendar = slice_calendar(
+        spark, SliceSelector("month", range_start="1994-01-01", range_end="2002-12-31")
+    )
+    settings = {**_REQUEST_KINDS}
+    settings["multi_slice"] = {**settings["multi_slice"], "calendar": calendar}
+    written = [_landing_manifests(spark, sf_dir, **each) for each in settings.values()]
+    fields = [
+        frame.select(
+            "request.kind",
+            "storage.run_id",
+            "storage.payload_key",
+            "storage.manifest_key",
+            "planning_mode",
+            F.col("payload.metadata")["slice_selector_mode"].alias("selector"),
+            "storage.logical_date",
+            "storage.slice_end",
+            "storage.object_name_override",
+            "storage.resolved_storage_prefix",
+            "adapter_config",
+            F.col("request.slice.slice_start").alias("requested_start"),
+            F.col("request.matched_slice.slice_start").alias("matched_start"),
+            "request.slice_count",
+            F.col("request.first_slice.slice_start").alias("first_start"),
+            F.col("request.last_slice.slice_end").alias("last_end"),
+            F.col("request.payload").alias("requested_payload"),
+            F.col("payload.metadata")["preset_id"].alias("preset_id"),
+            "ingested_at",
+        )
+        for frame in written
+    ]
+    return reduce(DataFrame.unionByName, fields)
 
 
 @query(
@@ -457,6 +647,28 @@ def write_csv_delivery(spark, sf_dir):
     return landing.read_csv_delivery(spark, root, fields, root=root).drop("_landing_key")
 
 
+@query(
+    "read_csv_split",
+    """select cast(conv_id as varchar) as conv_id, cast(turn as varchar) as turn,
+      nullif(role, '') as role, nullif(text, '') as text,
+      text || chr(10) || '"' || role || '",' || chr(10) as broken
+    from conversations""",
+)
+def read_csv_split(spark, sf_dir):
+    """One large CSV file with line breaks and quotes in its values, read by many tasks."""
+    root = scratch_dir(spark, "csv-split")
+    broken = F.concat("text", F.lit('\n"'), "role", F.lit('",\n'))
+    rows = table(spark, sf_dir, "conversations").withColumn("broken", broken)
+    fields = ["conv_id", "turn", "role", "text", "broken"]
+    writers.write_csv_delivery(rows.coalesce(1), root, fields)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64KB")
+    try:
+        return landing.read_csv_delivery(spark, root, fields, root=root).drop("_landing_key")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 @query("write_model", "select * from evt_events", "evt_events")
 def write_model(spark, sf_dir):
     path = scratch_dir(spark, "model")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sluiceway import contracts
 from sluiceway.operators import quality
@@ -285,6 +285,14 @@ NOW = {"availableNow": True}
 FILES_PER_BATCH = 4
 
 
+_BROKEN = '{"broken": '
+
+
+def _event_of(text: Column) -> Column:
+    """The event of a text that :func:`_drop_events` wrote, broken or not."""
+    return F.from_json(F.replace(text, F.lit(_BROKEN), F.lit("")), contracts.RAW_EVENTS)
+
+
 def _drop_events(spark: SparkSession, sf_dir: str) -> str:
     """All events as text files in a drop folder, in no particular order.
 
@@ -293,7 +301,7 @@ def _drop_events(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_dir(spark, "drop")
     whole = F.to_json(F.struct(*contracts.names(contracts.RAW_EVENTS)))
     has_id = F.col("emitter_event_id").isNotNull()
-    text = F.when(has_id, whole).otherwise(F.concat(F.lit('{"broken": '), whole))
+    text = F.when(has_id, whole).otherwise(F.concat(F.lit(_BROKEN), whole))
     raw_events(spark, sf_dir).select(text.alias("value")).write.text(path)
     return path
 
@@ -332,14 +340,17 @@ def _staged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "stream_source",
-    "select emitter_event_id is not null as is_whole, count(*) as n from raw_evt group by 1",
+    "select *, emitter_event_id is not null as is_whole from raw_evt",
     "raw_evt",
 )
 def stream_source(spark, sf_dir):
+    """Every text that the stream delivers, with the event it holds, whole or broken."""
     stream = intake.text_event_source(spark, _drop_events(spark, sf_dir), FILES_PER_BATCH)
     texts = _drain(stream, "source")
-    whole = ~F.col("value").startswith('{"broken": ')
-    return texts.groupBy(whole.alias("is_whole")).agg(F.count(F.lit(1)).alias("n"))
+    whole = ~F.col("value").startswith(_BROKEN)
+    return texts.select(_event_of(F.col("value")).alias("event"), whole.alias("is_whole")).select(
+        "event.*", "is_whole"
+    )
 
 
 @query("deliver_events", "select * from raw_evt where emitter_event_id is not null", "raw_evt")
@@ -348,19 +359,31 @@ def deliver_events(spark, sf_dir):
     return tables.read_stream_events(spark, path).drop("year", "month", "day")
 
 
+@query("deliver_events_once", "select * from raw_evt where emitter_event_id is not null", "raw_evt")
+def deliver_events_once(spark, sf_dir):
+    """A drop folder that holds each file twice: exact repeats are delivered once."""
+    drop = _drop_events(spark, sf_dir)
+    again = spark.read.text(drop)
+    again.write.mode("append").text(drop)
+    source = intake.text_event_source(spark, drop, FILES_PER_BATCH)
+    path = scratch_dir(spark, "delivered-once")
+    writer = intake.deliver_events(
+        source, path, scratch_dir(spark, "once-checkpoint"), NOW, repeats_within="2 hours"
+    )
+    _finish(writer)
+    return tables.read_stream_events(spark, path).drop("year", "month", "day")
+
+
 @query(
     "quarantine_bad_events",
-    "select 'malformed' as type, count(*) as n from raw_evt where emitter_event_id is null",
+    "select *, 'malformed' as type from raw_evt where emitter_event_id is null",
     "raw_evt",
 )
 def quarantine_bad_events(spark, sf_dir):
+    """The texts that are kept, with the events they would have been."""
     path = _delivered(spark, sf_dir, intake.quarantine_bad_events)
-    return (
-        spark.read.schema("value STRING, type STRING")
-        .text(path)
-        .groupBy("type")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    texts = spark.read.schema("value STRING, type STRING").text(path)
+    return texts.select(_event_of(F.col("value")).alias("event"), "type").select("event.*", "type")
 
 
 query("stage_events_stream", "select * from evt_staged", "evt_staged")(

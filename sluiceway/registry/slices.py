@@ -10,7 +10,11 @@ from sluiceway.functions import slices as fn
 from sluiceway.functions.aggregates import count_all
 from sluiceway.operators import layout
 from sluiceway.operators.calendar import SliceSelector, regrain_slices, slice_calendar
-from sluiceway.operators.joins import assign_rows_to_slice, reconcile_slices
+from sluiceway.operators.joins import (
+    assign_rows_to_intervals,
+    assign_rows_to_slice,
+    reconcile_slices,
+)
 from sluiceway.registry.adapters import table
 
 QUERIES = {}
@@ -304,3 +308,41 @@ def trimmed(spark, sf_dir):
         .groupBy(*fields)
         .agg(count_all().alias("n"))
     )
+
+
+# Off-grid and overlapping: hours, days, and now and then more than a year, from every order.
+_LENGTH = "case when o_orderkey % 1000 = 0 then 9600 when o_orderkey % 50 = 0 then 80 else o_orderkey % 5 end"
+
+
+@query(
+    "assign_rows_to_intervals",
+    f"""with intervals as (select o_orderkey,
+        o_orderdate::timestamp + to_minutes(o_orderkey % 1440) as slice_start,
+        o_orderdate::timestamp + to_minutes(o_orderkey % 1440) + to_hours({_LENGTH}) as slice_end
+      from orders),
+    points as (select l_orderkey, l_linenumber, l_shipdate::timestamp
+        + to_minutes(l_orderkey * 7 % 1440) as ts from lineitem)
+    select o_orderkey, slice_start, slice_end, count(*) as n_lines, min(ts) as first_ts,
+      max(l_orderkey * 10 + l_linenumber) as last_line
+    from intervals join points on ts >= slice_start and ts < slice_end
+    group by o_orderkey, slice_start, slice_end""",
+)
+def assign_rows_to_overlapping_intervals(spark, sf_dir):
+    begin = F.col("o_orderdate").cast("timestamp") + F.make_interval(
+        mins=(F.col("o_orderkey") % 1440).cast("int")
+    )
+    intervals = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        begin.alias("slice_start"),
+        (begin + F.make_interval(hours=F.expr(_LENGTH).cast("int"))).alias("slice_end"),
+    )
+    ts = F.col("l_shipdate").cast("timestamp") + F.make_interval(
+        mins=(F.col("l_orderkey") * 7 % 1440).cast("int")
+    )
+    points = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", ts.alias("ts"))
+    found = assign_rows_to_intervals(points, "ts", intervals)
+    return found.groupBy("o_orderkey", "slice_start", "slice_end").agg(
+        count_all().alias("n_lines"),
+        F.min("ts").alias("first_ts"),
+        F.max(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("last_line"),
+    )

@@ -81,21 +81,32 @@ def write_bundle(
     ts: Column | str,
     fields: Sequence[str] = ("year", "month", "day"),
     below: Sequence[str] = (),
+    suffix: Sequence[str] = (),
 ) -> None:
-    """Append standardized rows under ``root/<field>=.../``.
+    """Append standardized rows under ``root/<field>=.../<suffix>/``.
 
-    Columns in ``below`` give further directories. An empty frame adds no directory.
+    Suffix segments must be ``key=value``, the only directories that Spark writes. Columns in
+    ``below`` give further directories. An empty frame adds no directory.
     """
-    rows = partition_columns(df, ts, fields)
+    fixed = suffix_columns(suffix)
+    rows = partition_columns(df, ts, fields).withColumns(fixed)
     (
         spread(rows, *fields)
         .write.mode("append")
         .option("compression", "snappy")
-        .partitionBy(*fields, *below)
+        .partitionBy(*fields, *fixed, *below)
         .parquet(root)
     )
 
 
+def suffix_columns(suffix: Sequence[str]) -> dict[str, Column]:
+    """Path segments ``key=value`` as constant columns to partition by."""
+    fixed = dict(segment.partition("=")[::2] for segment in suffix)
+    if not all(fixed.values()):
+        raise ValueError(f"path suffix segments must be key=value to be written: {suffix}")
+    return {key: F.lit(value) for key, value in fixed.items()}
+
+
 def bundle_documents(
     rows: DataFrame,
     row_columns: Sequence[str],
@@ -162,11 +173,9 @@ def write_landing(
         payloads.select(content).write.mode("append").option("compression", compression).text(path)
         return path
     Layout(granularity, tuple(fields), tuple(suffix))
-    fixed = dict(segment.partition("=")[::2] for segment in suffix)
-    if not all(fixed.values()):
-        raise ValueError(f"path suffix segments must be key=value to be written: {suffix}")
+    fixed = suffix_columns(suffix)
     rows = partition_columns(payloads, ts, fields).select(
-        content, *fields, *[F.lit(value).alias(key) for key, value in fixed.items()]
+        content, *fields, *[value.alias(key) for key, value in fixed.items()]
     )
     (
         spread(rows, *fields)
@@ -260,6 +269,9 @@ def landing_manifests(
     suffix: Sequence[str] = (),
     calendar: DataFrame | None = None,
     request_payload: Mapping[str, object] | None = None,
+    object_name_override: str | None = None,
+    storage_prefix: str | None = None,
+    adapter_config: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """One manifest row per landed object.
 
@@ -268,22 +280,28 @@ def landing_manifests(
     means a manual landing. Objects that are landed already also have a ``payload_key``;
     otherwise the key follows from the layout and the object's name. With the ``calendar``
     of a multi-slice request the manifests also say how many slices it had, and which were
-    first and last; ``request_payload`` is what a manual request asked for. The result is a
-    plain DataFrame: append it as JSON with :func:`write_manifests`.
+    first and last; ``request_payload`` is what a manual request asked for.
+
+    ``object_name_override`` names every object, whatever was suggested; ``storage_prefix``
+    takes the place of ``base_prefix`` in the keys; ``adapter_config`` is kept as JSON text. The
+    result is a plain DataFrame: append it as JSON with :func:`write_manifests`.
     """
     temporal = selector_mode is not None
     kind = {None: "manual", "current": "live", "pinned": "slice"}.get(selector_mode, "multi_slice")
-    named = objects.withColumn("_name", object_name("content_type", "run_id", "suggested_object_name"))
-    parts = [base_prefix.strip("/")] if base_prefix and base_prefix.strip("/") else []
+    named = objects.withColumn(
+        "_name",
+        object_name("content_type", "run_id", "suggested_object_name", object_name_override),
+    )
+    placed = (base_prefix if storage_prefix is None else storage_prefix) or ""
+    parts = [placed.strip("/")] if placed.strip("/") else []
     directory = [F.lit(part) for part in parts]
     if temporal:
         directory += [
             F.concat(F.lit(f"{field}="), partition_value("slice_start", field)) for field in fields
         ]
         directory += [F.lit(part) for part in suffix]
-    stem = F.when(F.col("suggested_object_name").isNotNull(), F.col("_name")).otherwise(
-        object_stem("run_id")
-    )
+    has_name = F.col("suggested_object_name").isNotNull() | F.lit(object_name_override is not None)
+    stem = F.when(has_name, F.col("_name")).otherwise(object_stem("run_id"))
     components = F.lit(None)
     if temporal:
         components = F.array(
@@ -368,6 +386,8 @@ def landing_manifests(
         F.struct(
             payload_key.alias("payload_key"),
             manifest_key.alias("manifest_key"),
+            F.lit(object_name_override).cast("string").alias("object_name_override"),
+            F.lit(storage_prefix).cast("string").alias("resolved_storage_prefix"),
             F.lit("temporal" if temporal else "manual").alias("mode"),
             F.lit(selector_mode).cast("string").alias("slice_selector_mode"),
             F.lit(base_prefix).cast("string").alias("base_prefix"),
@@ -384,6 +404,11 @@ def landing_manifests(
             F.map_concat(own, adapter).alias("metadata"),
             "suggested_object_name",
         ).alias("payload"),
+        F.lit(
+            None if adapter_config is None else json.dumps(dict(adapter_config), sort_keys=True)
+        )
+        .cast("string")
+        .alias("adapter_config"),
     )
 
 

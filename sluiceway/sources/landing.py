@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from sluiceway.functions.columns import nested_to_json, try_iso_to_ts
 from sluiceway.functions.slices import partition_value, slice_floor
 from sluiceway.operators.joins import attach_manifest_metadata
-from sluiceway.operators.layout import Layout
+from sluiceway.operators.layout import Layout, place
+from sluiceway.session import materialize
 
 MANIFEST_SUFFIX = ".manifest.json"
 
@@ -166,23 +167,114 @@ def read_csv_delivery(
     """Rows of CSV files with a header, all text, empty values NULL.
 
     ``columns`` is the header the files carry, in order; a file with another header fails
-    the read instead of shifting values. Without ``quoted_newlines`` large files are split
-    between tasks.
+    the read instead of shifting values. Large files are split between tasks; with
+    ``quoted_newlines`` by :func:`csv_records`, which costs a pass over the text and a shuffle.
     """
+    reader = _reader(spark, recursive=not partition_fields).option("basePath", root)
     schema = ", ".join(f"`{name}` STRING" for name in columns)
-    rows = (
-        _reader(spark, recursive=not partition_fields)
-        .schema(_with_partitions(schema, partition_fields))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("multiLine", quoted_newlines)
-        .option("escape", '"')
-        .option("basePath", root)
-        .csv(paths)
-        .where(_is_payload(only))
-    )
+    key = landing_key(root).alias("_landing_key")
+    if quoted_newlines:
+        texts = reader.schema(_with_partitions("value STRING", partition_fields))
+        lines = texts.option("lineSep", "\n").text(paths).where(_is_payload(only))
+        rows = _parsed(csv_records(lines, [key, *partition_fields]), columns)
+        key = F.col("_landing_key")
+    else:
+        rows = (
+            reader.schema(_with_partitions(schema, partition_fields))
+            .option("header", True)
+            .option("enforceSchema", False)
+            .option("escape", '"')
+            .csv(paths)
+            .where(_is_payload(only))
+        )
     values = [F.nullif(F.col(name), F.lit("")).alias(name) for name in columns]
-    return rows.select(*values, landing_key(root).alias("_landing_key"), *partition_fields)
+    return rows.select(*values, key, *partition_fields)
+
+
+def csv_records(lines: DataFrame, keep: Sequence[Column | str]) -> DataFrame:
+    """Records of CSV files read as lines: ``record``, its ``number`` in the file from 1, and the
+    ``keep`` columns, which are constant in a file.
+
+    A line break belongs to a value if the quotes before it in the file are odd in number
+    (quotes inside values are doubled). Each split of a file counts its quotes; sums over the
+    splits before it say whether a split begins inside a value, and sums over the lines of a split
+    say where its records begin. Only lines of records that have several are gathered.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    file = [
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+    ]
+    kept = [column if isinstance(column, Column) else F.col(column) for column in keep]
+    split = Window.partitionBy("_file").orderBy("_split")
+    before = split.rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.pmod(F.coalesce(F.sum("_quotes").over(before), F.lit(0)), F.lit(2))
+    begun = (
+        lines.select(*file, quotes.alias("_quotes"))
+        .groupBy("_file", "_split")
+        .agg(F.sum("_quotes").alias("_quotes"))
+        .select("_file", "_split", inside.alias("_inside"))
+    )
+    # Lines of a split are in order in its task.
+    numbered = lines.select(
+        "value",
+        *kept,
+        *file,
+        quotes.alias("_quotes"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    names = numbered.columns[1 : 1 + len(kept)]
+    line = Window.partitionBy("_file", "_split").orderBy("_line")
+    earlier = F.sum("_quotes").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.pmod(F.col("_inside") + F.coalesce(earlier, F.lit(0)), F.lit(2)) == 0
+    placed = materialize(
+        numbered.join(begun, ["_file", "_split"])
+        .withColumn("_begins", begins)
+        .withColumn("_number", F.count_if("_begins").over(line)),
+        "csv-lines",
+    )
+    # Records that began in earlier splits; a line that goes on belongs to the last of them.
+    started = (
+        placed.groupBy("_file", "_split")
+        .agg(F.max("_number").alias("_started"))
+        .select(
+            "_file",
+            "_split",
+            F.coalesce(F.sum("_started").over(before), F.lit(0)).alias("_before"),
+        )
+    )
+    lines = placed.join(started, ["_file", "_split"]).withColumn(
+        "number", F.col("_before") + F.col("_number")
+    )
+    whole = F.col("_begins") & (F.pmod("_quotes", F.lit(2)) == 0)
+    in_order = F.sort_array(F.collect_list(F.struct("_split", "_line", "value")))
+    gathered = (
+        lines.where(~whole)
+        .groupBy("_file", "number", *names)
+        .agg(F.array_join(F.transform(in_order, lambda part: part["value"]), "\n").alias("record"))
+    )
+    parts = [lines.where(whole).withColumnRenamed("value", "record"), gathered]
+    one, several = [part.select("record", "number", *names) for part in parts]
+    record = F.regexp_replace("record", "\r$", "")
+    return one.unionByName(several).withColumn("record", record)
+
+
+def _parsed(records: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Values of the records; the first of a file is its header, which must be ``columns``."""
+    schema = ", ".join(f"`{name}` STRING" for name in [*columns, "_more"])
+    rows = records.where(F.trim("record") != "").withColumn(
+        "_row", F.from_csv("record", schema, {"escape": '"'})
+    )
+    row = F.col("_row")
+    same = row["_more"].isNull()
+    for name in columns:
+        same = same & (F.lower(F.coalesce(row[name], F.lit(""))) == name.lower())
+    wrong = F.raise_error(F.concat(F.lit("another header than declared: "), "record"))
+    is_row = F.when(F.col("number") > 1, F.lit(True)).otherwise(
+        F.when(same, F.lit(False)).otherwise(wrong.cast("boolean"))
+    )
+    others = [name for name in records.columns if name not in ("record", "number")]
+    return rows.where(is_row).select("_row.*", *others).drop("_more")
 
 
 def read_manual_prefix(spark: SparkSession, prefix: str, *, root: str) -> DataFrame:
@@ -249,6 +341,29 @@ def keep_selected(
     return objects.join(slices, list(prefix), "inner").where(logical_date.isNull() | inside)
 
 
+def keep_dated(
+    objects: DataFrame, calendar: DataFrame, granularity: str, logical_date: Column
+) -> DataFrame:
+    """Objects by the slice of their logical date; one without a date goes to every slice.
+
+    The calendar comes from selector parameters and is small, so its slices are held as an
+    array for the objects without a date.
+    """
+    names = ["slice_start", "slice_end", "granularity", "run_id"]
+    slices = calendar.select(*names).collect()
+    held = F.array(
+        *[F.struct(*[F.lit(row[name]).alias(name) for name in names]) for row in slices]
+    )
+    everywhere = (
+        objects.where(logical_date.isNull())
+        .withColumn("_slice", F.explode(held))
+        .select(*objects.columns, "_slice.*")
+    )
+    dated = objects.withColumn("slice_start", slice_floor(logical_date, granularity))
+    placed = dated.where(logical_date.isNotNull()).join(calendar.select(*names), "slice_start")
+    return placed.unionByName(everywhere) if slices else placed
+
+
 INVENTORY = """
     slice_start TIMESTAMP, slice_end TIMESTAMP, granularity STRING, run_id STRING,
     _landing_key STRING, length BIGINT, _metadata_map MAP<STRING, STRING>
@@ -265,20 +380,31 @@ def landing_inventory(
     suffix: Sequence[str] = (),
     manifests: DataFrame | None = None,
     key_root: str | None = None,
+    input_prefix: str | None = None,
 ) -> DataFrame:
     """Landed objects per slice: slice columns, key, size and manifest metadata.
 
     Lists files; no payload is read. With a ``suffix`` only objects directly in that folder
     of a time directory count. Keys are relative to ``key_root``, by default the listed
     root.
+
+    With an ``input_prefix`` below it all objects lie there, whatever their slice: the logical
+    date of an object's manifest says which slice it belongs to, and an object without one
+    belongs to every slice of the calendar.
     """
+    if input_prefix is not None:
+        partition_fields, suffix = (), ()
     layout = Layout("hour", tuple(partition_fields), tuple(suffix))
     path = F.col("path")
+    key_root = key_root or root
+    listed = slice_paths(root, calendar, partition_fields, granularity)
+    if input_prefix is not None:
+        listed = place(key_root, input_prefix)
     try:
         files = (
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", True)
-            .load(slice_paths(root, calendar, partition_fields, granularity))
+            .load(listed)
         )
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
@@ -286,7 +412,7 @@ def landing_inventory(
         raise
     wanted = ~path.endswith(MANIFEST_SUFFIX) & layout.in_folders(path)
     objects = files.where(wanted).select(
-        landing_key(key_root or root, path).alias("_landing_key"),
+        landing_key(key_root, path).alias("_landing_key"),
         "length",
         *[F.regexp_extract(path, f"/{f}=([^/]*)/", 1).alias(f) for f in partition_fields],
     )
@@ -295,13 +421,18 @@ def landing_inventory(
         objects = objects.withColumn("_metadata_map", empty)
     else:
         objects = attach_manifest_metadata(objects, manifests)
-    return keep_selected(
-        objects,
-        calendar,
-        partition_fields=partition_fields,
-        granularity=granularity,
-        logical_date=try_iso_to_ts(F.col("_metadata_map")["logical_date"]),
-    ).select(
+    logical_date = try_iso_to_ts(F.col("_metadata_map")["logical_date"])
+    if input_prefix is not None:
+        chosen = keep_dated(objects, calendar, granularity, logical_date)
+    else:
+        chosen = keep_selected(
+            objects,
+            calendar,
+            partition_fields=partition_fields,
+            granularity=granularity,
+            logical_date=logical_date,
+        )
+    return chosen.select(
         "slice_start",
         "slice_end",
         "granularity",

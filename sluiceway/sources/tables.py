@@ -17,7 +17,8 @@ def _read_raw(spark: SparkSession, root: str, schema: str) -> DataFrame:
         .option("basePath", root)
         .option("pathGlobFilter", "*.parquet")
         .parquet(root)
-        .drop("slice_id")  # the folder of a bundle, which its rows name in full
+        # Folders below the date: of a bundle, which its rows name in full, and of a suffix.
+        .select(*T.StructType.fromDDL(f"{schema}, {contracts.DATE_PARTITIONS}").names)
     )
 
 

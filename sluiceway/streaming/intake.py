@@ -43,18 +43,40 @@ def _is_deliverable() -> Column:
 
 
 def deliver_events(
-    stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    repeats_within: str | None = None,
 ) -> DataStreamWriter:
     """Write events as gzip NDJSON under the date of delivery.
 
-    The file sink keeps a log of finished batches, so a retried batch is not seen twice.
+    The file sink keeps a log of finished batches, so a retried batch is not seen twice. With
+    ``repeats_within``, an event whose text arrived before is left out if that was at most so
+    long ago. State is a hash of 128 bits per text, and leaves as the time of arrival passes.
     """
-    rows = partition_columns(
-        stream.where(_is_deliverable()), F.current_timestamp(), ("year", "month", "day")
-    )
+    events = stream.where(_is_deliverable())
+    if repeats_within is not None:
+        events = drop_repeats(events, repeats_within)
+    rows = partition_columns(events, F.current_timestamp(), ("year", "month", "day"))
     return _file_sink(rows, path, checkpoint, trigger, ["year", "month", "day"])
 
 
+def drop_repeats(stream: DataFrame, within: str) -> DataFrame:
+    """Leave out texts that arrived before, as far back as ``within``."""
+    return (
+        stream.withColumns(
+            {
+                "_arrived": F.current_timestamp(),
+                "_text_hash": F.unhex(F.md5(F.col("value"))),
+            }
+        )
+        .withWatermark("_arrived", within)
+        .dropDuplicatesWithinWatermark(["_text_hash"])
+        .drop("_arrived", "_text_hash")
+    )
+
+
 def quarantine_bad_events(
     stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> DataStreamWriter:

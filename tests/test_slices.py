@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timezone
 
 import pytest
@@ -11,7 +12,12 @@ from sluiceway.operators.calendar import (
     regrain_slices,
     slice_calendar,
 )
-from sluiceway.operators.joins import assign_rows_to_slice, reconcile_slices, require_reconciled
+from sluiceway.operators.joins import (
+    assign_rows_to_intervals,
+    assign_rows_to_slice,
+    reconcile_slices,
+    require_reconciled,
+)
 
 
 def stamps(calendar, column="slice_start"):
@@ -231,3 +237,30 @@ def test_place():
     assert layout.place("s3a://b/r", None) == "s3a://b/r"
     with pytest.raises(ValueError, match="not a folder name"):
         layout.Layout("day", None, ("a/b",))
+
+
+def test_rows_in_overlapping_intervals(spark):
+    """Wide, short, empty and open intervals, before 1970 as well, against comparing all."""
+    draw = random.Random(3)
+    points = [(i, draw.randrange(-4 * 10**6, 4 * 10**6)) for i in range(300)]
+    points.append((300, None))
+    spans = [(i, *sorted(draw.sample(range(-4 * 10**6, 4 * 10**6), 2))) for i in range(40)]
+    spans += [(40 + i, s, s + length) for i, (_, s) in enumerate(points[:60]) for length in (1, 3600)]
+    spans += [(200, 5, 5), (201, 9, 3), (202, None, 7), (203, 7, None), (204, *spans[0][1:])]
+    rows = spark.createDataFrame(points, "p LONG, s LONG").selectExpr("p", "timestamp_seconds(s) as ts")
+    intervals = spark.createDataFrame(spans, "i LONG, a LONG, b LONG").selectExpr(
+        "i", "timestamp_seconds(a) as slice_start", "timestamp_seconds(b) as slice_end"
+    )
+    found = assign_rows_to_intervals(rows, "ts", intervals)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert found.columns == ["p", "ts", "i", "slice_start", "slice_end"]
+    expected = sorted(
+        (p, i)
+        for p, s in points
+        for i, a, b in spans
+        if None not in (s, a, b) and a <= s < b
+    )
+    assert sorted((r.p, r.i) for r in found.collect()) == expected
+    assert assign_rows_to_intervals(rows, "ts", intervals.limit(0)).isEmpty()
+    assert assign_rows_to_intervals(rows.limit(0), "ts", intervals).isEmpty()
