@@ -380,35 +380,42 @@ def build_models(
     rows failing a check are written to.
 
     ``added`` are the rows of ``raw`` that the last build has not seen: only dates they change
-    are redone, for all models. The build is full nevertheless with ``full_refresh``, on the
-    first time, and after a build that did not come to its end.
+    are redone, of the chosen models and all they depend on, which must be chosen too. The
+    build is full nevertheless with ``full_refresh``, on the first time, and where a model is
+    marked: a build marks what it writes and all that depends on it, and takes the marks off
+    what it has finished.
 
     With a ``database`` each model is also an external table of Spark's catalog there, whose
     partitions are brought up to date.
     """
     if mode not in ("run", "build", "test"):
         raise ValueError(f"mode must be run, build or test, not {mode!r}")
-    if added is not None and (select or exclude):
-        raise ValueError("added rows change all models; select and exclude need a full build")
     models = WORKFLOWS[workflow]
     chosen = select_models(models, select, exclude)
+    missing = {up for name in chosen for up in models[name].inputs} - {*chosen, RAW}
+    if added is not None and missing:
+        raise ValueError(f"added rows come through models that are not chosen: {sorted(missing)}")
     configure(spark)
     measured: dict[str, Observation] = {}
     if mode != "test":
         change = None
-        unfinished = f"{workspace.processed_root}/_unfinished_{workflow}"
+        marks = {
+            name: f"{workspace.processed_root}/_unfinished_{workflow}/{name}" for name in models
+        }
         if added is not None and not full_refresh:
-            paths = [workspace.path(name, models[name]) for name in chosen]
-            if not partitions.exists(spark, unfinished) and all(
-                partitions.exists(spark, path) for path in paths
-            ):
-                change = Added(added)
-        partitions.make_folder(spark, unfinished)
+            usable = all(
+                partitions.exists(spark, workspace.path(name, models[name]))
+                and not partitions.exists(spark, marks[name])
+                for name in chosen
+            )
+            change = Added(added) if usable else None
+        for name in set().union(*[_expand(models, f"{name}+") for name in chosen]):
+            partitions.make_folder(spark, marks[name])
         measured = _write_models(
             spark, workflow, raw, workspace, chosen, options or {}, change, mode == "build"
         )
-        if select is None and exclude is None:
-            partitions.remove(spark, unfinished)
+        for name in chosen:
+            partitions.remove(spark, marks[name])
         if database is not None:
             for name in chosen:
                 register_table(

@@ -157,7 +157,7 @@ def _checks_sql(models, ctes: dict[str, str]) -> str:
     )
 
 
-def _checked_build(workflow: str):
+def _checked_build(workflow: str, select=None):
     def run(spark, sf_dir):
         return build.build_models(
             spark,
@@ -165,6 +165,7 @@ def _checked_build(workflow: str):
             _RAW[workflow](spark, sf_dir),
             _workspace(spark),
             mode="build",
+            select=select,
             options=_OPTIONS[workflow],
         )
 
@@ -173,7 +174,7 @@ def _checked_build(workflow: str):
 
 query(
     "build_transactions", _checks_sql(build.TRANSACTION_MODELS, _TXN_CTE), *_TXN_CTE.values()
-)(_checked_build("transactions"))
+)(_checked_build("transactions", list(_TXN_CTE)))
 query("build_deliveries", _checks_sql(build.DELIVERY_MODELS, _DLV_CTE), *_DLV_CTE.values())(
     _checked_build("deliveries")
 )
@@ -191,18 +192,18 @@ _LATE = {
 def _built_in_two_steps(spark, sf_dir, workflow: str, name: str) -> DataFrame:
     """A model after a build without the late rows, and one with them added."""
     raw = _RAW[workflow](spark, sf_dir)
-    workspace, options = _workspace(spark), _OPTIONS[workflow]
+    workspace = _workspace(spark)
     late = F.coalesce(F.expr(_LATE[workflow]), F.lit(False))
-    build.build_models(spark, workflow, raw.where(~late), workspace, options=options)
-    build.build_models(spark, workflow, raw, workspace, options=options, added=raw.where(late))
+    settings = {"options": _OPTIONS[workflow], "select": [f"+{name}"]}
+    build.build_models(spark, workflow, raw.where(~late), workspace, **settings)
+    build.build_models(spark, workflow, raw, workspace, added=raw.where(late), **settings)
     return workspace.read(spark, workflow, name)
 
 
 for _name, _workflow, _model, _cte_name in (
-    ("build_added_events", "events", "int_sensor_events", "evt_events"),
     ("build_added_events_health", "events", "management_stream_health_summary", "evt_health"),
     ("build_added_events_devices", "events", "analytics_device_latest_status", "evt_devices"),
-    ("build_added_transactions", "transactions", "management_daily_summary", "txn_summary"),
+    ("build_added_transactions", "transactions", "bronze_transaction_events", "txn_events"),
     ("build_added_deliveries", "deliveries", "silver_delivery_records", "dlv_silver"),
     ("build_added_deliveries_batches", "deliveries", "silver_delivery_batches", "dlv_batches"),
 ):

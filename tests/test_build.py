@@ -220,8 +220,14 @@ def test_a_build_is_full_where_it_must_be(spark, workspace, monkeypatch):
         run(options={"int_sensor_events": {"tiebreak": ["nothing"]}})
     run(added=rows)
     assert not used  # the one before did not come to its end
-    with pytest.raises(ValueError, match="full build"):
-        run(added=rows, select=["staging"])
+    used.clear()
+    run(added=rows, select=["+int_sensor_events"])
+    assert used == ["stg_sensor_events", "int_sensor_events"]
+    used.clear()
+    run(added=rows)
+    assert not used  # what depends on those has missed a change
+    with pytest.raises(ValueError, match="not chosen"):
+        run(added=rows, select=["intermediate"])
 
 
 def test_what_a_refresh_takes_for_granted():
