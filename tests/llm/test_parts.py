@@ -95,6 +95,10 @@ def test_codes_of_all_widths():
         assert token_files.decode(control, data, count).tolist() == ranks.tolist()
 
 
+def cost_of(cuts, penalty, window):
+    return sum(window - (b - a) + penalty[b] for a, b in zip([0, *cuts], cuts))
+
+
 def test_cuts_cost_the_least():
     rng = random.Random(3)
     for _ in range(100):
@@ -103,13 +107,6 @@ def test_cuts_cost_the_least():
         while places[-1] < 60:
             places.append(places[-1] + rng.randint(1, 7))
         penalties = [0.0, *[rng.choice([0.0, 1.0, 4.0]) for _ in places[1:]]]
-
-        def cost(cuts):
-            return sum(
-                window - (places[b] - places[a]) + penalties[b]
-                for a, b in zip([0, *cuts], cuts)
-            )
-
         best = {0: 0.0}
         for i in range(1, len(places)):
             best[i] = penalties[i] + min(
@@ -117,7 +114,30 @@ def test_cuts_cost_the_least():
                 for j in range(i)
                 if places[i] - places[j] <= window
             )
-        assert cost(packing.choose_cuts(places, penalties, window)) == best[len(places) - 1]
+        cuts = packing.choose_cuts(places, penalties, window)
+        assert cost_of(cuts, dict(zip(places, penalties)), window) == best[len(places) - 1]
+
+
+@pytest.mark.parametrize("window", [12, 2048])
+def test_cuts_given_early_are_those_of_the_whole_stream(window):
+    """Cuts are handed on as they become final, and none costs more."""
+    rng = random.Random(window)
+    places, penalties = [0], [0.0]
+    for _ in range(60_000):
+        places.append(places[-1] + rng.randint(1, min(window, 90)))
+        penalties.append(rng.choice([0.0, 1.0, 1.0, 8.0]))
+    cuts, found, early = packing.Cuts(window), [], 0
+    for at in range(1, len(places), 100):
+        cuts.add(places[at : at + 100], penalties[at : at + 100])
+        found += cuts.final()
+        early += len(found) > 0
+    found += cuts.end()
+    assert found[-1] == places[-1]
+    assert all(0 < b - a <= window for a, b in zip([0, *found], found))
+    penalty = dict(zip(places, penalties))
+    whole = packing.choose_cuts(places, penalties, window)
+    assert cost_of(found, penalty, window) == cost_of(whole, penalty, window)
+    assert early
 
 
 def plain_alignment(item, passage):
