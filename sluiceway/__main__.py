@@ -86,10 +86,14 @@ def _job(arguments, workflow_name: str) -> StandardizeJob:
     )
 
 
-def _manifests(spark: SparkSession, arguments) -> DataFrame | None:
+def _manifests(
+    spark: SparkSession, arguments, calendar: DataFrame | None = None
+) -> DataFrame | None:
     if arguments.landing_manifests is None:
         return None
-    return read_manifests(spark, arguments.landing_manifests, contracts.LANDING_MANIFEST)
+    return read_manifests(
+        spark, arguments.landing_manifests, contracts.LANDING_MANIFEST, calendar
+    )
 
 
 def _build_arguments(parser: argparse.ArgumentParser) -> None:
@@ -179,8 +183,8 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> DataFrame | N
             failures=arguments.failures,
         )
     job = _job(arguments, arguments.workflow)
-    manifests = _manifests(spark, arguments)
     if arguments.job == "standardize-manual":
+        manifests = _manifests(spark, arguments)
         return standardize_manual(
             spark,
             job,
@@ -189,6 +193,7 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> DataFrame | N
             manifests=manifests,
         )
     selector = _selector(arguments)
+    manifests = _manifests(spark, arguments, slice_calendar(spark, selector))
     if arguments.job == "standardize":
         return standardize_slices(
             spark,

@@ -16,10 +16,13 @@ from sluiceway.sources.landing import landing_inventory
 from sluiceway.sources.tables import read_manifests
 
 
-def known_manifests(spark: SparkSession, path: str) -> DataFrame:
-    """Landing manifests written so far; none if the folder is not there yet."""
+def known_manifests(
+    spark: SparkSession, path: str, calendar: DataFrame | None = None
+) -> DataFrame:
+    """Landing manifests written so far, of the calendar's slices or all; none if the folder is
+    not there yet."""
     try:
-        return read_manifests(spark, path, contracts.LANDING_MANIFEST)
+        return read_manifests(spark, path, contracts.LANDING_MANIFEST, calendar)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], contracts.LANDING_MANIFEST)
@@ -60,7 +63,7 @@ def record_landed(
         suffix=suffix,
         key_root=root,
     )
-    recorded = known_manifests(spark, manifest_path).select(
+    recorded = known_manifests(spark, manifest_path, calendar).select(
         F.col("storage.payload_key").alias("_landing_key")
     )
     pairs = [F.lit(item) for pair in (metadata or {}).items() for item in pair]

@@ -51,6 +51,16 @@ def remove(spark: SparkSession, name: str) -> None:
     files.delete(path, True)
 
 
+def is_partitioned(spark: SparkSession, path: str, column: str) -> bool:
+    """Whether all data below a folder lies in directories of the column's values."""
+    files, folder = _file_system(spark, path)
+    if not files.exists(folder):
+        return False
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    data = [name for name in names if not name.startswith(("_", "."))]
+    return bool(data) and all(name.startswith(f"{column}=") for name in data)
+
+
 def table_files(spark: SparkSession, path: str) -> set[str]:
     """Data files, as Spark lists them for a scan; nothing is opened."""
     if not exists(spark, path):
@@ -82,6 +92,7 @@ def replace_partitions(
     partition: str,
     dates: Sequence[date | None] | None = None,
     options: dict[str, str] | None = None,
+    kind: str = "parquet",
 ) -> None:
     """Make the rows the whole content of the table, or of ``dates`` alone.
 
@@ -95,7 +106,8 @@ def replace_partitions(
         .option("partitionOverwriteMode", "dynamic")
         .options(**(options or {}))
         .partitionBy(partition)
-        .parquet(path)
+        .format(kind)
+        .save(path)
     )
     old = {_folder(file) for file in before}
     if dates is not None:

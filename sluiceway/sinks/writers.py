@@ -412,6 +412,24 @@ def landing_manifests(
     )
 
 
+# Manifest tables are stored by the date of the slice; those without a slice have no date.
+MANIFEST_DATE = "slice_date"
+MANIFEST_FORMAT = {"ignoreNullFields": "false"}
+
+
+def dated_manifests(manifests: DataFrame) -> DataFrame:
+    """Landing or bundle manifests with the date of their slice."""
+    place = "storage" if "storage" in manifests.columns else "input"
+    day = F.substring(F.col(f"{place}.slice_start"), 1, 10).cast("date")
+    return manifests.withColumn(MANIFEST_DATE, day)
+
+
 def write_manifests(manifests: DataFrame, path: str) -> None:
-    """Append manifests to a manifest table of JSON lines."""
-    manifests.write.mode("append").option("ignoreNullFields", False).json(path)
+    """Append manifests to a manifest table of JSON lines, by the date of their slice."""
+    (
+        spread(dated_manifests(manifests), MANIFEST_DATE)
+        .write.mode("append")
+        .options(**MANIFEST_FORMAT)
+        .partitionBy(MANIFEST_DATE)
+        .json(path)
+    )

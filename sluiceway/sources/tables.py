@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sluiceway import contracts
+from sluiceway.sinks.partitions import (
+    dates_of,
+    exists,
+    is_partitioned,
+    on_dates,
+    replace_partitions,
+)
+from sluiceway.sinks.writers import MANIFEST_DATE, MANIFEST_FORMAT, dated_manifests, spread
 
 CORRUPT = "_corrupt_record"
 
@@ -52,14 +62,57 @@ def read_stream_events(spark: SparkSession, root: str, with_corrupt: bool = Fals
     )
 
 
-def read_manifests(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Manifests as rows, from sidecar files or from a manifest table's JSON files."""
-    return (
-        spark.read.schema(schema)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .json(path)
-    )
+def read_manifests(
+    spark: SparkSession, path: str, schema: str, calendar: DataFrame | None = None
+) -> DataFrame:
+    """Manifests as rows, from sidecar files or from a manifest table's JSON files.
+
+    With a ``calendar`` only manifests whose slice begins on a date of its slices. Of a manifest
+    table only the directories of these dates are listed and read, however long its history is;
+    sidecar files are all read. The calendar's dates reach the driver, as its slices do.
+    """
+    if calendar is None:
+        return (
+            spark.read.schema(schema)
+            .option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.json")
+            .json(path)
+        )
+    last = F.col("slice_end") - F.expr("interval 1 microsecond")
+    days = F.explode(F.sequence(F.to_date("slice_start"), F.to_date(last)))
+    dates = dates_of(calendar.select(days.alias("day")), column="day")
+    if is_partitioned(spark, path, MANIFEST_DATE):
+        folders = [f"{path}/{MANIFEST_DATE}={day}" for day in dates]
+        present = [folder for folder in folders if exists(spark, folder)]
+        if not present:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).option("pathGlobFilter", "*.json").json(present)
+    every = read_manifests(spark, path, schema)
+    return dated_manifests(every).where(on_dates(MANIFEST_DATE, dates)).drop(MANIFEST_DATE)
+
+
+def compact_manifests(
+    spark: SparkSession, path: str, schema: str, dates: Sequence[date | None] | None = None
+) -> None:
+    """Keep the newest manifest of every payload, and one file a date as far as sizes allow.
+
+    Appending makes a file a run; this makes reading cost what the slices hold. Dates are
+    replaced as a whole, all or the given ones. A manifest is newer if it was taken in or
+    standardized later, then by its text.
+    """
+    table = spark.read.schema(f"{schema}, {MANIFEST_DATE} DATE").json(path)
+    if dates is not None:
+        table = table.where(on_dates(MANIFEST_DATE, dates))
+    landing = "storage" in table.columns
+    payload = F.col("storage.payload_key" if landing else "output.payload_key")
+    stamp = "ingested_at" if landing else "standardized_at"
+    names = [name for name in table.columns if name != MANIFEST_DATE]
+    newest = F.max_by(
+        F.struct(*names), F.struct(stamp, F.to_json(F.struct(*names)).alias("text"))
+    ).alias("row")
+    kept = table.groupBy(payload.alias("key"), MANIFEST_DATE).agg(newest)
+    rows = spread(kept.select("row.*", MANIFEST_DATE), MANIFEST_DATE)
+    replace_partitions(rows, path, MANIFEST_DATE, dates, MANIFEST_FORMAT, "json")
 
 
 def register_table(
