@@ -12,7 +12,8 @@ its documents are handed on. Where the ways stay apart, a task holds what it has
 bytes an id and 16 bytes a boundary, so its memory is bounded by the size of its range.
 
 Defined results: null and empty texts are the end id alone; rows with equal ids are packed
-one after the other, by a hash of their text; null ids come first. An empty table gives no
+one after the other, by a hash of their text; null ids come first. Rows equal in both have a
+running number, so any number of them is dealt to several tasks. An empty table gives no
 pieces. Extra columns play no part.
 """
 
@@ -191,9 +192,9 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
     prepare(docs.sparkSession)
     ordered = (
         narrow(docs)
-        .withColumn("turn", F.xxhash64("text"))
-        .repartitionByRange("doc_id", "turn")
-        .sortWithinPartitions("doc_id", "turn")
+        .withColumns({"turn": F.xxhash64("text"), "copy": F.monotonically_increasing_id()})
+        .repartitionByRange("doc_id", "turn", "copy")
+        .sortWithinPartitions("doc_id", "turn", "copy")
     )
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
@@ -210,7 +211,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
         if pieces := packer.finish():
             yield _rows(pieces)
 
-    return map_batches(ordered.drop("turn"), run, PIECES)
+    return map_batches(ordered.drop("turn", "copy"), run, PIECES)
 
 
 def _rows(pieces: list[tuple]) -> dict:
