@@ -134,10 +134,10 @@ def write(docs: DataFrame, path: str, tokenizer: str) -> None:
     spark = prepare(docs.sparkSession)
     ordered = (
         narrow(docs)
-        .withColumn("turn", F.xxhash64("text"))
-        .repartitionByRange("doc_id", "turn")
-        .sortWithinPartitions("doc_id", "turn")
-        .drop("turn")
+        .withColumns({"turn": F.xxhash64("text"), "copy": F.monotonically_increasing_id()})
+        .repartitionByRange("doc_id", "turn", "copy")
+        .sortWithinPartitions("doc_id", "turn", "copy")
+        .drop("turn", "copy")
     )
     with Scratch(spark) as scratch:
         raw = scratch.stage(map_batches(ordered, _blocks(tokenizer), RAW), "token-ids")
