@@ -14,7 +14,8 @@ now; a row that moves to another date changes both dates.
 
 ``BY_BUNDLE``: newest row per key among rows of the winning bundles. Added bundles may win over
 others, whose rows then go, so the keys of all rows whose bundle won or lost are looked up in
-the source again. It is read once, and only rows of these keys are shuffled.
+the source again: one scan of the key and bundle columns, and one of the rows of these keys. Only
+rows of these keys are shuffled.
 
 ``BY_DIFFERENCE``: a small model that any row may change. It is computed in full and compared
 with what is there; only dates that differ are written.
