@@ -161,3 +161,75 @@ def nested_to_json(value: Column | str) -> Column:
     return F.when(F.substring(text, 1, 1).isin("{", "["), sorted_json(value)).otherwise(
         F.variant_get(value, "$", "string")
     )
+
+
+# A number outside of strings, with what stands between it and the number before.
+_BEFORE_NUMBER = r'\G((?:"(?:[^"\\]++|\\.)*+"|[^"0-9-]++)*+)(-?[0-9][0-9.eE+-]*+)'
+
+
+def marked_json(text: Column | str) -> Column:
+    """JSON text with every string as ``"s..."`` and every number as the string ``"n..."``.
+
+    VARIANT keeps strings as they are, but not numbers: ``1.0`` becomes ``1`` there, and long
+    ones lose digits. All keys get the same first letter, so their order stays.
+    """
+    strings = F.regexp_replace(_col(text), r'"((?:[^"\\]++|\\.)*+")', '"s$1')
+    return F.regexp_replace(strings, _BEFORE_NUMBER, '$1"n$2"')
+
+
+def number_text(number: Column) -> Column:
+    """JSON number as its canonical text: integers digit by digit, all others as the shortest
+    decimal of the double, with an exponent below 1e-4 and from 1e16 on, such as ``1.0``,
+    ``1e-05`` or ``1.5e+20``. Beyond the range of a double it is ``Infinity``. The digits are those
+    that the JVM prints: before version 19 it gives a few doubles, such as 5e-324, a digit more."""
+    double = F.when(number.rlike("[.eE]"), number).cast("double")
+    short = double.cast("string")
+    size = F.abs(double)
+    # 17 digits before the point and 21 after it hold every double in this range.
+    fixed = short.cast("decimal(38,21)").cast("string")
+    plain = F.regexp_replace(F.regexp_replace(fixed, "0+$", ""), r"\.$", ".0")
+    mantissa = F.regexp_replace(F.substring_index(short, "E", 1), r"\.0$", "")
+    power = F.substring_index(short, "E", -1).cast("int")
+    exponent = F.concat(
+        F.when(power < 0, "-").otherwise("+"),
+        F.when(F.abs(power) < 10, "0").otherwise(""),
+        F.abs(power).cast("string"),
+    )
+    return (
+        F.when(number == "-0", "0")
+        .when(double.isNull(), number)
+        .when((size == 0) | short.contains("Infinity"), short)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .otherwise(F.concat(mantissa, F.lit("e"), exponent))
+    )
+
+
+def marked_to_json(value: Column | str) -> Column:
+    """VARIANT of :func:`marked_json` to text: arrays and objects as sorted JSON with their
+    numbers as in :func:`number_text`, scalars as plain text."""
+    value = _col(value)
+    text = F.to_json(value)
+    # Quotes within strings are escaped and no closing quote is followed by a letter, so these
+    # are where marked values begin.
+    pieces = F.split(sorted_json(value), r'(?<!\\)"n', -1)
+
+    def unmarked(piece: Column) -> Column:
+        number = F.substring_index(piece, '"', 1)
+        rest = F.substr(piece, F.length(number) + 2)
+        return F.concat(number_text(number), rest)
+
+    numbers = F.transform(F.slice(pieces, 2, F.size(pieces)), unmarked)
+    nested = F.concat(pieces[0], F.array_join(numbers, ""))
+    scalar = F.variant_get(value, "$", "string")
+    bare = F.substr(scalar, F.lit(2))
+    return (
+        F.when(F.substring(text, 1, 1).isin("{", "["), F.regexp_replace(nested, r'(?<!\\)"s', '"'))
+        .when(text.startswith('"n'), number_text(bare))
+        .when(text.startswith('"'), bare)
+        .otherwise(scalar)
+    )
+
+
+def nested_text_to_json(text: Column | str) -> Column:
+    """JSON text in canonical form, from the tokens of the text itself; NULL for NULL."""
+    return marked_to_json(F.parse_json(marked_json(text)))

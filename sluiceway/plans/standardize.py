@@ -25,9 +25,9 @@ from sluiceway.sources.landing import (
     explode_bundles,
     file_path,
     landing_inventory,
+    list_manual_prefix,
     read_bundle_documents,
     read_csv_delivery,
-    read_manual_prefix,
     slice_paths,
 )
 
@@ -373,7 +373,7 @@ def standardize_manual(
         extra_keys=kind.extra_lineage,
     ).select("run_id", *kind.columns)
     staged = materialize(rows, "standardize-rows")
-    inventory = read_manual_prefix(spark, prefix, root=job.landing_root).select(
+    inventory = list_manual_prefix(spark, prefix, root=job.landing_root).select(
         F.lit(run_id).alias("run_id"),
         no_slice.alias("slice_start"),
         "_landing_key",

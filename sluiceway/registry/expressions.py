@@ -243,6 +243,27 @@ def nested_to_json(spark, sf_dir):
     )
 
 
+@query(
+    "nested_numbers_to_json",
+    r"""select l_orderkey, l_linenumber,
+      '{"a b": {"k": -' || l_linenumber || '.5, "l": "' || l_orderkey || '.0, 1e3"}, "z\u00e9": ['
+      || l_orderkey || '.0, ' || l_linenumber || '000.0, ' || l_orderkey
+      || '00000000000000000000000000000000000000001, ' || l_linenumber || 'e-05]}' as nested
+    from lineitem""",
+)
+def nested_numbers_to_json(spark, sf_dir):
+    """Numbers with a point, an exponent or more digits than a long has, as landed text has them."""
+    order, line = [F.col(name).cast("string") for name in ("l_orderkey", "l_linenumber")]
+    text = F.concat(
+        F.lit('{"zé":['), order, F.lit(".0,"), line, F.lit("e3,"), order, F.lit("0" * 40 + "1,"),
+        F.lit("0.0000"), line, F.lit('],"a b":{"l":"'), order, F.lit('.0, 1e3","k":-'), line,
+        F.lit(".50}}"),
+    )
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", fn.nested_text_to_json(text).alias("nested")
+    )
+
+
 # Scalar functions -------------------------------------------------------------------
 
 query(

@@ -212,7 +212,9 @@ def read_manual_prefix(spark, sf_dir):
         F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("payload")
     )
     prefix = writers.write_landing(payloads, root, None, base_prefix="client=a/resend")
-    lines = landing.read_manual_lines(spark, prefix, root=root)
+    # Pieces far shorter than the objects, so that lines and characters reach over their ends.
+    pieces = landing.read_manual_prefix(spark, prefix, root=root, piece_bytes=10_007)
+    lines = landing.piece_lines(pieces).select(F.col("line").cast("string").alias("line"))
     return lines.select(F.from_json("line", _CONVERSATION).alias("row")).select("row.*")
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from sluiceway.functions.columns import nested_to_json, try_iso_to_ts
+from sluiceway.functions.columns import marked_json, marked_to_json, try_iso_to_ts
 from sluiceway.functions.slices import partition_value, slice_floor
 from sluiceway.operators.joins import attach_manifest_metadata
 from sluiceway.operators.layout import Layout, place
@@ -63,16 +65,16 @@ def read_bundle_documents(
 
     ``only`` is a condition on the file, such as ``Layout.in_folders`` of :func:`file_path`.
     A ``rows`` value that is not an array of objects fails the read. ``json_columns`` are
-    parsed as VARIANT so that nested values become text when exploded. Keys outside
-    ``row_schema`` are dropped, or kept as text in ``_extra`` with ``keep_unknown``, which
-    parses every row a second time.
+    parsed from the row's marked text as VARIANT, so that nested values become text with their
+    numbers as landed when exploded. Keys outside ``row_schema`` are dropped, or kept as text in
+    ``_extra`` with ``keep_unknown``. Either parses every row once more.
     """
     fields = T.StructType.fromDDL(row_schema).fields
-    typed = ", ".join(
-        f"`{f.name}`: {'VARIANT' if f.name in json_columns else f.dataType.simpleString()}"
-        for f in fields
-    )
-    element = "STRING" if keep_unknown else f"STRUCT<{typed}>"
+    plain = [f for f in fields if f.name not in json_columns]
+    nested = [f for f in fields if f.name in json_columns]
+    as_text = keep_unknown or bool(nested)
+    typed = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in fields)
+    element = "STRING" if as_text else f"STRUCT<{typed}>"
     envelope = (
         f"row_count BIGINT, schema_version STRING, scenario_name STRING, rows ARRAY<{element}>"
     )
@@ -86,23 +88,32 @@ def read_bundle_documents(
         .where(_is_payload(only))
         .select("*", landing_key(root).alias("_landing_key"))
     )
-    if not keep_unknown:
+    if not as_text:
         return documents
     known = F.array(*[F.lit(f.name) for f in fields])
 
     def parse(row: Column) -> Column:
-        checked = F.when(F.ltrim(row).startswith("{"), row).otherwise(
+        checked = F.when(row.isNull() | F.ltrim(row).startswith("{"), row).otherwise(
             F.raise_error(F.concat(F.lit("a bundle row is not an object: "), row)).cast("string")
         )
-        typed_row = F.from_json(checked, ", ".join(
-            f"`{f.name}` {'VARIANT' if f.name in json_columns else f.dataType.simpleString()}"
-            for f in fields
-        ), {"mode": "FAILFAST"})
-        extra = F.map_filter(
-            F.from_json(checked, "map<string,string>"),
-            lambda name, _: ~F.array_contains(known, name),
-        )
-        return F.struct(*[typed_row[f.name].alias(f.name) for f in fields], extra.alias("_extra"))
+        strict = {"mode": "FAILFAST"}
+        values = {}
+        if plain:
+            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain)
+            typed_row = F.from_json(checked, schema, strict)
+            values = {f.name: typed_row[f.name] for f in plain}
+        if nested:
+            # Marking gives every key an "s" in front.
+            schema = ", ".join(f"`s{f.name}` VARIANT" for f in nested)
+            marked_row = F.from_json(marked_json(checked), schema, strict)
+            values |= {f.name: marked_row[f"s{f.name}"] for f in nested}
+        if keep_unknown:
+            values["_extra"] = F.map_filter(
+                F.from_json(checked, "map<string,string>"),
+                lambda name, _: ~F.array_contains(known, name),
+            )
+        names = [f.name for f in fields] + ["_extra"] * keep_unknown
+        return F.struct(*[values[name].alias(name) for name in names])
 
     return documents.withColumn("rows", F.transform("rows", parse))
 
@@ -111,7 +122,7 @@ def explode_bundles(documents: DataFrame, json_columns: Sequence[str] = ()) -> D
     """One output row per bundle row, carrying the document's own columns."""
     names = documents.schema["rows"].dataType.elementType.names
     rows = [
-        nested_to_json(f"_row.{name}").alias(name)
+        marked_to_json(f"_row.{name}").alias(name)
         if name in json_columns
         else F.col(f"_row.{name}").alias(name)
         for name in names
@@ -277,23 +288,125 @@ def _parsed(records: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.where(is_row).select("_row.*", *others).drop("_more")
 
 
-def read_manual_prefix(spark: SparkSession, prefix: str, *, root: str) -> DataFrame:
-    """Every payload object below a prefix, whatever its directories are called."""
+def list_manual_prefix(spark: SparkSession, prefix: str, *, root: str) -> DataFrame:
+    """Key, path and length of every payload object below a prefix, whatever its directories
+    are called. No object is opened. Spark lists no empty objects."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(prefix)
         .where(~F.col("path").endswith(MANIFEST_SUFFIX))
-        .select(
-            landing_key(root, F.col("path")).alias("_landing_key"),
-            "length",
-            F.col("content").alias("payload"),
-        )
+        .select(landing_key(root, F.col("path")).alias("_landing_key"), "path", "length")
+    )
+
+
+def read_manual_prefix(
+    spark: SparkSession,
+    prefix: str,
+    *,
+    root: str,
+    piece_bytes: int = 64 << 20,
+    filesystem: Callable[[str], tuple[FileSystem, str]] | None = None,
+) -> DataFrame:
+    """Every payload object below a prefix as numbered pieces of its bytes.
+
+    The listing gives the ranges, ``piece_bytes`` long but for the last of an object, and tasks
+    read one range at a time, so objects may be of any size and a large one is read by many
+    tasks. Empty objects have no piece. An object that is shorter than listed fails the read.
+    ``filesystem`` maps ``scheme://authority/`` to a file system of Arrow and its base path;
+    by default Arrow finds it by the scheme.
+    """
+    if not 0 < piece_bytes <= 1 << 30:
+        raise ValueError("piece_bytes must be from 1 to 2^30")
+    size = F.lit(piece_bytes).cast("long")
+    last = F.expr(f"(length - 1) div {piece_bytes}")
+    ranges = list_manual_prefix(spark, prefix, root=root).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece")
+    )
+    # Rows of ranges are tiny: left to itself, Spark would put them all into one task.
+    tasks = max(1, min(ranges.count(), 16 * spark.sparkContext.defaultParallelism))
+    start = F.col("piece") * size
+    planned = ranges.select(
+        "_landing_key",
+        "path",
+        "length",
+        "piece",
+        start.alias("start"),
+        F.least(size, F.col("length") - start).alias("size"),
+    ).repartition(tasks, "path", "piece")
+
+    def opened(path: str) -> tuple[FileSystem, str]:
+        scheme, colon, rest = path.partition(":")
+        if not colon or scheme == "file":
+            return LocalFileSystem(), "/" + (rest if colon else path).lstrip("/")
+        authority, _, inner = rest.lstrip("/").partition("/")
+        scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+        files, base = (filesystem or FileSystem.from_uri)(f"{scheme}://{authority}/")
+        return files, f"{base.rstrip('/')}/{inner}"
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                files, path = opened(row["path"])
+                with files.open_input_file(path) as source:
+                    payload = source.read_at(row["size"], row["start"])
+                if len(payload) != row["size"]:
+                    raise OSError(f"{row['path']} is shorter than listed")
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "_landing_key": pa.array([row["_landing_key"]], pa.string()),
+                        "length": pa.array([row["length"]], pa.int64()),
+                        "piece": pa.array([row["piece"]], pa.int64()),
+                        "start": pa.array([row["start"]], pa.int64()),
+                        "payload": pa.array([payload], pa.binary()),
+                    }
+                )
+
+    return planned.mapInArrow(
+        read, "_landing_key STRING, length BIGINT, piece BIGINT, start BIGINT, payload BINARY"
+    )
+
+
+def piece_lines(pieces: DataFrame) -> DataFrame:
+    """Lines of the objects that :func:`read_manual_prefix` gives: key, number from 0, bytes.
+
+    A line ends at each line feed and may reach over any number of pieces; what follows the last
+    line feed of an object is a line if it is not empty. Line feeds are counted by piece, sums over
+    the pieces before give the numbers, and only the ends of pieces are gathered.
+    """
+    # One character per byte, so that pieces may end within a character.
+    parts = F.split(F.decode("payload", "ISO-8859-1"), "\n", -1)
+    order = Window.partitionBy("_landing_key").orderBy("piece")
+    before = F.sum("_breaks").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = pieces.select(
+        "_landing_key", "piece", (F.size(parts) - 1).cast("long").alias("_breaks")
+    ).select(
+        "_landing_key",
+        "piece",
+        "_breaks",
+        F.coalesce(before, F.lit(0)).alias("_before"),
+        F.sum("_breaks").over(Window.partitionBy("_landing_key")).alias("_all"),
+    )
+    fragments = (
+        pieces.select("_landing_key", "piece", F.posexplode(parts).alias("_at", "_text"))
+        .join(starts, ["_landing_key", "piece"])
+        .withColumn("number", F.col("_before") + F.col("_at"))
+    )
+    whole = (F.col("_at") > 0) & (F.col("_at") < F.col("_breaks"))
+    in_order = F.sort_array(F.collect_list(F.struct("piece", "_text")))
+    gathered = (
+        fragments.where(~whole)
+        .groupBy("_landing_key", "number", "_all")
+        .agg(F.array_join(F.transform(in_order, lambda part: part["_text"]), "").alias("_text"))
+        .where((F.col("number") < F.col("_all")) | (F.col("_text") != ""))
     )
+    line = F.encode("_text", "ISO-8859-1").alias("line")
+    columns = ["_landing_key", "number", line]
+    return fragments.where(whole).select(*columns).unionByName(gathered.select(*columns))
 
 
 def read_manual_lines(spark: SparkSession, prefix: str, *, root: str) -> DataFrame:
-    """As :func:`read_manual_prefix`, but one row per text line, so files can be large."""
+    """One row per text line of the payload objects below a prefix, split by Spark."""
     return (
         spark.read.option("recursiveFileLookup", True)
         .text(prefix)

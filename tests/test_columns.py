@@ -106,6 +106,46 @@ def test_long_nested_value(spark):
     assert found == json.dumps(document, sort_keys=True)
 
 
+NUMBERS = """1.0 1e3 -0.0 -0 0 0.1 1.10 100 1e-4 1e-5 1.5E-7 12345678.25 1e15 1e16 123456789012345.6
+1.5e20 1E400 -1e400 9007199254740993 123456789012345678901234567890123456789012345678901234567890
+-17 0.00012345678901234567 1.7976931348623157e308 1e22 9999999999999998.0 3.0E+2""".split()
+
+
+def test_numbers_match_sorted_json(spark):
+    texts = [f'{{"b": {number}, "a": [{number},"{number}"]}}' for number in NUMBERS]
+    found = values(spark, texts, fn.nested_text_to_json("x"))
+    assert found == [json.dumps(json.loads(text), sort_keys=True) for text in texts]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        r'{"n1": "n2", "s": ["s", "nn", "", "\"n3\"", "\\"], "\"s": -1.0}',
+        r'[1,-2.50,true,null,"é 1.0 \ud83d\ude00", {"z": 1e2, "B": 2, "a b": 3}]',
+        "[]",
+        "{}",
+        '[[0.5],[{"é": 1}],"x, y: 1.0"]',
+        " { \n \"a\" : 1.0 , \"b\" : [ ] } ",
+    ],
+)
+def test_nested_text_matches_sorted_json(spark, text):
+    (found,) = values(spark, [text], fn.nested_text_to_json("x"))
+    assert found == json.dumps(json.loads(text), sort_keys=True)
+
+
+def test_long_nested_text(spark):
+    document = {"k": [f'item, "{i}": x' for i in range(20000)], "n": [i / 8 for i in range(20000)]}
+    document["q"] = '"' * 50000
+    (found,) = values(spark, [json.dumps(document)], fn.nested_text_to_json("x"))
+    assert found == json.dumps(document, sort_keys=True)
+
+
+def test_scalar_text_stays_plain(spark):
+    texts = ['"[1]"', "3", '"a"', '"3"', "1e2", "true", "null", None, '"n1"', '""']
+    found = values(spark, texts, fn.nested_text_to_json("x"))
+    assert found == ["[1]", "3", "a", "3", "100.0", "true", None, None, "n1", ""]
+
+
 def test_scalars_stay_plain(spark):
     assert values(spark, ['"[1]"', "3", '"a"'], fn.nested_to_json(F.parse_json("x"))) == ["[1]", "3", "a"]
 
