@@ -19,7 +19,7 @@ columns play no part.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sluiceway.llm.common import Scratch, prepare, stage
 
@@ -51,6 +51,11 @@ PRIOR = 1.0
 # Characters on either side that are looked at for context words.
 REACH = 60
 
+# Matches that are numbered together, and characters of a piece of a text: so that neither adding a
+# match to an array nor looking beside it costs more the longer the text is.
+TOGETHER = 256
+PIECE = 4096
+
 SPAN = "array<struct<start:int,stop:int,value:string>>"
 
 
@@ -59,7 +64,9 @@ def located(text: Column, pattern: str) -> Column:
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
     pairs = F.arrays_zip(F.slice(pieces, 1, F.size(values)).alias("gap"), values.alias("value"))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("found"))
+
+    def none(at: Column) -> Column:
+        return F.struct(at.alias("at"), F.array().cast(SPAN).alias("found"))
 
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + F.length(pair["gap"])
@@ -69,7 +76,15 @@ def located(text: Column, pattern: str) -> Column:
             stop.alias("at"), F.concat(state["found"], F.array(span)).alias("found")
         )
 
-    return F.aggregate(pairs, begin, step, lambda state: state["found"])
+    def group(state: Column, first: Column) -> Column:
+        inner = F.aggregate(F.slice(pairs, first, TOGETHER), none(state["at"]), step)
+        return F.struct(
+            inner["at"].alias("at"), F.concat(state["found"], inner["found"]).alias("found")
+        )
+
+    firsts = F.sequence(F.lit(1), F.size(values), F.lit(TOGETHER))
+    spans = F.aggregate(firsts, none(F.lit(0)), group, lambda state: state["found"])
+    return F.when(F.size(values) > 0, spans).otherwise(F.array().cast(SPAN))
 
 
 def digits(value: Column) -> Column:
@@ -108,27 +123,30 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(text.rlike(mark), found).otherwise(F.array().cast(SPAN))
 
 
-def candidate_spans(text: Column, known: Column) -> Column:
+def candidate_spans(text: Column) -> Column:
     found = F.filter(
         located(text, CANDIDATE),
         lambda s: (F.length(digits(s["value"])) >= LEAST_DIGITS) | s["value"].contains("@"),
     )
-    free = F.filter(
-        found,
-        lambda s: ~F.exists(
-            known, lambda k: (k["start"] < s["stop"]) & (s["start"] < k["stop"])
-        ),
+    return F.when(text.rlike("[0-9@]"), found).otherwise(F.array().cast(SPAN))
+
+
+def part(pieces: Column, begin: Column, length: Column) -> Column:
+    """At most ``PIECE`` characters of a text that is given in pieces."""
+    at = (begin / PIECE).cast("int")
+    near = F.concat(
+        F.coalesce(F.get(pieces, at), F.lit("")), F.coalesce(F.get(pieces, at + 1), F.lit(""))
     )
-    return F.when(text.rlike("[0-9@]"), free).otherwise(F.array().cast(SPAN))
+    return F.substring(near, begin - at * PIECE + 1, length)
 
 
-def in_context(text: Column, spans: Column, kind: str | None) -> Column:
+def in_context(pieces: Column, spans: Column, kind: str | None) -> Column:
     """Spans with the words beside them and their shape."""
 
     def describe(s: Column) -> Column:
         begin = F.greatest(F.lit(0), s["start"] - REACH)
-        before = F.lower(F.substring(text, begin + 1, s["start"] - begin))
-        after = F.lower(F.substring(text, s["stop"] + 1, F.lit(REACH)))
+        before = F.lower(part(pieces, begin, s["start"] - begin))
+        after = F.lower(part(pieces, s["stop"], F.lit(REACH)))
         shape = F.when(s["value"].contains("@"), "@").otherwise(
             F.regexp_replace(F.regexp_replace(s["value"], "[0-9]+", "0"), "[+()\\x20-]+", "")
         )
@@ -147,29 +165,57 @@ def in_context(text: Column, spans: Column, kind: str | None) -> Column:
 
 
 def spans_of(docs: DataFrame) -> DataFrame:
-    """Per row of the table: ``row``, ``doc_id``, seeds per kind, and candidates."""
+    """Per row of the table: ``row``, ``doc_id``, seeds, and candidates, which may overlap seeds."""
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    with_base = rows.select("*", *[base_spans(F.col("text"), k).alias(k) for k in KINDS])
-    known = F.concat(*[F.col(kind) for kind in KINDS])
-    with_all = with_base.withColumn("other", candidate_spans(F.col("text"), known))
     text = F.col("text")
-    seeds = F.concat(*[in_context(text, F.col(kind), kind) for kind in KINDS])
-    return with_all.select(
+    every = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    located_spans = rows.select(
+        "row",
+        "doc_id",
+        *[base_spans(text, kind).alias(kind) for kind in KINDS],
+        candidate_spans(text).alias("other"),
+        F.when(text.rlike("[0-9@]"), every).otherwise(F.array().cast("array<string>")).alias("pieces"),
+    )
+    pieces = F.col("pieces")
+    seeds = F.concat(*[in_context(pieces, F.col(kind), kind) for kind in KINDS])
+    return located_spans.select(
         "row",
         "doc_id",
         seeds.alias("seeds"),
-        in_context(text, F.col("other"), None).alias("other"),
+        in_context(pieces, F.col("other"), None).alias("other"),
+    )
+
+
+def free_candidates(spans: DataFrame) -> DataFrame:
+    """Candidates that overlap no seed, one row each.
+
+    Only rows with both have any to drop. There, seeds stand at their start and candidates at
+    their last character; the farthest end of the seeds up to there tells.
+    """
+    both = (F.size("seeds") > 0) & (F.size("other") > 0)
+    alone = spans.where(~both).select("row", F.explode("other").alias("s"))
+    placed = spans.where(both).select("row", F.explode(F.concat("seeds", "other")).alias("s"))
+    is_seed = F.col("s.kind").isNotNull()
+    order = Window.partitionBy("row").orderBy("_at").rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    reached = F.max(F.when(is_seed, F.col("s.stop"))).over(order)
+    checked = (
+        placed.withColumn("_at", F.when(is_seed, F.col("s.start")).otherwise(F.col("s.stop") - 1))
+        .withColumn("_reached", F.coalesce(reached, F.lit(0)))
+        .where(~is_seed & (F.col("_reached") <= F.col("s.start")))
     )
+    return alone.unionByName(checked.select("row", "s")).select("row", "s.*")
 
 
-def discovered(spans: DataFrame, scratch: Scratch) -> DataFrame:
+def discovered(spans: DataFrame, candidates: DataFrame, scratch: Scratch) -> DataFrame:
     """``value`` and ``kind`` of candidates that the context of seeds identifies."""
-    each = spans.select(F.explode(F.concat("seeds", "other")).alias("s")).select("s.*")
-    edges = each.select(
+    seeded = spans.select("row", F.explode("seeds").alias("s")).select("row", "s.*")
+    edges = seeded.unionByName(candidates).select(
         "value",
         "kind",
         F.explode(F.array("one", "two", "next")).alias("words"),
@@ -241,10 +287,10 @@ def find(docs: DataFrame) -> DataFrame:
     spark = prepare(docs.sparkSession)
     with Scratch(spark) as scratch:
         spans = scratch.stage(spans_of(docs), "pii-spans")
-        new = scratch.stage(discovered(spans, scratch), "pii-found")
+        candidates = scratch.stage(free_candidates(spans), "pii-candidates")
+        new = scratch.stage(discovered(spans, candidates, scratch), "pii-found")
         extra = (
-            spans.select("row", F.explode("other").alias("s"))
-            .select("row", "s.value", "s.start", "s.stop")
+            candidates.select("row", "value", "start", "stop")
             .join(new, "value")
             .groupBy("row")
             .agg(F.collect_list(F.struct("kind", "start", "stop")).alias("more"))

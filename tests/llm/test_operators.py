@@ -1,7 +1,9 @@
 """Operators and the pipeline on the smallest tables, against brute force."""
 
 import hashlib
+import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -280,6 +282,45 @@ def test_personal_data_of_odd_texts(spark):
     check_personal_data(texts, pii.find(docs).collect())
 
 
+def test_personal_data_of_a_text_with_many_spans(spark):
+    addresses = [f"10.{i % 250}.{i // 250}.7" for i in range(8000)]
+    texts = {
+        1: " ".join(addresses),
+        2: "é\U0001f600 ".join(addresses[:3000]),
+        3: " ".join(f"+1 555 {i:07d}, or 555 {i:07d};" for i in range(3000)),
+        4: "x" * 5000 + " a@b.co " + "y" * 5000,
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    began = time.monotonic()
+    rows = pii.find(docs).collect()
+    assert time.monotonic() - began < 60
+    check_personal_data(texts, rows)
+    assert {row["doc_id"]: row["n_ip"] for row in rows} == {1: 8000, 2: 3000, 3: 0, 4: 0}
+
+
+def test_candidates_beside_seeds_overlap_none(spark):
+    rng = random.Random(4)
+    parts = ["+1 555 010 1234", "555 010 7777", "10.0.0.1", "a@b.c", "4111 1111 1111 1111", "7-7-7-7-7-7-7",
+             "word", "+1 (555) 123-4567 12", "é@x", "1.2.3.4.5.6.7.8", "@", "x"]
+    texts = [" ".join(rng.choices(parts, k=rng.randint(1, 40))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = stage(pii.spans_of(docs), "spans")
+    found = [tuple(r) for r in pii.free_candidates(spans).select("row", "start", "stop").collect()]
+    expected = [
+        (row["row"], s["start"], s["stop"])
+        for row in spans.collect()
+        for s in row["other"]
+        if all(k["stop"] <= s["start"] or s["stop"] <= k["start"] for k in row["seeds"])
+    ]
+    assert sorted(found) == sorted(expected) and len(found) > 100
+    for row in spans.collect():
+        text = texts[row["doc_id"]]
+        for s in [*row["seeds"], *row["other"]]:
+            before = re.search(r"(\S+)\s*$", text[: s["start"]][-pii.REACH :].lower())
+            assert s["value"] == text[s["start"] : s["stop"]]
+            assert s["one"] == "1|" + (before[1] if before else "")
+
+
 def test_context_discovers_what_the_patterns_miss(spark):
     known = [f"please call +1 555 010 {i:04d} today" for i in range(8)]
     unseen = ["please call 555 010 7777 today", "we sold 555 010 7777 units"]
