@@ -38,7 +38,6 @@ LEAST_SUPPORT = 3
 LEAST_PRECISION = 0.6
 # Entries that may explain the same document.
 COVERS = 6
-ENTRIES = 2_000
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.7
 REMEMBERED = 100_000
@@ -287,7 +286,7 @@ def lexicon(rows: list, toxic: int, clean: int) -> dict:
     ordered = sorted(entries.items(), key=lambda e: (-len(e[1][0]) / (1 + 4 * e[1][1]), e[0]))
     for feature, (docs, good) in ordered:
         gain = sum(1 for doc in docs if need[doc] > 0)
-        if gain < LEAST_SUPPORT or gain < 0.3 * len(docs) or len(chosen) >= ENTRIES:
+        if gain < LEAST_SUPPORT or gain < 0.3 * len(docs):
             continue
         for doc in docs:
             need[doc] -= 1
