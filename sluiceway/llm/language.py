@@ -13,24 +13,23 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from sluiceway.llm.common import map_batches, narrow, prepare, remainder, stage
+from sluiceway.llm.common import BATCH_ROWS, map_batches, narrow, prepare, remainder, stage
 
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 5
 
 # The classifier is fitted on labelled documents chosen by hash, about this many of each
-# language, and all of a language that has fewer.
-TRAINING_DOCUMENTS = 5_000
-# Entries kept per language: the most frequent words, and n-grams of each length.
-WORDS_PER_LANGUAGE = 30_000
-GRAMS_PER_LANGUAGE = 8_000
+# language, and all of a language that has fewer. The model holds all their words and n-grams, so
+# this is what bounds its size.
+TRAINING_DOCUMENTS = 2_000
 # Scores of words out of the vocabulary that a task remembers.
 REMEMBERED = 200_000
 # The pipeline rejects a document whose words say nothing: a score of no more than this
@@ -48,8 +47,7 @@ def fit(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> dict:
     """Log frequencies per language, from labelled documents outside the held-out part.
 
     ``documents`` bounds the sample of each language: rows are taken by a hash of id and text.
-    The tables are bounded by the number kept per language, so the model is small enough to
-    broadcast.
+    The model keeps every word and n-gram of the sample, so its size is bounded by the sample's.
     """
     prepare(docs.sparkSession)
     labelled = narrow(docs, "lang").where(
@@ -76,16 +74,8 @@ def fit(docs: DataFrame, documents: int = TRAINING_DOCUMENTS) -> dict:
         .agg(F.sum("times").alias("times"))
         .unionByName(words.withColumn("n", F.lit(0)))
     )
-    sums = Window.partitionBy("lang", "n")
-    order = sums.orderBy(F.desc("times"), "gram")
-    limit = F.when(F.col("n") == 0, WORDS_PER_LANGUAGE).otherwise(GRAMS_PER_LANGUAGE)
-    kept = (
-        counted.withColumn("all", F.sum("times").over(sums))
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= limit)
-    )
-    rows = kept.select("lang", "n", "gram", "times", "all").collect()
-    return _tables(rows)
+    found = counted.select("lang", "n", "gram", "times").toArrow()
+    return _tables(row for batch in found.to_batches(BATCH_ROWS) for row in batch.to_pylist())
 
 
 def _count_words(batches: Iterator[dict]) -> Iterator[dict]:
@@ -131,25 +121,33 @@ def _columns(counts: Counter) -> dict:
     }
 
 
-def _tables(rows: list) -> dict:
+def _tables(rows: Iterable) -> dict:
     """Rows of counts as one table of log frequencies per length (0: whole words)."""
-    langs = sorted({row["lang"] for row in rows})
-    column = {lang: i for i, lang in enumerate(langs)}
-    totals = {(row["lang"], row["n"]): row["all"] for row in rows}
-    by_length: dict[int, dict[str, dict[int, int]]] = defaultdict(lambda: defaultdict(dict))
+    seen: dict[str, int] = {}
+    indexes: dict[int, dict[str, int]] = defaultdict(dict)
+    cells: dict[int, tuple[array, array, array]] = defaultdict(
+        lambda: (array("q"), array("q"), array("q"))
+    )
     for row in rows:
-        by_length[row["n"]][row["gram"]][column[row["lang"]]] = row["times"]
+        index = indexes[row["n"]]
+        cell = (
+            index.setdefault(row["gram"], len(index)),
+            seen.setdefault(row["lang"], len(seen)),
+            row["times"],
+        )
+        for column, value in zip(cells[row["n"]], cell):
+            column.append(value)
+    langs = sorted(seen)
+    column = np.zeros(len(langs), dtype=np.int64)
+    column[[seen[lang] for lang in langs]] = np.arange(len(langs))
     tables = {}
-    for n, entries in by_length.items():
-        base = [
-            math.log(0.5) - math.log(totals.get((lang, n), 0) + 0.5 * len(entries))
-            for lang in langs
-        ]
-        index, values = {}, np.tile(np.array(base, dtype=np.float32), (len(entries), 1))
-        for i, (gram, counts) in enumerate(sorted(entries.items())):
-            index[gram] = i
-            for at, times in counts.items():
-                values[i, at] += math.log((times + 0.5) / 0.5)
+    for n, index in indexes.items():
+        at, lang, times = (np.array(part, dtype=np.int64) for part in cells[n])
+        lang = column[lang]
+        totals = np.bincount(lang, times, minlength=len(langs))
+        base = math.log(0.5) - np.log(totals + 0.5 * len(index))
+        values = np.tile(base.astype(np.float32), (len(index), 1))
+        values[at, lang] += np.log((times + 0.5) / 0.5).astype(np.float32)
         tables[n] = (index, values)
     return {"langs": langs, "tables": tables}
 

@@ -89,10 +89,6 @@ def test_languages_of_the_table_by_the_plain_formula(spark, sf_dir):
                 counts[n, row["lang"]].update(language.grams(word, n))
     langs = sorted({lang for _, lang in counts})
     totals = {key: sum(counter.values()) for key, counter in counts.items()}
-    for (n, lang), counter in counts.items():
-        most = language.GRAMS_PER_LANGUAGE if n else language.WORDS_PER_LANGUAGE
-        kept = sorted(counter.items(), key=lambda entry: (-entry[1], entry[0]))[:most]
-        counts[n, lang] = Counter(dict(kept))
     entries = {n: set().union(*[counts[n, lang] for lang in langs]) for n in range(6)}
 
     def log_frequency(n, gram):
