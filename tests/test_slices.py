@@ -264,3 +264,44 @@ def test_rows_in_overlapping_intervals(spark):
     assert sorted((r.p, r.i) for r in found.collect()) == expected
     assert assign_rows_to_intervals(rows, "ts", intervals.limit(0)).isEmpty()
     assert assign_rows_to_intervals(rows.limit(0), "ts", intervals).isEmpty()
+
+
+def test_totals_of_rows_in_intervals(spark):
+    """The totals of an interval equal those of its pairs, and are found without making pairs."""
+    draw = random.Random(4)
+    hour = 3_600_000_000
+    times = [draw.randrange(-30 * hour, 30 * hour) for _ in range(200)]
+    times += [draw.randrange(20) for _ in range(60)] + [0, hour - 1, hour, -1, -hour]
+    points = [(i, t, draw.choice([None, i])) for i, t in enumerate(times)] + [(999, None, 1)]
+    spans = [tuple(sorted(draw.sample(range(-40 * hour, 40 * hour), 2))) for _ in range(60)]
+    spans += [tuple(sorted(draw.sample(range(25), 2))) for _ in range(60)]
+    spans += [(s, s + draw.choice([1, 2, 1000, hour, 3 * hour])) for s in times]
+    spans += [(0, hour), (0, 5), (5, hour), (0, 4 * hour), (-hour, 0), (-9 * hour, 7 * hour)]
+    spans += [(5, 5), (9, 3), (None, 7), (7, None), spans[0], spans[0]]
+    rows = spark.createDataFrame(points, "p LONG, s LONG, v LONG").selectExpr(
+        "p", "timestamp_micros(s) as ts", "v"
+    )
+    intervals = spark.createDataFrame(
+        [(i, *span) for i, span in enumerate(spans)], "i LONG, a LONG, b LONG"
+    ).selectExpr("i", "timestamp_micros(a) as slice_start", "timestamp_micros(b) as slice_end")
+    totals = {"n": ("sum", F.lit(1)), "low": ("min", "p"), "high": ("max", "p"), "v": ("sum", "v")}
+    found = assign_rows_to_intervals(rows, "ts", intervals, totals=totals)
+    expected = []
+    for i, (a, b) in enumerate(spans):
+        inside = [(p, v) for p, s, v in points if None not in (s, a, b) and a <= s < b]
+        known = [v for _, v in inside if v is not None]
+        if inside:
+            ids = [p for p, _ in inside]
+            expected.append((i, len(ids), min(ids), max(ids), sum(known) if known else None))
+    assert sorted((r.i, r.n, r.low, r.high, r.v) for r in found.collect()) == expected
+    assert found.columns == ["i", "slice_start", "slice_end", "n", "low", "high", "v"]
+    for few, some in ((rows.limit(0), intervals), (rows, intervals.limit(0))):
+        assert assign_rows_to_intervals(few, "ts", some, totals=totals).isEmpty()
+    crowd = spark.range(2000).selectExpr("id as p", "timestamp_micros(id * 1000) as ts", "id as v")
+    wide = spark.range(2000).selectExpr(
+        "id as i", "timestamp_micros(-id) as slice_start", "timestamp_micros(2000000 + id) as slice_end"
+    )
+    many = assign_rows_to_intervals(crowd, "ts", wide, totals=totals)
+    assert {r.n for r in many.collect()} == {2000}
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
