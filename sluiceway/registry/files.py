@@ -479,7 +479,7 @@ def _landing_manifests(spark: SparkSession, sf_dir: str, **settings) -> DataFram
     manifests = writers.landing_manifests(
         _order_objects(spark, sf_dir), workflow_name="orders", source_adapter="table", **settings
     )
-    writers.write_manifests(manifests, path)
+    writers.write_manifests(manifests, path, compression="gzip")
     return tables.read_manifests(spark, path, contracts.LANDING_MANIFEST)
 
 

@@ -415,6 +415,14 @@ def landing_manifests(
 # Manifest tables are stored by the date of the slice; those without a slice have no date.
 MANIFEST_DATE = "slice_date"
 MANIFEST_FORMAT = {"ignoreNullFields": "false"}
+# Names of the files of a manifest table, plain or compressed, and of sidecars.
+MANIFEST_FILES = "*.{json,json.gz}"
+
+
+def manifest_options(compression: str) -> dict[str, str]:
+    if compression not in ("none", "gzip"):
+        raise ValueError(f"manifests are written plain or as gzip, not as {compression}")
+    return {**MANIFEST_FORMAT, "compression": compression}
 
 
 def dated_manifests(manifests: DataFrame) -> DataFrame:
@@ -424,12 +432,16 @@ def dated_manifests(manifests: DataFrame) -> DataFrame:
     return manifests.withColumn(MANIFEST_DATE, day)
 
 
-def write_manifests(manifests: DataFrame, path: str) -> None:
-    """Append manifests to a manifest table of JSON lines, by the date of their slice."""
+def write_manifests(manifests: DataFrame, path: str, compression: str = "none") -> None:
+    """Append manifests to a manifest table of JSON lines, by the date of their slice.
+
+    Manifests say much the same of every object: gzip takes a small part of the room, and a table
+    may hold plain and compressed files.
+    """
     (
         spread(dated_manifests(manifests), MANIFEST_DATE)
         .write.mode("append")
-        .options(**MANIFEST_FORMAT)
+        .options(**manifest_options(compression))
         .partitionBy(MANIFEST_DATE)
         .json(path)
     )

@@ -16,7 +16,13 @@ from sluiceway.sinks.partitions import (
     on_dates,
     replace_partitions,
 )
-from sluiceway.sinks.writers import MANIFEST_DATE, MANIFEST_FORMAT, dated_manifests, spread
+from sluiceway.sinks.writers import (
+    MANIFEST_DATE,
+    MANIFEST_FILES,
+    dated_manifests,
+    manifest_options,
+    spread,
+)
 
 CORRUPT = "_corrupt_record"
 
@@ -75,7 +81,7 @@ def read_manifests(
         return (
             spark.read.schema(schema)
             .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.json")
+            .option("pathGlobFilter", MANIFEST_FILES)
             .json(path)
         )
     last = F.col("slice_end") - F.expr("interval 1 microsecond")
@@ -86,13 +92,17 @@ def read_manifests(
         present = [folder for folder in folders if exists(spark, folder)]
         if not present:
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).option("pathGlobFilter", "*.json").json(present)
+        return spark.read.schema(schema).option("pathGlobFilter", MANIFEST_FILES).json(present)
     every = read_manifests(spark, path, schema)
     return dated_manifests(every).where(on_dates(MANIFEST_DATE, dates)).drop(MANIFEST_DATE)
 
 
 def compact_manifests(
-    spark: SparkSession, path: str, schema: str, dates: Sequence[date | None] | None = None
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    dates: Sequence[date | None] | None = None,
+    compression: str = "none",
 ) -> None:
     """Keep the newest manifest of every payload, and one file a date as far as sizes allow.
 
@@ -112,7 +122,8 @@ def compact_manifests(
     ).alias("row")
     kept = table.groupBy(payload.alias("key"), MANIFEST_DATE).agg(newest)
     rows = spread(kept.select("row.*", MANIFEST_DATE), MANIFEST_DATE)
-    replace_partitions(rows, path, MANIFEST_DATE, dates, MANIFEST_FORMAT, "json")
+    options = manifest_options(compression)
+    replace_partitions(rows, path, MANIFEST_DATE, dates, options, "json")
 
 
 def register_table(
