@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -132,7 +132,11 @@ _BEFORE_SEPARATOR = r'\G((?:"(?:[^"\\]++|\\.)*+"|[^",:]++)*+)([,:])'
 
 def sorted_json(value: Column | str) -> Column:
     """JSON text of a VARIANT, keys sorted, with a blank after ``,`` and ``:``, in ASCII."""
-    return ascii_json(F.regexp_replace(F.to_json(_col(value)), _BEFORE_SEPARATOR, "$1$2 "))
+    return spaced_json(F.to_json(_col(value)))
+
+
+def spaced_json(text: Column) -> Column:
+    return ascii_json(F.regexp_replace(text, _BEFORE_SEPARATOR, "$1$2 "))
 
 
 def ascii_json(text: Column) -> Column:
@@ -177,57 +181,88 @@ def marked_json(text: Column | str) -> Column:
     return F.regexp_replace(strings, _BEFORE_NUMBER, '$1"n$2"')
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used. Spark finds equal
+    parts by itself only outside of lambda functions."""
+    return F.transform(F.array(value), use)[0]
+
+
 def number_text(number: Column) -> Column:
     """JSON number as its canonical text: integers digit by digit, all others as the shortest
     decimal of the double, with an exponent below 1e-4 and from 1e16 on, such as ``1.0``,
     ``1e-05`` or ``1.5e+20``. Beyond the range of a double it is ``Infinity``. The digits are those
     that the JVM prints: before version 19 it gives a few doubles, such as 5e-324, a digit more."""
-    double = F.when(number.rlike("[.eE]"), number).cast("double")
-    short = double.cast("string")
+    return F.when(
+        number.rlike("[.eE]"),
+        _once(
+            number.cast("double"),
+            lambda double: _once(
+                double.cast("string"), lambda short: _double_text(double, short)
+            ),
+        ),
+    ).otherwise(F.when(number == "-0", "0").otherwise(number))
+
+
+def _double_text(double: Column, short: Column) -> Column:
     size = F.abs(double)
     # 17 digits before the point and 21 after it hold every double in this range.
     fixed = short.cast("decimal(38,21)").cast("string")
     plain = F.regexp_replace(F.regexp_replace(fixed, "0+$", ""), r"\.$", ".0")
     mantissa = F.regexp_replace(F.substring_index(short, "E", 1), r"\.0$", "")
-    power = F.substring_index(short, "E", -1).cast("int")
-    exponent = F.concat(
-        F.when(power < 0, "-").otherwise("+"),
-        F.when(F.abs(power) < 10, "0").otherwise(""),
-        F.abs(power).cast("string"),
-    )
+
+    def exponent(power: Column) -> Column:
+        return F.concat(
+            F.when(power < 0, "-").otherwise("+"),
+            F.when(F.abs(power) < 10, "0").otherwise(""),
+            F.abs(power).cast("string"),
+        )
+
     return (
-        F.when(number == "-0", "0")
-        .when(double.isNull(), number)
-        .when((size == 0) | short.contains("Infinity"), short)
+        F.when((size == 0) | short.contains("Infinity"), short)
+        # From 1e-3 to below 1e7 the JVM prints the shortest decimal without an exponent.
+        .when(~short.contains("E"), short)
         .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(F.concat(mantissa, F.lit("e"), exponent))
+        .otherwise(
+            F.concat(
+                mantissa,
+                F.lit("e"),
+                _once(F.substring_index(short, "E", -1).cast("int"), exponent),
+            )
+        )
     )
 
 
 def marked_to_json(value: Column | str) -> Column:
     """VARIANT of :func:`marked_json` to text: arrays and objects as sorted JSON with their
     numbers as in :func:`number_text`, scalars as plain text."""
-    value = _col(value)
-    text = F.to_json(value)
-    # Quotes within strings are escaped and no closing quote is followed by a letter, so these
-    # are where marked values begin.
-    pieces = F.split(sorted_json(value), r'(?<!\\)"n', -1)
+    return _once(_col(value), lambda once: _once(F.to_json(once), _marked_text_of(once)))
+
 
+def _marked_text_of(value: Column) -> Callable[[Column], Column]:
     def unmarked(piece: Column) -> Column:
         number = F.substring_index(piece, '"', 1)
         rest = F.substr(piece, F.length(number) + 2)
-        return F.concat(number_text(number), rest)
+        return F.concat(_once(number, number_text), rest)
+
+    def joined(pieces: Column) -> Column:
+        numbers = F.transform(F.slice(pieces, 2, F.size(pieces)), unmarked)
+        return F.concat(pieces[0], F.array_join(numbers, ""))
+
+    def text_of(text: Column) -> Column:
+        # Quotes within strings are escaped and no closing quote is followed by a letter, so these
+        # are where marked values begin.
+        pieces = F.split(spaced_json(text), r'(?<!\\)"n', -1)
+        nested = F.regexp_replace(_once(pieces, joined), r'(?<!\\)"s', '"')
+        scalar = F.variant_get(value, "$", "string")
+        bare = F.substr(scalar, F.lit(2))
+        return (
+            F.when(F.substring(text, 1, 1).isin("{", "["), nested)
+            .when(text.startswith('"n'), _once(bare, number_text))
+            .when(text.startswith('"'), bare)
+            .otherwise(scalar)
+        )
 
-    numbers = F.transform(F.slice(pieces, 2, F.size(pieces)), unmarked)
-    nested = F.concat(pieces[0], F.array_join(numbers, ""))
-    scalar = F.variant_get(value, "$", "string")
-    bare = F.substr(scalar, F.lit(2))
-    return (
-        F.when(F.substring(text, 1, 1).isin("{", "["), F.regexp_replace(nested, r'(?<!\\)"s', '"'))
-        .when(text.startswith('"n'), number_text(bare))
-        .when(text.startswith('"'), bare)
-        .otherwise(scalar)
-    )
+    return text_of
 
 
 def nested_text_to_json(text: Column | str) -> Column:

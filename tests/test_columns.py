@@ -159,3 +159,10 @@ def test_aggregates_over_no_match_and_zero_rows(spark):
         agg.safe_ratio(F.lit(1), F.lit(0)),
     ).first()
     assert tuple(row) == (0, 0.0, None, None)
+
+
+def test_nested_text_is_parsed_once(spark):
+    """Lambda functions share no work by themselves: what they use often is bound to a name."""
+    df = spark.createDataFrame([('{"a": [1.50, "é"]}',)], "x STRING")
+    plan = df.select(fn.nested_text_to_json("x").alias("y"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("parse_json(") == 1 and plan.count("to_json(") == 1
