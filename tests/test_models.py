@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,3 +181,21 @@ def test_latest_device_status_spans_dates(spark, sf_dir):
     assert latest.count() == events.select("device_id").distinct().count()
     newest = events.groupBy("device_id").agg(F.max("emitted_at").alias("emitted_at"))
     assert latest.join(newest, ["device_id", "emitted_at"]).count() == latest.count()
+
+
+def test_tables_are_read_in_splits_whose_typed_rows_fit_a_task(spark, tmp_path):
+    """Newest-per-key sorts the rows of a split: the splits stay small however large the table."""
+    wide = spark.range(600_000).selectExpr("id", "sha2(cast(id as string), 256) as text")
+    path = f"{tmp_path}/lineitem.parquet"
+    wide.coalesce(1).write.option("parquet.block.size", 4 << 20).parquet(path)
+    read = adapters.table(spark, str(tmp_path), "lineitem")
+    size = sum(file.stat().st_size for file in Path(path).glob("*.parquet"))
+    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        assert size > 32 << 20 and read.select("*").rdd.getNumPartitions() > size >> 24
+    finally:
+        if before is None:
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+        else:
+            spark.conf.set("spark.sql.files.minPartitionNum", before)
