@@ -393,8 +393,7 @@ query("stage_events_stream", "select * from evt_staged", "evt_staged")(
 
 def _streamed_marts(spark: SparkSession, sf_dir: str) -> marts.EventMarts:
     built = marts.EventMarts(scratch_dir(spark, "marts"))
-    checkpoint = scratch_dir(spark, "marts-checkpoint")
-    _finish(built.writer(_staged_stream(spark, sf_dir), checkpoint, NOW))
+    built.drain(_staged_stream(spark, sf_dir), scratch_dir(spark, "marts-checkpoint"))
     return built
 
 

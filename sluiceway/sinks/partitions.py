@@ -51,6 +51,18 @@ def remove(spark: SparkSession, name: str) -> None:
     files.delete(path, True)
 
 
+def folders(spark: SparkSession, name: str) -> list[str]:
+    """Names of the folders directly below one."""
+    files, path = _file_system(spark, name)
+    return [status.getPath().getName() for status in files.listStatus(path) if status.isDirectory()]
+
+
+def size_of(spark: SparkSession, name: str) -> int:
+    """Bytes of all files below a folder, 0 if there is none."""
+    files, path = _file_system(spark, name)
+    return files.getContentSummary(path).getLength() if files.exists(path) else 0
+
+
 def is_partitioned(spark: SparkSession, path: str, column: str) -> bool:
     """Whether all data below a folder lies in directories of the column's values."""
     files, folder = _file_system(spark, path)

@@ -6,6 +6,10 @@ dates it ever had; each batch it hands on the events that changed. The batch the
 these dates in the event table and computes the daily marts of these dates again, both by Spark's
 dynamic partition overwrite.
 
+As late data touch any date, a batch may rewrite most of the tables. Where only the end counts
+(:meth:`EventMarts.drain`), batches wait in a folder until they are as large as the event table,
+so what is written in all grows with the events, not with the events times the batches.
+
 A batch that is done again gets the same events and dates from the state that Spark keeps by
 batch, and ends in the same tables. Looking an event up costs what the batch holds, not what
 the table holds. The state has a row per event in RocksDB on the executors' disks, with its changes in
@@ -25,9 +29,18 @@ from pyspark.sql.streaming import DataStreamWriter
 from sluiceway.operators.latest import latest_by
 from sluiceway.plans import events as evt
 from sluiceway.session import configure, materialize
-from sluiceway.sinks.partitions import dates_of, exists, on_dates, read_table
+from sluiceway.sinks.partitions import (
+    dates_of,
+    exists,
+    folders,
+    on_dates,
+    read_table,
+    remove,
+    size_of,
+)
 from sluiceway.sinks.writers import BY_PARTITION, GROUPED, write_model
 from sluiceway.streaming.intake import (
+    BUFFER_BYTES,
     deliver_events,
     delivered_event_stream,
     quarantine_bad_events,
@@ -57,6 +70,11 @@ HEALTH = """
     event_count BIGINT, distinct_device_count BIGINT, distinct_site_count BIGINT,
     warning_event_count BIGINT, missing_pressure_event_count BIGINT, event_date DATE
 """
+# What a batch changed, as newest_versions gives it.
+_EVENT_FIELDS = ", ".join(
+    f"{name}: {kind}" for name, kind in (field.split() for field in EVENTS.split(","))
+)
+CHANGED = f"event STRUCT<{_EVENT_FIELDS}>, dates ARRAY<STRUCT<event_date: DATE>>"
 # Where streaming state is kept: on local disk, with changes in the checkpoint.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -119,6 +137,11 @@ class EventMarts:
     def events(self) -> DatedTable:
         return DatedTable(f"{self.root}/int_sensor_events", EVENTS)
 
+    @property
+    def waiting(self) -> str:
+        """Folder of the changes that batches made and that the tables do not have yet."""
+        return f"{self.root}/waiting"
+
     @property
     def site_daily(self) -> DatedTable:
         return DatedTable(f"{self.root}/analytics_site_daily_metrics", SITE_DAILY, GROUPED)
@@ -155,19 +178,63 @@ class EventMarts:
         ):
             table.replace(content, dates)
 
+    def keep_batch(self, changed: DataFrame, batch: int) -> None:
+        """Let a batch wait; all that wait go into the tables once they are as large as the
+        event table. A batch done again takes the place of what it left."""
+        spark = changed.sparkSession
+        changed.write.mode("overwrite").parquet(f"{self.waiting}/batch={batch}")
+        if size_of(spark, self.waiting) >= size_of(spark, self.events.path):
+            self.apply_waiting(spark)
+
+    def apply_waiting(self, spark: SparkSession) -> None:
+        """Bring the tables up to date with the batches that wait. An event is taken from its
+        last batch, which has its newest version; the dates are those of all batches."""
+        if not exists(spark, self.waiting):
+            return
+        waiting = read_table(spark, self.waiting, f"{CHANGED}, batch BIGINT")
+        changed = latest_by(
+            waiting.withColumn("_id", F.col("event.emitter_event_id")), ["_id"], ["batch"]
+        )
+        self.process_batch(changed.select("event", "dates"))
+        # Oldest first: what is left if this breaks off are the last batches, and to put these in
+        # again changes nothing.
+        batches = [int(name.partition("=")[2]) for name in folders(spark, self.waiting)]
+        for batch in sorted(batches):
+            remove(spark, f"{self.waiting}/batch={batch}")
+        remove(spark, self.waiting)
+
     def writer(
         self, staged: DataFrame, checkpoint: str, trigger: dict | None = None
     ) -> DataStreamWriter:
         """The checkpoint belongs to the tables: it holds the versions seen. A new checkpoint
         needs a new root, and all events again."""
+        self._check(staged.sparkSession, checkpoint)
+        self.apply_waiting(staged.sparkSession)
+        return self._writer(
+            staged, checkpoint, lambda changed, _: self.process_batch(changed), trigger
+        )
+
+    def drain(self, staged: DataFrame, checkpoint: str) -> None:
+        """Take in all events there are; the tables have them when this returns. If it fails
+        midway, they lack the batches that wait, which the next run puts in first or last."""
         spark = staged.sparkSession
-        if exists(spark, self.events.path) and not exists(spark, f"{checkpoint}/offsets"):
+        self._check(spark, checkpoint)
+        writer = self._writer(staged, checkpoint, self.keep_batch, {"availableNow": True})
+        writer.start().awaitTermination()
+        self.apply_waiting(spark)
+
+    def _check(self, spark: SparkSession, checkpoint: str) -> None:
+        held = exists(spark, self.events.path) or exists(spark, self.waiting)
+        if held and not exists(spark, f"{checkpoint}/offsets"):
             raise ValueError(f"{self.root} holds tables of another checkpoint than {checkpoint}")
+
+    def _writer(self, staged, checkpoint, each_batch, trigger) -> DataStreamWriter:
+        spark = staged.sparkSession
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
         return (
             newest_versions(staged)
             .writeStream.outputMode("update")
-            .foreachBatch(lambda changed, _: self.process_batch(changed))
+            .foreachBatch(each_batch)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "60 seconds"}))
         )
@@ -179,7 +246,8 @@ def stream_build(
     """Deliver all waiting events, then bring the marts up to date; returns the marts.
 
     Both steps remember in their checkpoints what they have done, so a later call only
-    handles what is new.
+    handles what is new. ``max_files`` bounds the incoming files of a batch; of the delivered
+    ones, which are many and small, a batch takes as many bytes as the buffer holds.
     """
     configure(spark)
     now = {"availableNow": True}
@@ -190,6 +258,6 @@ def stream_build(
     ):
         writer.start().awaitTermination()
     marts = EventMarts(f"{root}/marts")
-    staged = stage_events_stream(delivered_event_stream(spark, f"{root}/events", max_files))
-    marts.writer(staged, f"{checkpoint}/marts", now).start().awaitTermination()
+    delivered = delivered_event_stream(spark, f"{root}/events", max_bytes=BUFFER_BYTES)
+    marts.drain(stage_events_stream(delivered), f"{checkpoint}/marts")
     return marts

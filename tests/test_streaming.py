@@ -134,6 +134,64 @@ def test_device_status_follows_an_event_to_another_device(spark, feed):
     assert [r.device_id for r in built.sensor_events.read(spark).collect()] == ["d2"]
 
 
+def drain(feed):
+    stream = feed.spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1)
+    feed.marts.drain(stream.parquet(feed.drop), feed.checkpoint)
+
+
+def test_batches_of_a_drain_rewrite_the_tables_seldom(spark, feed, monkeypatch):
+    """Ten batches that all touch one date: the table is not written ten times."""
+    for number in range(10):
+        feed.add([(f"e{number}", f"2026-03-15T12:00:{number:02}Z", 1, "d1", 1.0)])
+    feed.add([("e0", "2026-03-16T00:00:00Z", 2, "d1", 1.0)])
+    written, process = [], marts.EventMarts.process_batch
+
+    def counted(self, changed):
+        written.append(changed.count())
+        process(self, changed)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(marts.EventMarts, "process_batch", counted)
+        drain(feed)
+    assert len(written) < 8 and sum(written) >= 10, written
+    built = feed.marts
+    days = {str(r.event_date): r.event_count for r in built.health.read(spark).collect()}
+    assert days == {"2026-03-15": 9, "2026-03-16": 1}
+    assert len(live(built.events, spark)) == 10
+
+
+def test_waiting_batches_outlast_a_failure(spark, feed, monkeypatch):
+    """Batches that wait when a drain fails get into the tables, newest versions only, and once
+    more if they were not all removed."""
+    for rows in BATCHES:
+        feed.add(rows)
+    kept = []
+
+    def waits(self, changed, batch):
+        changed.write.mode("overwrite").parquet(f"{self.waiting}/batch={batch}")
+        kept.append(batch)
+
+    def fails(self, spark):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(marts.EventMarts, "keep_batch", waits)
+        patch.setattr(marts.EventMarts, "apply_waiting", fails)
+        with pytest.raises(RuntimeError, match="lost"):
+            drain(feed)
+    assert len(kept) >= 3 and feed.marts.events.read(spark).isEmpty()
+    last = f"batch={max(kept)}"
+    spark.read.parquet(f"{feed.marts.waiting}/{last}").write.parquet(f"{feed.drop}-{last}")
+    built = feed.run()
+    expected = [("a", 2, "2026-03-16"), ("b", 3, "2026-03-17")]
+    assert live(built.events, spark) == expected
+    again = spark.read.schema(marts.CHANGED).parquet(f"{feed.drop}-{last}")
+    again.write.parquet(f"{built.waiting}/{last}")
+    drain(feed)
+    assert live(built.events, spark) == expected
+    assert not marts.exists(spark, built.waiting)
+
+
 def test_empty_batches_and_tables(spark, feed):
     assert feed.marts.events.read(spark).count() == 0
     assert feed.run().events.read(spark).count() == 0
