@@ -21,6 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -35,10 +36,8 @@ MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 LEAST_SCORE = 0.5
 # Test items sent to the tasks at once.
 ITEMS_PER_BLOCK = 2_000
-REMEMBERED = 400_000
 
 HITS = "doc_id long, text_hash long, item_id long, score double, begin int, stop int, seeds int"
-_SKIP, _MANY = -2, -3
 
 
 class Items:
@@ -96,44 +95,14 @@ class Items:
         return at[known], places[known]
 
 
-class Numbers:
-    """Words of documents as numbers of the block's vocabulary, holes as -1."""
-
-    def __init__(self, items: Items):
-        self.vocabulary = items.vocabulary
-        self.seen: dict[str, int] = {}
-        self.many: dict[str, list[int]] = {}
-
-    def look(self, token: str) -> int:
-        if len(self.seen) >= REMEMBERED:
-            self.seen.clear()
-            self.many.clear()
-        words = [self.vocabulary.get(word, -1) for word in WORD.findall(token)]
-        if len(words) > 1:
-            self.many[token] = words
-        found = self.seen[token] = words[0] if len(words) == 1 else _MANY if words else _SKIP
-        return found
-
-    def of(self, text: str) -> np.ndarray:
-        tokens = text.lower().split()
-        found = list(map(self.seen.get, tokens))
-        if None in found:
-            look = self.look
-            found = [look(t) if n is None else n for t, n in zip(tokens, found)]
-        if _MANY in found:
-            vocabulary = self.vocabulary
-            parts = [
-                (
-                    self.many.get(t)
-                    or [vocabulary.get(word, -1) for word in WORD.findall(t)]
-                )
-                if n == _MANY
-                else (n,)
-                for t, n in zip(tokens, found)
-            ]
-            found = [n for part in parts for n in part]
-        ids = np.array(found, dtype=np.int32)
-        return ids[ids != _SKIP]
+def numbered(vocabulary: dict[str, int], text: str) -> np.ndarray:
+    """Words of a document as numbers of the block's vocabulary, holes as -1.
+
+    Nothing is remembered between documents: most parts of texts are rare, and to remember
+    them costs more than to split them again.
+    """
+    words = WORD.findall(text.lower())
+    return np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int32, len(words))
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
@@ -245,7 +214,6 @@ def _block(source: DataFrame, items: Items) -> DataFrame:
 
     def score(batches: Iterator[dict]) -> Iterator[dict]:
         items = shared.value
-        numbers = Numbers(items)
         names = [part.split()[0] for part in HITS.split(", ")]
         for batch in batches:
             rows = [
@@ -253,7 +221,7 @@ def _block(source: DataFrame, items: Items) -> DataFrame:
                 for doc_id, digest, text in zip(
                     batch["doc_id"], batch["text_hash"], batch["text"]
                 )
-                for hit in score_document(items, numbers.of(text))
+                for hit in score_document(items, numbered(items.vocabulary, text))
             ]
             if rows:
                 yield dict(zip(names, zip(*rows)))

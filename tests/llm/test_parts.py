@@ -1,6 +1,7 @@
 """The parts that run inside tasks, against plain versions of themselves."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -249,3 +250,21 @@ def test_unseen_words_fall_back_to_their_parts():
     assert scorer.score("things")[0] == "en"
     assert scorer.score("12 ?!") == (language.UNKNOWN, 0.0)
     assert scorer.score(None) == (language.UNKNOWN, 0.0)
+
+
+def test_words_of_documents_are_numbered_in_one_pass():
+    """Rare words, words joined by marks and text without words; nothing is kept."""
+    vocabulary = {"alpha": 0, "beta": 1, "x_1": 2}
+    cases = {
+        "Alpha  beta\x1cgamma": [0, 1, -1],
+        "alpha-beta, (x_1) ... \u0130 --": [0, 1, 2, -1],
+        "alphabeta ALPHA\u00a0Beta": [-1, 0, 1],
+        " -- ": [],
+        "": [],
+    }
+    for text, expected in cases.items():
+        words = [vocabulary.get(w, -1) for t in text.lower().split() for w in re.findall(r"\w+", t)]
+        found = decontaminate.numbered(vocabulary, text)
+        assert found.dtype == np.int32 and found.tolist() == words
+        assert [n for n in words if n >= 0] == [n for n in expected if n >= 0]
+    assert vocabulary == {"alpha": 0, "beta": 1, "x_1": 2}
