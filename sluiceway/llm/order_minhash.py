@@ -12,7 +12,10 @@ can do without. A pair is linked if the alignment of its shingle sequences reach
 Equal word sequences are folded first and one of them stands for all. In a bucket of a
 sketch, the smallest documents are compared with all that are not yet in their class, then
 leave the bucket, until one class is left; so no pair of a bucket is lost, and copies of one
-text never meet in pairs.
+text never meet in pairs. Members of a bucket become a pair only if the parities of their
+shingles, counted in a fixed number of cells, leave the similarity possible: shingles that only
+one of two documents has are at least as many as the cells they differ in. So a large group of
+texts whose distance is just beyond the threshold makes few pairs, and loses no link.
 
 Defined results: a class is named by its smallest id; documents without a word, or of which
 no other is near, are their own class; rows with equal ids take the smallest class of them;
@@ -44,8 +47,12 @@ SAMPLED = 6
 # documents up to SHORT / SIMILARITY take part.
 SHORT = 30
 # Documents of a bucket that are compared with all others in the first round. Each round
-# takes twice as many of what is left, so the number of rounds stays small.
+# takes eight times as many of what is left, so the number of rounds stays small.
 CENTRES = 4
+GROWTH = 8
+# Parity cells of a document, in words of 64. They tell documents of up to some 4,000 shingles
+# apart; of longer ones more pairs are aligned.
+CELLS = 1024
 REMEMBERED = 400_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -124,6 +131,13 @@ def sketches(keys: np.ndarray) -> list[int]:
     return folded.view(np.int64).tolist()
 
 
+def parities(keys: np.ndarray) -> list[int]:
+    """Whether the number of shingles in each cell is odd, as words of 64 cells."""
+    cells = (labelled(keys) % np.uint64(CELLS)).astype(np.int64)
+    odd = (np.bincount(cells, minlength=CELLS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<i8").tolist()
+
+
 @lru_cache
 def _share(least: float) -> Fraction:
     """Aligned shingles a pair needs, as a share of the shingles of both."""
@@ -235,22 +249,24 @@ def _rarest(heads: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def sequences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Shingle sequences of the documents in ``wanted``, a column ``node`` of ids."""
+    """Shingle sequences of the documents in ``wanted``, a column ``node`` of ids, with their
+    lengths and parities."""
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         shingler = Shingler()
         for batch in batches:
+            keys = [shingler.shingles(shingler.words(text)) for text in batch["text"]]
             yield {
                 "node": batch["doc_id"],
-                "keys": [
-                    shingler.shingles(shingler.words(text)).tobytes() for text in batch["text"]
-                ],
+                "keys": [k.tobytes() for k in keys],
+                "length": [len(k) for k in keys],
+                "odd": [parities(k) for k in keys],
             }
 
     rows = narrow(docs).join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
     # Rows with equal ids: the first text in order stands for them.
     first = rows.groupBy("doc_id").agg(F.min("text").alias("text"))
-    return map_batches(first, run, "node long, keys binary")
+    return map_batches(first, run, "node long, keys binary, length int, odd array<long>")
 
 
 def verified(pairs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -321,18 +337,21 @@ def classes(docs: DataFrame) -> DataFrame:
         keys = scratch.stage(
             sequences(docs, members.select("node").distinct()), "sequences"
         )
+        known = keys.select("node", "length", "odd")
+        members = members.join(known, "node").withColumn("label", F.col("node"))
+        members = scratch.stage(members, "buckets")
         links, compared, labels = None, None, None
         number = CENTRES
         while not members.isEmpty():
             centres = scratch.stage(_centres(members, number), "centres")
-            number *= 2
-            pairs = _pairs(members, centres, labels)
+            number *= GROWTH
+            pairs = _pairs(members, centres)
             if compared is not None:
                 pairs = pairs.join(compared, ["a", "b"], "left_anti")
             pairs = scratch.stage(pairs, "pairs")
             compared = pairs if compared is None else compared.unionByName(pairs)
             near = scratch.stage(verified(pairs, keys), "near")
-            if labels is None or not near.isEmpty():
+            if not near.isEmpty():
                 links = near if links is None else links.unionByName(near)
                 labels = components(links, scratch)
             members = scratch.stage(_rest(members, centres, labels), "buckets")
@@ -352,36 +371,38 @@ def classes(docs: DataFrame) -> DataFrame:
 def _centres(members: DataFrame, number: int) -> DataFrame:
     """The smallest documents of each bucket."""
     order = Window.partitionBy("bucket").orderBy("node")
-    return (
-        members.withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= number)
-        .select("bucket", F.col("node").alias("a"), F.col("size").alias("size_a"))
-    )
+    first = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= number)
+    names = {"node": "a", **{name: f"{name}_a" for name in ("size", "length", "odd", "label")}}
+    return first.select("bucket", *[F.col(name).alias(new) for name, new in names.items()])
 
 
-def _pairs(members: DataFrame, centres: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Centres with the rest of their bucket, as far as class and length leave it open."""
+def _pairs(members: DataFrame, centres: DataFrame) -> DataFrame:
+    """Centres with the rest of their bucket, as far as class, length and parities leave it open."""
+    # The similarity leaves a ninth of the shingles of both to one of them alone.
+    alone = sum(
+        F.bit_count(F.col("odd")[word].bitwiseXOR(F.col("odd_a")[word]))
+        for word in range(CELLS // 64)
+    )
     both = members.join(centres, "bucket").where(
         (F.col("a") < F.col("node"))
+        & (F.col("label") != F.col("label_a"))
         & (5 * F.least("size", "size_a") >= 4 * F.greatest("size", "size_a"))
+        & (9 * alone <= F.col("length") + F.col("length_a"))
     )
-    found = both.select("a", F.col("node").alias("b")).distinct()
-    if labels is None:
-        return found
-    of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("label_a"))
-    of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("label_b"))
-    known = found.join(of_a, "a", "left").join(of_b, "b", "left")
-    return known.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+    return both.select("a", F.col("node").alias("b")).distinct()
 
 
-def _rest(members: DataFrame, centres: DataFrame, labels: DataFrame) -> DataFrame:
+def _rest(members: DataFrame, centres: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Members that still have somebody of another class in their bucket."""
     left = members.join(
         centres.select("bucket", F.col("a").alias("node")), ["bucket", "node"], "left_anti"
     )
-    known = left.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    if labels is not None:
+        now = labels.withColumnRenamed("label", "now")
+        left = left.join(now, "node", "left")
+        left = left.withColumn("label", F.coalesce("now", "label")).drop("now")
     open_ = (
-        known.groupBy("bucket")
+        left.groupBy("bucket")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low != high")
         .select("bucket")

@@ -391,6 +391,51 @@ def test_a_pair_at_the_very_threshold_is_similar():
         assert not order_minhash.similar(keys, keys[: short - 1])
 
 
+def test_texts_just_beyond_the_threshold_make_few_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(200)]
+    texts = []
+    for copy in range(60):  # each pair shares three quarters of its shingles, and sketches
+        changed = words[:]
+        for at in rng.choice(np.arange(5, 190, 5), 5, replace=False):
+            changed[at] = f"new{copy}at{at}"
+        texts.append(" ".join(changed))
+    compared = []
+    verified = order_minhash.verified
+
+    def counted(pairs, keys):
+        compared.extend((row["a"], row["b"]) for row in pairs.collect())
+        return verified(pairs, keys)
+
+    monkeypatch.setattr(order_minhash, "verified", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {row["doc_id"]: row["class_id"] for row in order_minhash.classes(docs).collect()}
+    shingler = order_minhash.Shingler()
+    keys = [shingler.shingles(shingler.words(text)) for text in texts]
+    near = {
+        (a, b)
+        for b in range(len(keys))
+        for a in range(b)
+        if order_minhash.similar(keys[a], keys[b])
+    }
+    assert all(found[a] == found[b] for a, b in near)
+    assert len(set(found.values())) > 10
+    assert len(compared) < len(near) + 100  # of 1,770
+
+
+def test_parities_keep_every_similar_pair():
+    rng = np.random.default_rng(6)
+    for size in (3, 30, 300, 6000):
+        for _ in range(50):
+            a = rng.integers(0, size, size).astype(np.uint64)
+            keep = rng.random(size) > rng.choice([0.02, 0.08, 0.12])
+            b = np.concatenate([a[keep], rng.integers(size, 2 * size, size // 30).astype(np.uint64)])
+            odd = [np.array(order_minhash.parities(x)).astype(np.uint64) for x in (a, b)]
+            alone = int(np.bitwise_count(odd[0] ^ odd[1]).sum())
+            if order_minhash.similar(a, b):
+                assert 9 * alone <= len(a) + len(b)
+
+
 def test_near_duplicates_of_the_table(spark, sf_dir, documents):
     shingler = order_minhash.Shingler()
     keys = {i: shingler.shingles(shingler.words(text)) for i, text in documents}
