@@ -48,7 +48,7 @@ SAMPLED = 6
 SHORT = 30
 # Documents of a bucket that are compared with all others in the first round. Each round
 # takes eight times as many of what is left, so the number of rounds stays small.
-CENTRES = 4
+CENTRES = 1
 GROWTH = 8
 # Parity cells of a document, in words of 64. They tell documents of up to some 4,000 shingles
 # apart; of longer ones more pairs are aligned.
@@ -317,6 +317,23 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
             return labels
 
 
+def _merged(labels: DataFrame | None, near: DataFrame, scratch: Scratch) -> DataFrame:
+    """Labels after new links: only the classes that these links join are gone through again."""
+    if labels is None:
+        return components(near, scratch)
+    of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("label_a"))
+    of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("label_b"))
+    ends = near.join(of_a, "a", "left").join(of_b, "b", "left")
+    ends = ends.select(
+        F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")
+    )
+    joined = components(ends.distinct(), scratch)
+    now = joined.select(F.col("node").alias("label"), F.col("label").alias("now"))
+    known = labels.join(now, "label", "left").select("node", F.coalesce("now", "label").alias("label"))
+    fresh = joined.join(labels, "node", "left_anti").select("node", "label")
+    return scratch.stage(known.unionByName(fresh), "labels")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``class_id`` of every row, staged in the shared folder."""
     spark = prepare(docs.sparkSession)
@@ -340,7 +357,7 @@ def classes(docs: DataFrame) -> DataFrame:
         known = keys.select("node", "length", "odd")
         members = members.join(known, "node").withColumn("label", F.col("node"))
         members = scratch.stage(members, "buckets")
-        links, compared, labels = None, None, None
+        compared, labels = None, None
         number = CENTRES
         while not members.isEmpty():
             centres = scratch.stage(_centres(members, number), "centres")
@@ -352,8 +369,7 @@ def classes(docs: DataFrame) -> DataFrame:
             compared = pairs if compared is None else compared.unionByName(pairs)
             near = scratch.stage(verified(pairs, keys), "near")
             if not near.isEmpty():
-                links = near if links is None else links.unionByName(near)
-                labels = components(links, scratch)
+                labels = _merged(labels, near, scratch)
             members = scratch.stage(_rest(members, centres, labels), "buckets")
         named = own.select("doc", "node").distinct()
         if labels is not None:
