@@ -50,7 +50,7 @@ SHORT = 30
 # takes eight times as many of what is left, so the number of rounds stays small.
 CENTRES = 1
 GROWTH = 8
-# Parity cells of a document, in words of 64. They tell documents of up to some 4,000 shingles
+# Parity cells of a document, in words of 64. They tell documents of up to some 2,300 shingles
 # apart; of longer ones more pairs are aligned.
 CELLS = 1024
 REMEMBERED = 400_000
