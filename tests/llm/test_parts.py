@@ -14,6 +14,7 @@ from sluiceway.llm import (
     order_minhash,
     packing,
     permutation_index,
+    suffix_dedup,
     token_files,
     toxicity,
 )
@@ -69,6 +70,60 @@ def test_equal_strings_have_equal_anchors():
     assert merged([(5, 9), (0, 3), (3, 4), (8, 12)]) == [(0, 4), (5, 12)]
 
 
+def test_repeated_ranges_of_sections():
+    rng = random.Random(8)
+    finder = Anchors(length=40, anchor=8)
+    for _ in range(60):
+        letters = b"abcdefgh"[: rng.choice([1, 2, 8])]
+        base = bytes(rng.choices(letters, k=150))
+        texts = [base, base[rng.randint(0, 60) :], base[20:90] + b"x" + base[91:], base * 2]
+        texts.append(bytes(rng.choices(letters, k=120)))
+        raws, anchors = [], []
+        for raw in texts:
+            for begin, size, anchor, _ in finder.sections(raw):
+                if raw[begin : begin + size] not in raws:
+                    raws.append(raw[begin : begin + size])
+                    anchors.append(anchor)
+        strings = Counter(raw[i : i + 40] for raw in raws for i in range(len(raw) - 39))
+        expected = {}
+        for number, raw in enumerate(raws):
+            starts = [i for i in range(len(raw) - 39) if strings[raw[i : i + 40]] > 1]
+            if starts:
+                expected[number] = suffix_dedup.covered(starts, 40)
+        assert suffix_dedup.repeated_ranges(finder, raws, anchors) == expected
+
+
+def test_sections_that_share_a_line_only_are_not_sorted(monkeypatch):
+    rng = random.Random(9)
+    line = bytes(rng.choices(b"abcdefgh", k=300))
+    sorted_symbols = []
+
+    def count(pieces, length):
+        sorted_symbols.extend(map(len, pieces))
+        return repeated_starts(pieces, length)
+
+    monkeypatch.setattr(suffix_dedup, "repeated_starts", count)
+
+    def sections(texts):
+        found = [(raw, section) for raw in texts for section in Anchors().sections(raw)]
+        shared = Counter(anchor for _, (_, _, anchor, _) in found)
+        found = [f for f in found if shared[f[1][2]] > 1]
+        return [r[b : b + n] for r, (b, n, *_) in found], [a for _, (_, _, a, _) in found]
+
+    texts = [
+        bytes(rng.choices(b"ijklmnop", k=500)) + line + bytes(rng.choices(b"ijklmnop", k=500))
+        for _ in range(20)
+    ]
+    raws, anchors = sections(texts)
+    assert raws and suffix_dedup.repeated_ranges(Anchors(), raws, anchors) == {}
+    assert not sorted_symbols
+    # Of a copied passage only the stretches at its ends are sorted.
+    passage = texts[0][:900]
+    raws, anchors = sections([b"q" + passage + texts[1], b"r" + passage + texts[2]])
+    found = suffix_dedup.repeated_ranges(Anchors(), raws, anchors)
+    assert found and sum(sorted_symbols) < sum(map(len, raws)) / 20
+
+
 @pytest.mark.parametrize(
     "kind, name", [(ByteLevel, "byte_bpe_50k.json"), (WordLevel, "word_bpe_49k.json")]
 )
