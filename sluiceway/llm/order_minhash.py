@@ -34,7 +34,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sluiceway.llm.common import Scratch, map_batches, narrow, prepare, stage
+from sluiceway.llm.common import Scratch, likely, map_batches, narrow, prepare, stage
 
 WORD = re.compile(r"\w+")
 SHINGLE_WORDS = 5
@@ -263,7 +263,10 @@ def sequences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 "odd": [parities(k) for k in keys],
             }
 
-    rows = narrow(docs).join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
+    # Few texts are wanted: a bitmap of their ids keeps most others from being shuffled.
+    rows = narrow(docs).withColumn("one", F.xxhash64("doc_id"))
+    rows = likely(rows, wanted.withColumn("one", F.xxhash64("node")), "one")
+    rows = rows.join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
     # Rows with equal ids: the first text in order stands for them.
     first = rows.groupBy("doc_id").agg(F.min("text").alias("text"))
     return map_batches(first, run, "node long, keys binary, length int, odd array<long>")
@@ -346,9 +349,10 @@ def classes(docs: DataFrame) -> DataFrame:
         own = signed.join(texts.select("exact", "node"), "exact")
         heads = own.where("doc = node").dropDuplicates(["node"])
         heads = heads.select("node", "size", "sketches", "singles")
-        members = heads.select("node", "size", F.explode("sketches").alias("bucket"))
-        members = members.unionByName(_rarest(heads, scratch))
-        members = scratch.stage(members.distinct(), "buckets")
+        # A node is once in a bucket, as its sketches and shingles differ.
+        own_buckets = F.explode(F.array_distinct("sketches"))
+        members = heads.select("node", "size", own_buckets.alias("bucket"))
+        members = scratch.stage(members.unionByName(_rarest(heads, scratch)), "buckets")
         shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         members = scratch.stage(members.join(shared.select("bucket"), "bucket"), "buckets")
         keys = scratch.stage(

@@ -22,7 +22,7 @@ from sluiceway.llm import (
     suffix_dedup,
     toxicity,
 )
-from sluiceway.llm.common import stage, table
+from sluiceway.llm.common import likely, stage, table
 from sluiceway.llm.queries import QUERIES, SQL, tokenizer_path
 
 WORD = re.compile(r"\w+")
@@ -560,3 +560,21 @@ def test_pipeline_stages(spark, sf_dir, documents):
         assert row["ids_crc32"] == zlib.crc32(part.tobytes())
         length[row["doc_id"]] += row["length"]
     assert length == {doc_id: len(found) for doc_id, found in ids.items()}
+
+
+def test_near_duplicates_shuffle_wanted_texts_only(spark):
+    texts = [(i, f"text number {i} of many") for i in range(3000)]
+    texts += [(None, "no id"), (7, "another row of this id")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    wanted = spark.createDataFrame([(7,), (500,), (9999,)], "node long")
+    found = order_minhash.sequences(docs, wanted)
+    assert {row["node"] for row in found.collect()} == {7, 500}
+    # The bitmap that keeps other texts where they are.
+    assert "bitmap_construct_agg" in found._jdf.queryExecution().toString()
+    kept = likely(
+        docs.withColumn("one", F.xxhash64("doc_id")),
+        wanted.select(F.xxhash64("node").alias("one")),
+        "one",
+    )
+    ids = [row["doc_id"] for row in kept.collect()]
+    assert sorted(i for i in ids if i in (7, 500)) == [7, 7, 500] and len(ids) < 10
