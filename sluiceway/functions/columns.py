@@ -1,9 +1,14 @@
-"""Column functions the models are written with. All are built-in Spark expressions."""
+"""Column functions the models are written with. All are built-in Spark expressions, but for JSON
+that is rewritten token by token."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import json
+import re
+import sys
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 
@@ -167,104 +172,134 @@ def nested_to_json(value: Column | str) -> Column:
     )
 
 
-# A number outside of strings, with what stands between it and the number before.
-_BEFORE_NUMBER = r'\G((?:"(?:[^"\\]++|\\.)*+"|[^"0-9-]++)*+)(-?[0-9][0-9.eE+-]*+)'
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used. Spark finds equal
+    parts by itself only outside of lambda functions."""
+    return F.transform(F.array(value), use)[0]
 
 
-def marked_json(text: Column | str) -> Column:
-    """JSON text with every string as ``"s..."`` and every number as the string ``"n..."``.
+def nested_text_to_json(text: Column | str) -> Column:
+    """JSON text in canonical form, from the tokens of the text itself; NULL for NULL.
+
+    Arrays and objects become sorted JSON, scalars plain text. Integers keep their digits, all
+    other numbers become the shortest decimal of the double, with an exponent below 1e-4 and
+    from 1e16 on, such as ``1.0``, ``1e-05`` or ``1.5e+20``; beyond the range of a double that
+    is ``Infinity``. Numbers may begin with zeros. Text that is no JSON and keys that come twice
+    fail the query.
 
-    VARIANT keeps strings as they are, but not numbers: ``1.0`` becomes ``1`` there, and long
-    ones lose digits. All keys get the same first letter, so their order stays.
+    VARIANT keeps neither ``1.0`` nor long numbers, and expressions that find them in the text
+    take six times as long as parsing it in Python, where all but strings go.
     """
-    strings = F.regexp_replace(_col(text), r'"((?:[^"\\]++|\\.)*+")', '"s$1')
-    return F.regexp_replace(strings, _BEFORE_NUMBER, '$1"n$2"')
+    text = _col(text)
+    string = _once(
+        F.try_parse_json(text),
+        lambda value: F.when(
+            F.to_json(value).startswith('"'), F.variant_get(value, "$", "string")
+        ),
+    )
+    scalar = ~F.substring(F.ltrim(text), 1, 1).isin("{", "[")
+    return F.arrow_udf(_canonical_texts(), "string")(text, F.when(scalar, string))
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often it is used. Spark finds equal
-    parts by itself only outside of lambda functions."""
-    return F.transform(F.array(value), use)[0]
+def nested_member_to_json(row: Column | str, name: str, text: Column | str) -> Column:
+    """Member ``name`` of a JSON object, in the form of :func:`nested_text_to_json`.
 
+    ``text`` is the member as ``from_json`` gives it as STRING. That is right for strings and
+    booleans; what may be an array, an object or a number is taken from the text of the row.
+    """
+    text = _col(text)
+    unsure = F.substring(text, 1, 1).isin(*"{[-0123456789")
+    return F.arrow_udf(_canonical_texts(name), "string")(
+        F.when(unsure, _col(row)), F.when(~unsure, text)
+    )
 
-def number_text(number: Column) -> Column:
-    """JSON number as its canonical text: integers digit by digit, all others as the shortest
-    decimal of the double, with an exponent below 1e-4 and from 1e16 on, such as ``1.0``,
-    ``1e-05`` or ``1.5e+20``. Beyond the range of a double it is ``Infinity``. The digits are those
-    that the JVM prints: before version 19 it gives a few doubles, such as 5e-324, a digit more."""
-    return F.when(
-        number.rlike("[.eE]"),
-        _once(
-            number.cast("double"),
-            lambda double: _once(
-                double.cast("string"), lambda short: _double_text(double, short)
-            ),
-        ),
-    ).otherwise(F.when(number == "-0", "0").otherwise(number))
 
+def _canonical_texts(member: str | None = None):
+    """The function of a task: canonical form of JSON texts, or of a member of theirs, but for
+    those that have a string already. Made here, it goes to tasks by value; they import nothing."""
 
-def _double_text(double: Column, short: Column) -> Column:
-    size = F.abs(double)
-    # 17 digits before the point and 21 after it hold every double in this range.
-    fixed = short.cast("decimal(38,21)").cast("string")
-    plain = F.regexp_replace(F.regexp_replace(fixed, "0+$", ""), r"\.$", ".0")
-    mantissa = F.regexp_replace(F.substring_index(short, "E", 1), r"\.0$", "")
+    def texts(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        quoted = r'"((?:[^"\\]|\\.)*)"'
+        tokens = re.compile(quoted + "|-?[0-9][0-9.eE+-]*")
+        marked = re.compile(quoted)
+        encode = json.JSONEncoder(sort_keys=True).encode
+        sys.set_int_max_str_digits(0)
 
-    def exponent(power: Column) -> Column:
-        return F.concat(
-            F.when(power < 0, "-").otherwise("+"),
-            F.when(F.abs(power) < 10, "0").otherwise(""),
-            F.abs(power).cast("string"),
-        )
+        # Objects of the text of which a key comes twice.
+        repeated = []
 
-    return (
-        F.when((size == 0) | short.contains("Infinity"), short)
-        # From 1e-3 to below 1e7 the JVM prints the shortest decimal without an exponent.
-        .when(~short.contains("E"), short)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(
-            F.concat(
-                mantissa,
-                F.lit("e"),
-                _once(F.substring_index(short, "E", -1).cast("int"), exponent),
-            )
-        )
-    )
+        def members(pairs):
+            found = dict(pairs)
+            if len(found) != len(pairs):
+                repeated.append(found)
+            return found
 
+        def check(value):
+            if any(value is one for one in repeated):
+                raise ValueError(f"a key comes twice in JSON: {value}")
+            if isinstance(value, (dict, list)):
+                for part in value.values() if isinstance(value, dict) else value:
+                    check(part)
 
-def marked_to_json(value: Column | str) -> Column:
-    """VARIANT of :func:`marked_json` to text: arrays and objects as sorted JSON with their
-    numbers as in :func:`number_text`, scalars as plain text."""
-    return _once(_col(value), lambda once: _once(F.to_json(once), _marked_text_of(once)))
-
-
-def _marked_text_of(value: Column) -> Callable[[Column], Column]:
-    def unmarked(piece: Column) -> Column:
-        number = F.substring_index(piece, '"', 1)
-        rest = F.substr(piece, F.length(number) + 2)
-        return F.concat(_once(number, number_text), rest)
-
-    def joined(pieces: Column) -> Column:
-        numbers = F.transform(F.slice(pieces, 2, F.size(pieces)), unmarked)
-        return F.concat(pieces[0], F.array_join(numbers, ""))
-
-    def text_of(text: Column) -> Column:
-        # Quotes within strings are escaped and no closing quote is followed by a letter, so these
-        # are where marked values begin.
-        pieces = F.split(spaced_json(text), r'(?<!\\)"n', -1)
-        nested = F.regexp_replace(_once(pieces, joined), r'(?<!\\)"s', '"')
-        scalar = F.variant_get(value, "$", "string")
-        bare = F.substr(scalar, F.lit(2))
-        return (
-            F.when(F.substring(text, 1, 1).isin("{", "["), nested)
-            .when(text.startswith('"n'), _once(bare, number_text))
-            .when(text.startswith('"'), bare)
-            .otherwise(scalar)
-        )
+        def constant(name):
+            raise ValueError(f"not JSON: {name}")
 
-    return text_of
+        decoder = json.JSONDecoder(
+            object_pairs_hook=members, parse_constant=None if member else constant
+        )
 
+        def decoded(text):
+            """First value of the text, and whether it ends there."""
+            text = text.strip(" \t\n\r")
+            repeated.clear()
+            value, end = decoder.raw_decode(text)
+            value = value if member is None else value.get(member)
+            if repeated:
+                check(value)
+            return value, end == len(text)
+
+        def number(digits):
+            if re.fullmatch("-?[0-9]+", digits):
+                return "0" if digits == "-0" else digits
+            return encode(float(digits))
+
+        def lenient(text):
+            # Every number as the string "n...", which may begin with zeros, and every string
+            # as "s...": all keys get the same first letter, so their order stays.
+            def mark(match):
+                return f'"n{match[0]}"' if match[1] is None else f'"s{match[1]}"'
+
+            def unmarked(match):
+                body = match[1]
+                return number(body[1:]) if body[0] == "n" else f'"{body[1:]}"'
+
+            value, _ = decoded(tokens.sub(mark, text))
+            if isinstance(value, str):
+                return number(value[1:]) if value[0] == "n" else value[1:]
+            return marked.sub(unmarked, encode(value))
+
+        def canonical(text):
+            try:
+                value, whole = decoded(text)
+            except json.JSONDecodeError:
+                if member is not None:
+                    raise
+                whole = False
+            if not whole and member is None:
+                return lenient(text)
+            if isinstance(value, str):
+                # Half of a surrogate pair cannot be text by itself.
+                return value.encode("utf-8", "replace").decode()
+            return None if value is None else encode(value)
+
+        for many, strings in batches:
+            pairs = zip(many.to_pylist(), strings.to_pylist())
+            yield pa.array(
+                [
+                    string if string is not None or text is None else canonical(text)
+                    for text, string in pairs
+                ],
+                pa.string(),
+            )
 
-def nested_text_to_json(text: Column | str) -> Column:
-    """JSON text in canonical form, from the tokens of the text itself; NULL for NULL."""
-    return marked_to_json(F.parse_json(marked_json(text)))
+    return texts

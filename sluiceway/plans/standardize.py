@@ -74,7 +74,9 @@ _BUNDLE_COLUMN_COUNT = len(contracts.names(contracts.BUNDLE_LINEAGE))
 STANDARDIZERS: dict[str, Standardizer] = {
     "json_bundle": Standardizer(
         read=_read_bundles,
-        to_rows=lambda df: explode_bundles(df, contracts.TRANSACTION_JSON_COLUMNS),
+        to_rows=lambda df: explode_bundles(
+            df, contracts.TRANSACTION_ROW, contracts.TRANSACTION_JSON_COLUMNS
+        ),
         columns=contracts.names(contracts.RAW_TRANSACTIONS)[:-_BUNDLE_COLUMN_COUNT],
     ),
     "csv_delivery": Standardizer(

@@ -9,7 +9,7 @@ from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from sluiceway.functions.columns import marked_json, marked_to_json, try_iso_to_ts
+from sluiceway.functions.columns import nested_member_to_json, try_iso_to_ts
 from sluiceway.functions.slices import partition_value, slice_floor
 from sluiceway.operators.joins import attach_manifest_metadata
 from sluiceway.operators.layout import Layout, place
@@ -64,21 +64,16 @@ def read_bundle_documents(
     """One row per bundle document, its rows still nested.
 
     ``only`` is a condition on the file, such as ``Layout.in_folders`` of :func:`file_path`.
-    A ``rows`` value that is not an array of objects fails the read. ``json_columns`` are
-    parsed from the row's marked text as VARIANT, so that nested values become text with their
-    numbers as landed when exploded. Keys outside ``row_schema`` are dropped, or kept as text in
-    ``_extra`` with ``keep_unknown``. Either parses every row once more.
+    A ``rows`` value that is not an array fails the read. With ``json_columns`` or
+    ``keep_unknown`` the rows are text, which :func:`explode_bundles` parses.
     """
     fields = T.StructType.fromDDL(row_schema).fields
-    plain = [f for f in fields if f.name not in json_columns]
-    nested = [f for f in fields if f.name in json_columns]
-    as_text = keep_unknown or bool(nested)
     typed = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in fields)
-    element = "STRING" if as_text else f"STRUCT<{typed}>"
+    element = "STRING" if json_columns or keep_unknown else f"STRUCT<{typed}>"
     envelope = (
         f"row_count BIGINT, schema_version STRING, scenario_name STRING, rows ARRAY<{element}>"
     )
-    documents = (
+    return (
         _reader(spark, recursive=not partition_fields)
         .schema(_with_partitions(envelope, partition_fields))
         .option("multiLine", not one_per_line)
@@ -88,53 +83,56 @@ def read_bundle_documents(
         .where(_is_payload(only))
         .select("*", landing_key(root).alias("_landing_key"))
     )
-    if not as_text:
-        return documents
-    known = F.array(*[F.lit(f.name) for f in fields])
 
-    def parse(row: Column) -> Column:
-        checked = F.when(row.isNull() | F.ltrim(row).startswith("{"), row).otherwise(
-            F.raise_error(F.concat(F.lit("a bundle row is not an object: "), row)).cast("string")
-        )
-        strict = {"mode": "FAILFAST"}
-        values = {}
-        if plain:
-            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain)
-            typed_row = F.from_json(checked, schema, strict)
-            values = {f.name: typed_row[f.name] for f in plain}
-        if nested:
-            # Marking gives every key an "s" in front.
-            schema = ", ".join(f"`s{f.name}` VARIANT" for f in nested)
-            marked_row = F.from_json(marked_json(checked), schema, strict)
-            values |= {f.name: marked_row[f"s{f.name}"] for f in nested}
-        if keep_unknown:
-            values["_extra"] = F.map_filter(
-                F.from_json(checked, "map<string,string>"),
-                lambda name, _: ~F.array_contains(known, name),
-            )
-        names = [f.name for f in fields] + ["_extra"] * keep_unknown
-        return F.struct(*[values[name].alias(name) for name in names])
-
-    return documents.withColumn("rows", F.transform("rows", parse))
-
-
-def explode_bundles(documents: DataFrame, json_columns: Sequence[str] = ()) -> DataFrame:
-    """One output row per bundle row, carrying the document's own columns."""
-    names = documents.schema["rows"].dataType.elementType.names
-    rows = [
-        marked_to_json(f"_row.{name}").alias(name)
-        if name in json_columns
-        else F.col(f"_row.{name}").alias(name)
-        for name in names
-    ]
+
+def explode_bundles(
+    documents: DataFrame,
+    row_schema: str,
+    json_columns: Sequence[str] = (),
+    keep_unknown: bool = False,
+) -> DataFrame:
+    """One output row per bundle row, carrying the document's own columns.
+
+    Nested values of ``json_columns`` become text with their numbers as landed. Keys outside
+    ``row_schema`` are dropped, or kept as text in ``_extra`` with ``keep_unknown``. Rows that are
+    text are parsed here, one by one: within an array of rows every column would parse its row
+    again. A row that is not an object fails the query.
+    """
     carried = [name for name in documents.columns if name not in _ENVELOPE]
-    return documents.withColumn("_row", F.explode("rows")).select(
-        *rows,
+    rows = documents.select(
+        F.explode("rows").alias("_row"),
         F.col("schema_version").alias("_schema_version"),
         F.col("scenario_name").alias("_scenario_name"),
         F.col("row_count").alias("_response_row_count"),
         *carried,
     )
+    others = [name for name in rows.columns if name != "_row"]
+    fields = T.StructType.fromDDL(row_schema).fields
+    if not (json_columns or keep_unknown):
+        return rows.select(*[F.col(f"_row.{f.name}") for f in fields], *others)
+    text = F.col("_row")
+    checked = F.when(text.isNull() | F.ltrim(text).startswith("{"), text).otherwise(
+        F.raise_error(F.concat(F.lit("a bundle row is not an object: "), text)).cast("string")
+    )
+    schema = ", ".join(
+        f"`{f.name}` {'STRING' if f.name in json_columns else f.dataType.simpleString()}"
+        for f in fields
+    )
+    parsed = rows.withColumn("_typed", F.from_json(checked, schema, {"mode": "FAILFAST"}))
+    values = [
+        nested_member_to_json("_row", f.name, f"_typed.{f.name}").alias(f.name)
+        if f.name in json_columns
+        else F.col(f"_typed.{f.name}").alias(f.name)
+        for f in fields
+    ]
+    if keep_unknown:
+        known = F.array(*[F.lit(f.name) for f in fields])
+        extra = F.map_filter(
+            F.from_json(text, "map<string,string>"),
+            lambda name, _: ~F.array_contains(known, name),
+        )
+        values.append(extra.alias("_extra"))
+    return parsed.select(*values, *others)
 
 
 _ENVELOPE = ("rows", "row_count", "schema_version", "scenario_name")
@@ -162,7 +160,7 @@ def read_json_bundles(
         one_per_line=one_per_line,
         keep_unknown=keep_unknown,
     )
-    return explode_bundles(documents, json_columns)
+    return explode_bundles(documents, row_schema, json_columns, keep_unknown)
 
 
 def read_csv_delivery(
