@@ -166,3 +166,30 @@ def test_nested_text_is_parsed_once(spark):
     df = spark.createDataFrame([('{"a": [1.50, "é"]}',)], "x STRING")
     plan = df.select(fn.nested_text_to_json("x").alias("y"))._jdf.queryExecution().analyzed().toString()
     assert plan.count("parse_json(") == 1 and plan.count("to_json(") == 1
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['["\\u001f\\u007f/"]', "[5e-324, 2e-323]", '{"\\ue000": 1, "\\ud83d\\ude00": 2}', '["\\ud800"]'],
+)
+def test_rare_nested_text_matches_sorted_json(spark, text):
+    (found,) = values(spark, [text], fn.nested_text_to_json("x"))
+    assert found == json.dumps(json.loads(text), sort_keys=True)
+
+
+def test_numbers_may_begin_with_zeros_and_text_may_follow(spark):
+    texts = ['{"z": [007, -00.50, "é 01"], "a": 1}', "01", "-007", '[1] "x"', "1 2", ' "a" ']
+    found = values(spark, texts, fn.nested_text_to_json("x"))
+    assert found == ['{"a": 1, "z": [007, -0.5, "\\u00e9 01"]}', "01", "-007", "[1]", "1", "a"]
+
+
+@pytest.mark.parametrize("text", ["", " ", "[1,]", "[NaN]", "nul", "[1.2.3]", '{"a": 1, "a": 1}', '[{"a": 01, "a": 1}]'])
+def test_what_is_no_json_fails(spark, text):
+    with pytest.raises(Exception):
+        values(spark, [text], fn.nested_text_to_json("x"))
+
+
+def test_nested_text_has_no_lambda_for_each_character_or_number(spark):
+    df = spark.createDataFrame([('{"a": [1.50, "é"]}',)], "x STRING")
+    plan = df.select(fn.nested_text_to_json("x").alias("y"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("transform(") == 1 and "regexp_replace(" not in plan
