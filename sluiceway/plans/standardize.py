@@ -1,8 +1,9 @@
 """Landed objects to standardized bundles.
 
 All chosen slices are one job: the slice is a column, rows are written partitioned by it,
-and slices without input simply have no rows. Parsing happens once; the parsed rows are
-staged as Parquet so that the per-bundle counts come from a columnar file.
+and slices without input simply have no rows. Every row says how many its bundle has, so these
+are counted first: from the objects where the standardizer says how many rows one holds, else from
+the parsed rows, which are staged as Parquet for that.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sluiceway import contracts
 from sluiceway.functions.slices import GRANULARITIES, check_granularity, partition_value
@@ -20,7 +21,13 @@ from sluiceway.operators.joins import attach_manifest_metadata
 from sluiceway.operators.layout import Layout, place
 from sluiceway.operators.projection import iso_text, lineage_columns
 from sluiceway.session import configure, materialize
-from sluiceway.sinks.writers import suffix_columns, write_bundle, write_manifests
+from sluiceway.sinks.writers import (
+    AS_READ,
+    spread,
+    suffix_columns,
+    write_bundle,
+    write_manifests,
+)
 from sluiceway.sources.landing import (
     explode_bundles,
     file_path,
@@ -40,12 +47,15 @@ class Standardizer:
     to read (or None) and the job's reader options, and gives a frame with
     ``_landing_key``; ``to_rows`` runs after slices and metadata are attached. ``extra_lineage`` maps output columns to
     metadata keys, and ``columns`` is the published order before the bundle columns.
+    ``row_count`` is the number of rows that ``to_rows`` makes of a row that ``read`` gives, where
+    that can be told without ``to_rows``.
     """
 
     read: Callable[..., DataFrame]
     to_rows: Callable[[DataFrame], DataFrame]
     columns: Sequence[str]
     extra_lineage: Mapping[str, str] = field(default_factory=dict)
+    row_count: Callable[[], Column] | None = None
 
 
 def _read_bundles(spark, paths, *, root, only, one_per_line=False):
@@ -78,6 +88,7 @@ STANDARDIZERS: dict[str, Standardizer] = {
             df, contracts.TRANSACTION_ROW, contracts.TRANSACTION_JSON_COLUMNS
         ),
         columns=contracts.names(contracts.RAW_TRANSACTIONS)[:-_BUNDLE_COLUMN_COUNT],
+        row_count=lambda: F.coalesce(F.array_size("rows"), F.lit(0)),
     ),
     "csv_delivery": Standardizer(
         read=_read_deliveries,
@@ -166,9 +177,16 @@ def _iso(value: datetime) -> str:
     return value.astimezone(timezone.utc).isoformat()
 
 
-def bundle_summary(rows: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Rows and input objects per run id, for the bundles that have rows."""
-    counted = rows.groupBy("run_id").agg(F.count(F.lit(1)).alias("row_count"))
+def bundle_summary(
+    rows: DataFrame, inventory: DataFrame, row_count: Column | None = None
+) -> DataFrame:
+    """Rows and input objects per run id, for the bundles that have rows.
+
+    A row of ``rows`` counts as ``row_count`` rows, by default one.
+    """
+    counts = F.count(F.lit(1)) if row_count is None else F.sum(row_count)
+    counted = rows.groupBy("run_id").agg(counts.cast("bigint").alias("row_count"))
+    counted = counted.where(F.col("row_count") > 0)
     objects = inventory.groupBy("run_id").agg(F.count(F.lit(1)).alias("object_count"))
     return counted.join(objects, "run_id", "inner")
 
@@ -289,7 +307,11 @@ def standardize_slices(
         preset_id=job.preset_id,
         extra_keys=kind.extra_lineage,
     ).select("run_id", *kind.columns)
-    staged = materialize(rows, "standardize-rows")
+    if kind.row_count is None:
+        counted = rows = materialize(rows, "standardize-rows")
+        row_count = None
+    else:
+        counted, row_count = placed, kind.row_count()
     directory = F.concat_ws(
         "/",
         *[F.lit(job.processed_prefix.strip("/"))][: bool(job.processed_prefix.strip("/"))],
@@ -301,7 +323,7 @@ def standardize_slices(
     )
     file_name = F.concat(F.lit("slice_id="), F.col("run_id"), F.lit(".parquet"))
     bundles = materialize(
-        bundle_summary(staged, inventory)
+        bundle_summary(counted, inventory, row_count)
         .join(calendar, "run_id")
         .withColumns(
             {
@@ -313,7 +335,8 @@ def standardize_slices(
         ),
         "standardize-bundles",
     )
-    annotated = annotate_bundle(staged, bundles, standardized_at)
+    # A run is in one folder. What is the same in all rows of a bundle is added after the shuffle.
+    annotated = annotate_bundle(spread(rows, "run_id"), bundles, standardized_at)
     # The folder of a bundle has the name that its key ends in, so the key leads to it.
     write_bundle(
         annotated.select(
@@ -327,6 +350,7 @@ def standardize_slices(
         job.processed_fields,
         below=("slice_id",),
         suffix=job.processed_suffix,
+        arrange=AS_READ,
     )
     write_manifests(
         bundle_manifests(bundles, job, standardized_at, selector_mode),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F, types as
 from sluiceway.functions.slices import partition_value, slice_shift
 from sluiceway.operators.layout import Layout, partition_columns, place
 from sluiceway.operators.projection import iso_text, partition_last
+from sluiceway.session import shuffles_freed
 from sluiceway.sinks.partitions import replace_all, replace_partitions
 
 # How rows are arranged for a partitioned write.
@@ -82,21 +83,24 @@ def write_bundle(
     fields: Sequence[str] = ("year", "month", "day"),
     below: Sequence[str] = (),
     suffix: Sequence[str] = (),
+    arrange: str = BY_PARTITION,
 ) -> None:
     """Append standardized rows under ``root/<field>=.../<suffix>/``.
 
     Suffix segments must be ``key=value``, the only directories that Spark writes. Columns in
-    ``below`` give further directories. An empty frame adds no directory.
+    ``below`` give further directories. An empty frame adds no directory. ``arrange`` as in
+    :func:`spread`; rows that were spread before are written ``as_read``.
     """
     fixed = suffix_columns(suffix)
     rows = partition_columns(df, ts, fields).withColumns(fixed)
-    (
-        spread(rows, *fields)
-        .write.mode("append")
-        .option("compression", "snappy")
-        .partitionBy(*fields, *fixed, *below)
-        .parquet(root)
-    )
+    with shuffles_freed(df.sparkSession):
+        (
+            spread(rows, *fields, arrange=arrange)
+            .write.mode("append")
+            .option("compression", "snappy")
+            .partitionBy(*fields, *fixed, *below)
+            .parquet(root)
+        )
 
 
 def suffix_columns(suffix: Sequence[str]) -> dict[str, Column]:
@@ -177,13 +181,14 @@ def write_landing(
     rows = partition_columns(payloads, ts, fields).select(
         content, *fields, *[value.alias(key) for key, value in fixed.items()]
     )
-    (
-        spread(rows, *fields)
-        .write.mode("append")
-        .option("compression", compression)
-        .partitionBy(*fields, *fixed)
-        .text(path)
-    )
+    with shuffles_freed(payloads.sparkSession):
+        (
+            spread(rows, *fields)
+            .write.mode("append")
+            .option("compression", compression)
+            .partitionBy(*fields, *fixed)
+            .text(path)
+        )
     return path
 
 
