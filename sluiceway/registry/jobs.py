@@ -363,8 +363,14 @@ def deliver_events(spark, sf_dir):
 def deliver_events_once(spark, sf_dir):
     """A drop folder that holds each file twice: exact repeats are delivered once."""
     drop = _drop_events(spark, sf_dir)
-    again = spark.read.text(drop)
-    again.write.mode("append").text(drop)
+    # Files of about the size of the first ones: as many again as there are splits of 16 MB would
+    # be many times as many batches.
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128MB")
+    try:
+        spark.read.text(drop).write.mode("append").text(drop)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     source = intake.text_event_source(spark, drop, FILES_PER_BATCH)
     path = scratch_dir(spark, "delivered-once")
     writer = intake.deliver_events(

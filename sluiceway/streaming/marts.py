@@ -41,6 +41,7 @@ from sluiceway.sinks.partitions import (
 from sluiceway.sinks.writers import BY_PARTITION, GROUPED, write_model
 from sluiceway.streaming.intake import (
     BUFFER_BYTES,
+    STATE_STORE,
     deliver_events,
     delivered_event_stream,
     quarantine_bad_events,
@@ -75,8 +76,6 @@ _EVENT_FIELDS = ", ".join(
     f"{name}: {kind}" for name, kind in (field.split() for field in EVENTS.split(","))
 )
 CHANGED = f"event STRUCT<{_EVENT_FIELDS}>, dates ARRAY<STRUCT<event_date: DATE>>"
-# Where streaming state is kept: on local disk, with changes in the checkpoint.
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def newest_versions(staged: DataFrame) -> DataFrame:

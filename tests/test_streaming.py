@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluiceway.plans import events as evt
-from sluiceway.streaming import marts
+from sluiceway.streaming import intake, marts
 
 COLUMNS = "emitter_event_id STRING, emitted_at STRING, emission_index INT, device_id STRING, pressure_kpa DOUBLE"
 
@@ -226,3 +226,42 @@ def test_incoming_files_to_marts_and_again(spark, tmp_path):
     assert live(run().events, spark) == [("a", 1, "2026-03-16"), ("b", 1, "2026-03-15")]
     delivered = list((tmp_path / "out" / "events").glob("year=*/month=*/day=*/*.txt.gz"))
     assert delivered
+
+
+TEXTS = [
+    '{"a": 1}', ' \t{"a": [{}]} ', "{}", '{"a": 1} x', "[1]", '"{"', "1", "null", "{", '{"a": 1',
+    '{"a": 1, "a": 2}', '{"broken": {"a": 1}', "", " ", "x{}", None,
+]
+
+
+def test_deliverable_texts_are_those_that_parse_as_objects(spark):
+    df = spark.createDataFrame([(text,) for text in TEXTS], "value STRING")
+    written = F.coalesce(F.to_json(F.try_parse_json("value")).startswith("{"), F.lit(False))
+    found = df.select("value", intake._is_deliverable().alias("now"), written.alias("told")).collect()
+    assert [row.now for row in found] == [row.told for row in found]
+    assert [row.value for row in found if row.now] == TEXTS[:4]
+    plan = df.where(intake._is_deliverable())._jdf.queryExecution().analyzed().toString()
+    assert "to_json(" not in plan
+
+
+def test_repeats_in_later_batches_are_left_out_by_state_on_disk(spark, tmp_path):
+    """The default store would copy all state for every batch."""
+    drop, out, checkpoint = [str(tmp_path / name) for name in ("drop", "out", "checkpoint")]
+
+    def deliver(texts):
+        spark.createDataFrame([(t,) for t in texts], "value STRING").coalesce(1).write.mode(
+            "append"
+        ).text(drop)
+        source = intake.text_event_source(spark, drop, 1)
+        query = intake.deliver_events(
+            source, out, checkpoint, {"availableNow": True}, repeats_within="2 hours"
+        ).start()
+        query.awaitTermination()
+        return query.recentProgress
+
+    deliver(['{"a": 1}', '{"a": 2}', '{"a": 1}', "broken"])
+    progress = deliver(['{"a": 2}', '{"a": 3}', "broken", '{"a":2}'])
+    found = [row.value for row in spark.read.text(out).collect()]
+    assert sorted(found) == ['{"a": 1}', '{"a": 2}', '{"a": 3}', '{"a":2}']
+    metrics = [op["customMetrics"] for batch in progress for op in batch["stateOperators"]]
+    assert metrics and all("rocksdbGetCount" in one for one in metrics)
